@@ -31,3 +31,76 @@ def jamo_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents -> Hangul -> jamo -> distinct ▁-words with frequencies."""
     docs = fx.table(spark, sf_dir, "documents").select("text")
     return vocab.word_counts(docs, "text", to_jamo=True, transform_word=fx.hangulize)
+
+
+# ---- data sets, order and batching (P1-P4, U1, W1-W3, L1) -----------------
+from sorigil.functions.jamo import hangul_to_jamo  # noqa: E402
+from sorigil.operators import listing, order  # noqa: E402
+
+BATCH_SIZE = 8
+MAX_SAMPLES = 300
+
+
+def _transcripts(spark, sf_dir):
+    return fx.documents_as_transcripts(spark, sf_dir)
+
+
+def _with_audio_positions(spark, sf_dir):
+    """E3 load stage: keep rows whose audio exists, then number them in concatenated order."""
+    kept = listing.with_audio(_transcripts(spark, sf_dir), fx.labels_as_listing(spark, sf_dir))
+    return order.concat_positions(kept, "doc_id")
+
+
+@register("jamo_metadata")
+def jamo_metadata(spark, sf_dir):
+    """``filename|text|jamo`` for every transcript (T1 on whole texts)."""
+    t = _transcripts(spark, sf_dir)
+    return t.select("filename", "text", hangul_to_jamo("text").alias("jamo"))
+
+
+@register("source_concat")
+def source_concat(spark, sf_dir):
+    """Every data set's rows numbered inside the set and after concatenation."""
+    t = order.concat_positions(_transcripts(spark, sf_dir), "doc_id")
+    return t.select("doc_id", "source", "source_ord", "row_idx", "pos", "filename", "full_path")
+
+
+@register("batch_assign")
+def batch_assign(spark, sf_dir):
+    """Encoding batches of min(B, 32) rows in concatenated order after the audio filter."""
+    t = _with_audio_positions(spark, sf_dir)
+    return t.select("doc_id", "pos", order.batch_id("pos", min(BATCH_SIZE, 32)).alias("batch_id"))
+
+
+@register("max_samples")
+def max_samples_q(spark, sf_dir):
+    """L1: the first MAX_SAMPLES rows in concatenated order after the audio filter (the feature is a prefix)."""
+    t = order.max_samples(_with_audio_positions(spark, sf_dir), MAX_SAMPLES)
+    return t.select("doc_id", "source", "pos")
+
+
+@register("with_audio")
+def with_audio_q(spark, sf_dir):
+    """Transcripts whose audio file exists, with positions over the kept rows."""
+    return _with_audio_positions(spark, sf_dir).select("doc_id", "source", "row_idx", "pos", "full_path")
+
+
+@register("missing_audio")
+def missing_audio_q(spark, sf_dir):
+    """Transcripts whose audio file is missing."""
+    t = listing.missing_audio(_transcripts(spark, sf_dir), fx.labels_as_listing(spark, sf_dir))
+    return t.select("doc_id", "source", "full_path")
+
+
+@register("source_counts")
+def source_counts_q(spark, sf_dir):
+    """A1: rows before and after the audio filter per data set, plus the total row (source null)."""
+    return listing.source_counts(_transcripts(spark, sf_dir), fx.labels_as_listing(spark, sf_dir))
+
+
+@register("progress")
+def progress_q(spark, sf_dir):
+    """W4 + P6: per encoding batch, rows done, total and running count of valid encodings."""
+    t = _with_audio_positions(spark, sf_dir)
+    valid = F.coalesce(F.length(hangul_to_jamo("text")) > 0, F.lit(False))
+    return listing.progress(t.select("pos", valid.alias("valid")), BATCH_SIZE)

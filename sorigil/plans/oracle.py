@@ -50,3 +50,49 @@ WITH w AS (SELECT unnest({words_sql('text')}) AS w FROM documents)
 SELECT '▁' || {jamo_sql(hangulize_sql('w'))} AS word, count(*) AS n
 FROM w GROUP BY 1
 """
+
+META = """SELECT doc_id, source, TRY_CAST(regexp_extract(source, '([0-9]+)$', 1) AS INTEGER) AS source_ord,
+  printf('doc_%06d.wav', doc_id) AS filename, '/data/' || source || '/wavs/' || printf('doc_%06d.wav', doc_id) AS full_path,
+  text AS raw_text FROM documents"""
+KEPT = f"""SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS row_idx,
+  row_number() OVER (ORDER BY source_ord, doc_id) - 1 AS pos
+  FROM ({META}) m WHERE full_path IN (SELECT '/data/' || d.source || '/wavs/' || printf('doc_%06d.wav', d.doc_id)
+  FROM documents d WHERE d.doc_id IN (SELECT doc_id FROM labels))"""
+BATCH_SIZE = 8
+MAX_SAMPLES = 300
+
+ORACLE["jamo_metadata"] = f"""
+SELECT printf('doc_%06d.wav', doc_id) AS filename, {hangulize_sql('text')} AS text, {jamo_sql(hangulize_sql('text'))} AS jamo
+FROM documents
+"""
+
+ORACLE["source_concat"] = f"""
+SELECT doc_id, source, source_ord, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS row_idx,
+  row_number() OVER (ORDER BY source_ord, doc_id) - 1 AS pos, filename, full_path
+FROM ({META}) m
+"""
+
+ORACLE["batch_assign"] = f"SELECT doc_id, pos, pos // {BATCH_SIZE} AS batch_id FROM ({KEPT}) k"
+
+ORACLE["max_samples"] = f"SELECT doc_id, source, pos FROM ({KEPT}) k WHERE pos < {MAX_SAMPLES}"
+
+ORACLE["with_audio"] = f"SELECT doc_id, source, row_idx, pos, full_path FROM ({KEPT}) k"
+
+ORACLE["missing_audio"] = f"""
+SELECT doc_id, source, full_path FROM ({META}) m WHERE doc_id NOT IN (SELECT doc_id FROM labels)
+"""
+
+ORACLE["source_counts"] = f"""
+SELECT source, count(*) AS n_before, count(l.doc_id) AS n_after, count(*) - count(l.doc_id) AS n_missing
+FROM ({META}) m LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l USING (doc_id)
+GROUP BY ROLLUP (source)
+"""
+
+ORACLE["progress"] = f"""
+WITH k AS ({KEPT}),
+b AS (SELECT pos // {BATCH_SIZE} AS batch_id, count(*) AS n_rows,
+        sum(CASE WHEN length({jamo_sql(hangulize_sql('raw_text'))}) > 0 THEN 1 ELSE 0 END) AS n_valid FROM k GROUP BY 1)
+SELECT batch_id, least((batch_id + 1) * {BATCH_SIZE}, (SELECT count(*) FROM k)) AS batch_end,
+  (SELECT count(*) FROM k) AS total, n_valid, sum(n_valid) OVER (ORDER BY batch_id) AS valid_so_far
+FROM b
+"""

@@ -62,15 +62,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents_as_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``doc_id, source, source_ord, filename, text`` with Hangul text (no ranks yet)."""
+    """``doc_id, source, source_ord, filename, text, data_dir, full_path`` with Hangul text (no ranks yet)."""
     docs = table(spark, sf_dir, "documents")
-    return docs.select(
+    out = docs.select(
         "doc_id",
         "source",
         F.regexp_extract("source", "([0-9]+)$", 1).cast("int").alias("source_ord"),
         F.format_string("doc_%06d.wav", "doc_id").alias("filename"),
         hangulize("text").alias("text"),
+        F.concat_ws("/", F.lit(DATA_ROOT), "source").alias("data_dir"),
     )
+    return out.withColumn("full_path", resolve_path("data_dir", "filename"))
 
 
 def labels_as_listing(spark: SparkSession, sf_dir: str, root: str = DATA_ROOT) -> DataFrame:
