@@ -18,6 +18,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sorigil.functions.bind import let
+
 # ---------------------------------------------------------------------------
 # Unicode Hangul syllable composition and the compatibility jamo
 # used for output. They must be exactly these for correct results.
@@ -85,12 +87,17 @@ def utf8_bytes(col) -> Column:
     """UTF-8 byte values, ``ARRAY<INT>``; empty text gives an empty array, null stays null.
 
     Each byte is read from the binary value as a one-character ISO-8859-1
-    string, whose code point is the byte value."""
-    b = F.encode(_col(col), "UTF-8")
-    n = F.octet_length(b)
-    idx = F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
-    codes = F.transform(idx, lambda i: F.ascii(F.decode(b.substr(i, F.lit(1)), "ISO-8859-1")))
-    return F.when(n == 0, F.array().cast("array<int>")).otherwise(codes)
+    string, whose code point is the byte value. The encoded value is bound
+    once (``let``) so the per-byte lambda does not re-encode the text."""
+    c = _col(col)
+
+    def body(s):
+        b = s["b"]
+        idx = F.sequence(F.lit(1), F.greatest(F.octet_length(b), F.lit(1)))
+        return F.transform(idx, lambda i: F.ascii(F.decode(b.substr(i, F.lit(1)), "ISO-8859-1")))
+
+    codes = let(body, b=F.encode(c, "UTF-8"))
+    return F.when(c.isNull(), F.lit(None).cast("array<int>")).when(F.length(c) == 0, F.array().cast("array<int>")).otherwise(codes)
 
 
 @F.pandas_udf(T.ArrayType(T.IntegerType()))

@@ -104,3 +104,169 @@ def progress_q(spark, sf_dir):
     t = _with_audio_positions(spark, sf_dir)
     valid = F.coalesce(F.length(hangul_to_jamo("text")) > 0, F.lit(False))
     return listing.progress(t.select("pos", valid.alias("valid")), BATCH_SIZE)
+
+
+# ---- encoding and batches (T2, P7, L3, L4, A2, R1-R6) -----------------------
+from sorigil.functions import arrays, audio  # noqa: E402
+from sorigil.functions.jamo import utf8_bytes  # noqa: E402
+from sorigil.functions.text import tag_speaker  # noqa: E402
+from sorigil.operators import batching, metrics  # noqa: E402
+
+EPOCHS = 2
+SEED = 0
+PREVIEW = 10
+COLLATE_AUDIO_LEN = 12
+LOSS_BATCH = 4
+
+
+def _encoded(spark, sf_dir):
+    """E3 encode stage: jamo text of the kept rows as UTF-8 byte tokens."""
+    t = _with_audio_positions(spark, sf_dir)
+    return t.select("doc_id", "pos", utf8_bytes(hangul_to_jamo("text")).alias("text_tokens"))
+
+
+@register("encode_bytes")
+def encode_bytes_q(spark, sf_dir):
+    """T2 + L4: byte tokens of every kept transcript, with their count and preview."""
+    e = _encoded(spark, sf_dir)
+    return e.select(
+        F.col("pos").alias("original_indices"),
+        F.size("text_tokens").alias("n_tokens"),
+        arrays.join_ints(arrays.preview("text_tokens", PREVIEW)).alias("preview"),
+        arrays.join_ints("text_tokens").alias("text_tokens"),
+    )
+
+
+@register("speaker_tag")
+def speaker_tag_q(spark, sf_dir):
+    """T1 then P7 on conversation turns (jamo first, then the default speaker tag)."""
+    c = fx.conversations_tagged(spark, sf_dir)
+    return c.select("conv_id", "turn", tag_speaker(hangul_to_jamo("text")).alias("text"))
+
+
+@register("shuffle_epoch")
+def shuffle_epoch_q(spark, sf_dir):
+    """L3 + W3: each epoch's random order of the processed rows and its batches."""
+    e = _with_audio_positions(spark, sf_dir).select("pos")
+    b = batching.assign_batches(e, BATCH_SIZE, EPOCHS, SEED)
+    return b.select("epoch", "pos", "shuffled_pos", "batch_id")
+
+
+@register("collate_text")
+def collate_text_q(spark, sf_dir):
+    """Text tokens padded to the batch maximum capped at the text limit."""
+    e = _encoded(spark, sf_dir)
+    b = batching.assign_batches(e, BATCH_SIZE, EPOCHS, SEED)
+    c = batching.collate_text(b, "text_tokens", batching.TEXT_LENGTH, batching.TEXT_PAD)
+    return c.select(
+        "epoch",
+        "batch_id",
+        "pos",
+        "batch_len",
+        arrays.join_ints("padded").alias("padded"),
+        F.size(F.filter("padding_mask", lambda m: m)).alias("n_unmasked"),
+        F.size("attention_mask").alias("n_attention"),
+        arrays.join_ints("positions").alias("positions"),
+    )
+
+
+def _join_rows(x):
+    return F.array_join(F.transform(x, lambda r: F.array_join(r, ",")), ";")
+
+
+@register("collate_audio")
+def collate_audio_q(spark, sf_dir):
+    """R2: audio-code rows padded or cut to the batch length capped at the audio limit."""
+    codes = fx.embeddings_as_audio_codes(spark, sf_dir).withColumnRenamed("clip_id", "pos")
+    b = batching.assign_batches(codes, BATCH_SIZE, 1, SEED)
+    c = batching.collate_audio(b, "audio_tokens", COLLATE_AUDIO_LEN, fx.CODE_CHANNELS, batching.AUDIO_PAD)
+    return c.select("batch_id", F.col("pos").alias("clip_id"), "batch_len", _join_rows("padded").alias("padded"))
+
+
+@register("channel_loss")
+def channel_loss_q(spark, sf_dir):
+    """W5 + A10: next-token cross-entropy per channel ignoring pad targets, mean over channels."""
+    lg = fx.embeddings_as_logits(spark, sf_dir)
+    pairs = metrics.next_token_pairs(lg).withColumn("batch_id", (F.col("seq_id") / LOSS_BATCH).cast("bigint"))
+    _, per_batch = metrics.channel_loss(pairs, fx.LOGIT_PAD)
+    return per_batch.select("batch_id", F.round("loss", 6).alias("loss"), "n_channels", "n_tokens")
+
+
+# ---- run log (A11, W6) -------------------------------------------------------
+
+
+@register("epoch_metrics")
+def epoch_metrics_q(spark, sf_dir):
+    """Per-epoch mean loss, steps, optimizer steps, left-over micro-steps, elapsed time."""
+    m = metrics.epoch_metrics(fx.events_as_run_log(spark, sf_dir))
+    return m.select("epoch", "n_steps", F.round("avg_loss", 6).alias("avg_loss"), "optimizer_steps", "pending", F.round("elapsed_sec", 6).alias("elapsed_sec"))
+
+
+@register("step_counters")
+def step_counters_q(spark, sf_dir):
+    """Logged micro-steps with optimizer-step counters within the epoch and the run."""
+    stepped = metrics.step_index(fx.events_as_run_log(spark, sf_dir))
+    s = metrics.step_counters(stepped)
+    return s.select("epoch", "step", F.round("loss", 6).alias("loss"), "epoch_opt_step", "global_opt_step", "total_micro_steps")
+
+
+# ---- waveforms (R7-R10, R14, R17, P8, A12) ------------------------------------
+TRIM_THRESHOLD = 0.3
+RESAMPLE_TO = 24
+
+
+def _samples_long(df, arr_col):
+    """One row per sample: ``clip_id, i, v`` (v rounded to 6 places)."""
+    return df.select("clip_id", F.posexplode(arr_col).alias("i", "v")).select("clip_id", "i", F.round("v", 6).alias("v"))
+
+
+@register("trim_tail")
+def trim_tail_q(spark, sf_dir):
+    """Clips cut after the last loud sample plus the hold time at the clip's rate."""
+    c = fx.embeddings_as_clips(spark, sf_dir)
+    t = c.select("clip_id", audio.trim_tail("audio.array", TRIM_THRESHOLD, F.col("audio.sampling_rate")).alias("x"))
+    return _samples_long(t, "x")
+
+
+@register("change_speed")
+def change_speed_q(spark, sf_dir):
+    """R8 then R9: re-timed clips (factor 0.5 + 0.25 * label; 1.0 leaves a clip as is), clipped to [-1, 1]."""
+    c = fx.embeddings_as_clips(spark, sf_dir)
+    f = F.lit(0.5) + F.lit(0.25) * F.col("label")
+    t = c.select("clip_id", audio.clip_amplitude(audio.change_speed("audio.array", f)).alias("x"))
+    return _samples_long(t, "x")
+
+
+@register("resample")
+def resample_q(spark, sf_dir):
+    """P8 + R10: clips whose rate differs from the target are resampled linearly; others pass."""
+    from sorigil.sources.metadata import needs_resample
+
+    c = fx.embeddings_as_clips(spark, sf_dir)
+    x = F.when(needs_resample("audio", RESAMPLE_TO), audio.resample("audio.array", F.col("audio.sampling_rate"), F.lit(RESAMPLE_TO))).otherwise(
+        F.col("audio.array")
+    )
+    return _samples_long(c.select("clip_id", x.alias("x")), "x")
+
+
+@register("to_db")
+def to_db_q(spark, sf_dir):
+    """Amplitude in decibels relative to the clip maximum, 80 dB range."""
+    c = fx.embeddings_as_clips(spark, sf_dir)
+    return _samples_long(c.select("clip_id", audio.amplitude_to_db("audio.array").alias("x")), "x")
+
+
+@register("to_mono")
+def to_mono_q(spark, sf_dir):
+    """R17 (+R16): two 32-sample channels per clip averaged into one."""
+    c = fx.embeddings_as_clips(spark, sf_dir)
+    ch = F.array(F.slice("audio.array", 1, 32), F.slice("audio.array", 33, 32))
+    return _samples_long(c.select("clip_id", arrays.to_mono(ch).alias("x")), "x")
+
+
+@register("clip_duration")
+def clip_duration_q(spark, sf_dir):
+    """Clip count and total seconds per label."""
+    c = fx.embeddings_as_clips(spark, sf_dir)
+    d = c.select("label", audio.duration("audio.array", F.col("audio.sampling_rate")).alias("sec"))
+    return d.groupBy("label").agg(F.count(F.lit(1)).alias("n_clips"), F.round(F.sum("sec"), 6).alias("total_sec"))

@@ -96,3 +96,149 @@ SELECT batch_id, least((batch_id + 1) * {BATCH_SIZE}, (SELECT count(*) FROM k))
   (SELECT count(*) FROM k) AS total, n_valid, sum(n_valid) OVER (ORDER BY batch_id) AS valid_so_far
 FROM b
 """
+
+# ---- encoding and batches ---------------------------------------------------
+EPOCHS = 2
+PREVIEW = 10
+TEXT_LENGTH = 1024
+AUDIO_PAD = 1025
+COLLATE_AUDIO_LEN = 12
+LOSS_BATCH = 4
+LOGIT_PAD = 9
+
+ENCODED = f"SELECT doc_id, pos, {utf8_bytes_sql(jamo_sql(hangulize_sql('raw_text')))} AS tok FROM ({KEPT}) k"
+
+ORACLE["encode_bytes"] = f"""
+SELECT pos AS original_indices, len(tok)::INTEGER AS n_tokens, array_to_string(tok[1:{PREVIEW}], ',') AS preview,
+  array_to_string(tok, ',') AS text_tokens
+FROM ({ENCODED}) e
+"""
+
+ORACLE["speaker_tag"] = f"""
+SELECT conv_id, turn, CASE WHEN starts_with(j, '[S1]') OR starts_with(j, '[S2]') THEN j ELSE '[S1] ' || j END AS text
+FROM (SELECT conv_id, turn, {jamo_sql("CASE WHEN turn % 2 = 1 THEN '[S2] ' || " + hangulize_sql('text') + " WHEN turn % 4 = 0 THEN '[S1] ' || " + hangulize_sql('text') + " ELSE " + hangulize_sql('text') + " END")} AS j
+      FROM conversations) c
+"""
+
+SHUFFLED = f"""SELECT *, row_number() OVER (PARTITION BY epoch ORDER BY md5('0:' || epoch || ':' || pos)) - 1 AS shuffled_pos
+FROM (SELECT e.*, x.epoch FROM ({{src}}) e, (SELECT unnest(range({{epochs}}))::INTEGER AS epoch) x) ee"""
+
+ORACLE["shuffle_epoch"] = f"""
+SELECT epoch, pos, shuffled_pos, shuffled_pos // {BATCH_SIZE} AS batch_id
+FROM ({SHUFFLED.format(src=f"SELECT pos FROM ({KEPT}) k", epochs=EPOCHS)}) s
+"""
+
+ORACLE["collate_text"] = f"""
+WITH s AS (SELECT *, shuffled_pos // {BATCH_SIZE} AS batch_id FROM ({SHUFFLED.format(src=ENCODED, epochs=EPOCHS)}) q),
+b AS (SELECT *, least(max(len(tok)) OVER (PARTITION BY epoch, batch_id), {TEXT_LENGTH}) AS batch_len FROM s),
+p AS (SELECT *, (tok || list_transform(range(greatest(batch_len - len(tok), 0)), lambda i: 0))[1:batch_len] AS padded FROM b)
+SELECT epoch, batch_id, pos, batch_len::INTEGER AS batch_len, array_to_string(padded, ',') AS padded,
+  len(list_filter(padded, lambda v: v <> 0))::INTEGER AS n_unmasked, len(tok)::INTEGER AS n_attention,
+  array_to_string(range(batch_len), ',') AS positions
+FROM p
+"""
+
+CODES = """list_transform(range(greatest(len(embedding) // 4 - label, 0)),
+  lambda t: list_transform(embedding[t * 4 + 1 : t * 4 + 4], lambda x: floor((x::DOUBLE + 1) * 8)::INTEGER))"""
+
+ORACLE["collate_audio"] = f"""
+WITH s AS (SELECT *, shuffled_pos // {BATCH_SIZE} AS batch_id
+           FROM ({SHUFFLED.format(src=f"SELECT vec_id AS pos, {CODES} AS tok FROM embeddings", epochs=1)}) q),
+b AS (SELECT *, least(max(len(tok)) OVER (PARTITION BY batch_id), {COLLATE_AUDIO_LEN}) AS batch_len FROM s),
+p AS (SELECT *, (tok || list_transform(range(greatest(batch_len - len(tok), 0)), lambda i: [{AUDIO_PAD}, {AUDIO_PAD}, {AUDIO_PAD}, {AUDIO_PAD}]))[1:batch_len] AS padded FROM b)
+SELECT batch_id, pos AS clip_id, batch_len::INTEGER AS batch_len,
+  array_to_string(list_transform(padded, lambda r: array_to_string(r, ',')), ';') AS padded
+FROM p
+"""
+
+ORACLE["channel_loss"] = f"""
+WITH lg AS (SELECT vec_id // 16 AS seq_id, vec_id % 16 AS t, c AS channel,
+              list_transform(embedding[c * 16 + 1 : c * 16 + 16], lambda v: v::DOUBLE) AS logits, (label + c) % 16 AS label
+            FROM embeddings, (SELECT unnest(range(4))::INTEGER AS c) ch),
+pr AS (SELECT *, lead(label) OVER (PARTITION BY seq_id, channel ORDER BY t) AS target FROM lg),
+pairs AS (SELECT seq_id // {LOSS_BATCH} AS batch_id, channel, logits, target, list_max(logits) AS m FROM pr WHERE target IS NOT NULL),
+ce AS (SELECT batch_id, channel, m + ln(list_sum(list_transform(logits, lambda v: exp(v - m)))) - logits[target + 1] AS ce
+       FROM pairs WHERE target <> {LOGIT_PAD}),
+pc AS (SELECT d.batch_id, d.channel, avg(ce.ce) AS loss, count(ce.ce) AS n_tokens
+       FROM (SELECT DISTINCT batch_id, channel FROM pairs) d LEFT JOIN ce USING (batch_id, channel) GROUP BY 1, 2)
+SELECT batch_id, round(avg(loss), 6) AS loss, count(loss) AS n_channels, coalesce(sum(n_tokens), 0)::BIGINT AS n_tokens
+FROM pc GROUP BY 1
+"""
+
+# ---- run log ----------------------------------------------------------------
+ACCUM = 4
+LOG_EVERY = 10
+RUN_LOG = "SELECT event_id, epoch_us(ts) AS ts_us, (epoch_us(ts) // 86400000000)::INTEGER AS epoch, value AS loss FROM events"
+
+ORACLE["epoch_metrics"] = f"""
+SELECT epoch, count(*) AS n_steps, round(avg(loss), 6) AS avg_loss, count(*) // {ACCUM} AS optimizer_steps,
+  count(*) % {ACCUM} AS pending, round((max(ts_us) - min(ts_us)) / 1e6, 6) AS elapsed_sec
+FROM ({RUN_LOG}) r GROUP BY epoch
+"""
+
+ORACLE["step_counters"] = f"""
+WITH s AS (SELECT *, row_number() OVER (PARTITION BY epoch ORDER BY ts_us, event_id) - 1 AS step FROM ({RUN_LOG}) r),
+e AS (SELECT epoch, count(*) AS n FROM s GROUP BY epoch),
+pe AS (SELECT epoch, coalesce(sum(n // {ACCUM}) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prev_opt,
+         sum(n) OVER () AS total FROM e)
+SELECT s.epoch, step, round(loss, 6) AS loss, (step + 1) // {ACCUM} AS epoch_opt_step,
+  (prev_opt + (step + 1) // {ACCUM})::BIGINT AS global_opt_step, total::BIGINT AS total_micro_steps
+FROM s JOIN pe USING (epoch) WHERE (step + 1) % {LOG_EVERY} = 0
+"""
+
+# ---- waveforms ----------------------------------------------------------------
+TRIM_THRESHOLD = 0.3
+RESAMPLE_TO = 24
+CLIPS = """SELECT vec_id AS clip_id, label, list_transform(embedding, lambda v: v::DOUBLE) AS x,
+  CASE WHEN vec_id % 2 = 0 THEN 16 ELSE 32 END AS rate FROM embeddings"""
+
+
+def long_form(src: str) -> str:
+    return f"""SELECT clip_id, i::INTEGER AS i, round(y[i + 1], 6) AS v
+FROM (SELECT clip_id, y, unnest(range(len(y))) AS i FROM ({src}) q) u"""
+
+
+def interp_sql(x: str, n: str, m: str) -> str:
+    xi = f"(i * (({n} - 1)::DOUBLE / ({m} - 1)::DOUBLE))"
+    lo = f"least(floor({xi})::INTEGER, {n} - 1)"
+    hi = f"least({lo} + 1, {n} - 1)"
+    return (
+        f"CASE WHEN {m} = 1 THEN [{x}[1]] ELSE list_transform(range({m}), lambda i: "
+        f"{x}[{lo} + 1] + ({xi} - {lo}) * ({x}[{hi} + 1] - {x}[{lo} + 1])) END"
+    )
+
+
+ORACLE["trim_tail"] = long_form(f"""
+SELECT clip_id, CASE WHEN len(x) = 0 OR last < 0 THEN x ELSE x[1:least(last + floor(rate * 0.5)::INTEGER, len(x))] END AS y
+FROM (SELECT *, list_max(list_transform(range(len(x)), lambda i: CASE WHEN abs(x[i + 1]) > {TRIM_THRESHOLD} THEN i ELSE -1 END)) AS last
+      FROM ({CLIPS}) c) t
+""")
+
+ORACLE["change_speed"] = long_form(f"""
+SELECT clip_id, list_transform(CASE WHEN f_raw = 1.0 OR m = n OR m <= 0 OR n = 0 THEN x ELSE {interp_sql('x', 'n', 'm')} END,
+  lambda v: greatest(-1.0, least(1.0, v))) AS y
+FROM (SELECT *, floor(n / f)::INTEGER AS m
+      FROM (SELECT *, len(x) AS n, greatest(0.1, least(f_raw, 5.0)) AS f
+            FROM (SELECT *, 0.5::DOUBLE + 0.25::DOUBLE * label AS f_raw FROM ({CLIPS}) c) c1) c2) c3
+""")
+
+ORACLE["resample"] = long_form(f"""
+SELECT clip_id, CASE WHEN rate = {RESAMPLE_TO} OR n = 0 OR m = n THEN x ELSE {interp_sql('x', 'n', 'm')} END AS y
+FROM (SELECT *, ceil(n * {RESAMPLE_TO}::DOUBLE / rate::DOUBLE)::INTEGER AS m
+      FROM (SELECT *, len(x) AS n FROM ({CLIPS}) c) c1) c2
+""")
+
+AMIN_SQ = repr(1e-5 * 1e-5)
+ORACLE["to_db"] = long_form(f"""
+SELECT clip_id, list_transform(db, lambda v: greatest(v, list_max(db) - 80.0)) AS y
+FROM (SELECT clip_id, list_transform(sq, lambda v: 10.0 * log10(greatest({AMIN_SQ}, v)) - 10.0 * log10(greatest({AMIN_SQ}, r))) AS db
+      FROM (SELECT clip_id, sq, list_max(sq) AS r FROM (SELECT clip_id, list_transform(x, lambda v: v * v) AS sq FROM ({CLIPS}) c) c1) c2) c3
+""")
+
+ORACLE["to_mono"] = long_form(f"""
+SELECT clip_id, list_transform(range(32), lambda i: (x[i + 1] + x[i + 33]) / 2) AS y FROM ({CLIPS}) c
+""")
+
+ORACLE["clip_duration"] = f"""
+SELECT label, count(*) AS n_clips, round(sum(len(x) / rate::DOUBLE), 6) AS total_sec FROM ({CLIPS}) c GROUP BY label
+"""

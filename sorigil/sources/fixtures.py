@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sorigil.functions.jamo import SYLLABLE_FIRST
 from sorigil.functions.text import resolve_path
@@ -132,10 +133,11 @@ def embeddings_as_logits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def embeddings_as_audio_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``clip_id, audio_tokens ARRAY<ARRAY<INT>>``: row t holds floor((x+1)*8) of samples 4t..4t+3."""
+    """``clip_id, audio_tokens ARRAY<ARRAY<INT>>``: row t holds floor((x+1)*8) of samples 4t..4t+3;
+    a clip has ``size/4 - label`` rows, so clip lengths differ (7 to 16 rows at 64 samples)."""
     emb = table(spark, sf_dir, "embeddings")
     codes = F.transform(F.col("embedding").cast("array<double>"), lambda x: F.floor((x + 1) * 8).cast("int"))
-    n_rows = F.floor(F.size("embedding") / CODE_CHANNELS).cast("int")
+    n_rows = F.greatest(F.floor(F.size("embedding") / CODE_CHANNELS).cast("int") - F.col("label"), F.lit(0))
     rows = F.transform(
         F.sequence(F.lit(0), F.greatest(n_rows - 1, F.lit(0))),
         lambda t: F.slice(codes, t * CODE_CHANNELS + 1, F.lit(CODE_CHANNELS)),
@@ -143,12 +145,22 @@ def embeddings_as_audio_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return emb.select(F.col("vec_id").alias("clip_id"), "label", F.when(n_rows > 0, rows).otherwise(F.array()).alias("audio_tokens"))
 
 
+def epoch_micros(df: DataFrame, col: str) -> Column:
+    """Microseconds since 1970-01-01 of a timestamp column, without the session time zone:
+    a zone-less timestamp (TIMESTAMP_NTZ) is read as UTC wall time, an instant as itself."""
+    if isinstance(df.schema[col].dataType, T.TimestampNTZType):
+        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{col}`)")
+    return F.unix_micros(F.col(col))
+
+
 def events_as_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``event_id, ts, epoch, loss``: epoch = UTC day number of ``ts`` (independent of session time zone)."""
+    """``event_id, ts_us, epoch, loss``: ts_us = microseconds since 1970 (UTC wall time),
+    epoch = day number of ts. Independent of the session time zone."""
     ev = table(spark, sf_dir, "events")
+    us = epoch_micros(ev, "ts")
     return ev.select(
         "event_id",
-        "ts",
-        F.floor(F.unix_micros("ts") / F.lit(86_400_000_000)).cast("int").alias("epoch"),
+        us.alias("ts_us"),
+        F.floor(us / F.lit(86_400_000_000)).cast("int").alias("epoch"),
         F.col("value").alias("loss"),
     )
