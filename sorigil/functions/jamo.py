@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,10 +78,17 @@ def _translate_table() -> dict[int, str]:
     return _TABLE
 
 
-@F.pandas_udf(T.StringType())
-def hangul_to_jamo_arrow(s: pd.Series) -> pd.Series:
-    """T1 as an Arrow-batched function; the 11,172-entry table is built once per worker."""
-    return s.str.translate(_translate_table())
+@F.arrow_udf(T.StringType())
+def hangul_to_jamo_arrow(s: pa.Array) -> pa.Array:
+    """T1 as an Arrow function: ``str.translate`` with the 11,172-entry table built once per worker."""
+    table = _translate_table()
+    return pa.array([None if t is None else t.translate(table) for t in s.to_pylist()], pa.string())
+
+
+def jamo(col, native: bool = False) -> Column:
+    """T1 for whole texts: the Arrow form by default (about 3x faster than the
+    per-character array expression on long texts), the native form on request."""
+    return hangul_to_jamo(col) if native else hangul_to_jamo_arrow(_col(col))
 
 
 def utf8_bytes(col) -> Column:
@@ -100,7 +108,22 @@ def utf8_bytes(col) -> Column:
     return F.when(c.isNull(), F.lit(None).cast("array<int>")).when(F.length(c) == 0, F.array().cast("array<int>")).otherwise(codes)
 
 
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def utf8_bytes_arrow(s: pd.Series) -> pd.Series:
-    """T2 as an Arrow-batched function (NumPy view of the encoded bytes)."""
-    return s.map(lambda t: None if t is None else np.frombuffer(t.encode("utf-8"), dtype=np.uint8).astype(np.int32))
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def utf8_bytes_arrow(s: pa.Array) -> pa.Array:
+    """T2 as an Arrow function: the string column's own UTF-8 buffer becomes the list values
+    and its offsets the list offsets (no per-row Python)."""
+    if isinstance(s, pa.ChunkedArray):
+        s = s.combine_chunks()
+    b = s.cast(pa.binary())
+    n = len(b)
+    offsets = np.frombuffer(b.buffers()[1], dtype=np.int32)[b.offset : b.offset + n + 1]
+    data = b.buffers()[2]
+    flat = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, dtype=np.uint8)
+    values = flat[offsets[0] : offsets[-1]].astype(np.int32) if n else np.zeros(0, dtype=np.int32)
+    rel = (offsets - offsets[0]).astype(np.int32) if n else np.zeros(1, dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(rel), pa.array(values), mask=b.is_null())
+
+
+def utf8_tokens(col, native: bool = False) -> Column:
+    """T2 for whole texts: Arrow by default, native on request."""
+    return utf8_bytes(col) if native else utf8_bytes_arrow(_col(col))

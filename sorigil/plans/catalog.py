@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sorigil.operators import vocab
+from sorigil.session import spread
 from sorigil.sources import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,12 +30,12 @@ def register(name: str):
 @register("jamo_words")
 def jamo_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents -> Hangul -> jamo -> distinct ▁-words with frequencies."""
-    docs = fx.table(spark, sf_dir, "documents").select("text")
+    docs = spread(fx.table(spark, sf_dir, "documents")).select("text")
     return vocab.word_counts(docs, "text", to_jamo=True, transform_word=fx.hangulize)
 
 
 # ---- data sets, order and batching (P1-P4, U1, W1-W3, L1) -----------------
-from sorigil.functions.jamo import hangul_to_jamo  # noqa: E402
+from sorigil.functions.jamo import jamo  # noqa: E402
 from sorigil.operators import listing, order  # noqa: E402
 
 BATCH_SIZE = 8
@@ -55,7 +56,7 @@ def _with_audio_positions(spark, sf_dir):
 def jamo_metadata(spark, sf_dir):
     """``filename|text|jamo`` for every transcript (T1 on whole texts)."""
     t = _transcripts(spark, sf_dir)
-    return t.select("filename", "text", hangul_to_jamo("text").alias("jamo"))
+    return t.select("filename", "text", jamo("text").alias("jamo"))
 
 
 @register("source_concat")
@@ -102,13 +103,13 @@ def source_counts_q(spark, sf_dir):
 def progress_q(spark, sf_dir):
     """W4 + P6: per encoding batch, rows done, total and running count of valid encodings."""
     t = _with_audio_positions(spark, sf_dir)
-    valid = F.coalesce(F.length(hangul_to_jamo("text")) > 0, F.lit(False))
+    valid = F.coalesce(F.length(jamo("text")) > 0, F.lit(False))
     return listing.progress(t.select("pos", valid.alias("valid")), BATCH_SIZE)
 
 
 # ---- encoding and batches (T2, P7, L3, L4, A2, R1-R6) -----------------------
 from sorigil.functions import arrays, audio  # noqa: E402
-from sorigil.functions.jamo import utf8_bytes  # noqa: E402
+from sorigil.functions.jamo import utf8_tokens  # noqa: E402
 from sorigil.functions.text import tag_speaker  # noqa: E402
 from sorigil.operators import batching, metrics  # noqa: E402
 
@@ -122,7 +123,7 @@ LOSS_BATCH = 4
 def _encoded(spark, sf_dir):
     """E3 encode stage: jamo text of the kept rows as UTF-8 byte tokens."""
     t = _with_audio_positions(spark, sf_dir)
-    return t.select("doc_id", "pos", utf8_bytes(hangul_to_jamo("text")).alias("text_tokens"))
+    return t.select("doc_id", "pos", utf8_tokens(jamo("text")).alias("text_tokens"))
 
 
 @register("encode_bytes")
@@ -141,7 +142,7 @@ def encode_bytes_q(spark, sf_dir):
 def speaker_tag_q(spark, sf_dir):
     """T1 then P7 on conversation turns (jamo first, then the default speaker tag)."""
     c = fx.conversations_tagged(spark, sf_dir)
-    return c.select("conv_id", "turn", tag_speaker(hangul_to_jamo("text")).alias("text"))
+    return c.select("conv_id", "turn", tag_speaker(jamo("text")).alias("text"))
 
 
 @register("shuffle_epoch")

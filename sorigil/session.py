@@ -63,3 +63,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name) if "://" not in base else base.rstrip("/") + "/" + name
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy per-row work at least one task per core.
+
+    When a scan yields fewer partitions than the session's parallelism (a few
+    large row groups), rows are dealt round-robin over that many partitions.
+    At cluster scale the scan already has far more partitions than cores and
+    this is a no-op."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from sorigil.functions.jamo import SYLLABLE_FIRST
 from sorigil.functions.text import resolve_path
+from sorigil.session import spread
 
 # Fixed values of the derivation rule (FIXTURES.md).
 HANGUL_MULTIPLIER = 2741
@@ -64,7 +65,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def documents_as_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, source, source_ord, filename, text, data_dir, full_path`` with Hangul text (no ranks yet)."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     out = docs.select(
         "doc_id",
         "source",
@@ -91,7 +92,7 @@ def labels_as_listing(spark: SparkSession, sf_dir: str, root: str = DATA_ROOT) -
 
 def conversations_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation turns in Hangul; odd turns carry ``[S2] ``, turns divisible by 4 ``[S1] ``."""
-    conv = table(spark, sf_dir, "conversations")
+    conv = spread(table(spark, sf_dir, "conversations"))
     h = hangulize("text")
     tagged = (
         F.when(F.col("turn") % 2 == 1, F.concat(F.lit("[S2] "), h))
