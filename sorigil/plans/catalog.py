@@ -271,3 +271,30 @@ def clip_duration_q(spark, sf_dir):
     c = fx.embeddings_as_clips(spark, sf_dir)
     d = c.select("label", audio.duration("audio.array", F.col("audio.sampling_rate")).alias("sec"))
     return d.groupBy("label").agg(F.count(F.lit(1)).alias("n_clips"), F.round(F.sum("sec"), 6).alias("total_sec"))
+
+
+# ---- spectral features (R11-R15, A3) --------------------------------------------
+from sorigil.operators import spectral  # noqa: E402
+
+FEAT_N_FFT = 16
+FEAT_HOP = 4
+FEAT_N_MELS = 4
+
+
+def _features_long(df):
+    out = df.select("clip_id", "frame_idx", F.posexplode("features").alias("bin", "v"))
+    return out.select("clip_id", F.col("frame_idx").alias("frame"), "bin", F.round("v", 6).alias("v"))
+
+
+@register("spectrum_db")
+def spectrum_db_q(spark, sf_dir):
+    """Windowed power spectrum per frame in dB (ref = clip max), z-scored per clip."""
+    c = fx.embeddings_as_clips(spark, sf_dir)
+    return _features_long(spectral.log_features(c, FEAT_N_FFT, FEAT_HOP, None))
+
+
+@register("mel_features")
+def mel_features_q(spark, sf_dir):
+    """The same with the mel projection (Slaney filters per clip rate)."""
+    c = fx.embeddings_as_clips(spark, sf_dir)
+    return _features_long(spectral.log_features(c, FEAT_N_FFT, FEAT_HOP, FEAT_N_MELS))

@@ -242,3 +242,42 @@ SELECT clip_id, list_transform(range(32), lambda i: (x[i + 1] + x[i + 33]) / 2)
 ORACLE["clip_duration"] = f"""
 SELECT label, count(*) AS n_clips, round(sum(len(x) / rate::DOUBLE), 6) AS total_sec FROM ({CLIPS}) c GROUP BY label
 """
+
+# ---- spectral features ----------------------------------------------------------
+FEAT_N_FFT, FEAT_HOP, FEAT_N_MELS = 16, 4, 4
+
+
+def _spectrum_sql(with_mel: bool) -> str:
+    n, hop, half = FEAT_N_FFT, FEAT_HOP, FEAT_N_FFT // 2
+    win = f"(0.5 - 0.5 * cos(2 * pi() * k / {n}))"
+    re = f"list_sum(list_transform(range({n}), lambda k: fx[k + 1] * {win} * cos(2 * pi() * j * k / {n})))"
+    im = f"list_sum(list_transform(range({n}), lambda k: fx[k + 1] * {win} * sin(2 * pi() * j * k / {n})))"
+    zeros = f"list_transform(range({half}), lambda i: 0.0::DOUBLE)"
+    power = f"""SELECT clip_id, rate, f AS frame, j AS bin, pow({re}, 2) + pow({im}, 2) AS p
+FROM (SELECT clip_id, rate, f, xp[f * {hop} + 1 : f * {hop} + {n}] AS fx, unnest(range({half} + 1)) AS j
+      FROM (SELECT clip_id, rate, xp, unnest(range(1 + (len(xp) - {n}) // {hop})) AS f
+            FROM (SELECT clip_id, rate, list_concat({zeros}, x, {zeros}) AS xp FROM ({CLIPS}) c) c1) c2) c3"""
+    if with_mel:
+        from sorigil.operators.spectral import mel_filters
+
+        rows = []
+        for sr in (16, 32):
+            w = mel_filters(float(sr), n, FEAT_N_MELS)
+            for m in range(w.shape[0]):
+                for b in range(w.shape[1]):
+                    rows.append(f"({sr}, {m}, {b}, {float(w[m, b])!r}::DOUBLE)")
+        fb = "(VALUES " + ", ".join(rows) + ") AS fb(rate, mel, bin, w)"
+        power = f"""SELECT s.clip_id, s.frame, fb.mel AS bin, sum(s.p * fb.w) AS p
+FROM ({power}) s JOIN {fb} ON s.rate = fb.rate AND s.bin = fb.bin GROUP BY 1, 2, 3"""
+    return f"""
+WITH sp AS ({power}),
+r AS (SELECT clip_id, max(p) AS ref FROM sp GROUP BY 1),
+db AS (SELECT sp.clip_id, frame, bin, greatest(10 * log10(greatest(1e-10, p)) - 10 * log10(greatest(1e-10, ref)), -80.0) AS d
+       FROM sp JOIN r USING (clip_id)),
+st AS (SELECT clip_id, avg(d) AS mu, stddev_pop(d) AS sd FROM db GROUP BY 1)
+SELECT clip_id, frame::INTEGER AS frame, bin::INTEGER AS bin, round((d - mu) / (sd + 1e-5), 6) AS v FROM db JOIN st USING (clip_id)
+"""
+
+
+ORACLE["spectrum_db"] = _spectrum_sql(False)
+ORACLE["mel_features"] = _spectrum_sql(True)
