@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sorigil.functions.bind import let
 from sorigil.functions.jamo import hangul_to_jamo
 from sorigil.functions.text import WORD_START, mark_word, words
 from sorigil.session import cut_lineage
@@ -77,16 +78,46 @@ def substrings(word: Column, max_len: int = MAX_PIECE_LEN) -> Column:
     """All substrings of length <= max_len that may be pieces: ``▁`` only at position 1.
 
     ``ARRAY<STRUCT<b INT, e INT, piece STRING>>`` with 0-based begin and
-    exclusive end."""
-    n = F.length(word)
-    starts = F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))
+    exclusive end. The word and its length are bound once, and each start's
+    window of ``max_len`` characters is cut once; pieces are prefixes of it."""
 
-    def from_start(b):
-        lens = F.sequence(F.lit(1), F.greatest(F.least(n - b, F.lit(max_len)), F.lit(1)))
-        return F.transform(lens, lambda k: F.struct(b.alias("b"), (b + k).alias("e"), F.substring(word, b + 1, k).alias("piece")))
+    def per_word(s):
+        w, n = s["w"], s["n"]
 
-    subs = F.flatten(F.transform(starts, from_start))
-    return F.filter(subs, lambda s: (s["b"] == 0) | (F.instr(s["piece"], WORD_START) == 0))
+        def from_start(b):
+            def per_window(t):
+                win = t["win"]
+                lens = F.sequence(F.lit(1), F.greatest(F.length(win), F.lit(1)))
+                return F.transform(lens, lambda k: F.struct(b.alias("b"), (b + k).alias("e"), F.substring(win, 1, k).alias("piece")))
+
+            return let(per_window, win=F.substring(w, b + 1, max_len))
+
+        subs = F.flatten(F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), from_start))
+        return F.when(n > 0, F.filter(subs, lambda x: (x["b"] == 0) | (F.instr(x["piece"], WORD_START) == 0)))
+
+    return let(per_word, w=word, n=F.length(word))
+
+
+def substring_counts(wc: DataFrame, max_len: int = MAX_PIECE_LEN) -> DataFrame:
+    """Frequency-weighted counts of every candidate substring: ``piece, n``.
+
+    Two aggregations instead of one over every substring: first the windows
+    of ``max_len`` characters starting at each position are counted (weighted
+    by word frequency, with a flag for the word-initial window), then the
+    prefixes of each distinct window are counted. Windows repeat across words,
+    so the second explosion runs over far fewer rows. Plain ``explode`` of
+    ``sequence`` and ``substring`` keep both steps inside whole-stage codegen;
+    both aggregations combine map-side before shuffling."""
+    starts = wc.select("word", "n", F.explode(F.sequence(F.lit(0), F.greatest(F.length("word") - 1, F.lit(0)))).alias("b"))
+    wins = starts.where(F.length("word") > 0).select(
+        F.substring("word", F.col("b") + 1, max_len).alias("win"), (F.col("b") == 0).alias("first"), "n"
+    )
+    wcount = wins.groupBy("win", "first").agg(F.sum("n").alias("n"))
+    prefixes = wcount.select("first", "n", "win", F.explode(F.sequence(F.lit(1), F.length("win"))).alias("k")).select(
+        F.expr("substring(win, 1, k)").alias("piece"), "first", "n"
+    )
+    kept = prefixes.where(F.col("first") | (F.instr("piece", WORD_START) == 0))
+    return kept.groupBy("piece").agg(F.sum("n").alias("n"))
 
 
 def seed_pieces(wc: DataFrame, max_len: int = MAX_PIECE_LEN, min_freq: int = 2) -> DataFrame:
@@ -95,10 +126,8 @@ def seed_pieces(wc: DataFrame, max_len: int = MAX_PIECE_LEN, min_freq: int = 2)
     ``piece, n, len``. Substrings of each distinct word (len <= max_len, ``▁``
     only as the first character) are counted with the word's frequency;
     pieces seen fewer than ``min_freq`` times are dropped except single
-    characters, which are always candidates. The aggregation is partial
-    (map-side) on ``piece``."""
-    subs = wc.select(F.explode(substrings(F.col("word"), max_len)).alias("s"), "n").select(F.col("s.piece").alias("piece"), "n")
-    agg = subs.groupBy("piece").agg(F.sum("n").alias("n"))
+    characters, which are always candidates."""
+    agg = substring_counts(wc, max_len)
     return agg.where((F.col("n") >= min_freq) | (F.length("piece") == 1)).withColumn("len", F.length("piece").cast("int"))
 
 

@@ -298,3 +298,86 @@ def mel_features_q(spark, sf_dir):
     """The same with the mel projection (Slaney filters per clip rate)."""
     c = fx.embeddings_as_clips(spark, sf_dir)
     return _features_long(spectral.log_features(c, FEAT_N_FFT, FEAT_HOP, FEAT_N_MELS))
+
+
+# ---- vocabulary and encoding (A4, A6, L2, J3, J4, T3-T5, A9, A7, A8) -----------
+from sorigil.operators import encode  # noqa: E402
+
+VOCAB_SIZE = 8000
+SEED_TOP = 8000
+
+
+def _doc_words(spark, sf_dir):
+    docs = spread(fx.table(spark, sf_dir, "documents")).select("text")
+    return vocab.word_counts(docs, "text", to_jamo=True, transform_word=fx.hangulize)
+
+
+def _seed_vocab(spark, sf_dir):
+    """A vocabulary derived from the corpus seeds (log relative frequency scores)."""
+    seeds = vocab.top_pieces(vocab.seed_pieces(_doc_words(spark, sf_dir)), SEED_TOP)
+    return vocab.rank_vocab(vocab.initial_scores(seeds), VOCAB_SIZE)
+
+
+@register("char_coverage")
+def char_coverage_q(spark, sf_dir):
+    """A4: jamo characters by frequency with running share (coverage 1.0 keeps all)."""
+    c = vocab.char_coverage(_doc_words(spark, sf_dir), 1.0)
+    return c.select("char", "n", "rank", F.round("share", 6).alias("share"), "kept")
+
+
+@register("seed_pieces")
+def seed_pieces_q(spark, sf_dir):
+    """The seed-size top of frequency-weighted substrings (by count x length) plus every character."""
+    s = vocab.top_pieces(vocab.seed_pieces(_doc_words(spark, sf_dir)), SEED_TOP)
+    return s.select("piece", "n", "len")
+
+
+@register("rank_vocab")
+def rank_vocab_q(spark, sf_dir):
+    """L2: ids 0-3 reserved, then pieces by score descending (ties by piece)."""
+    return _seed_vocab(spark, sf_dir)
+
+
+@register("segment_words")
+def segment_words_q(spark, sf_dir):
+    """T3 + T5: best split of every distinct corpus word under the seed vocabulary."""
+    seg = encode.segment_words(_doc_words(spark, sf_dir), _seed_vocab(spark, sf_dir))
+    return seg.select("word", F.array_join("pieces", " ").alias("pieces"), arrays.join_ints("ids").alias("ids"), F.round("score", 6).alias("score"))
+
+
+def _benchmark_jamo(spark, sf_dir):
+    b = fx.table(spark, sf_dir, "benchmark")
+    return b.select("item_id", jamo(fx.hangulize("text")).alias("jamo"))
+
+
+def _encoded_benchmark(spark, sf_dir):
+    bj = _benchmark_jamo(spark, sf_dir)
+    v = _seed_vocab(spark, sf_dir)
+    seg = encode.segment_words(encode.text_words(bj, "item_id").select("word").distinct(), v)
+    return encode.encode_texts(bj, "item_id", seg), v
+
+
+@register("encode_texts")
+def encode_texts_q(spark, sf_dir):
+    """T3-T5 on whole held-out texts: pieces and ids per item."""
+    e, _ = _encoded_benchmark(spark, sf_dir)
+    return e.select("item_id", F.size("ids").alias("n_tokens"), F.array_join("pieces", " ").alias("pieces"), arrays.join_ints("ids").alias("ids"))
+
+
+@register("decode_ids")
+def decode_ids_q(spark, sf_dir):
+    """Ids decoded back to text; equals the whitespace-normalised jamo text with
+    characters outside the vocabulary shown as <unk>."""
+    e, v = _encoded_benchmark(spark, sf_dir)
+    return encode.decode_ids(e, "item_id", v)
+
+
+@register("token_stats")
+def token_stats_q(spark, sf_dir):
+    """Tokens per transcript and unknown rate per data set."""
+    t = _transcripts(spark, sf_dir).select("doc_id", "source", jamo("text").alias("jamo"))
+    v = _seed_vocab(spark, sf_dir)
+    seg = encode.segment_words(_doc_words(spark, sf_dir), v)
+    enc = encode.encode_texts(t, "doc_id", seg).join(t.select("doc_id", "source"), "doc_id")
+    s = encode.token_stats(enc, "source")
+    return s.select("source", "n_texts", F.round("avg_tokens", 6).alias("avg_tokens"), "max_tokens", "median_tokens", F.round("unk_rate", 6).alias("unk_rate"))

@@ -281,3 +281,51 @@ SELECT clip_id, frame::INTEGER AS frame, bin::INTEGER AS bin, round((d - mu) / (
 
 ORACLE["spectrum_db"] = _spectrum_sql(False)
 ORACLE["mel_features"] = _spectrum_sql(True)
+
+# ---- vocabulary -----------------------------------------------------------------
+VOCAB_SIZE = 8000
+SEED_TOP = 8000
+JAMO_WORDS = f"""SELECT '▁' || {jamo_sql(hangulize_sql('w'))} AS word, count(*) AS n
+FROM (SELECT unnest({words_sql('text')}) AS w FROM documents) x GROUP BY 1"""
+
+SEEDS = f"""
+jw AS ({JAMO_WORDS}),
+st AS (SELECT word, n, unnest(range(length(word))) AS b FROM jw),
+sk AS (SELECT word, n, b, unnest(range(1, least(16, length(word) - b) + 1)) AS k FROM st),
+agg AS (SELECT substr(word, b + 1, k) AS piece, sum(n)::BIGINT AS n FROM sk
+        WHERE b = 0 OR strpos(substr(word, b + 1, k), '▁') = 0 GROUP BY 1),
+seeds AS (SELECT piece, n, length(piece)::INTEGER AS len FROM agg WHERE n >= 2 OR length(piece) = 1),
+top AS ((SELECT * FROM seeds WHERE len > 1 ORDER BY n * len DESC, piece LIMIT {SEED_TOP})
+        UNION ALL (SELECT * FROM seeds WHERE len = 1))"""
+
+VOCAB = f"""
+{SEEDS},
+tot AS (SELECT sum(n) AS t FROM top),
+sc AS (SELECT piece, round(ln(n) - ln(t), 6) AS score FROM top, tot),
+ranked AS (SELECT (row_number() OVER (ORDER BY score DESC, piece) + 3)::INTEGER AS id, piece, score
+           FROM sc ORDER BY score DESC, piece LIMIT {VOCAB_SIZE - 4}),
+vocab AS (SELECT * FROM ranked UNION ALL
+          SELECT * FROM (VALUES (0, '<pad>', 0.0::DOUBLE), (1, '<unk>', 0.0::DOUBLE), (2, '<s>', 0.0::DOUBLE), (3, '</s>', 0.0::DOUBLE)) v(id, piece, score))"""
+
+ORACLE["char_coverage"] = f"""
+WITH jw AS ({JAMO_WORDS}),
+c AS (SELECT ch AS char, sum(n)::BIGINT AS n FROM (SELECT unnest(string_split(word, '')) AS ch, n FROM jw) q GROUP BY 1)
+SELECT char, n, (row_number() OVER (ORDER BY n DESC, char))::INTEGER AS rank,
+  round(sum(n) OVER (ORDER BY n DESC, char ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / sum(n) OVER (), 6) AS share,
+  true AS kept
+FROM c
+"""
+
+ORACLE["seed_pieces"] = f"WITH {SEEDS} SELECT piece, n, len FROM top"
+
+ORACLE["rank_vocab"] = f"WITH {VOCAB} SELECT id, piece, score FROM vocab"
+
+ORACLE["decode_ids"] = f"""
+WITH {VOCAB},
+known AS (SELECT list(piece) AS k FROM vocab WHERE id >= 4 AND length(piece) = 1),
+bw AS (SELECT item_id, {words_sql(jamo_sql(hangulize_sql('text')))} AS ws FROM benchmark)
+SELECT item_id, ltrim(replace(array_to_string(list_transform(ws, lambda x: array_to_string(
+    list_transform(string_split('▁' || x, ''), lambda c: CASE WHEN list_contains(k, c) THEN c ELSE '<unk>' END), '')), ''),
+  '▁', ' ')) AS text
+FROM bw, known
+"""
