@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sorigil.functions.text import WORD_START, mark_word, words
+from sorigil.session import task_count
 from sorigil.operators.vocab import MAX_PIECE_LEN, UNK_ID, UNKNOWN_PENALTY, substrings
 
 SEGMENT_SCHEMA = T.StructType(
@@ -93,7 +94,8 @@ def segment_words(words_df: DataFrame, vocab: DataFrame, max_len: int = MAX_PIEC
     d = vocab_dict(vocab)
     unk = (min(s for _, s in d.values()) if d else 0.0) - UNKNOWN_PENALTY
     bc = spark.sparkContext.broadcast(d)
-    return words_df.select("word").mapInPandas(_segment_fn(bc, max_len, unk), SEGMENT_SCHEMA)
+    spread_words = words_df.select("word").repartition(task_count(spark))
+    return spread_words.mapInPandas(_segment_fn(bc, max_len, unk), SEGMENT_SCHEMA)
 
 
 def lattice_edges(words_df: DataFrame, vocab: DataFrame, max_len: int = MAX_PIECE_LEN) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from sorigil.functions.bind import let
 from sorigil.functions.jamo import hangul_to_jamo
 from sorigil.functions.text import WORD_START, mark_word, words
-from sorigil.session import cut_lineage
+from sorigil.session import cut_lineage, task_count
 
 # Reserved ids and pieces of the vocabulary file.
 RESERVED = (("<pad>", 0), ("<unk>", 1), ("<s>", 2), ("</s>", 3))
@@ -237,18 +237,17 @@ def _em_partitions(scores_bc, max_len: int, unk_score: float):
     return run
 
 
-def em_step(wc: DataFrame, scores: dict, max_len: int = MAX_PIECE_LEN) -> tuple[DataFrame, DataFrame]:
-    """One EM round. Returns (expected counts ``piece, n``, log-likelihood row).
+def em_step(wc: DataFrame, scores: dict, max_len: int = MAX_PIECE_LEN) -> DataFrame:
+    """A7 (E step): expected piece counts ``piece, n``; the row with a null piece holds the
+    corpus log-likelihood. One pass over the words, one aggregation on ``piece``.
 
     The score dictionary is broadcast once per round; its size is bounded by
     the current vocabulary (at most the seed cap)."""
     spark = wc.sparkSession
     unk = min(scores.values()) - UNKNOWN_PENALTY if scores else -UNKNOWN_PENALTY
     bc = spark.sparkContext.broadcast(scores)
-    parts = wc.mapInPandas(_em_partitions(bc, max_len, unk), "piece string, n double")
-    counts = parts.where(F.col("piece").isNotNull()).groupBy("piece").agg(F.sum("n").alias("n"))
-    ll = parts.where(F.col("piece").isNull()).agg(F.sum("n").alias("loglik"))
-    return counts, ll
+    parts = wc.select("word", "n").mapInPandas(_em_partitions(bc, max_len, unk), "piece string, n double")
+    return parts.groupBy("piece").agg(F.sum("n").alias("n"))
 
 
 def m_step(counts: pd.DataFrame, keep_chars: set, min_count: float = 1e-3) -> dict:
@@ -311,21 +310,22 @@ def train_vocab(
     counts on ``piece`` and brings the count table (bounded by the
     vocabulary) to the driver for the M step and pruning."""
     spark = wc.sparkSession
-    words_df = cut_lineage(wc.repartition("word"))
+    words_df = cut_lineage(wc.repartition(task_count(spark), "word"))
     seeds = top_pieces(seed_pieces(words_df, max_len, min_freq), seed_size)
     chars = {r["piece"] for r in seeds.where(F.col("len") == 1).select("piece").collect()}
     scores = {r["piece"]: r["score"] for r in initial_scores(seeds).collect()}
     target = vocab_size - len(RESERVED)
-    history = []
+    history: list[float] = []
     for _ in range(max_prune_rounds):
         counts_pd = None
         for _ in range(em_rounds):
-            counts, ll = em_step(words_df, scores, max_len)
-            counts_pd = counts.toPandas()
-            history.append(float(ll.collect()[0]["loglik"] or 0.0))
+            res = em_step(words_df, scores, max_len).toPandas()
+            history.append(float(res.loc[res["piece"].isna(), "n"].sum()))
+            counts_pd = res[res["piece"].notna()]
             scores = m_step(counts_pd, chars)
         if len(scores) <= target:
             break
         scores = prune(scores, dict(zip(counts_pd["piece"], counts_pd["n"])), chars, target, shrink, max_len)
+    train_vocab.history = history
     table = spark.createDataFrame(list(scores.items()), "piece string, score double")
     return rank_vocab(table, vocab_size)

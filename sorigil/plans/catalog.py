@@ -381,3 +381,14 @@ def token_stats_q(spark, sf_dir):
     enc = encode.encode_texts(t, "doc_id", seg).join(t.select("doc_id", "source"), "doc_id")
     s = encode.token_stats(enc, "source")
     return s.select("source", "n_texts", F.round("avg_tokens", 6).alias("avg_tokens"), "max_tokens", "median_tokens", F.round("unk_rate", 6).alias("unk_rate"))
+
+
+TRAIN_VOCAB_SIZE = 1000
+TRAIN_SEED_SIZE = 4000
+
+
+@register("train_vocab")
+def train_vocab_q(spark, sf_dir):
+    """A4-A8 + L2: unigram vocabulary trained by EM with pruning on the corpus words
+    (iterative; checked by invariants and row count, no SQL twin)."""
+    return vocab.train_vocab(_doc_words(spark, sf_dir), TRAIN_VOCAB_SIZE, TRAIN_SEED_SIZE, em_rounds=1, shrink=0.5)

@@ -74,3 +74,11 @@ def spread(df: DataFrame) -> DataFrame:
     this is a no-op."""
     par = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+
+
+def task_count(spark: SparkSession) -> int:
+    """Partitions for a Python-heavy stage: at least one per core and at least the
+    configured shuffle partitions (an explicit count, which AQE does not coalesce)."""
+    par = spark.sparkContext.defaultParallelism
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", str(par)))
+    return max(par, shuffle)

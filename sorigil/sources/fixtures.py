@@ -104,7 +104,7 @@ def conversations_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def embeddings_as_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``clip_id, label, audio STRUCT<array ARRAY<DOUBLE>, sampling_rate INT>``."""
-    emb = table(spark, sf_dir, "embeddings")
+    emb = spread(table(spark, sf_dir, "embeddings"))
     rate = F.when(F.col("vec_id") % 2 == 0, F.lit(CLIP_RATE_EVEN)).otherwise(F.lit(CLIP_RATE_ODD))
     return emb.select(
         F.col("vec_id").alias("clip_id"),
