@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sorigil.functions.text import WORD_START, mark_word, words
+from sorigil.functions.text import WHITESPACE_RE, WORD_START, mark_word
 from sorigil.session import task_count
 from sorigil.operators.vocab import MAX_PIECE_LEN, UNK_ID, UNKNOWN_PENALTY, substrings
 
@@ -109,7 +109,8 @@ def lattice_edges(words_df: DataFrame, vocab: DataFrame, max_len: int = MAX_PIEC
 
 def text_words(texts: DataFrame, key: str, text_col: str = "jamo") -> DataFrame:
     """``key, wpos, word``: the ▁-marked words of each text with their positions."""
-    return texts.select(key, F.posexplode(words(text_col)).alias("wpos", "w")).select(key, "wpos", mark_word("w").alias("word"))
+    ex = texts.select(key, F.posexplode(F.split(text_col, WHITESPACE_RE)).alias("wpos", "w")).where(F.length("w") > 0)
+    return ex.select(key, "wpos", mark_word("w").alias("word"))
 
 
 def encode_texts(texts: DataFrame, key: str, segmented: DataFrame, text_col: str = "jamo") -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from sorigil.functions.bind import let
 from sorigil.functions.jamo import hangul_to_jamo
-from sorigil.functions.text import WORD_START, mark_word, words
+from sorigil.functions.text import WHITESPACE_RE, WORD_START, mark_word
 from sorigil.session import cut_lineage, task_count
 
 # Reserved ids and pieces of the vocabulary file.
@@ -40,7 +40,9 @@ def word_counts(df: DataFrame, text_col="text", to_jamo: bool = True, transform_
     then per-character conversions (``transform_word`` such as Hangul
     derivation, and the jamo decomposition) run once per distinct word, and
     counts are re-aggregated in case two words map to one."""
-    raw = df.select(F.explode(words(text_col)).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    # explode then filter (no lambda): keeps the split inside codegen and the plan reusable
+    split = df.select(F.explode(F.split(_col(text_col), WHITESPACE_RE)).alias("w")).where(F.length("w") > 0)
+    raw = split.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
     w = F.col("w")
     if transform_word is not None:
         w = transform_word(w)

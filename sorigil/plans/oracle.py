@@ -194,7 +194,7 @@ CLIPS = """SELECT vec_id AS clip_id, label, list_transform(embedding, lambda v:
 
 
 def long_form(src: str) -> str:
-    return f"""SELECT clip_id, i::INTEGER AS i, round(y[i + 1], 6) AS v
+    return f"""SELECT clip_id, i::INTEGER AS i, round(y[i + 1], 6) + 0.0 AS v
 FROM (SELECT clip_id, y, unnest(range(len(y))) AS i FROM ({src}) q) u"""
 
 
@@ -275,7 +275,7 @@ r AS (SELECT clip_id, max(p) AS ref FROM sp GROUP BY 1),
 db AS (SELECT sp.clip_id, frame, bin, greatest(10 * log10(greatest(1e-10, p)) - 10 * log10(greatest(1e-10, ref)), -80.0) AS d
        FROM sp JOIN r USING (clip_id)),
 st AS (SELECT clip_id, avg(d) AS mu, stddev_pop(d) AS sd FROM db GROUP BY 1)
-SELECT clip_id, frame::INTEGER AS frame, bin::INTEGER AS bin, round((d - mu) / (sd + 1e-5), 6) AS v FROM db JOIN st USING (clip_id)
+SELECT clip_id, frame::INTEGER AS frame, bin::INTEGER AS bin, round((d - mu) / (sd + 1e-5), 6) + 0.0 AS v FROM db JOIN st USING (clip_id)
 """
 
 
