@@ -140,11 +140,35 @@ def decode_ids(encoded: DataFrame, key: str, vocab: DataFrame, ids_col: str = "i
     return out.unionByName(empty.select(key, F.lit("").alias("text")))
 
 
-def token_stats(encoded: DataFrame, group_col: str, ids_col: str = "ids") -> DataFrame:
-    """Per group the number of texts, tokens per text (mean, max, median) and the unknown rate."""
-    e = encoded.select(
-        group_col, F.size(ids_col).alias("n"), F.size(F.filter(ids_col, lambda i: i == UNK_ID)).alias("u")
+def text_token_counts(texts: DataFrame, key: str, segmented: DataFrame, text_col: str = "jamo") -> DataFrame:
+    """``key, n, u``: tokens and unknown tokens per text, without assembling the token arrays.
+
+    A text's counts are sums over its words, so the segmented words are reduced
+    to ``word, n, u`` first; the text words join them on the word (one shuffle
+    of narrow rows, AQE splits a hot word) and are summed per text with
+    map-side partial aggregation."""
+    per_word = segmented.select(
+        "word", F.size("ids").alias("n"), F.size(F.filter("ids", lambda i: i == UNK_ID)).alias("u")
     )
+    return (
+        text_words(texts, key, text_col)
+        .join(per_word, "word")
+        .groupBy(key)
+        .agg(F.sum("n").cast("int").alias("n"), F.sum("u").cast("int").alias("u"))
+    )
+
+
+def token_stats(encoded: DataFrame, group_col: str, ids_col: str | None = "ids") -> DataFrame:
+    """Per group the number of texts, tokens per text (mean, max, median) and the unknown rate.
+
+    ``encoded`` holds either an ``ids`` array per text or, with ``ids_col=None``,
+    the counts ``n`` and ``u`` of ``text_token_counts``."""
+    if ids_col is None:
+        e = encoded.select(group_col, "n", "u")
+    else:
+        e = encoded.select(
+            group_col, F.size(ids_col).alias("n"), F.size(F.filter(ids_col, lambda i: i == UNK_ID)).alias("u")
+        )
     return e.groupBy(group_col).agg(
         F.count(F.lit(1)).alias("n_texts"),
         F.avg("n").alias("avg_tokens"),

@@ -56,12 +56,12 @@ def progress(encoded: DataFrame, batch_size: int = 8, valid_col: str = "valid",
     per_batch = encoded.groupBy(batch_of(pos, b).alias("batch_id")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum(F.col(valid_col).cast("long")).alias("n_valid")
     )
-    total = encoded.agg(F.count(F.lit(1)).alias("total"))
+    total = per_batch.agg(F.sum("n_rows")).scalar()  # scalar subquery over the per-batch table
     out = running_total(per_batch, "batch_id", "n_valid", "valid_so_far")
-    return out.crossJoin(F.broadcast(total)).select(
+    return out.select(
         "batch_id",
-        F.least((F.col("batch_id") + 1) * b, F.col("total")).alias("batch_end"),
-        "total",
+        F.least((F.col("batch_id") + 1) * b, total).alias("batch_end"),
+        total.alias("total"),
         "n_valid",
         F.col("valid_so_far").cast("long").alias("valid_so_far"),
     )

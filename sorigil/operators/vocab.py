@@ -143,9 +143,12 @@ def top_pieces(seeds: DataFrame, k: int) -> DataFrame:
 
 
 def initial_scores(pieces: DataFrame) -> DataFrame:
-    """Log relative frequency as the starting score: ``piece, score``."""
-    tot = pieces.agg(F.sum("n").alias("t"))
-    return pieces.crossJoin(F.broadcast(tot)).select("piece", (F.log("n") - F.log("t")).alias("score"))
+    """Log relative frequency as the starting score: ``piece, score``.
+
+    The total is an uncorrelated scalar subquery (one partial aggregate,
+    evaluated once and inlined as a value), not a join."""
+    tot = pieces.agg(F.sum("n")).scalar()
+    return pieces.select("piece", (F.log("n") - F.log(tot)).alias("score"))
 
 
 def rank_vocab(scores: DataFrame, vocab_size: int) -> DataFrame:

@@ -389,9 +389,10 @@ def token_stats_q(spark, sf_dir):
     t = _transcripts(spark, sf_dir).select("doc_id", "source", jamo("text").alias("jamo"))
     w = _words_once(spark, sf_dir)
     v = _seed_vocab(spark, sf_dir, w)
-    seg = encode.segment_words(w, v)
-    enc = encode.encode_texts(t, "doc_id", seg).join(t.select("doc_id", "source"), "doc_id")
-    s = encode.token_stats(enc, "source")
+    counts = encode.text_token_counts(t, "doc_id", encode.segment_words(w, v))
+    # texts without words count zero tokens
+    per_text = t.select("doc_id", "source").join(counts, "doc_id", "left").na.fill(0, ["n", "u"])
+    s = encode.token_stats(per_text, "source", ids_col=None)
     return s.select("source", "n_texts", F.round("avg_tokens", 6).alias("avg_tokens"), "max_tokens", "median_tokens", F.round("unk_rate", 6).alias("unk_rate"))
 
 

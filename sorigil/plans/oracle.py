@@ -329,3 +329,75 @@ SELECT item_id, ltrim(replace(array_to_string(list_transform(ws, lambda x: array
   '▁', ' ')) AS text
 FROM bw, known
 """
+
+
+def segment_sql(words: str) -> str:
+    """CTEs after ``VOCAB`` ending in ``seg(word, pieces, ids, score)``: best split of every
+    distinct word of the CTE ``words`` (column ``word``).
+
+    Viterbi as a recursive query, one step per character: the edges ending at
+    position e (vocabulary pieces, or an unknown edge where no one-character
+    piece exists) are gathered per (word, e); a step extends every word's
+    best-score list by the best edge, ties to the smallest begin. A second
+    recursion walks the back pointers."""
+    return f"""
+pv AS MATERIALIZED (SELECT piece, id, score FROM vocab WHERE id >= 4),
+unk AS (SELECT min(score) - 10.0 AS u FROM pv),
+wb AS (SELECT word, unnest(range(length(word))) AS b FROM {words}),
+wk AS (SELECT word, b, unnest(range(1, least(16, length(word) - b) + 1)) AS k FROM wb),
+hit AS (SELECT wk.word, wk.b + wk.k AS e, wk.b, pv.id, pv.score FROM wk JOIN pv ON pv.piece = substr(wk.word, wk.b + 1, wk.k)),
+miss AS (SELECT wb.word, wb.b + 1 AS e, wb.b, 1 AS id, unk.u AS score FROM wb, unk
+         WHERE substr(wb.word, wb.b + 1, 1) NOT IN (SELECT piece FROM pv)),
+edges AS MATERIALIZED (SELECT word, e, list({{'b': b, 'id': id, 's': score}}) AS ed
+         FROM (SELECT * FROM hit UNION ALL SELECT * FROM miss) x GROUP BY word, e),
+dp AS MATERIALIZED (SELECT * FROM (WITH RECURSIVE r(word, e, best, back, bid) USING KEY (word) AS (
+    SELECT word, 0, [0.0::DOUBLE], []::INTEGER[], []::INTEGER[] FROM {words}
+    UNION
+    SELECT r.word, r.e + 1, list_append(r.best, c.top.v), list_append(r.back, c.top.b::INTEGER),
+      list_append(r.bid, c.top.id::INTEGER)
+    FROM r JOIN edges g ON g.word = r.word AND g.e = r.e + 1,
+    LATERAL (SELECT list_sort(list_transform(g.ed, lambda x: {{'v': r.best[x.b + 1] + x.s, 'nb': -x.b, 'b': x.b, 'id': x.id}}),
+             'DESC')[1] AS top) c
+  ) SELECT * FROM r)),
+bt AS (SELECT * FROM (WITH RECURSIVE t(word, pos, pieces, ids) USING KEY (word) AS (
+    SELECT word, e, []::VARCHAR[], []::INTEGER[] FROM dp
+    UNION
+    SELECT t.word, d.back[t.pos], list_prepend(substr(t.word, d.back[t.pos] + 1, t.pos - d.back[t.pos]), t.pieces),
+      list_prepend(d.bid[t.pos], t.ids)
+    FROM t JOIN dp d USING (word) WHERE t.pos > 0
+  ) SELECT * FROM t)),
+seg AS (SELECT word, pieces, ids, d.best[d.e + 1] AS score FROM bt JOIN dp d USING (word))"""
+
+
+ORACLE["segment_words"] = f"""
+WITH {VOCAB},{segment_sql('jw')}
+SELECT word, array_to_string(pieces, ' ') AS pieces, array_to_string(ids, ',') AS ids, round(score, 6) AS score FROM seg
+"""
+
+# texts as positioned words: (key, wpos, word)
+BENCH_WORDS = f"""SELECT item_id, unnest(ws) AS w, unnest(range(len(ws))) AS wpos
+  FROM (SELECT item_id, {words_sql(jamo_sql(hangulize_sql('text')))} AS ws FROM benchmark) b"""
+
+ORACLE["encode_texts"] = f"""
+WITH {VOCAB},
+bw AS (SELECT item_id, wpos, '▁' || w AS word FROM ({BENCH_WORDS}) q),
+bwd AS (SELECT DISTINCT word FROM bw),{segment_sql('bwd')},
+enc AS (SELECT item_id, flatten(list(s.pieces ORDER BY wpos)) AS pieces, flatten(list(s.ids ORDER BY wpos)) AS ids
+        FROM bw JOIN seg s USING (word) GROUP BY item_id)
+SELECT b.item_id, coalesce(len(e.ids), 0)::INTEGER AS n_tokens, coalesce(array_to_string(e.pieces, ' '), '') AS pieces,
+  coalesce(array_to_string(e.ids, ','), '') AS ids
+FROM benchmark b LEFT JOIN enc e USING (item_id)
+"""
+
+DOC_WORDS = f"""SELECT doc_id, '▁' || unnest({words_sql(jamo_sql(hangulize_sql('text')))}) AS word FROM documents"""
+
+ORACLE["token_stats"] = f"""
+WITH {VOCAB},{segment_sql('jw')},
+per_text AS (SELECT d.doc_id, d.source, coalesce(sum(len(s.ids)), 0) AS n,
+               coalesce(sum(len(list_filter(s.ids, lambda i: i = 1))), 0) AS u
+             FROM documents d LEFT JOIN ({DOC_WORDS}) w USING (doc_id) LEFT JOIN seg s USING (word)
+             GROUP BY d.doc_id, d.source)
+SELECT source, count(*) AS n_texts, round(avg(n), 6) AS avg_tokens, max(n)::INTEGER AS max_tokens,
+  list_sort(list(n))[ceil(count(*) / 2)::BIGINT]::INTEGER AS median_tokens, round(sum(u) / sum(n), 6) AS unk_rate
+FROM per_text GROUP BY source
+"""
