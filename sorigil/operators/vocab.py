@@ -297,6 +297,52 @@ def prune(scores: dict, counts: dict, keep_chars: set, target: int, shrink: floa
     return {p: scores[p] for p in kept}
 
 
+def m_step_df(counts: DataFrame, min_count: float = 1e-3) -> DataFrame:
+    """A7 (M step) on Spark: ``piece, score, n`` with score = log(n / total) over the
+    pieces kept (expected count at least ``min_count``, or a single character).
+    The total is a scalar subquery; the count table is bounded by the current vocabulary."""
+    kept = counts.where(F.col("piece").isNotNull() & ((F.col("n") >= min_count) | (F.length("piece") == 1)))
+    total = kept.agg(F.sum("n")).scalar()
+    return kept.select("piece", F.log(F.greatest(F.col("n"), F.lit(1e-12)) / total).alias("score"), "n")
+
+
+def _prune_loss_fn(scores_bc, max_len: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scores = scores_bc.value
+        for pdf in batches:
+            alt = np.array([_best_split_without(p, scores, max_len) for p in pdf["piece"].tolist()], dtype="float64")
+            n = pdf["n"].to_numpy(dtype="float64")
+            s = pdf["score"].to_numpy(dtype="float64")
+            with np.errstate(invalid="ignore"):
+                loss = np.where(np.isneginf(alt), np.inf, n * (s - alt))
+            yield pd.DataFrame({"piece": pdf["piece"], "score": s, "loss": loss})
+
+    return run
+
+
+def prune_df(scored: DataFrame, scores: dict, target: int, shrink: float = 0.75, max_len: int = MAX_PIECE_LEN) -> DataFrame:
+    """A8 on Spark: ``piece, score`` after dropping the pieces whose removal costs least
+    likelihood; single characters are always kept.
+
+    The loss of each piece (expected count x (score - best split into other
+    pieces)) is computed in Arrow batches over the piece table with the score
+    dictionary broadcast (bounded by the current vocabulary); the pieces to
+    keep are a top-k by loss (ties by piece)."""
+    spark = scored.sparkSession
+    n_singles = sum(1 for p in scores if len(p) == 1)
+    room = max(max(target, int(len(scores) * shrink)) - n_singles, 0)
+    bc = spark.sparkContext.broadcast(scores)
+    multi = scored.where(F.length("piece") > 1).select("piece", "score", "n").repartition(task_count(spark))
+    losses = multi.mapInPandas(_prune_loss_fn(bc, max_len), "piece string, score double, loss double")
+    kept = losses.orderBy(F.col("loss").desc(), F.col("piece")).limit(room).select("piece", "score")
+    return kept.unionByName(scored.where(F.length("piece") == 1).select("piece", "score"))
+
+
+def _score_dict(scores: DataFrame) -> dict:
+    """The score table as a dictionary for the next broadcast (bounded by the seed size)."""
+    return {r["piece"]: r["score"] for r in scores.select("piece", "score").collect()}
+
+
 def train_vocab(
     wc: DataFrame,
     vocab_size: int = 8000,
@@ -310,27 +356,31 @@ def train_vocab(
     """A4-A8 + L2: unigram vocabulary trained by EM with pruning.
 
     The distinct-word table is hash-partitioned and checkpointed once into the
-    shared checkpoint folder; every round broadcasts the score table (bounded
-    by ``seed_size``), runs the E step in Arrow batches, aggregates expected
-    counts on ``piece`` and brings the count table (bounded by the
-    vocabulary) to the driver for the M step and pruning."""
+    shared checkpoint folder. Every round broadcasts the score table (bounded
+    by ``seed_size``), runs the E step over the words in Arrow batches,
+    aggregates expected counts on ``piece``, normalises them (M step) and
+    computes pruning losses over the pieces, all as Spark jobs; each round's
+    expected-count table is checkpointed so lineage does not grow with the
+    rounds and the E step runs once per round. Only the
+    bounded score dictionary passes through the driver, to be broadcast."""
     spark = wc.sparkSession
     words_df = cut_lineage(wc.repartition(task_count(spark), "word"))
     seeds = top_pieces(seed_pieces(words_df, max_len, min_freq), seed_size)
-    chars = {r["piece"] for r in seeds.where(F.col("len") == 1).select("piece").collect()}
-    scores = {r["piece"]: r["score"] for r in initial_scores(seeds).collect()}
+    scores = _score_dict(initial_scores(seeds))
     target = vocab_size - len(RESERVED)
     history: list[float] = []
     for _ in range(max_prune_rounds):
-        counts_pd = None
+        scored = None
         for _ in range(em_rounds):
-            res = em_step(words_df, scores, max_len).toPandas()
-            history.append(float(res.loc[res["piece"].isna(), "n"].sum()))
-            counts_pd = res[res["piece"].notna()]
-            scores = m_step(counts_pd, chars)
+            counts = cut_lineage(em_step(words_df, scores, max_len))
+            scored = m_step_df(counts)  # a projection of the checkpointed counts
+            # one job brings back the new scores and the log-likelihood row (null piece)
+            likelihood = counts.where(F.col("piece").isNull()).select("piece", F.col("n").alias("score"))
+            scores = _score_dict(scored.select("piece", "score").unionByName(likelihood))
+            history.append(float(scores.pop(None)))
         if len(scores) <= target:
             break
-        scores = prune(scores, dict(zip(counts_pd["piece"], counts_pd["n"])), chars, target, shrink, max_len)
+        scores = _score_dict(prune_df(scored, scores, target, shrink, max_len))
     train_vocab.history = history
     table = spark.createDataFrame(list(scores.items()), "piece string, score double")
     return rank_vocab(table, vocab_size)

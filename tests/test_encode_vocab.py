@@ -106,3 +106,21 @@ def test_encode_decode_round_trip(spark):
         assert "".join(r["pieces"]) == r["word"]
     stats = encode.token_stats(enc.withColumn("g", F.lit("all")), "g").collect()[0]
     assert stats["n_texts"] == texts.count() and stats["unk_rate"] == 0.0
+
+
+def test_spark_m_step_and_prune_match_python(spark):
+    import pandas as pd
+
+    counts = {"▁": 5.0, "ㄱ": 3.0, "ㅏ": 0.0, "ㄱㅏ": 4.0, "▁ㄱ": 2.5, "ㅏㄴ": 1e-4, "▁ㄱㅏ": 1.5, "ㄴ": 0.7}
+    rows = list(counts.items()) + [(None, -42.0)]
+    cdf = spark.createDataFrame(rows, "piece string, n double")
+    chars = {p for p in counts if len(p) == 1}
+    py = vocab.m_step(pd.DataFrame(list(counts.items()), columns=["piece", "n"]), chars)
+    scored = vocab.m_step_df(cdf)
+    sp = {r["piece"]: r["score"] for r in scored.collect()}
+    assert sp.keys() == py.keys()
+    assert all(math.isclose(sp[p], py[p], rel_tol=1e-12) for p in py)
+    for target, shrink in [(4, 0.5), (6, 0.9), (100, 0.75)]:
+        want = vocab.prune(py, counts, chars, target, shrink)
+        got = {r["piece"]: r["score"] for r in vocab.prune_df(scored, py, target, shrink).collect()}
+        assert got.keys() == want.keys()
