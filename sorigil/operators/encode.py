@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from sorigil.functions.text import WHITESPACE_RE, WORD_START, mark_word
 from sorigil.session import task_count
-from sorigil.operators.vocab import MAX_PIECE_LEN, UNK_ID, UNKNOWN_PENALTY, substrings
+from sorigil.operators.vocab import MAX_PIECE_LEN, UNK_ID, UNKNOWN_PENALTY, prefixes, substrings
 
 SEGMENT_SCHEMA = T.StructType(
     [
@@ -31,30 +31,37 @@ SEGMENT_SCHEMA = T.StructType(
 )
 
 
-def viterbi(word: str, vocab: dict, max_len: int, unk_score: float):
+def viterbi(word: str, vocab: dict, max_len: int, unk_score: float, pref: frozenset | None = None):
     """Best split of one word: (pieces, ids, score). ``vocab`` maps piece -> (id, score).
 
-    Edges are relaxed in (end, begin) order and replace the best only when
-    strictly better, so ties keep the edge with the smallest begin. A position
-    no single-character piece covers gets an unknown edge (id 1)."""
+    Edges are relaxed forward from each start position b in increasing order
+    (every edge into b starts before b, so ``best[b]`` is final), and replace
+    the best at their end only when strictly better: for each end, ties keep
+    the edge with the smallest begin. A start whose single character is no
+    piece gets an unknown edge (id 1). With ``pref`` (the prefixes of all
+    pieces) the scan from b stops at the first substring no piece begins with."""
     n = len(word)
     best = [-math.inf] * (n + 1)
     back: list = [None] * (n + 1)
     best[0] = 0.0
-    for e in range(1, n + 1):
-        for b in range(max(0, e - max_len), e):
-            if best[b] == -math.inf:
-                continue
-            hit = vocab.get(word[b:e])
+    for b in range(n):
+        base = best[b]
+        single = False
+        for e in range(b + 1, min(n, b + max_len) + 1):
+            p = word[b:e]
+            if pref is not None and p not in pref:
+                break
+            hit = vocab.get(p)
             if hit is None:
-                if e == b + 1 and word[b] not in vocab:
-                    cand = best[b] + unk_score
-                    if cand > best[e]:
-                        best[e], back[e] = cand, (b, UNK_ID, word[b:e])
                 continue
-            cand = best[b] + hit[1]
+            single = single or e == b + 1
+            cand = base + hit[1]
             if cand > best[e]:
-                best[e], back[e] = cand, (b, hit[0], word[b:e])
+                best[e], back[e] = cand, (b, hit[0], p)
+        if not single:
+            cand = base + unk_score
+            if cand > best[b + 1]:
+                best[b + 1], back[b + 1] = cand, (b, UNK_ID, word[b])
     pieces, ids = [], []
     e = n
     while e > 0:
@@ -68,8 +75,9 @@ def viterbi(word: str, vocab: dict, max_len: int, unk_score: float):
 def _segment_fn(vocab_bc, max_len: int, unk_score: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocab = vocab_bc.value
+        pref = prefixes(vocab)
         for pdf in batches:
-            out = [viterbi(w, vocab, max_len, unk_score) for w in pdf["word"].tolist()]
+            out = [viterbi(w, vocab, max_len, unk_score, pref) for w in pdf["word"].tolist()]
             yield pd.DataFrame(
                 {
                     "word": pdf["word"],

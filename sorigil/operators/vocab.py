@@ -115,10 +115,10 @@ def substring_counts(wc: DataFrame, max_len: int = MAX_PIECE_LEN) -> DataFrame:
         F.substring("word", F.col("b") + 1, max_len).alias("win"), (F.col("b") == 0).alias("first"), "n"
     )
     wcount = wins.groupBy("win", "first").agg(F.sum("n").alias("n"))
-    prefixes = wcount.select("first", "n", "win", F.explode(F.sequence(F.lit(1), F.length("win"))).alias("k")).select(
+    pre = wcount.select("first", "n", "win", F.explode(F.sequence(F.lit(1), F.length("win"))).alias("k")).select(
         F.expr("substring(win, 1, k)").alias("piece"), "first", "n"
     )
-    kept = prefixes.where(F.col("first") | (F.instr("piece", WORD_START) == 0))
+    kept = pre.where(F.col("first") | (F.instr("piece", WORD_START) == 0))
     return kept.groupBy("piece").agg(F.sum("n").alias("n"))
 
 
@@ -175,13 +175,22 @@ def rank_vocab(scores: DataFrame, vocab_size: int) -> DataFrame:
 UNKNOWN_PENALTY = 10.0
 
 
-def _lattice(word: str, scores: dict, max_len: int):
+def prefixes(pieces) -> frozenset:
+    """Every non-empty prefix of every piece. A substring that is not one starts
+    no piece, so a scan of the lattice from a start position stops there."""
+    return frozenset(p[:k] for p in pieces for k in range(1, len(p) + 1))
+
+
+def _lattice(word: str, scores: dict, max_len: int, pref: frozenset | None = None):
     n = len(word)
     edges = []
     for b in range(n):
         found = False
         for e in range(b + 1, min(n, b + max_len) + 1):
-            s = scores.get(word[b:e])
+            sub = word[b:e]
+            if pref is not None and sub not in pref:
+                break
+            s = scores.get(sub)
             if s is not None:
                 edges.append((b, e, s, word[b:e]))
                 found = found or e == b + 1
@@ -199,10 +208,10 @@ def _logsumexp(a: float, b: float) -> float:
     return m + math.log(math.exp(a - m) + math.exp(b - m))
 
 
-def expected_counts(word: str, freq: float, scores: dict, max_len: int, unk_score: float):
+def expected_counts(word: str, freq: float, scores: dict, max_len: int, unk_score: float, pref: frozenset | None = None):
     """Forward-backward over one word: (log-likelihood, {piece: expected count})."""
     n = len(word)
-    edges = _lattice(word, scores, max_len)
+    edges = _lattice(word, scores, max_len, pref)
     alpha = [-math.inf] * (n + 1)
     alpha[0] = 0.0
     edges.sort(key=lambda x: (x[1], x[0]))
@@ -228,11 +237,12 @@ def expected_counts(word: str, freq: float, scores: dict, max_len: int, unk_scor
 def _em_partitions(scores_bc, max_len: int, unk_score: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scores = scores_bc.value
+        pref = prefixes(scores)
         acc: dict = {}
         ll = 0.0
         for pdf in batches:
             for w, n in zip(pdf["word"].tolist(), pdf["n"].tolist()):
-                lw, ec = expected_counts(w, float(n), scores, max_len, unk_score)
+                lw, ec = expected_counts(w, float(n), scores, max_len, unk_score, pref)
                 ll += lw
                 for p, c in ec.items():
                     acc[p] = acc.get(p, 0.0) + c

@@ -124,3 +124,20 @@ def test_spark_m_step_and_prune_match_python(spark):
         want = vocab.prune(py, counts, chars, target, shrink)
         got = {r["piece"]: r["score"] for r in vocab.prune_df(scored, py, target, shrink).collect()}
         assert got.keys() == want.keys()
+
+
+def test_prefix_cut_changes_nothing():
+    import random
+
+    rnd = random.Random(7)
+    alphabet = "▁ㄱㅏㄴㅎ"
+    for _ in range(300):
+        pieces = {"".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 4))) for _ in range(12)}
+        scores = {p: -float(rnd.randint(1, 8)) for p in pieces}  # integer scores: many exact ties
+        ids = {p: (i + 4, s) for i, (p, s) in enumerate(sorted(scores.items()))}
+        pref = vocab.prefixes(scores)
+        w = "".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 12)))
+        assert encode.viterbi(w, ids, 16, -20.0, pref) == encode.viterbi(w, ids, 16, -20.0)
+        ll1, c1 = vocab.expected_counts(w, 1.0, scores, 16, -20.0, pref)
+        ll2, c2 = vocab.expected_counts(w, 1.0, scores, 16, -20.0)
+        assert math.isclose(ll1, ll2, rel_tol=1e-12, abs_tol=1e-12) and c1.keys() == c2.keys()
