@@ -199,33 +199,34 @@ def _lattice(word: str, scores: dict, max_len: int, pref: frozenset | None = Non
     return edges
 
 
-def _logsumexp(a: float, b: float) -> float:
-    if a == -math.inf:
-        return b
-    if b == -math.inf:
-        return a
-    m = max(a, b)
-    return m + math.log(math.exp(a - m) + math.exp(b - m))
+def _lse(vals: list) -> float:
+    m = max(vals)
+    return m + math.log(sum(math.exp(v - m) for v in vals))
 
 
 def expected_counts(word: str, freq: float, scores: dict, max_len: int, unk_score: float, pref: frozenset | None = None):
-    """Forward-backward over one word: (log-likelihood, {piece: expected count})."""
+    """Forward-backward over one word: (log-likelihood, {piece: expected count}).
+
+    Every position has an edge of length one (a piece or the unknown edge), so
+    each end and each start has at least one edge; alpha and beta are one
+    log-sum-exp per position over the edges ending (starting) there."""
     n = len(word)
     edges = _lattice(word, scores, max_len, pref)
-    alpha = [-math.inf] * (n + 1)
-    alpha[0] = 0.0
-    edges.sort(key=lambda x: (x[1], x[0]))
-    for b, e, s, _ in edges:
-        sc = unk_score if s is None else s
-        alpha[e] = _logsumexp(alpha[e], alpha[b] + sc)
-    beta = [-math.inf] * (n + 1)
-    beta[n] = 0.0
-    for b, e, s, _ in sorted(edges, key=lambda x: (-x[0], -x[1])):
-        sc = unk_score if s is None else s
-        beta[b] = _logsumexp(beta[b], beta[e] + sc)
+    sc = [unk_score if s is None else s for _, _, s, _ in edges]
+    into: list = [[] for _ in range(n + 1)]
+    out_of: list = [[] for _ in range(n + 1)]
+    for i, (b, e, _, _) in enumerate(edges):
+        into[e].append(i)
+        out_of[b].append(i)
+    alpha = [0.0] * (n + 1)
+    for e in range(1, n + 1):
+        alpha[e] = _lse([alpha[edges[i][0]] + sc[i] for i in into[e]])
+    beta = [0.0] * (n + 1)
+    for b in range(n - 1, -1, -1):
+        beta[b] = _lse([beta[edges[i][1]] + sc[i] for i in out_of[b]])
     z = alpha[n]
     out: dict = {}
-    for b, e, s, p in edges:
+    for i, (b, e, s, p) in enumerate(edges):
         if s is None:
             continue
         post = math.exp(alpha[b] + s + beta[e] - z)
