@@ -66,17 +66,28 @@ def global_pos(df: DataFrame, key: str, source_ord: str = "source_ord", width: i
 def concat_positions(df: DataFrame, key: str, source_col: str = "source", source_ord: str = "source_ord", width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
     """W1 + W2 together: ``row_idx`` inside the data set and global ``pos``.
 
-    ``pos = row_idx + offset(source)``; the per-source offsets come from a
-    table with one row per data set, bounded by the number of declared data sets."""
-    indexed = source_index(df, key, source_col, width)
-    sizes = indexed.groupBy(source_ord).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy(source_ord).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(source_ord, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_src_off"))
-    return (
-        indexed.join(F.broadcast(offsets), source_ord)
-        .withColumn("pos", (F.col("row_idx") + F.col("_src_off")).cast("bigint"))
-        .drop("_src_off")
+    Two passes over ``df``: one aggregate of bucket sizes per data set
+    (``key div width``), and one join plus a ``row_number`` inside each bucket.
+    Both offsets come from the bucket-size table: the rows of earlier buckets of
+    the same data set, and the rows of earlier data sets in ``(source_ord,
+    source)`` order (a table with one row per data set, broadcast)."""
+    with_b = df.withColumn("_b", F.floor(F.col(key) / width))
+    # rows with a null key never meet their offsets in the inner join; dropping them
+    # up front gives both uses of the size table one plan, so its exchange is reused
+    with_b = with_b.where(F.col(source_ord).isNotNull() & F.col(source_col).isNotNull() & F.col("_b").isNotNull())
+    sizes = with_b.groupBy(source_ord, source_col, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    in_source = Window.partitionBy(source_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    per_source = sizes.groupBy(source_ord, source_col).agg(F.sum("_n").alias("_t"))
+    earlier = Window.orderBy(source_ord, source_col).rowsBetween(Window.unboundedPreceding, -1)
+    source_off = per_source.select(source_ord, source_col, F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias("_src_off"))
+    offsets = sizes.select(source_ord, source_col, "_b", F.coalesce(F.sum("_n").over(in_source), F.lit(0)).alias("_off")).join(
+        F.broadcast(source_off), [source_ord, source_col]
+    )
+    inside = Window.partitionBy(source_col, "_b").orderBy(key)
+    out = with_b.join(offsets, [source_ord, source_col, "_b"]).withColumn(
+        "row_idx", (F.row_number().over(inside) - 1 + F.col("_off")).cast("bigint")
     )
+    return out.withColumn("pos", (F.col("row_idx") + F.col("_src_off")).cast("bigint")).drop("_b", "_off", "_src_off")
 
 
 def batch_id(pos="pos", batch_size: int = 8) -> Column:
