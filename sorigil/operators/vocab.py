@@ -101,7 +101,7 @@ def substrings(word: Column, max_len: int = MAX_PIECE_LEN) -> Column:
 
 
 def substring_counts(wc: DataFrame, max_len: int = MAX_PIECE_LEN) -> DataFrame:
-    """Frequency-weighted counts of every candidate substring: ``piece, n``.
+    """Frequency-weighted counts of every candidate substring: ``piece, n, len``.
 
     Two aggregations instead of one over every substring: first the windows
     of ``max_len`` characters starting at each position are counted (weighted
@@ -116,10 +116,12 @@ def substring_counts(wc: DataFrame, max_len: int = MAX_PIECE_LEN) -> DataFrame:
     )
     wcount = wins.groupBy("win", "first").agg(F.sum("n").alias("n"))
     pre = wcount.select("first", "n", "win", F.explode(F.sequence(F.lit(1), F.length("win"))).alias("k")).select(
-        F.expr("substring(win, 1, k)").alias("piece"), "first", "n"
+        F.expr("substring(win, 1, k)").alias("piece"), "first", "n", "k"
     )
     kept = pre.where(F.col("first") | (F.instr("piece", WORD_START) == 0))
-    return kept.groupBy("piece").agg(F.sum("n").alias("n"))
+    # the length leaves the aggregation as an aggregate value: filters on it stay above
+    # the aggregation, so consumers that split by length share one exchange
+    return kept.groupBy("piece").agg(F.sum("n").alias("n"), F.max("k").cast("int").alias("len"))
 
 
 def seed_pieces(wc: DataFrame, max_len: int = MAX_PIECE_LEN, min_freq: int = 2) -> DataFrame:
@@ -130,7 +132,7 @@ def seed_pieces(wc: DataFrame, max_len: int = MAX_PIECE_LEN, min_freq: int = 2)
     pieces seen fewer than ``min_freq`` times are dropped except single
     characters, which are always candidates."""
     agg = substring_counts(wc, max_len)
-    return agg.where((F.col("n") >= min_freq) | (F.length("piece") == 1)).withColumn("len", F.length("piece").cast("int"))
+    return agg.where((F.col("n") >= min_freq) | (F.col("len") == 1)).select("piece", "n", "len")
 
 
 def top_pieces(seeds: DataFrame, k: int) -> DataFrame:
