@@ -90,29 +90,112 @@ def _segment_fn(vocab_bc, max_len: int, unk_score: float):
     return run
 
 
-def vocab_dict(vocab: DataFrame) -> dict:
-    """Piece -> (id, score) for the ordinary pieces (ids >= 4). Bounded by the vocabulary size."""
-    rows = vocab.where(F.col("id") >= 4).select("piece", "id", "score").collect()
+# Largest vocabulary (ordinary pieces) shipped to every task as a dictionary; a
+# larger one is segmented by the all-native plan, which shuffles instead.
+BROADCAST_VOCAB_LIMIT = 1_000_000
+
+
+def vocab_dict(vocab: DataFrame, limit: int | None = None) -> dict | None:
+    """Piece -> (id, score) for the ordinary pieces (ids >= 4), or None when there are
+    more than ``limit`` of them (checked by fetching at most ``limit + 1`` rows)."""
+    sel = vocab.where(F.col("id") >= 4).select("piece", "id", "score")
+    rows = (sel if limit is None else sel.limit(limit + 1)).collect()
+    if limit is not None and len(rows) > limit:
+        return None
     return {r["piece"]: (int(r["id"]), float(r["score"])) for r in rows}
 
 
-def segment_words(words_df: DataFrame, vocab: DataFrame, max_len: int = MAX_PIECE_LEN) -> DataFrame:
-    """T3 + T5: ``word, pieces, ids, score`` for every distinct word (Arrow batches)."""
+def segment_words(
+    words_df: DataFrame, vocab: DataFrame, max_len: int = MAX_PIECE_LEN, broadcast_limit: int = BROADCAST_VOCAB_LIMIT
+) -> DataFrame:
+    """T3 + T5: ``word, pieces, ids, score`` for every distinct word.
+
+    A vocabulary of at most ``broadcast_limit`` pieces is broadcast and the words
+    are segmented in Arrow batches; a larger one goes to ``segment_words_native``."""
     spark = words_df.sparkSession
-    d = vocab_dict(vocab)
+    d = vocab_dict(vocab, broadcast_limit)
+    if d is None:
+        return segment_words_native(words_df, vocab, max_len)
     unk = (min(s for _, s in d.values()) if d else 0.0) - UNKNOWN_PENALTY
     bc = spark.sparkContext.broadcast(d)
     spread_words = words_df.select("word").repartition(task_count(spark))
     return spread_words.mapInPandas(_segment_fn(bc, max_len, unk), SEGMENT_SCHEMA)
 
 
+_DP_TYPE = "struct<best:array<double>,back:array<int>,bid:array<int>>"
+_PATH_TYPE = "struct<pos:int,pieces:array<string>,ids:array<int>>"
+
+
+def segment_words_native(words_df: DataFrame, vocab: DataFrame, max_len: int = MAX_PIECE_LEN) -> DataFrame:
+    """T3 + T5 without Python and without broadcasting the vocabulary (the same result
+    as the Arrow Viterbi).
+
+    Every substring of up to ``max_len`` characters of each distinct word is
+    joined to the vocabulary on the piece (a shuffle join); one-character
+    substrings with no piece become unknown edges. A word's edges, sorted by
+    (end, begin), are folded with ``aggregate`` into best scores and back
+    pointers (strictly better replaces, so ties keep the smallest begin), and
+    a second fold walks the back pointers. A group is one word's edges."""
+    ordinary = vocab.where(F.col("id") >= 4).select("piece", "id", "score")
+    unk = ordinary.agg(F.min("score")).scalar() - F.lit(UNKNOWN_PENALTY)
+    n = F.length("word")
+    starts = words_df.select("word").where(n > 0).select("word", F.explode(F.sequence(F.lit(0), n - 1)).alias("b"))
+    subs = starts.select("word", "b", F.explode(F.sequence(F.lit(1), F.least(F.lit(max_len), n - F.col("b")))).alias("k")).select(
+        "word", "b", (F.col("b") + F.col("k")).cast("int").alias("e"), F.expr("substring(word, b + 1, k)").alias("piece")
+    )
+    hits = subs.join(ordinary, "piece")
+    unknown = subs.where(F.col("e") == F.col("b") + 1).join(ordinary.select("piece"), "piece", "left_anti")
+    edges = hits.select("word", "b", "e", "piece", "id", "score").unionByName(
+        unknown.select("word", "b", "e", "piece", F.lit(UNK_ID).alias("id"), unk.alias("score"))
+    )
+    grouped = edges.groupBy("word").agg(F.sort_array(F.collect_list(F.struct("e", "b", "score", "id", "piece"))).alias("ed"))
+
+    def relax(acc, x):
+        cand = F.get(acc["best"], x["b"]) + x["score"]
+        at_e = lambda new: lambda v, i: F.when(i == x["e"], new).otherwise(v)
+        updated = F.struct(
+            F.transform(acc["best"], at_e(cand)).alias("best"),
+            F.transform(acc["back"], at_e(x["b"].cast("int"))).alias("back"),
+            F.transform(acc["bid"], at_e(x["id"].cast("int"))).alias("bid"),
+        )
+        return F.when(cand > F.get(acc["best"], x["e"]), updated).otherwise(acc).cast(_DP_TYPE)
+
+    size = F.length("word")
+    zero = F.struct(
+        F.concat(F.array(F.lit(0.0)), F.array_repeat(F.lit(float("-inf")), size)).alias("best"),
+        F.array_repeat(F.lit(-1), size + 1).alias("back"),
+        F.array_repeat(F.lit(0), size + 1).alias("bid"),
+    ).cast(_DP_TYPE)
+    dp = grouped.select("word", F.aggregate("ed", zero, relax).alias("dp"))
+
+    def walk(acc, _):
+        pos = acc["pos"]
+        b = F.get(F.col("dp.back"), pos)
+        step = F.struct(
+            b.alias("pos"),
+            F.concat(F.array(F.col("word").substr(b + 1, pos - b)), acc["pieces"]).alias("pieces"),
+            F.concat(F.array(F.get(F.col("dp.bid"), pos)), acc["ids"]).alias("ids"),
+        )
+        return F.when(pos > 0, step).otherwise(acc).cast(_PATH_TYPE)
+
+    start = F.struct(
+        F.length("word").cast("int").alias("pos"), F.array().cast("array<string>").alias("pieces"), F.array().cast("array<int>").alias("ids")
+    ).cast(_PATH_TYPE)
+    path = dp.select("word", "dp", F.aggregate(F.sequence(F.lit(1), F.length("word")), start, walk).alias("path"))
+    return path.select(
+        "word", F.col("path.pieces").alias("pieces"), F.col("path.ids").alias("ids"), F.get(F.col("dp.best"), F.length("word")).alias("score")
+    )
+
+
 def lattice_edges(words_df: DataFrame, vocab: DataFrame, max_len: int = MAX_PIECE_LEN) -> DataFrame:
     """Every substring of each distinct word that is a vocabulary piece:
     ``word, b, e, piece, id, score`` (the native lattice, used as a cross-check)."""
     subs = words_df.select("word", F.explode(substrings(F.col("word"), max_len)).alias("s")).select(
         "word", F.col("s.b").alias("b"), F.col("s.e").alias("e"), F.col("s.piece").alias("piece")
     )
-    return subs.join(F.broadcast(vocab.where(F.col("id") >= 4).select("piece", "id", "score")), "piece")
+    # no broadcast hint: the vocabulary is an input of any size; Spark broadcasts it
+    # only when its (runtime) size is under the broadcast threshold
+    return subs.join(vocab.where(F.col("id") >= 4).select("piece", "id", "score"), "piece")
 
 
 def text_words(texts: DataFrame, key: str, text_col: str = "jamo") -> DataFrame:
@@ -140,7 +223,7 @@ def encode_texts(texts: DataFrame, key: str, segmented: DataFrame, text_col: str
 def decode_ids(encoded: DataFrame, key: str, vocab: DataFrame, ids_col: str = "ids") -> DataFrame:
     """Ids back to text: pieces in order, concatenated, ``▁`` → space, leading space dropped."""
     ex = encoded.select(key, F.posexplode(ids_col).alias("i", "id"))
-    named = ex.join(F.broadcast(vocab.select("id", "piece")), "id", "left")
+    named = ex.join(vocab.select("id", "piece"), "id", "left")  # broadcast by Spark's size check
     g = named.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("i", "piece"))).alias("_p"))
     text = F.ltrim(F.translate(F.array_join(F.transform("_p", lambda s: s["piece"]), ""), WORD_START, " "))
     out = g.select(key, text.alias("text"))

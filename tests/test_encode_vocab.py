@@ -141,3 +141,21 @@ def test_prefix_cut_changes_nothing():
         ll1, c1 = vocab.expected_counts(w, 1.0, scores, 16, -20.0, pref)
         ll2, c2 = vocab.expected_counts(w, 1.0, scores, 16, -20.0)
         assert math.isclose(ll1, ll2, rel_tol=1e-12, abs_tol=1e-12) and c1.keys() == c2.keys()
+
+
+def test_native_segmentation_equals_arrow(spark):
+    """Beyond the broadcast bound the vocabulary is joined, not shipped: same splits."""
+    import random
+
+    rnd = random.Random(11)
+    alphabet = "▁ㄱㅏㄴㅎ"
+    voc = [(i + 4, p, s) for i, (p, s) in enumerate(sorted(VOC.items()))] + [(99, "ㅎㅏ", -2.5)]  # ties with ㄱㅏ
+    v = spark.createDataFrame([(0, "<pad>", 0.0), (1, "<unk>", 0.0)] + voc, "id int, piece string, score double")
+    words = {"▁ㄱㅏㄱㅏ", "ㄱㅎㅏ", "▁ㅋ", "▁ㄱ▁ㄱㅏ", "▁"} | {"▁" + "".join(rnd.choice(alphabet + "ㅋ") for _ in range(rnd.randint(0, 14))) for _ in range(60)}
+    wdf = spark.createDataFrame([(w,) for w in sorted(words)], "word string")
+    arrow = {r["word"]: (r["pieces"], r["ids"], r["score"]) for r in encode.segment_words(wdf, v).collect()}
+    native = {r["word"]: (r["pieces"], r["ids"], r["score"]) for r in encode.segment_words(wdf, v, broadcast_limit=3).collect()}
+    assert arrow.keys() == native.keys() == words
+    for w in words:
+        assert arrow[w][0] == native[w][0] and arrow[w][1] == native[w][1]
+        assert math.isclose(arrow[w][2], native[w][2], rel_tol=1e-12)
