@@ -59,3 +59,20 @@ def collate_audio(
     n = batch_length(tokens, max_len)
     out = df.withColumn("batch_len", n)
     return out.withColumn("padded", arrays.truncate_pad_2d(tokens, F.col("batch_len"), channels, pad))
+
+
+def repeat_rows(df: DataFrame, slot: str, k: int = 2) -> DataFrame:
+    """Every row ``k`` times, copies adjacent: ``copy`` in 0..k-1 and the row's place
+    in the enlarged batch ``k * slot + copy`` (``slot`` = place in the original batch)."""
+    out = df.select("*", arrays.copies(k))
+    return out.withColumn("slot_k", (F.col(slot) * k + F.col("copy")).cast("bigint"))
+
+
+def is_kth(slot_k: str = "slot_k", k: int = 2):
+    """True for places 0, k, 2k, ... of an enlarged batch (the first copy of each row)."""
+    return F.col(slot_k) % k == 0
+
+
+def every_kth(df: DataFrame, k: int = 2, slot_k: str = "slot_k") -> DataFrame:
+    """R6 (inverse): the rows at places 0, k, 2k, ... of an enlarged batch."""
+    return df.where(is_kth(slot_k, k))

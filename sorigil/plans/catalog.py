@@ -193,6 +193,27 @@ def channel_loss_q(spark, sf_dir):
     return per_batch.select("batch_id", F.round("loss", 6).alias("loss"), "n_channels", "n_tokens")
 
 
+@register("paired_rows")
+def paired_rows_q(spark, sf_dir):
+    """Each encoding batch doubled with adjacent copies (conditional and unconditional
+    rows), then every second row kept again; ``kept`` marks the rows that survive."""
+    t = _with_audio_positions(spark, sf_dir).select("pos")
+    b = min(BATCH_SIZE, 32)
+    slotted = t.select("pos", order.batch_id("pos", b).alias("batch_id"), (F.col("pos") % b).alias("slot"))
+    doubled = batching.repeat_rows(slotted, "slot", 2)
+    return doubled.select("batch_id", "pos", "copy", "slot_k", batching.is_kth("slot_k", 2).alias("kept"))
+
+
+@register("clip_names")
+def clip_names_q(spark, sf_dir):
+    """P3 + W1: file names ``zeroth_%06d.wav`` of the clips by their 0-based enumeration index."""
+    from sorigil.functions.text import clip_filename
+
+    c = fx.embeddings_as_clips(spark, sf_dir).select("clip_id")
+    idx = order.ordered_index(c, ["clip_id"], [F.floor(F.col("clip_id") / order.DEFAULT_BUCKET_WIDTH)], (), "idx")
+    return idx.select("clip_id", "idx", clip_filename("idx").alias("filename"))
+
+
 # ---- run log (A11, W6) -------------------------------------------------------
 
 

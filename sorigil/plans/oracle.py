@@ -151,6 +151,17 @@ SELECT batch_id, pos AS clip_id, batch_len::INTEGER AS batch_len,
 FROM p
 """
 
+ORACLE["paired_rows"] = f"""
+SELECT pos // {BATCH_SIZE} AS batch_id, pos, copy, (2 * (pos % {BATCH_SIZE}) + copy)::BIGINT AS slot_k, copy = 0 AS kept
+FROM (SELECT pos, unnest(range(2)) AS copy FROM ({KEPT}) k) d
+"""
+
+ORACLE["clip_names"] = """
+SELECT vec_id AS clip_id, (row_number() OVER (ORDER BY vec_id) - 1)::BIGINT AS idx,
+  printf('zeroth_%06d.wav', row_number() OVER (ORDER BY vec_id) - 1) AS filename
+FROM embeddings
+"""
+
 ORACLE["channel_loss"] = f"""
 WITH lg AS (SELECT vec_id // 16 AS seq_id, vec_id % 16 AS t, c AS channel,
               list_transform(embedding[c * 16 + 1 : c * 16 + 16], lambda v: v::DOUBLE) AS logits, (label + c) % 16 AS label

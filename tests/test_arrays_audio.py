@@ -81,3 +81,25 @@ def test_to_mono(spark):
     got = _one(spark, arrays.to_mono("c"), [([[1.0, 3.0], [3.0, 5.0]],)], "c array<array<double>>")
     assert got == [[2.0, 4.0]]
     assert math.isclose(_one(spark, audio.duration("x", 4), [([0.0] * 10,)], "x array<double>")[0], 2.5)
+
+
+def test_repeat_rows_and_every_kth(spark):
+    """repeat_interleave(2) then [::2] gives the batch back in order."""
+    from sorigil.operators import batching
+
+    df = spark.createDataFrame([(s, f"r{s}") for s in range(5)], "slot long, v string")
+    doubled = batching.repeat_rows(df, "slot", 2)
+    got = sorted((r["slot_k"], r["v"], r["copy"]) for r in doubled.collect())
+    assert got == [(2 * s + c, f"r{s}", c) for s in range(5) for c in range(2)]
+    back = sorted((r["slot_k"], r["v"]) for r in batching.every_kth(doubled, 2).collect())
+    assert [v for _, v in back] == [f"r{s}" for s in range(5)]
+
+
+def test_select_shape_and_clip_filename(spark):
+    """The first of a list of candidate clips; P3: zero-padded 0-based names."""
+    from sorigil.functions.text import clip_filename
+
+    got = _one(spark, arrays.select_shape("x"), [([[0.5, -0.5], [9.0]],), ([],)], "x array<array<double>>")
+    assert got == [[0.5, -0.5], None]
+    names = _one(spark, clip_filename("i"), [(0,), (41,), (1234567,)], "i long")
+    assert names == ["zeroth_000000.wav", "zeroth_000041.wav", "zeroth_1234567.wav"]

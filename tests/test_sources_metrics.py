@@ -96,3 +96,15 @@ def test_step_counters(spark):
     assert [(r["epoch"], r["step"], r["epoch_opt_step"], r["global_opt_step"]) for r in st] == [(0, 9, 2, 2), (0, 19, 5, 5)]
     em = {r["epoch"]: r for r in metrics.epoch_metrics(log).collect()}
     assert em[0]["n_steps"] == 23 and em[0]["pending"] == 3 and em[1]["optimizer_steps"] == 1
+
+
+def test_speech_table_round_trip(spark, tmp):
+    """S3: nested audio struct read back with the declared schema."""
+    rows = [({"array": [0.0, 0.25, -1.0], "sampling_rate": 16000}, "가"), ({"array": [], "sampling_rate": 44100}, "")]
+    path = os.path.join(tmp, "speech")
+    spark.createDataFrame(rows, M.SPEECH_SCHEMA).write.parquet(path)
+    back = M.read_speech_table(spark, path)
+    assert back.schema == M.SPEECH_SCHEMA
+    got = sorted((r["text"], list(r["audio"]["array"]), r["audio"]["sampling_rate"]) for r in back.collect())
+    assert got == [("", [], 44100), ("가", [0.0, 0.25, -1.0], 16000)]
+    assert back.where(M.needs_resample("audio", 16000)).count() == 1
