@@ -63,15 +63,26 @@ def global_pos(df: DataFrame, key: str, source_ord: str = "source_ord", width: i
     return ordered_index(df, [source_ord, key], [F.col(source_ord), F.floor(F.col(key) / width)], (), name)
 
 
-def concat_positions(df: DataFrame, key: str, source_col: str = "source", source_ord: str = "source_ord", width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+def concat_positions(
+    df: DataFrame,
+    key: str,
+    source_col: str = "source",
+    source_ord: str = "source_ord",
+    width: int = DEFAULT_BUCKET_WIDTH,
+    order_cols: Sequence | None = None,
+    bucket: Column | None = None,
+) -> DataFrame:
     """W1 + W2 together: ``row_idx`` inside the data set and global ``pos``.
 
-    Two passes over ``df``: one aggregate of bucket sizes per data set
-    (``key div width``), and one join plus a ``row_number`` inside each bucket.
-    Both offsets come from the bucket-size table: the rows of earlier buckets of
-    the same data set, and the rows of earlier data sets in ``(source_ord,
-    source)`` order (a table with one row per data set, broadcast)."""
-    with_b = df.withColumn("_b", F.floor(F.col(key) / width))
+    Rows are ordered by ``order_cols`` (default: ``key``) inside a data set;
+    ``bucket`` (default: ``key div width``) must be non-decreasing along that
+    order. Two passes over ``df``: one aggregate of bucket sizes per data set,
+    and one join plus a ``row_number`` inside each bucket. Both offsets come from
+    the bucket-size table: the rows of earlier buckets of the same data set, and
+    the rows of earlier data sets in ``(source_ord, source)`` order (a table with
+    one row per data set, broadcast)."""
+    order_by = _cols(order_cols) if order_cols is not None else [F.col(key)]
+    with_b = df.withColumn("_b", bucket if bucket is not None else F.floor(F.col(key) / width))
     # rows with a null key never meet their offsets in the inner join; dropping them
     # up front gives both uses of the size table one plan, so its exchange is reused
     with_b = with_b.where(F.col(source_ord).isNotNull() & F.col(source_col).isNotNull() & F.col("_b").isNotNull())
@@ -83,7 +94,7 @@ def concat_positions(df: DataFrame, key: str, source_col: str = "source", source
     offsets = sizes.select(source_ord, source_col, "_b", F.coalesce(F.sum("_n").over(in_source), F.lit(0)).alias("_off")).join(
         F.broadcast(source_off), [source_ord, source_col]
     )
-    inside = Window.partitionBy(source_col, "_b").orderBy(key)
+    inside = Window.partitionBy(source_col, "_b").orderBy(*order_by)
     out = with_b.join(offsets, [source_ord, source_col, "_b"]).withColumn(
         "row_idx", (F.row_number().over(inside) - 1 + F.col("_off")).cast("bigint")
     )

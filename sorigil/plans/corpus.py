@@ -49,15 +49,11 @@ def file_number(filename="filename"):
 
 def trainset_positions(meta: DataFrame, width: int = order.DEFAULT_BUCKET_WIDTH) -> DataFrame:
     """W1 + W2 without a whole-data-set window: rows ordered by (file number, file name)
-    inside each data set, buckets of ``width`` file numbers, then data sets in order."""
+    inside each data set, buckets of ``width`` file numbers, then data sets in order
+    (``order.concat_positions``: two passes over the metadata)."""
     keyed = meta.withColumn("_num", F.coalesce(file_number(), F.lit(0)))
-    inside = order.ordered_index(keyed, ["_num", "filename"], [F.floor(F.col("_num") / width)], ["source"], "row_idx")
-    sizes = inside.groupBy("source_ord").agg(F.count(F.lit(1)).alias("_n"))
-    from pyspark.sql import Window
-
-    before = Window.orderBy("source_ord").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("source_ord", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return inside.join(F.broadcast(offsets), "source_ord").withColumn("pos", F.col("row_idx") + F.col("_off")).drop("_off", "_num")
+    bucket = F.floor(F.col("_num") / width)
+    return order.concat_positions(keyed, "_num", order_cols=["_num", "filename"], bucket=bucket).drop("_num")
 
 
 def build_trainset(

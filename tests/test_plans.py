@@ -49,3 +49,28 @@ def test_corpus_and_trainset(spark, tmp):
     assert prog == [(0, 2, 1), (1, 3, 2)]
     b = training_batches(processed, epochs=2, batch_size=2, text_length=8, audio_length=4, channels=2).collect()
     assert len(b) == 4 and all(len(r["text_padded"]) == r["text_len"] for r in b)
+
+
+def test_trainset_positions_brute_force(spark):
+    """Positions by (file number, file name) inside a data set, data sets in order;
+    equal file numbers (files in several folders) are ordered by name."""
+    import random
+
+    from sorigil.plans.corpus import trainset_positions
+
+    rng = random.Random(5)
+    rows = []
+    for src, o, n in (("kss", 0, 300), ("zeroth", 1, 40), ("empty", 2, 0), ("x", 3, 7)):
+        for i in range(n):
+            num = rng.randint(0, 9000)
+            rows.append((src, o, f"{rng.randint(1, 4)}/{rng.randint(1, 4)}_{num:04d}.wav"))
+    rows = list({r[2] + r[0]: r for r in rows}.values())
+    df = spark.createDataFrame(rows, "source string, source_ord int, filename string")
+    got = {(r["source"], r["filename"]): (r["row_idx"], r["pos"]) for r in trainset_positions(df, width=512).collect()}
+    pos = 0
+    for src in ("kss", "zeroth", "x"):
+        mine = sorted((int(f.split("_")[1][:4]), f) for s, _, f in rows if s == src)
+        for i, (_, f) in enumerate(mine):
+            assert got[(src, f)] == (i, pos)
+            pos += 1
+    assert len(got) == pos
