@@ -6,8 +6,8 @@ spectrum and mel projection (R12, R13) run in one Arrow function over a batch
 of frames as a NumPy matrix (``rfft`` and a matrix product). Clip-level values
 (the reference level of ``power_to_db(ref=max)`` and the mean and population
 deviation of the z-score) are partial aggregates per clip joined back on
-``clip_id`` (the per-clip table is small; AQE broadcasts it or splits a skewed
-clip's frames).
+``clip_id`` (one row per clip; Spark broadcasts it by size, or AQE splits a
+skewed clip's frames).
 """
 
 from __future__ import annotations
@@ -22,10 +22,12 @@ from pyspark.sql import types as T
 
 from sorigil.functions.audio import AMIN_POWER, TOP_DB
 from sorigil.functions.bind import let
+from sorigil.session import task_count
 
 N_FFT = 1024
 N_MELS = 80
 ZSCORE_EPS = 1e-5
+FRAME_BLOCK = 4096  # frames of one clip hashed together
 
 # Fixed values of the Slaney mel scale (linear below 1 kHz, logarithmic above).
 MEL_F_SP = 200.0 / 3
@@ -157,9 +159,14 @@ def log_features(
     """``clip_id, frame_idx, features ARRAY<DOUBLE>``: (mel) power in dB relative to
     the clip maximum, floored ``top_db`` below it, z-scored over the whole clip."""
     fr = frame_rows(clips, n_fft, hop)
-    # Spectra are hash-partitioned on clip_id once: the per-clip aggregates and the joins
-    # back reuse that partitioning (no further exchange), and the Fourier step runs once.
-    spec = fr.select("clip_id", "frame_idx", power_spectrum_fn(n_fft, n_mels)("frame", "rate").alias("p")).repartition("clip_id")
+    # Spectra are hashed on (clip, block of FRAME_BLOCK frames): one very long clip spreads
+    # over many tasks, and since the partitioning reads frame_idx every reader of this
+    # exchange keeps the same columns, so Spark reuses it and the Fourier step runs once.
+    # The per-clip tables are one row per clip; Spark broadcasts them by measured size, or
+    # AQE splits a hot clip's frames in the join back.
+    p = power_spectrum_fn(n_fft, n_mels)("frame", "rate")
+    block = F.floor(F.col("frame_idx") / FRAME_BLOCK)
+    spec = fr.select("clip_id", "frame_idx", p.alias("p")).repartition(task_count(fr.sparkSession), "clip_id", block)
     ref = spec.groupBy("clip_id").agg(F.max(F.array_max("p")).alias("ref"))
     ref_db = 10.0 * F.log10(F.greatest(F.lit(amin), F.col("ref")))
     db = spec.join(ref, "clip_id").select(
