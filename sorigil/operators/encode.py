@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sorigil.functions.text import WHITESPACE_RE, WORD_START, mark_word
-from sorigil.session import task_count
+from sorigil.session import broadcast_if_bounded, task_count
 from sorigil.operators.vocab import MAX_PIECE_LEN, UNK_ID, UNKNOWN_PENALTY, prefixes, substrings
 
 SEGMENT_SCHEMA = T.StructType(
@@ -193,9 +193,8 @@ def lattice_edges(words_df: DataFrame, vocab: DataFrame, max_len: int = MAX_PIEC
     subs = words_df.select("word", F.explode(substrings(F.col("word"), max_len)).alias("s")).select(
         "word", F.col("s.b").alias("b"), F.col("s.e").alias("e"), F.col("s.piece").alias("piece")
     )
-    # no broadcast hint: the vocabulary is an input of any size; Spark broadcasts it
-    # only when its (runtime) size is under the broadcast threshold
-    return subs.join(vocab.where(F.col("id") >= 4).select("piece", "id", "score"), "piece")
+    pieces = broadcast_if_bounded(vocab.where(F.col("id") >= 4).select("piece", "id", "score"), BROADCAST_VOCAB_LIMIT)
+    return subs.join(pieces, "piece")
 
 
 def text_words(texts: DataFrame, key: str, text_col: str = "jamo") -> DataFrame:
@@ -223,7 +222,7 @@ def encode_texts(texts: DataFrame, key: str, segmented: DataFrame, text_col: str
 def decode_ids(encoded: DataFrame, key: str, vocab: DataFrame, ids_col: str = "ids") -> DataFrame:
     """Ids back to text: pieces in order, concatenated, ``▁`` → space, leading space dropped."""
     ex = encoded.select(key, F.posexplode(ids_col).alias("i", "id"))
-    named = ex.join(vocab.select("id", "piece"), "id", "left")  # broadcast by Spark's size check
+    named = ex.join(broadcast_if_bounded(vocab.select("id", "piece"), BROADCAST_VOCAB_LIMIT), "id", "left")
     g = named.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("i", "piece"))).alias("_p"))
     text = F.ltrim(F.translate(F.array_join(F.transform("_p", lambda s: s["piece"]), ""), WORD_START, " "))
     out = g.select(key, text.alias("text"))

@@ -82,3 +82,14 @@ def task_count(spark: SparkSession) -> int:
     par = spark.sparkContext.defaultParallelism
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", str(par)))
     return max(par, shuffle)
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
+    """``df`` with a broadcast hint when it holds at most ``max_rows`` rows (checked by
+    counting at most ``max_rows + 1`` of them); otherwise unchanged, for a shuffle join.
+
+    For tables whose size Spark cannot estimate before running (a checkpoint, the
+    output of a Python stage), so the plan does not shuffle the large side first."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
