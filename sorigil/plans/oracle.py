@@ -91,9 +91,9 @@ GROUP BY ROLLUP (source)
 ORACLE["progress"] = f"""
 WITH k AS ({KEPT}),
 b AS (SELECT pos // {BATCH_SIZE} AS batch_id, count(*) AS n_rows,
-        sum(CASE WHEN length({jamo_sql(hangulize_sql('raw_text'))}) > 0 THEN 1 ELSE 0 END) AS n_valid FROM k GROUP BY 1)
+        sum(CASE WHEN length({jamo_sql(hangulize_sql('raw_text'))}) > 0 THEN 1 ELSE 0 END)::BIGINT AS n_valid FROM k GROUP BY 1)
 SELECT batch_id, least((batch_id + 1) * {BATCH_SIZE}, (SELECT count(*) FROM k)) AS batch_end,
-  (SELECT count(*) FROM k) AS total, n_valid, sum(n_valid) OVER (ORDER BY batch_id) AS valid_so_far
+  (SELECT count(*) FROM k) AS total, n_valid, (sum(n_valid) OVER (ORDER BY batch_id))::BIGINT AS valid_so_far
 FROM b
 """
 
@@ -152,7 +152,7 @@ FROM p
 """
 
 ORACLE["paired_rows"] = f"""
-SELECT pos // {BATCH_SIZE} AS batch_id, pos, copy, (2 * (pos % {BATCH_SIZE}) + copy)::BIGINT AS slot_k, copy = 0 AS kept
+SELECT pos // {BATCH_SIZE} AS batch_id, pos, copy::INTEGER AS copy, (2 * (pos % {BATCH_SIZE}) + copy)::BIGINT AS slot_k, copy = 0 AS kept
 FROM (SELECT pos, unnest(range(2)) AS copy FROM ({KEPT}) k) d
 """
 

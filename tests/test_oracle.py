@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from tools.check_oracle import TABLES, digest
+from tools.check_oracle import TABLES, digest, type_mismatches
 
 SMALL = "/root/testdata/sf0.001"
 NAMES = sorted(entry.oracle_sql())
@@ -22,10 +22,11 @@ def con():
 def test_query_matches_sql(spark, con, name):
     df = entry.queries()[name](spark, SMALL)
     rows = [tuple(r) for r in df.collect()]
-    res = con.execute(entry.oracle_sql()[name])
-    ocols = [d[0] for d in res.description]
-    orows = res.fetchall()
+    rel = con.sql(entry.oracle_sql()[name])
+    ocols = list(rel.columns)
+    orows = rel.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    assert type_mismatches(df, rel) == {}
     assert len(rows) == len(orows)
     assert digest(rows, df.columns)[0] == digest(orows, ocols)[0]
 
