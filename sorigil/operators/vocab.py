@@ -237,20 +237,90 @@ def expected_counts(word: str, freq: float, scores: dict, max_len: int, unk_scor
     return freq * z, out
 
 
+def _segment_lse(vals: np.ndarray, seg: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log-sum-exp of ``vals`` per run of equal values in ``seg`` (runs are contiguous):
+    (segment keys, results)."""
+    starts = np.flatnonzero(np.r_[True, seg[1:] != seg[:-1]])
+    m = np.maximum.reduceat(vals, starts)
+    sizes = np.diff(np.r_[starts, len(vals)])
+    return seg[starts], m + np.log(np.add.reduceat(np.exp(vals - np.repeat(m, sizes)), starts))
+
+
+def batch_expected_counts(words: list, freqs: np.ndarray, index: dict, score_arr: np.ndarray, max_len: int, unk_score: float, pref: frozenset):
+    """Forward-backward for a batch of words at once: (log-likelihood, expected count per
+    piece index). ``index`` maps piece -> position in ``score_arr``.
+
+    The lattices of all words form one flat edge table (word, begin, end, piece); alpha
+    is then one segmented log-sum-exp per end position over the edges ending there, across
+    all words of the batch, and beta the same per begin position. Every position has an
+    edge of length one (a piece or the unknown edge), so no word has an empty position."""
+    wi, bb, ee, pp = [], [], [], []
+    aw, ab, ae, ap = wi.append, bb.append, ee.append, pp.append
+    for k, word in enumerate(words):
+        n = len(word)
+        for b in range(n):
+            single = False
+            for e in range(b + 1, min(n, b + max_len) + 1):
+                sub = word[b:e]
+                if sub not in pref:
+                    break
+                j = index.get(sub)
+                if j is not None:
+                    aw(k), ab(b), ae(e), ap(j)
+                    single = single or e == b + 1
+            if not single:
+                aw(k), ab(b), ae(b + 1), ap(-1)
+    counts = np.zeros(len(score_arr))
+    if not wi:
+        return 0.0, counts
+    W, B, E, P = (np.array(x, dtype=np.int64) for x in (wi, bb, ee, pp))
+    S = np.where(P >= 0, score_arr[np.maximum(P, 0)], unk_score)
+    lengths = np.fromiter((len(w) for w in words), dtype=np.int64, count=len(words))
+    width = int(lengths.max()) + 1
+    alpha = np.full((len(words), width), -np.inf)
+    alpha[:, 0] = 0.0
+    by_end = np.lexsort((W, E))
+    e_sorted = E[by_end]
+    bounds = np.searchsorted(e_sorted, np.arange(width + 1))
+    for e in range(1, width):
+        sel = by_end[bounds[e] : bounds[e + 1]]
+        if len(sel):
+            keys, v = _segment_lse(alpha[W[sel], B[sel]] + S[sel], W[sel])
+            alpha[keys, e] = v
+    beta = np.full((len(words), width), -np.inf)
+    beta[np.arange(len(words)), lengths] = 0.0
+    by_begin = np.lexsort((W, B))
+    b_sorted = B[by_begin]
+    bounds = np.searchsorted(b_sorted, np.arange(width + 1))
+    for b in range(width - 2, -1, -1):
+        sel = by_begin[bounds[b] : bounds[b + 1]]
+        if len(sel):
+            keys, v = _segment_lse(beta[W[sel], E[sel]] + S[sel], W[sel])
+            beta[keys, b] = v
+    z = alpha[np.arange(len(words)), lengths]
+    known = P >= 0
+    post = np.exp(alpha[W, B] + S + beta[W, E] - z[W])
+    counts = np.bincount(P[known], weights=(freqs[W] * post)[known], minlength=len(score_arr))
+    return float(np.dot(freqs, z)), counts
+
+
 def _em_partitions(scores_bc, max_len: int, unk_score: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scores = scores_bc.value
+        pieces = list(scores)
+        index = {p: i for i, p in enumerate(pieces)}
+        score_arr = np.array([scores[p] for p in pieces], dtype="float64")
         pref = prefixes(scores)
-        acc: dict = {}
+        acc = np.zeros(len(pieces))
         ll = 0.0
         for pdf in batches:
-            for w, n in zip(pdf["word"].tolist(), pdf["n"].tolist()):
-                lw, ec = expected_counts(w, float(n), scores, max_len, unk_score, pref)
-                ll += lw
-                for p, c in ec.items():
-                    acc[p] = acc.get(p, 0.0) + c
-        pieces = list(acc.keys())
-        yield pd.DataFrame({"piece": pieces + [None], "n": np.array([acc[p] for p in pieces] + [ll], dtype="float64")})
+            lw, c = batch_expected_counts(
+                pdf["word"].tolist(), pdf["n"].to_numpy(dtype="float64"), index, score_arr, max_len, unk_score, pref
+            )
+            ll += lw
+            acc += c
+        hit = np.flatnonzero(acc > 0)
+        yield pd.DataFrame({"piece": [pieces[i] for i in hit] + [None], "n": np.r_[acc[hit], ll].astype("float64")})
 
     return run
 

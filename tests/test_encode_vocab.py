@@ -159,3 +159,30 @@ def test_native_segmentation_equals_arrow(spark):
     for w in words:
         assert arrow[w][0] == native[w][0] and arrow[w][1] == native[w][1]
         assert math.isclose(arrow[w][2], native[w][2], rel_tol=1e-12)
+
+
+def test_batch_forward_backward_equals_per_word():
+    import random
+
+    import numpy as np
+
+    rnd = random.Random(3)
+    alphabet = "▁ㄱㅏㄴㅎ"
+    for _ in range(20):
+        pieces = {"".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 4))) for _ in range(15)}
+        scores = {p: -rnd.uniform(1, 9) for p in pieces}
+        words = ["▁" + "".join(rnd.choice(alphabet + "ㅋ") for _ in range(rnd.randint(0, 20))) for _ in range(25)]
+        freqs = np.array([float(rnd.randint(1, 5)) for _ in words])
+        names = list(scores)
+        index = {p: i for i, p in enumerate(names)}
+        arr = np.array([scores[p] for p in names])
+        ll, counts = vocab.batch_expected_counts(words, freqs, index, arr, 16, -30.0, vocab.prefixes(scores))
+        want_ll, want = 0.0, {}
+        for w, f in zip(words, freqs):
+            l1, c1 = vocab.expected_counts(w, f, scores, 16, -30.0)
+            want_ll += l1
+            for p, c in c1.items():
+                want[p] = want.get(p, 0.0) + c
+        assert math.isclose(ll, want_ll, rel_tol=1e-10)
+        for p, i in index.items():
+            assert math.isclose(counts[i], want.get(p, 0.0), rel_tol=1e-9, abs_tol=1e-12)
