@@ -207,27 +207,31 @@ def encode_texts(texts: DataFrame, key: str, segmented: DataFrame, text_col: str
     """T3-T5 on whole texts: ``key, pieces, ids`` in word order.
 
     Each text's word rows are joined to the segmented distinct words and
-    gathered back per text (one group per text, bounded by the text itself)."""
-    tw = text_words(texts, key, text_col).join(segmented.select("word", "pieces", "ids"), "word")
-    g = tw.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("wpos", "pieces", "ids"))).alias("_w"))
-    out = g.select(
+    gathered back per text (one group per text, bounded by the text itself).
+    ``posexplode_outer`` keeps a text without words as one row with no word, so
+    it comes out with empty arrays without a second pass over the result."""
+    ex = texts.select(key, F.posexplode_outer(F.split(text_col, WHITESPACE_RE)).alias("wpos", "w"))
+    words = ex.select(key, "wpos", F.when(F.length("w") > 0, mark_word("w")).alias("word"))
+    tw = words.join(segmented.select("word", "pieces", "ids"), "word", "left")
+    item = F.when(F.col("pieces").isNotNull(), F.struct("wpos", "pieces", "ids"))
+    g = tw.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias("_w"))
+    return g.select(
         key,
         F.flatten(F.transform("_w", lambda s: s["pieces"])).alias("pieces"),
         F.flatten(F.transform("_w", lambda s: s["ids"])).alias("ids"),
     )
-    empty = texts.select(key).join(out.select(key), key, "left_anti")
-    return out.unionByName(empty.select(key, F.array().cast("array<string>").alias("pieces"), F.array().cast("array<int>").alias("ids")))
 
 
 def decode_ids(encoded: DataFrame, key: str, vocab: DataFrame, ids_col: str = "ids") -> DataFrame:
-    """Ids back to text: pieces in order, concatenated, ``▁`` → space, leading space dropped."""
-    ex = encoded.select(key, F.posexplode(ids_col).alias("i", "id"))
+    """Ids back to text: pieces in order, concatenated, ``▁`` → space, leading space dropped.
+
+    ``posexplode_outer`` keeps a row with no ids, which decodes to the empty text."""
+    ex = encoded.select(key, F.posexplode_outer(ids_col).alias("i", "id"))
     named = ex.join(broadcast_if_bounded(vocab.select("id", "piece"), BROADCAST_VOCAB_LIMIT), "id", "left")
-    g = named.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("i", "piece"))).alias("_p"))
+    item = F.when(F.col("i").isNotNull(), F.struct("i", "piece"))
+    g = named.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias("_p"))
     text = F.ltrim(F.translate(F.array_join(F.transform("_p", lambda s: s["piece"]), ""), WORD_START, " "))
-    out = g.select(key, text.alias("text"))
-    empty = encoded.select(key).join(out.select(key), key, "left_anti")
-    return out.unionByName(empty.select(key, F.lit("").alias("text")))
+    return g.select(key, text.alias("text"))
 
 
 def text_token_counts(texts: DataFrame, key: str, segmented: DataFrame, text_col: str = "jamo") -> DataFrame:

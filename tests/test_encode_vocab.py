@@ -186,3 +186,17 @@ def test_batch_forward_backward_equals_per_word():
         assert math.isclose(ll, want_ll, rel_tol=1e-10)
         for p, i in index.items():
             assert math.isclose(counts[i], want.get(p, 0.0), rel_tol=1e-9, abs_tol=1e-12)
+
+
+def test_encode_decode_empty_and_null_texts(spark):
+    voc = [(i + 4, p, s) for i, (p, s) in enumerate(sorted(VOC.items()))]
+    v = spark.createDataFrame([(0, "<pad>", 0.0), (1, "<unk>", 0.0)] + voc, "id int, piece string, score double")
+    texts = spark.createDataFrame([(1, "ㄱㅏ  ㄱㅏㄴ"), (2, ""), (3, "   "), (4, None), (5, "ㅋ")], "k long, jamo string")
+    words = encode.text_words(texts, "k").select("word").distinct()
+    enc = encode.encode_texts(texts, "k", encode.segment_words(words, v))
+    got = {r["k"]: (r["pieces"], r["ids"]) for r in enc.collect()}
+    assert set(got) == {1, 2, 3, 4, 5}
+    assert got[2] == ([], []) and got[3] == ([], []) and got[4] == ([], [])
+    assert "".join(got[1][0]) == "▁ㄱㅏ▁ㄱㅏㄴ" and got[5][1][-1] == vocab.UNK_ID
+    dec = {r["k"]: r["text"] for r in encode.decode_ids(enc, "k", v).collect()}
+    assert dec == {1: "ㄱㅏ ㄱㅏㄴ", 2: "", 3: "", 4: "", 5: "<unk>"}
