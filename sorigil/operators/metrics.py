@@ -35,15 +35,15 @@ def cross_entropy(logits="logits", target="target"):
 def channel_loss(pairs: DataFrame, pad: int, batch_col: str = "batch_id", channel: str = "channel") -> tuple[DataFrame, DataFrame]:
     """A10: mean cross-entropy per (batch, channel) over targets <> pad, then the plain
     mean over channels. A channel whose targets are all pad has a null loss and is
-    skipped in the mean. Returns (per-channel table, per-batch table)."""
-    ce = pairs.where(F.col("target") != pad).withColumn("ce", cross_entropy())
-    per_ch = pairs.select(batch_col, channel).distinct().join(
-        ce.groupBy(batch_col, channel).agg(F.avg("ce").alias("loss"), F.count(F.lit(1)).alias("n_tokens")),
-        [batch_col, channel],
-        "left",
-    )
+    skipped in the mean. Returns (per-channel table, per-batch table).
+
+    One pass and one partial aggregate: the cross-entropy is null where the target
+    is pad, so ``avg`` and ``count`` skip those rows and an all-pad channel keeps its
+    row with a null loss and zero tokens."""
+    ce = F.when(F.col("target") != pad, cross_entropy())
+    per_ch = pairs.groupBy(batch_col, channel).agg(F.avg(ce).alias("loss"), F.count(ce).alias("n_tokens"))
     per_batch = per_ch.groupBy(batch_col).agg(
-        F.avg("loss").alias("loss"), F.count("loss").alias("n_channels"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("n_tokens")
+        F.avg("loss").alias("loss"), F.count("loss").alias("n_channels"), F.sum("n_tokens").alias("n_tokens")
     )
     return per_ch, per_batch
 
