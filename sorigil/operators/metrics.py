@@ -78,7 +78,9 @@ def step_counters(stepped: DataFrame, accum: int = ACCUMULATION, log_every: int
     epoch so far, optimizer steps over the run so far, and the run's micro-step total.
 
     Optimizer steps of earlier epochs come from the per-epoch table (one row per epoch)."""
-    per_epoch = stepped.groupBy(epoch).agg(F.count(F.lit(1)).alias("_n"))
+    # steps run in an epoch = its last step + 1; reading ``step`` keeps this aggregate on the
+    # same plan as the logged rows below, so the step numbering is computed once
+    per_epoch = stepped.groupBy(epoch).agg((F.max("step") + 1).alias("_n"))
     w = Window.orderBy(epoch).rowsBetween(Window.unboundedPreceding, -1)
     before = per_epoch.select(
         epoch,
