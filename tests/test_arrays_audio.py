@@ -103,3 +103,37 @@ def test_select_shape_and_clip_filename(spark):
     assert got == [[0.5, -0.5], None]
     names = _one(spark, clip_filename("i"), [(0,), (41,), (1234567,)], "i long")
     assert names == ["zeroth_000000.wav", "zeroth_000041.wav", "zeroth_1234567.wav"]
+
+
+def _log_features_np(x, sr, n_fft, hop, n_mels):
+    from sorigil.functions.audio import AMIN_POWER, TOP_DB
+    from sorigil.operators.spectral import ZSCORE_EPS, hann, mel_filters
+
+    p = np.concatenate([np.zeros(n_fft // 2), x, np.zeros(n_fft // 2)])
+    n_frames = (len(p) - n_fft) // hop + 1
+    fr = np.stack([p[f * hop : f * hop + n_fft] for f in range(n_frames)])
+    power = np.abs(np.fft.rfft(fr * hann(n_fft), axis=1)) ** 2
+    if n_mels:
+        power = power @ mel_filters(float(sr), n_fft, n_mels).T
+    db = 10 * np.log10(np.maximum(AMIN_POWER, power)) - 10 * np.log10(max(AMIN_POWER, power.max()))
+    db = np.maximum(db, -TOP_DB)
+    return (db - db.mean()) / (db.std() + ZSCORE_EPS)
+
+
+def test_log_features_match_numpy_with_a_long_clip(spark):
+    """A clip of about 5,000 frames spans two frame blocks of the partitioning."""
+    from sorigil.operators import spectral
+
+    rng = np.random.default_rng(4)
+    clips = [(0, rng.normal(0, 0.3, 20_000).tolist(), 16), (1, rng.uniform(-1, 1, 37).tolist(), 32), (2, [0.0] * 40, 16)]
+    df = spark.createDataFrame(
+        [(i, {"array": x, "sampling_rate": sr}) for i, x, sr in clips], "clip_id long, audio struct<array:array<double>,sampling_rate:int>"
+    )
+    for n_mels in (None, 4):
+        got = {}
+        for r in spectral.log_features(df, 16, 4, n_mels).collect():
+            got.setdefault(r["clip_id"], {})[r["frame_idx"]] = r["features"]
+        for i, x, sr in clips:
+            want = _log_features_np(np.array(x), sr, 16, 4, n_mels)
+            have = np.array([got[i][f] for f in range(len(want))])
+            assert len(got[i]) == len(want) and np.allclose(have, want, atol=1e-9)
