@@ -32,7 +32,7 @@ def metadata_stream(spark: SparkSession, folder: str, max_files_per_trigger: int
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.csv(folder).withColumn("source_file", F.input_file_name())
+    return reader.csv(folder).withColumn("source_file", F.col("_metadata.file_path"))
 
 
 def jamo_metadata_stream(stream: DataFrame) -> DataFrame:

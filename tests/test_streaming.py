@@ -18,3 +18,5 @@ def test_incremental_ingest(spark, tmp):
     q.awaitTermination(120)
     rows = {r["filename"]: r["jamo"] for r in spark.read.parquet(out).collect()}
     assert rows == {"1.wav": "ㅇㅏㄴㄴㅕㅇㅎㅏㅅㅔㅇㅛ", "2.wav": "ㄱㅏㅄ", "3.wav": "ㄷㅏㄺ"}
+    files = {r["filename"]: r["source_file"].rsplit("/", 1)[-1] for r in spark.read.parquet(out).collect()}
+    assert files == {"1.wav": "a.csv", "2.wav": "a.csv", "3.wav": "b.csv"}
