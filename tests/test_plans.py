@@ -41,6 +41,7 @@ def test_corpus_and_trainset(spark, tmp):
         "full_path string, audio_tokens array<array<int>>",
     )
     processed, rejects, progress = build_trainset(spark, jamo_srcs, tmp, codes, os.path.join(tmp, "processed"), batch_size=2)
+    assert processed.columns == ["text_tokens", "audio_tokens", "original_indices"]  # P5: raw columns dropped
     got = sorted((r["original_indices"], len(r["text_tokens"])) for r in processed.collect())
     # kept rows in order: kss_0, kss_2, zeroth_0 -> positions 0, 1, 2; kss_2 has no codes
     assert [g[0] for g in got] == [0, 2]
