@@ -200,3 +200,33 @@ def test_encode_decode_empty_and_null_texts(spark):
     assert "".join(got[1][0]) == "▁ㄱㅏ▁ㄱㅏㄴ" and got[5][1][-1] == vocab.UNK_ID
     dec = {r["k"]: r["text"] for r in encode.decode_ids(enc, "k", v).collect()}
     assert dec == {1: "ㄱㅏ ㄱㅏㄴ", 2: "", 3: "", 4: "", 5: "<unk>"}
+
+
+def test_token_counts_with_a_hot_word(spark):
+    """One word is about a third of all word occurrences: per-text counts equal brute force
+    and do not depend on the number of shuffle partitions."""
+    import random
+
+    rnd = random.Random(9)
+    alphabet = "ㄱㅏㄴㅎㅋ"
+    texts = []
+    for k in range(300):
+        ws = ["ㄱㅏ" if rnd.random() < 0.34 else "".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 6))) for _ in range(rnd.randint(0, 30))]
+        texts.append((k, " ".join(ws)))
+    tdf = spark.createDataFrame(texts, "k long, jamo string")
+    voc = [(i + 4, p, s) for i, (p, s) in enumerate(sorted(VOC.items()))]
+    v = spark.createDataFrame([(0, "<pad>", 0.0), (1, "<unk>", 0.0)] + voc, "id int, piece string, score double")
+    seg = encode.segment_words(encode.text_words(tdf, "k").select("word").distinct(), v)
+    vocab_ids = {p: (i, s) for i, p, s in voc}
+    want = {}
+    for k, t in texts:
+        ids = [i for w in t.split() for i in encode.viterbi("▁" + w, vocab_ids, 16, min(VOC.values()) - vocab.UNKNOWN_PENALTY)[1]]
+        want[k] = (len(ids), sum(1 for i in ids if i == vocab.UNK_ID))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts in ("3", "17"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            got = {r["k"]: (r["n"], r["u"]) for r in encode.text_token_counts(tdf, "k", seg).collect()}
+            assert got == {k: c for k, c in want.items() if c[0] > 0}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
