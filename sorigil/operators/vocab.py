@@ -426,6 +426,89 @@ def _score_dict(scores: DataFrame) -> dict:
     return {r["piece"]: r["score"] for r in scores.select("piece", "score").collect()}
 
 
+# --------------------------------------------------------------------------
+# All-native EM for score tables over the broadcast limit: the lattice is a join
+# of substrings with the score table (shuffle), forward-backward and the pruning
+# split are ``aggregate`` folds over each word's (piece's) edge array.
+
+BROADCAST_SCORES_LIMIT = 1_000_000
+_NEG_INF = float("-inf")
+
+
+def _log_add(a: Column, b: Column) -> Column:
+    return F.greatest(a, b) + F.log1p(F.exp(-F.abs(a - b)))
+
+
+def _native_lattice(words: DataFrame, pieces: DataFrame, max_len: int) -> DataFrame:
+    """``word, n, b, e, piece, score, known``: every substring that is a piece, plus an
+    unknown edge (known = false) where a character is no piece."""
+    unk = pieces.agg(F.min("score")).scalar() - F.lit(UNKNOWN_PENALTY)
+    length = F.length("word")
+    starts = words.where(length > 0).select("word", "n", F.explode(F.sequence(F.lit(0), length - 1)).alias("b"))
+    subs = starts.select("word", "n", "b", F.explode(F.sequence(F.lit(1), F.least(F.lit(max_len), length - F.col("b")))).alias("k"))
+    subs = subs.select("word", "n", "b", (F.col("b") + F.col("k")).alias("e"), F.expr("substring(word, b + 1, k)").alias("piece"))
+    hits = subs.join(pieces.select("piece", "score"), "piece").withColumn("known", F.lit(True))
+    unknown = subs.where(F.col("e") == F.col("b") + 1).join(pieces.select("piece"), "piece", "left_anti")
+    unknown = unknown.withColumn("score", unk).withColumn("known", F.lit(False))
+    cols = ["word", "n", "b", "e", "piece", "score", "known"]
+    return hits.select(*cols).unionByName(unknown.select(*cols))
+
+
+def em_step_native(wc: DataFrame, pieces: DataFrame, max_len: int = MAX_PIECE_LEN) -> DataFrame:
+    """A7 (E step) without broadcasting the scores: ``piece, n`` and the null-piece
+    log-likelihood row, as ``em_step``."""
+    edges = _native_lattice(wc.select("word", "n"), pieces, max_len)
+    g = edges.groupBy("word").agg(
+        F.max("n").alias("n"),
+        F.sort_array(F.collect_list(F.struct("e", "b", "score", "piece", "known"))).alias("fwd"),
+        F.sort_array(F.collect_list(F.struct("b", "e", "score")), asc=False).alias("bwd"),
+    )
+    size = F.length("word")
+    inf = F.lit(_NEG_INF)
+    alpha0 = F.concat(F.array(F.lit(0.0)), F.array_repeat(inf, size))
+    beta0 = F.concat(F.array_repeat(inf, size), F.array(F.lit(0.0)))
+
+    def forward(acc, x):
+        return F.transform(acc, lambda v, i: F.when(i == x["e"], _log_add(v, F.get(acc, x["b"]) + x["score"])).otherwise(v))
+
+    def backward(acc, x):
+        return F.transform(acc, lambda v, i: F.when(i == x["b"], _log_add(v, F.get(acc, x["e"]) + x["score"])).otherwise(v))
+
+    fb = g.select("word", "n", "fwd", F.aggregate("fwd", alpha0, forward).alias("alpha"), F.aggregate("bwd", beta0, backward).alias("beta"))
+    fb = fb.withColumn("z", F.get("alpha", F.length("word")))
+    post = fb.select("n", "alpha", "beta", "z", F.explode("fwd").alias("x")).where(F.col("x.known"))
+    post = post.select(
+        F.col("x.piece").alias("piece"),
+        (F.col("n") * F.exp(F.get("alpha", F.col("x.b")) + F.col("x.score") + F.get("beta", F.col("x.e")) - F.col("z"))).alias("c"),
+    )
+    counts = post.groupBy("piece").agg(F.sum("c").alias("n")).where(F.col("n") > 0)
+    ll = fb.agg(F.sum(F.col("n") * F.col("z")).alias("n")).select(F.lit(None).cast("string").alias("piece"), "n")
+    return counts.unionByName(ll)
+
+
+def prune_native(scored: DataFrame, target: int, shrink: float = 0.75, max_len: int = MAX_PIECE_LEN) -> DataFrame:
+    """A8 without broadcasting the scores: the best split of each piece into other pieces
+    is a ``max`` fold over its own lattice (no unknown edges, the whole piece left out)."""
+    total = scored.count()
+    n_singles = scored.where(F.length("piece") == 1).count()
+    room = max(max(target, int(total * shrink)) - n_singles, 0)
+    multi = scored.where(F.length("piece") > 1).select(F.col("piece").alias("word"), F.lit(1.0).alias("n"))
+    edges = _native_lattice(multi, scored, max_len).where(F.col("known") & ~((F.col("b") == 0) & (F.col("e") == F.length("word"))))
+    g = edges.groupBy("word").agg(F.sort_array(F.collect_list(F.struct("e", "b", "score"))).alias("ed"))
+    zero = F.concat(F.array(F.lit(0.0)), F.array_repeat(F.lit(_NEG_INF), F.length("word")))
+
+    def relax(acc, x):
+        return F.transform(acc, lambda v, i: F.when(i == x["e"], F.greatest(v, F.get(acc, x["b"]) + x["score"])).otherwise(v))
+
+    alt = g.select(F.col("word").alias("piece"), F.get(F.aggregate("ed", zero, relax), F.length("word")).alias("alt"))
+    loss = F.when(F.col("alt").isNull() | (F.col("alt") == F.lit(_NEG_INF)), F.lit(float("inf"))).otherwise(
+        F.col("n") * (F.col("score") - F.col("alt"))
+    )
+    losses = scored.where(F.length("piece") > 1).join(alt, "piece", "left").select("piece", "score", loss.alias("loss"))
+    kept = losses.orderBy(F.col("loss").desc(), F.col("piece")).limit(room).select("piece", "score")
+    return kept.unionByName(scored.where(F.length("piece") == 1).select("piece", "score"))
+
+
 def train_vocab(
     wc: DataFrame,
     vocab_size: int = 8000,
@@ -435,6 +518,7 @@ def train_vocab(
     max_len: int = MAX_PIECE_LEN,
     min_freq: int = 2,
     max_prune_rounds: int = 40,
+    broadcast_limit: int = BROADCAST_SCORES_LIMIT,
 ) -> DataFrame:
     """A4-A8 + L2: unigram vocabulary trained by EM with pruning.
 
@@ -445,10 +529,14 @@ def train_vocab(
     computes pruning losses over the pieces, all as Spark jobs; each round's
     expected-count table is checkpointed so lineage does not grow with the
     rounds and the E step runs once per round. Only the
-    bounded score dictionary passes through the driver, to be broadcast."""
+    bounded score dictionary passes through the driver, to be broadcast.
+    With more than ``broadcast_limit`` seeds (checked by a bounded count) the
+    scores stay a table and every round runs the native forms instead."""
     spark = wc.sparkSession
     words_df = cut_lineage(wc.repartition(task_count(spark), "word"))
-    seeds = top_pieces(seed_pieces(words_df, max_len, min_freq), seed_size)
+    seeds = cut_lineage(top_pieces(seed_pieces(words_df, max_len, min_freq), seed_size))
+    if seeds.limit(broadcast_limit + 1).count() > broadcast_limit:
+        return _train_vocab_native(words_df, seeds, vocab_size, em_rounds, shrink, max_len, max_prune_rounds)
     scores = _score_dict(initial_scores(seeds))
     target = vocab_size - len(RESERVED)
     history: list[float] = []
@@ -467,3 +555,24 @@ def train_vocab(
     train_vocab.history = history
     table = spark.createDataFrame(list(scores.items()), "piece string, score double")
     return rank_vocab(table, vocab_size)
+
+
+def _train_vocab_native(words_df, seeds, vocab_size, em_rounds, shrink, max_len, max_prune_rounds) -> DataFrame:
+    """``train_vocab`` with the score table kept distributed: native E step, M step and
+    pruning, each round's tables checkpointed; nothing passes through the driver but
+    counts and the log-likelihood."""
+    target = vocab_size - len(RESERVED)
+    pieces = cut_lineage(initial_scores(seeds))
+    history: list[float] = []
+    for _ in range(max_prune_rounds):
+        scored = None
+        for _ in range(em_rounds):
+            counts = cut_lineage(em_step_native(words_df, pieces, max_len))
+            history.append(float(counts.where(F.col("piece").isNull()).first()["n"]))
+            scored = cut_lineage(m_step_df(counts))
+            pieces = scored.select("piece", "score")
+        if scored.count() <= target:
+            break
+        pieces = cut_lineage(prune_native(scored, target, shrink, max_len))
+    train_vocab.history = history
+    return rank_vocab(pieces, vocab_size)

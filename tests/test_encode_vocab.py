@@ -230,3 +230,36 @@ def test_token_counts_with_a_hot_word(spark):
             assert got == {k: c for k, c in want.items() if c[0] > 0}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_native_em_and_prune_match_broadcast_forms(spark):
+    """Beyond the broadcast limit the E step and pruning are native folds: same results."""
+    import random
+
+    rnd = random.Random(21)
+    alphabet = "▁ㄱㅏㄴㅎ"
+    scores = {p: -rnd.uniform(1, 9) for p in {"".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 4))) for _ in range(25)}}
+    words = {"▁" + "".join(rnd.choice(alphabet + "ㅋ") for _ in range(rnd.randint(0, 12))) for _ in range(80)}
+    wc = spark.createDataFrame([(w, rnd.randint(1, 5)) for w in sorted(words)], "word string, n long")
+    sdf = spark.createDataFrame(list(scores.items()), "piece string, score double")
+    a = {r["piece"]: r["n"] for r in vocab.em_step(wc, scores).collect()}
+    b = {r["piece"]: r["n"] for r in vocab.em_step_native(wc, sdf).collect()}
+    assert a.keys() == b.keys()
+    assert all(math.isclose(a[p], b[p], rel_tol=1e-9, abs_tol=1e-12) for p in a)
+    counts = spark.createDataFrame([(p, n) for p, n in a.items()], "piece string, n double")
+    scored = vocab.m_step_df(counts)
+    sc = {r["piece"]: r["score"] for r in scored.collect()}
+    for target, shrink in [(5, 0.5), (12, 0.8)]:
+        want = {r["piece"] for r in vocab.prune_df(scored, sc, target, shrink).collect()}
+        got = {r["piece"] for r in vocab.prune_native(scored, target, shrink).collect()}
+        assert got == want
+
+
+def test_train_vocab_native_path_matches(spark):
+    """The same vocabulary whether the scores are broadcast or kept as a table."""
+    docs = fx.table(spark, SMALL, "documents").select("text")
+    wc = vocab.word_counts(docs, "text", True, fx.hangulize).where(F.length("word") <= 8)
+    a = {r["piece"]: r["score"] for r in vocab.train_vocab(wc, 120, 400, em_rounds=1, shrink=0.6).collect()}
+    b = {r["piece"]: r["score"] for r in vocab.train_vocab(wc, 120, 400, em_rounds=1, shrink=0.6, broadcast_limit=10).collect()}
+    assert a.keys() == b.keys()
+    assert all(math.isclose(a[p], b[p], abs_tol=2e-6) for p in a)
