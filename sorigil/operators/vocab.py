@@ -246,7 +246,27 @@ def _segment_lse(vals: np.ndarray, seg: np.ndarray) -> tuple[np.ndarray, np.ndar
     return seg[starts], m + np.log(np.add.reduceat(np.exp(vals - np.repeat(m, sizes)), starts))
 
 
-def batch_expected_counts(words: list, freqs: np.ndarray, index: dict, score_arr: np.ndarray, max_len: int, unk_score: float, pref: frozenset):
+try:  # optional: a C automaton that finds every piece in a word in one pass
+    import ahocorasick
+except ImportError:  # pragma: no cover - the Python scan below is used instead
+    ahocorasick = None
+
+
+def piece_automaton(index: dict):
+    """Aho-Corasick automaton over the pieces (value = (piece index, length)), or None
+    when the module is not installed."""
+    if ahocorasick is None or not index:
+        return None
+    a = ahocorasick.Automaton()
+    for p, j in index.items():
+        a.add_word(p, (j, len(p)))
+    a.make_automaton()
+    return a
+
+
+def batch_expected_counts(
+    words: list, freqs: np.ndarray, index: dict, score_arr: np.ndarray, max_len: int, unk_score: float, pref: frozenset, automaton=None
+):
     """Forward-backward for a batch of words at once: (log-likelihood, expected count per
     piece index). ``index`` maps piece -> position in ``score_arr``.
 
@@ -258,6 +278,17 @@ def batch_expected_counts(words: list, freqs: np.ndarray, index: dict, score_arr
     aw, ab, ae, ap = wi.append, bb.append, ee.append, pp.append
     for k, word in enumerate(words):
         n = len(word)
+        if automaton is not None:
+            covered = [False] * n
+            for end, (j, size) in automaton.iter(word):
+                if size <= max_len:
+                    aw(k), ab(end - size + 1), ae(end + 1), ap(j)
+                    if size == 1:
+                        covered[end] = True
+            for b in range(n):
+                if not covered[b]:
+                    aw(k), ab(b), ae(b + 1), ap(-1)
+            continue
         for b in range(n):
             single = False
             for e in range(b + 1, min(n, b + max_len) + 1):
@@ -311,11 +342,12 @@ def _em_partitions(scores_bc, max_len: int, unk_score: float):
         index = {p: i for i, p in enumerate(pieces)}
         score_arr = np.array([scores[p] for p in pieces], dtype="float64")
         pref = prefixes(scores)
+        automaton = piece_automaton(index)
         acc = np.zeros(len(pieces))
         ll = 0.0
         for pdf in batches:
             lw, c = batch_expected_counts(
-                pdf["word"].tolist(), pdf["n"].to_numpy(dtype="float64"), index, score_arr, max_len, unk_score, pref
+                pdf["word"].tolist(), pdf["n"].to_numpy(dtype="float64"), index, score_arr, max_len, unk_score, pref, automaton
             )
             ll += lw
             acc += c

@@ -177,6 +177,8 @@ def test_batch_forward_backward_equals_per_word():
         index = {p: i for i, p in enumerate(names)}
         arr = np.array([scores[p] for p in names])
         ll, counts = vocab.batch_expected_counts(words, freqs, index, arr, 16, -30.0, vocab.prefixes(scores))
+        ll_a, counts_a = vocab.batch_expected_counts(words, freqs, index, arr, 16, -30.0, vocab.prefixes(scores), vocab.piece_automaton(index))
+        assert math.isclose(ll, ll_a, rel_tol=1e-12) and np.allclose(counts, counts_a, rtol=1e-12, atol=0)
         want_ll, want = 0.0, {}
         for w, f in zip(words, freqs):
             l1, c1 = vocab.expected_counts(w, f, scores, 16, -30.0)
