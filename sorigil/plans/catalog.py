@@ -103,7 +103,9 @@ def source_counts_q(spark, sf_dir):
 def progress_q(spark, sf_dir):
     """W4 + P6: per encoding batch, rows done, total and running count of valid encodings."""
     t = _with_audio_positions(spark, sf_dir)
-    valid = F.coalesce(F.length(jamo("text")) > 0, F.lit(False))
+    # a row encodes when its jamo text is non-empty; jamo decomposition maps a text to the
+    # empty string only if it is empty, so the text's own length decides (no Python stage)
+    valid = F.coalesce(F.length("text") > 0, F.lit(False))
     return listing.progress(t.select("pos", valid.alias("valid")), BATCH_SIZE)
 
 
