@@ -1,3 +1,57 @@
 """DuckDB SQL for the queries of this folder that SQL can express."""
 
+from sorigil.llm import quality_divergence as quality
+
 ORACLE: dict[str, str] = {}
+
+
+def _quality() -> str:
+    """The rule in SQL: counts by regular expressions and lists, distances by sums over bins."""
+    space = "[\\x20\\x09-\\x0D]"
+    classes = {"lower": "[a-z]", "space": space, "other_script": "[^\\x00-\\x7F]", "upper": "[A-Z]", "digit": "[0-9]", "symbol": "[#*$%&|<>]"}
+    one = ", ".join(f"length(t) - length(regexp_replace(t, '{p}', '', 'g')) AS c_{k}" for k, p in classes.items())
+    known = ", ".join(f"'{k}'" for k in quality.FUNCTION_WORDS)
+    common = "[" + ", ".join(f"'{w}'" for w in quality.COMMON) + "]"
+    ref = "coalesce(sum({0}) OVER (PARTITION BY of_lang, kind), 0)"
+    return f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, CASE WHEN lang IN ({known}) THEN lang ELSE 'other' END AS of_lang FROM documents
+), w AS (
+  SELECT *, list_filter(string_split_regex(t, '{space}+'), x -> x <> '') AS words,
+    list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines, {one}, length(t) AS n_chars FROM d
+), b AS (
+  SELECT r, of_lang, 'c' AS kind, unnest(['lower', 'space', 'other_script', 'upper', 'digit', 'symbol', 'rest']) AS bin,
+    unnest([c_lower, c_space, c_other_script, c_upper, c_digit, c_symbol, n_chars - c_lower - c_space - c_other_script - c_upper - c_digit - c_symbol]) AS n FROM w
+  UNION ALL
+  SELECT r, of_lang, 'w', bin, count(word) FROM (
+    SELECT r, of_lang, CASE WHEN list_contains({common}, word) THEN word ELSE '(other)' END AS bin, word FROM (SELECT r, of_lang, unnest(words) AS word FROM w)) GROUP BY ALL
+), grid AS (
+  SELECT w.r, w.of_lang, k.kind, k.bin FROM w JOIN (SELECT DISTINCT of_lang, kind, bin FROM b) k ON k.of_lang = w.of_lang
+), p AS (
+  SELECT g.r, g.kind, g.of_lang, g.bin, coalesce(b.n, 0) AS n FROM grid g LEFT JOIN b ON b.r = g.r AND b.kind = g.kind AND b.bin = g.bin
+), s AS (
+  SELECT r, kind, CASE WHEN sum(n) OVER (PARTITION BY r, kind) > 0 THEN n / sum(n) OVER (PARTITION BY r, kind) ELSE 0 END AS a,
+    CASE WHEN sum(n) OVER (PARTITION BY of_lang, kind) > 0 THEN sum(n) OVER (PARTITION BY of_lang, kind, bin) / sum(n) OVER (PARTITION BY of_lang, kind) ELSE 0 END AS q FROM p
+), j AS (
+  SELECT r, sqrt(greatest(sum(CASE WHEN kind = 'c' THEN x END), 0)) AS class_distance, sqrt(greatest(sum(CASE WHEN kind = 'w' THEN x END), 0)) AS word_distance FROM (
+    SELECT r, kind, (CASE WHEN a > 0 THEN a * log2(2 * a / (a + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (a + q)) ELSE 0 END) / 2 AS x FROM s) GROUP BY r
+), g5 AS (
+  SELECT r, unnest(range(1, len(words) - 3)) AS i, words FROM w WHERE len(words) > {quality.WINDOW}
+), g AS (
+  SELECT r, i, count(*) OVER (PARTITION BY r, words[i : i + 4]) AS n FROM g5
+), h AS (
+  SELECT r, sum(least({quality.WINDOW}, coalesce(nxt - i, {quality.WINDOW}))) AS n_repeat_words FROM (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS nxt FROM g WHERE n > 1) GROUP BY r
+), z AS (
+  SELECT doc_id, len(words)::BIGINT AS n_words, (n_chars - c_space)::BIGINT AS word_chars, c_symbol::BIGINT AS n_symbols,
+    (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, n_chars, class_distance, word_distance
+  FROM w LEFT JOIN j ON j.r = w.r LEFT JOIN h ON h.r = w.r
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < {quality.LEAST_WORDS_BASE} OR 100 * n_repeat_words > {quality.MOST_REPEATED} * n_words AS base_failed,
+  NOT (n_words < {quality.LEAST_WORDS_BASE} OR 100 * n_repeat_words > {quality.MOST_REPEATED} * n_words)
+  AND NOT (n_chars >= {quality.LEAST_CHARS} AND coalesce(class_distance, 0) > {quality.MOST_CLASS})
+  AND NOT (n_words >= {quality.LEAST_WORDS} AND coalesce(word_distance, 0) > {quality.MOST_WORD}) AS kept
+FROM z"""
+
+
+ORACLE["op9_distribution_divergence"] = _quality()

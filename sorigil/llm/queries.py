@@ -22,3 +22,11 @@ def op6_assignment_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sorigil.llm.secret_lexer import find_secrets
 
     return find_secrets(table(spark, sf_dir, "documents"))
+
+
+@register
+def op9_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality verdict of every document."""
+    from sorigil.llm.quality_divergence import judge
+
+    return judge(table(spark, sf_dir, "documents"))
