@@ -17,8 +17,8 @@ def _quality() -> str:
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, CASE WHEN lang IN ({known}) THEN lang ELSE 'other' END AS of_lang FROM documents
 ), w AS (
-  SELECT *, list_filter(string_split_regex(t, '{space}+'), x -> x <> '') AS words,
-    list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines, {one}, length(t) AS n_chars FROM d
+  SELECT *, list_filter(string_split_regex(t, '{space}+'), lambda x: x <> '') AS words,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines, {one}, length(t) AS n_chars FROM d
 ), b AS (
   SELECT r, of_lang, 'c' AS kind, unnest(['lower', 'space', 'other_script', 'upper', 'digit', 'symbol', 'rest']) AS bin,
     unnest([c_lower, c_space, c_other_script, c_upper, c_digit, c_symbol, n_chars - c_lower - c_space - c_other_script - c_upper - c_digit - c_symbol]) AS n FROM w

@@ -30,3 +30,11 @@ def op9_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sorigil.llm.quality_divergence import judge
 
     return judge(table(spark, sf_dir, "documents"))
+
+
+@register
+def op7_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate group of every document."""
+    from sorigil.llm.superminhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
