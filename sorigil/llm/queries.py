@@ -38,3 +38,11 @@ def op7_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sorigil.llm.superminhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register
+def op3_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in every document."""
+    from sorigil.llm.fm_decontamination import report
+
+    return report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
