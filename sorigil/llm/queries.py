@@ -46,3 +46,11 @@ def op3_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sorigil.llm.fm_decontamination import report
 
     return report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register
+def op8_best_fit_decreasing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token windows packed from all documents."""
+    from sorigil.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"))
