@@ -55,3 +55,12 @@ FROM z"""
 
 
 ORACLE["op9_distribution_divergence"] = _quality()
+
+ORACLE["op4_content_addressed_warc"] = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS digest FROM pages
+), k AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS keeper FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+  CASE WHEN n < 100 OR page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN n < 100 OR page_id = keeper THEN NULL ELSE keeper END AS refers_to
+FROM k"""

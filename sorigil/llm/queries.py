@@ -54,3 +54,11 @@ def op8_best_fit_decreasing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sorigil.llm.packing import pack
 
     return pack(table(spark, sf_dir, "documents"))
+
+
+@register
+def op4_content_addressed_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive of every page, written and read back."""
+    from sorigil.llm.warc_store import archive_and_read
+
+    return archive_and_read(table(spark, sf_dir, "pages"))
