@@ -62,3 +62,11 @@ def op4_content_addressed_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sorigil.llm.warc_store import archive_and_read
 
     return archive_and_read(table(spark, sf_dir, "pages"))
+
+
+@register
+def op10_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    from sorigil.llm.toxicity_fm import toxicity
+
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
