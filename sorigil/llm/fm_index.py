@@ -50,8 +50,10 @@ class WaveletMatrix:
         return symbol, i
 
 
-def suffix_ranks(text: np.ndarray) -> np.ndarray:
-    """The place of every suffix in sorted order, by prefix doubling over those not yet told apart."""
+def suffix_ranks(text: np.ndarray, depth: int | None = None) -> np.ndarray:
+    """The place of every suffix in sorted order, by prefix doubling over those not yet told apart.
+
+    With ``depth``, suffixes that agree on that many symbols need not be told apart (they get one place)."""
     n, stop = len(text), text == 0
     n_stops = int(np.count_nonzero(stop))
     rank = np.empty(n, np.int64)
@@ -60,7 +62,7 @@ def suffix_ranks(text: np.ndarray) -> np.ndarray:
     rank[~stop] = n_stops + (np.cumsum(counts) - counts)[text[~stop]]
     open_ = np.flatnonzero(~stop & (counts[text] > 1))
     span = 1
-    while len(open_):
+    while len(open_) and span < (depth or n):
         order = np.argsort(rank[open_] * n + rank[open_ + span])  # a suffix still open has no stop within ``span``
         open_ = open_[order]
         old, nxt = rank[open_], rank[open_ + span]

@@ -70,3 +70,11 @@ def op10_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sorigil.llm.toxicity_fm import toxicity
 
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register
+def op2_host_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from sorigil.llm.host_suffix_array import main_texts
+
+    return main_texts(table(spark, sf_dir, "pages"))
