@@ -1,5 +1,6 @@
 """DuckDB SQL for the queries of this folder that SQL can express."""
 
+from sorigil.llm import license_rules as licence
 from sorigil.llm import quality_divergence as quality
 
 ORACLE: dict[str, str] = {}
@@ -64,3 +65,34 @@ SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
   CASE WHEN n < 100 OR page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN n < 100 OR page_id = keeper THEN NULL ELSE keeper END AS refers_to
 FROM k"""
+
+
+def _licences() -> str:
+    """Sentences as lists, identifiers by CASE, one step per rule."""
+    cases = []
+    for name, pattern in licence.SENTENCES:
+        has = "([" in pattern or "(by" in pattern
+        version = f" || ':' || replace(regexp_replace(regexp_extract(s, '{pattern}', 1), '[. ]+$', ''), ' ', '-')" if has else ""
+        cases.append(f"WHEN regexp_matches(s, '{pattern}') THEN '{name}'{version}")
+    steps = []
+    for i, (name, pattern) in enumerate(licence.RULES):
+        before, version, after = name.partition("\\1")
+        taken = f"regexp_extract_all(seq, '{pattern if version else '(' + pattern + ')'}', 1)"
+        names = f"list_transform({taken}, lambda v: '{before}' || v || '{after}')" if version else f"list_transform({taken}, lambda v: '{name}')"
+        steps.append(f"r{i + 1} AS (SELECT doc_id, n_sentences, ids, list_concat(found, {names}) AS found, regexp_replace(seq, '{pattern}', '', 'g') AS seq FROM r{i})")
+    return f"""
+WITH cut AS (
+  SELECT doc_id, list_transform(
+    list_filter(string_split(regexp_replace(coalesce(text, ''), '([.!?;])[\\x20\\x09\\x0D]+', '\\1' || chr(10), 'g'), chr(10)), lambda s: regexp_matches(s, '{licence.LICENCE_WORDS}')),
+    lambda s: regexp_replace(regexp_replace(lower(s), '[^a-z0-9.]+', ' ', 'g'), '^[ .]+|[ .]+$', '', 'g')) AS sentences FROM documents
+), known AS (
+  SELECT doc_id, len(sentences)::BIGINT AS n_sentences, list_filter(list_transform(sentences, lambda s: CASE {' '.join(cases)} END), lambda i: i IS NOT NULL) AS ids FROM cut
+), r0 AS (
+  SELECT doc_id, n_sentences, ids, []::VARCHAR[] AS found, coalesce(list_aggregate(list_transform(ids, lambda i: '<' || i || '>'), 'string_agg', ''), '') AS seq FROM known
+), {', '.join(steps)}
+SELECT doc_id, n_sentences, coalesce(list_aggregate(ids, 'string_agg', ','), '') AS identifiers, coalesce(list_aggregate(found, 'string_agg', ','), '') AS licences,
+  replace(substring(seq, 2, greatest(length(seq) - 2, 0)), '><', ',') AS left_over
+FROM r{len(licence.RULES)}"""
+
+
+ORACLE["op1_sentence_rules"] = _licences()

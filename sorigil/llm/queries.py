@@ -78,3 +78,11 @@ def op2_host_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sorigil.llm.host_suffix_array import main_texts
 
     return main_texts(table(spark, sf_dir, "pages"))
+
+
+@register
+def op1_sentence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of every document."""
+    from sorigil.llm.license_rules import scan
+
+    return scan(table(spark, sf_dir, "documents"))
