@@ -86,3 +86,11 @@ def op1_sentence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sorigil.llm.license_rules import scan
 
     return scan(table(spark, sf_dir, "documents"))
+
+
+@register
+def op5_bayesian_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page."""
+    from sorigil.llm.language_fusion import identify
+
+    return identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
