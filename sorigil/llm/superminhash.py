@@ -10,13 +10,15 @@ Grouping:
 
 1. one scan turns every text into a narrow row: set size, 128-bit digest of the set, band keys;
 2. equal sets become one representative (their least id), so copies cost one row from here on;
-3. representatives that share a band key are candidates. Candidates are checked by hubs: in each round
-   the first few members of a bucket, one in the first round and eight times as many in each later one, are compared
-   with the bucket's later members that are not yet in the hub's component. A hub whose round is over has been
-   compared with every other member (or already shares its component), so when all buckets are used up no
-   candidate pair is left open; a bucket of near copies ends after the first round with as many pairs as members;
-4. a pair is a link when the full sets, joined in by id, meet the threshold;
-5. components by union-find over the links: small batches first contract their own links, then
+3. representatives that share a band key are candidates. First every member of a bucket is compared with one hub,
+   the bucket's least member: one pair a member, and groups of near copies come together across their
+   32 bands of hubs;
+4. what is left open are members outside the largest component of their bucket. They are compared with every
+   member of the bucket that is in another component, in blocks of bounded volume within tasks (a third
+   of the documents in one bucket is many blocks); only links that join components leave a task. After that every
+   candidate pair is compared or lies within one component;
+5. a pair is a link when the full sets meet the threshold;
+6. components by union-find over the links: small batches first contract their own links, then
    large-star and small-star rounds join the rest with partial aggregation, all in written tables.
 
 ``BANDS`` of ``ROWS`` registers miss a pair at similarity 0.8 with probability (1 - 0.8**5)**32 = 3e-6, less above.
@@ -34,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sorigil.llm.common import slices, stored
@@ -44,7 +46,7 @@ ROWS, BANDS = 5, 32
 REGISTERS = ROWS * BANDS
 SHINGLE = 2  # contract: words in a shingle
 LEAST_PERCENT = 80  # contract: 100 * intersection >= 80 * union
-HUB_GROWTH = 8
+VOLUME = 200_000  # shingles of one side of a block
 ELEMENTS_AT_ONCE = 200_000
 
 _STEP = np.uint64(0xD1342543DE82EF95)
@@ -148,19 +150,11 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         parent: dict[int, int] = {}
 
-        def find(x: int) -> int:
-            top = x
-            while parent.setdefault(top, top) != top:
-                top = parent[top]
-            while parent[x] != top:
-                parent[x], x = top, parent[x]
-            return top
-
         for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            a, b = find(a), find(b)
+            a, b = top_of(parent, a), top_of(parent, b)
             if a != b:
                 parent[max(a, b)] = min(a, b)
-        pairs = [(x, find(x)) for x in list(parent) if find(x) != x]
+        pairs = [(x, top_of(parent, x)) for x in list(parent) if top_of(parent, x) != x]
         yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
 
@@ -202,36 +196,86 @@ def candidates(features: DataFrame) -> DataFrame:
     return stored(keyed.join(shared, "key", "left_semi"), "buckets")
 
 
-def hubs_of(members: DataFrame, done: int, hubs: int) -> DataFrame:
-    """The members of each bucket at places done + 1 to done + hubs by id (a limited window: the map side
-    already keeps no more than that many)."""
-    place = F.row_number().over(Window.partitionBy("key").orderBy("id"))
-    some = members.withColumn("place", place).where((F.col("place") <= done + hubs) & (F.col("place") > done))
-    return some.select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-
-
 def links_of(docs: DataFrame, features: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(node, root) of all representatives that are linked with another."""
     buckets = candidates(features)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")).join(buckets.select("id").distinct(), "id", "left_semi")
     sets = stored(texts.mapInArrow(_sets, "id long, shingles array<long>").where("size(shingles) > 0"), "sets")
-    links, tested, labels, hubs, done = same_document(features), None, None, 1, 0
-    while True:
-        if labels is None:
-            members = buckets.withColumn("root", F.col("id"))
-        else:
-            rooted = buckets.join(labels, F.col("id") == F.col("node"), "left").select("key", "id", "n", F.coalesce("root", "id").alias("root"))
-            mixed = rooted.groupBy("key").agg(F.count("*").alias("m"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-            members = stored(rooted.join(mixed.where((F.col("lo") != F.col("hi")) & (F.col("m") > done + 1)).select("key"), "key", "left_semi"), "members")
-            if members.isEmpty():
-                return labels
-        pairs = members.join(hubs_of(members, done, hubs), "key").where("id > a and root <> ra")
-        near = pairs.where(100 * F.least("na", "n") >= LEAST_PERCENT * F.greatest("na", "n")).select("a", F.col("id").alias("b")).distinct()
-        near = stored(near if tested is None else near.join(tested, ["a", "b"], "left_anti"), "pairs")
-        tested = near if tested is None else tested.unionAll(near)
-        links = links.unionAll(stored(verified(near, sets), "links"))
-        labels = components(links)
-        done, hubs = done + hubs, hubs * HUB_GROWTH
+    hubs = buckets.groupBy("key").agg(F.min(F.struct("id", "n")).alias("hub")).select("key", F.col("hub.id").alias("a"), F.col("hub.n").alias("na"))
+    pairs = buckets.join(hubs, "key").where("id > a").where(100 * F.least("na", "n") >= LEAST_PERCENT * F.greatest("na", "n"))
+    links = same_document(features).unionAll(stored(verified(pairs.select("a", F.col("id").alias("b")).distinct(), sets), "links"))
+    labels = components(links)
+    rest = open_links(buckets, labels, sets)
+    return labels if rest.isEmpty() else components(links.unionAll(rest))
+
+
+def open_links(buckets: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between members of one bucket that are not in one component yet."""
+    rooted = buckets.join(labels, F.col("id") == F.col("node"), "left").select("key", "id", "n", F.coalesce("root", "id").alias("root"))
+    per_root = rooted.groupBy("key", "root").agg(F.count("*").alias("m"), F.sum("n").alias("volume"))
+    mixed = per_root.groupBy("key").agg(F.count("*").alias("roots"), F.max(F.struct("m", "volume", "root")).alias("top"), F.sum("volume").alias("volume")).where("roots > 1")
+    shape = mixed.select(
+        "key", F.col("top.root").alias("major"),
+        F.ceil((F.col("volume") - F.col("top.volume")) / VOLUME).cast("int").alias("asking"), F.ceil(F.col("volume") / VOLUME).cast("int").alias("asked"),
+    )
+    open_ = stored(rooted.join(shape, "key"), "open")
+    ask = open_.where("root <> major").select("key", F.pmod(F.xxhash64("id"), "asking").alias("a"), F.explode(F.sequence(F.lit(0), F.col("asked") - 1)).alias("b"), F.lit(True).alias("asks"), "id", "root")
+    every = open_.select("key", F.explode(F.sequence(F.lit(0), F.col("asking") - 1)).alias("a"), F.pmod(F.xxhash64("root", "id"), "asked").alias("b"), F.lit(False).alias("asks"), "id", "root")
+    blocks = ask.select("key", F.col("a").cast("long"), F.col("b").cast("long"), "asks", "id", "root").unionAll(every.select("key", F.col("a").cast("long"), F.col("b").cast("long"), "asks", "id", "root"))
+    return stored(blocks.join(sets, "id").select("key", "a", "b", "asks", "id", "root", "shingles").groupBy("key", "a", "b").applyInArrow(_compare, "a long, b long"), "links")
+
+
+def common_counts(asking: pa.ListArray, asked: pa.ListArray, at_once: int = 2_000_000) -> Iterator[tuple[int, np.ndarray]]:
+    """For stretches of ``asked`` sets: the first one's number and how many shingles each has in common with each asking set."""
+    values, sizes = asking.flatten().to_numpy(), asking.value_lengths().to_numpy()
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    others, size = asked.flatten().to_numpy(), asked.value_lengths().to_numpy()
+    lo, hi = np.searchsorted(values, others, "left"), np.searchsorted(values, others, "right")
+    ends = np.cumsum(size)
+    work = np.r_[0, np.cumsum(hi - lo)][np.r_[0, ends]]
+    first = 0
+    while first < len(size):
+        last = max(first + 1, int(np.searchsorted(work, work[first] + at_once, "right")) - 1)
+        a, b = ends[first] - size[first], ends[last - 1]
+        n = (hi - lo)[a:b]
+        hit = owner[np.repeat(lo[a:b] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        row = np.repeat(np.repeat(np.arange(last - first), size[first:last]), n)
+        yield first, np.bincount(row * len(sizes) + hit, minlength=(last - first) * len(sizes)).reshape(last - first, len(sizes))
+        first = last
+
+
+def _compare(block: pa.Table) -> pa.Table:
+    """Links of a block that join two components: the asking sets against the others."""
+    block = block.combine_chunks()
+    asks = block["asks"].to_numpy()
+    one, two = block.filter(pa.array(asks)), block.filter(pa.array(~asks))
+    links: list[tuple[int, int]] = []
+    if one.num_rows and two.num_rows:
+        sets = [t["shingles"].combine_chunks() for t in (one, two)]
+        sets = [s.chunk(0) if isinstance(s, pa.ChunkedArray) else s for s in sets]
+        size = [s.value_lengths().to_numpy() for s in sets]
+        ids, roots = ([t[c].to_pylist() for t in (one, two)] for c in ("id", "root"))
+        parent: dict[int, int] = {}
+        for first, common in common_counts(*sets):
+            together = size[1][first : first + len(common), None] + size[0][None, :] - common
+            for j, i in zip(*np.nonzero(100 * common >= LEAST_PERCENT * together)):
+                x, y = top_of(parent, roots[0][i]), top_of(parent, roots[1][first + j])
+                if x != y:
+                    parent[max(x, y)] = min(x, y)
+                    links.append((ids[0][i], ids[1][first + j]))
+    return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+
+def top_of(parent: dict[int, int], x: int) -> int:
+    """The least node of x's group, shortening the way there."""
+    top = x
+    while parent.setdefault(top, top) != top:
+        top = parent[top]
+    while parent[x] != top:
+        parent[x], x = top, parent[x]
+    return top
 
 
 def same_document(features: DataFrame) -> DataFrame:
