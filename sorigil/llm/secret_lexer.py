@@ -83,7 +83,7 @@ def literal_spans(text: str) -> list[tuple[int, int]]:
     """Spans of literals whose name, or a name they are handed on to, is sensitive."""
     if "=" not in text and ":" not in text and "</" not in text:
         return []
-    literals: list[tuple[int, int, float]] = []  # start, end, weight of the names reached
+    literals: list[tuple[int, int, float, str]] = []  # start, end, weight of the names reached, value
     value_of: dict[str, int] = {}  # name -> literal
     for m in _LEX.finditer(text):
         if m["tag"]:
@@ -93,17 +93,18 @@ def literal_spans(text: str) -> list[tuple[int, int]]:
         weight, value = name_weight(name), m[kind]
         if kind == "bare" and value in value_of:  # a constant named before: its literal gets this name as well
             at = value_of[name] = value_of[value]
-            start, end, had = literals[at]
-            literals[at] = (start, end, max(had, weight))
+            start, end, had, value = literals[at]
+            literals[at] = (start, end, max(had, weight), value)
             continue
         start, end = m.span(kind)
         more = kind in ("dq", "sq") and _PLUS.match(text, m.end())
         while more:  # "a" + "b": one value, marked to its end
             end = more.end(1) if more[1] is not None else more.end(2)
+            value += more[1] or more[2] or ""
             more = _PLUS.match(text, more.end())
         value_of[name] = len(literals)
-        literals.append((start, end, weight))
-    return sorted({(s, e) for s, e, w in literals if w > 0 and w + literal_weight(text[s:e]) >= SCORE})
+        literals.append((start, end, weight, value))
+    return sorted({(s, e) for s, e, w, v in literals if w > 0 and w + literal_weight(v) >= SCORE})
 
 
 def scan(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
