@@ -10,9 +10,10 @@ more words that two distinct pages have. What such substrings cover is boilerpla
   when ``COVERED`` or more of its words are covered; blocks with more unique runs than that stay whole. A page that would
   lose every block is a copy of another page and keeps them.
 
-Pages are range-partitioned by host and id, so a host is contiguous, a host that holds a third of all pages is
-spread over as many tasks as it fills, and one task never holds more than ``STREAM`` words at a time: a
-longer host is worked in stretches of its pages. The html crosses the network once.
+Pages are partitioned by host. Hosts of more than ``HOST_PAGES`` pages (more in tables beyond 200 million pages, so that
+there are at most 100,000 such hosts and their list can be broadcast) are dealt by page id over as many shares as
+they fill, each with suffix arrays of its own. A task reads its pages in order and never holds more than about
+``STREAM`` words; a longer share is worked in stretches. The html crosses the network once.
 
 Results: null and empty html give an empty text. A null address is the host "". Rows that repeat an id are
 pages of their own, but a page is never evidence against its own copy by id. Other columns are not read.
@@ -20,6 +21,7 @@ pages of their own, but a page is never evidence against its own copy by id. Oth
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import partial
 
@@ -28,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from sorigil.llm.common import slices
 from sorigil.llm.fm_index import suffix_ranks
@@ -37,6 +40,7 @@ from sorigil.llm.words import NOT_SPACE, find_words, mix
 LEAST = 12  # words of a repeated substring
 COVERED = 0.8
 STREAM = 1 << 20  # words in one suffix array
+HOST_PAGES, HOT_HOSTS = 2000, 100_000
 ARTICLE, MAIN, OTHER, CHROME = range(4)
 
 
@@ -86,11 +90,14 @@ class Stretch:
         self.words = 0
         self.number: dict[tuple, int] = {}
 
-    def add(self, page_id, url: str | None, host: str, html: str | None) -> None:
+    def add(self, page_id, url: str | None, host: tuple, html: str | None) -> int:
+        """Adds a page; returns about how many words it has."""
         found = blocks(html)
         self.rows.append((page_id, url, self.number.setdefault((host, page_id), len(self.number)), found))
-        self.hosts.append(hash(host) & 0x7FFFFFFFFFFFFFFF)
-        self.words += sum(len(t) for _, t in found) // 6
+        self.hosts.append(zlib.crc32(repr(host).encode()))
+        words = sum(len(t) for _, t in found) // 6
+        self.words += words
+        return words
 
     def texts(self) -> list[tuple]:
         size = [len(r[3]) for r in self.rows]
@@ -115,35 +122,37 @@ class Stretch:
 
 
 def _extract(id_type: pa.DataType, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted pages (host, id, url, html) in; texts out."""
+    """Sorted pages (host, share, id, url, html) in; texts out."""
 
     def done(stretch: Stretch) -> pa.RecordBatch:
         cols = list(zip(*stretch.texts()))
         kinds = [id_type, pa.string(), pa.string(), pa.int64(), pa.int64()]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["id", "url", "text", "n_chars", "n_repeated"])
 
-    stretch, last = Stretch(), None
+    stretch, last, of_host = Stretch(), None, 0
     for batch in batches:
         for part in slices(batch, 1000, 4 << 20):
-            for host, page_id, url, html in zip(*(c.to_pylist() for c in part.columns)):
-                if stretch.rows and (stretch.words >= STREAM or (host != last and stretch.words >= STREAM // 2)):
+            for name, share, page_id, url, html in zip(*(c.to_pylist() for c in part.columns)):
+                host = (name, share)
+                of_host = of_host if host == last else 0
+                if stretch.rows and (of_host >= STREAM or (host != last and stretch.words >= STREAM // 2)):
                     yield done(stretch)
-                    stretch = Stretch()
+                    stretch, of_host = Stretch(), 0
                 last = host
-                stretch.add(page_id, url, host, html)
+                of_host += stretch.add(page_id, url, host, html)
     if stretch.rows:
         yield done(stretch)
 
 
-def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", partitions: int | None = None) -> DataFrame:
+def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per row of ``pages``: id, url, text, n_chars and the words that other pages of the host repeat."""
     spark = pages.sparkSession
-    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     hosted = pages.select(host_of(F.col(url_col)).alias("host"), F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    ordered = hosted.repartitionByRange(n, "host", "id").sortWithinPartitions("host", "id")
+    most = max(HOST_PAGES, -(-pages.count() // HOT_HOSTS))
+    hot = hosted.groupBy("host").count().where(F.col("count") > most).select("host", F.ceil(F.col("count") / most).alias("shares"))
+    dealt = hosted.join(F.broadcast(hot), "host", "left").withColumn("share", F.coalesce(F.pmod(F.xxhash64("id"), "shares"), F.lit(0).cast("long")))
+    ordered = dealt.select("host", "share", "id", "url", "html").repartition(tasks, "host", "share").sortWithinPartitions("host", "share", "id")
     kind = pages.schema[id_col].dataType
-    from pyspark.sql.pandas.types import to_arrow_type
-
     schema = T.StructType([T.StructField("id", kind), *T._parse_datatype_string("url string, text string, n_chars long, n_repeated long")])
-    out = ordered.mapInArrow(partial(_extract, to_arrow_type(kind)), schema)
-    return out.withColumnsRenamed({"id": id_col, "url": url_col})
+    return ordered.mapInArrow(partial(_extract, to_arrow_type(kind)), schema).withColumnsRenamed({"id": id_col, "url": url_col})

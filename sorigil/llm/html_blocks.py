@@ -12,6 +12,7 @@ SPACE = re.compile(r"[\x20\x09-\x0D]+")
 
 # Elements by their part in a page.
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
+WITHIN = frozenset("script style template noscript".split())  # may stand within a sentence
 DROPPED = frozenset("head nav aside footer form button select option svg math canvas object audio video dialog menu fieldset".split()) | RAW
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
@@ -86,7 +87,8 @@ def blocks(page: str | None) -> list[tuple[int, str]]:
             continue
         name, ending = tag[2].lower(), bool(tag[1])
         if not ending and name in RAW:
-            close()
+            if name not in WITHIN:
+                close()
             end = end_of(page, name, at)
             if end < 0:
                 break
@@ -95,7 +97,7 @@ def blocks(page: str | None) -> list[tuple[int, str]]:
         if name in INLINE and not skip:
             if name == "br":
                 parts.append(" ")
-            if name in VOID or ending or not (tag[3] and is_chrome(name, tag[3], articles > 0)):
+            if name in VOID or ending or not (tag[3] and is_chrome(name, tag[3], articles + mains > 0)):
                 continue
         elif name in VOID:
             if name == "hr":
@@ -118,7 +120,7 @@ def blocks(page: str | None) -> list[tuple[int, str]]:
                 mains = max(0, mains - 1)
         elif skip and (depth or name not in (ARTICLE, MAIN)):
             depth += name == skip and depth > 0
-        elif is_chrome(name, tag[3], articles > 0):
+        elif is_chrome(name, tag[3], articles + mains > 0):
             if not tag[3].endswith("/"):
                 close()
                 skip, depth = name, int(end_of(page, name, at) >= 0)

@@ -27,10 +27,10 @@ def text_of(page):
         ("plain  words\n here", "plain words here"),
         ("<article><h1>A&amp;b&lt;</h1><p>one <b>two</b>\n three<br>four<p>five</article>", "A&b<\none two three four\nfive"),
         ("<nav>menu</nav><article><p>x</p><div class='comments'><p>c</p></div><p>y</p></article><footer>f</footer>", "x\ny"),
-        ("<header><h1>site</h1></header><main><header><h1>T</h1></header><p>a<script>if (a</b) '</p>'</script>b</p></main>", "a b" if False else "ab"),
+        ("<header><h1>site</h1></header><main><header><h1>T</h1></header><p>a<script>if (a</b) '</p>'</script>b</p></main>", "T\nab"),
         ("<body><aside>s</aside><div id=cookie-banner>c<div>d</div>e</div><p>p</p><form>f<p>g</p></form></body>", "p"),
         ("<body><nav>never closed <p>m</p><article>a</article>", "a"),
-        ("<p title='a > b'>x</p><p title=\"q>y</p><!-- c --><p>z", "x\nz" if False else "x"),
+        ("<p title='a > b'>x</p><p title=\"q>y</p><!-- c --><p>z", "x\ny\nz"),
         ("<ARTICLE><P>Upper</P><SCRIPT>x</SCRIPT></ARTICLE><p>out</p>", "Upper"),
         ("1 < 2 &am &amp 3 &#233; &nosuch;", "1 < 2 &am & 3 é &nosuch;"),
         ("<article><ul><li>a<li>b</ul><table><tr><td>c<td>d</table></article>", "a\nb\nc\nd"),
