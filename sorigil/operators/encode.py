@@ -234,21 +234,21 @@ def decode_ids(encoded: DataFrame, key: str, vocab: DataFrame, ids_col: str = "i
     return g.select(key, text.alias("text"))
 
 
-def text_token_counts(texts: DataFrame, key: str, segmented: DataFrame, text_col: str = "jamo") -> DataFrame:
+def text_token_counts(texts: DataFrame, key: str, segmented: DataFrame, text_col: str = "jamo", convert=None) -> DataFrame:
     """``key, n, u``: tokens and unknown tokens per text, without assembling the token arrays.
 
-    A text's counts are sums over its words, so the segmented words are reduced
-    to ``word, n, u`` first; the text words join them on the word (one shuffle
-    of narrow rows, AQE splits a hot word) and are summed per text with
-    map-side partial aggregation."""
+    Each text's words are counted first (with map-side combine, so a word repeated in a text is one narrow
+    row), every distinct word finds its token counts once, and the products are summed per text. ``convert``
+    (a Column function, such as the jamo decomposition) runs on the distinct words only, never on whole texts."""
     per_word = segmented.select(
         "word", F.size("ids").alias("n"), F.size(F.filter("ids", lambda i: i == UNK_ID)).alias("u")
     )
-    return (
-        text_words(texts, key, text_col)
-        .join(per_word, "word")
-        .groupBy(key)
-        .agg(F.sum("n").cast("int").alias("n"), F.sum("u").cast("int").alias("u"))
+    raw = texts.select(key, F.explode(F.split(text_col, WHITESPACE_RE)).alias("w")).where(F.length("w") > 0)
+    per_text = raw.groupBy(key, "w").agg(F.count(F.lit(1)).alias("times"))
+    names = raw.select("w").distinct().select("w", mark_word(convert(F.col("w")) if convert else F.col("w")).alias("word"))
+    tokens = names.join(per_word, "word").select("w", "n", "u")
+    return per_text.join(tokens, "w").groupBy(key).agg(
+        F.sum(F.col("n") * F.col("times")).cast("int").alias("n"), F.sum(F.col("u") * F.col("times")).cast("int").alias("u")
     )
 
 

@@ -156,11 +156,18 @@ def initial_scores(pieces: DataFrame) -> DataFrame:
 def rank_vocab(scores: DataFrame, vocab_size: int) -> DataFrame:
     """L2: ``id, piece, score``: reserved ids 0-3, then pieces by score descending, ties by piece.
 
-    Scores are rounded to 1e-6 before ranking so partition-dependent float
-    sums do not reorder equal scores. At most ``vocab_size - 4`` pieces are
-    ranked (a bounded top-k), so the final window is over a bounded table."""
+    Every single character has a place, whatever its score, so no text of the corpus has an
+    unknown token; the best longer pieces fill the rest of exactly ``vocab_size`` rows (fewer only when
+    there are fewer pieces). A size that cannot hold the alphabet is an error. Scores are rounded to 1e-6
+    before ranking so partition-dependent float sums do not reorder equal scores. At most
+    ``vocab_size - 4`` pieces are ranked (a bounded top-k), so the final window is over a bounded table."""
     k = vocab_size - len(RESERVED)
-    top = scores.select("piece", F.round("score", 6).alias("score")).orderBy(F.col("score").desc(), F.col("piece")).limit(k)
+    single = F.length("piece") == 1
+    n_single = scores.where(single).count()
+    if n_single > k:
+        raise ValueError(f"a vocabulary of {vocab_size} cannot hold the alphabet of {n_single} characters")
+    rounded = scores.select("piece", F.round("score", 6).alias("score"))
+    top = rounded.orderBy(single.desc(), F.col("score").desc(), F.col("piece")).limit(k)
     w = Window.orderBy(F.col("score").desc(), F.col("piece"))
     ranked = top.select((F.row_number().over(w) + len(RESERVED) - 1).cast("int").alias("id"), "piece", "score")
     spark = scores.sparkSession
@@ -168,6 +175,16 @@ def rank_vocab(scores: DataFrame, vocab_size: int) -> DataFrame:
     return reserved.unionByName(ranked)
 
 
+def covered(seeds: DataFrame, wc: DataFrame, coverage: float) -> DataFrame:
+    """A4 in training: seeds made of the most frequent characters that cover ``coverage`` of the corpus.
+
+    The characters left out are collected (bounded by the alphabet); none at coverage 1.0."""
+    if coverage >= 1.0:
+        return seeds
+    out = "".join(r["char"] for r in char_coverage(wc, coverage).where(~F.col("kept")).select("char").collect())
+    return seeds.where(F.translate("piece", out, "") == F.col("piece")) if out else seeds
+
+
 # --------------------------------------------------------------------------
 # EM over the lattice of each distinct word (A7) and pruning.
 # The per-word forward-backward is a small NumPy/Python helper run inside
@@ -246,26 +263,8 @@ def _segment_lse(vals: np.ndarray, seg: np.ndarray) -> tuple[np.ndarray, np.ndar
     return seg[starts], m + np.log(np.add.reduceat(np.exp(vals - np.repeat(m, sizes)), starts))
 
 
-try:  # optional: a C automaton that finds every piece in a word in one pass
-    import ahocorasick
-except ImportError:  # pragma: no cover - the Python scan below is used instead
-    ahocorasick = None
-
-
-def piece_automaton(index: dict):
-    """Aho-Corasick automaton over the pieces (value = (piece index, length)), or None
-    when the module is not installed."""
-    if ahocorasick is None or not index:
-        return None
-    a = ahocorasick.Automaton()
-    for p, j in index.items():
-        a.add_word(p, (j, len(p)))
-    a.make_automaton()
-    return a
-
-
 def batch_expected_counts(
-    words: list, freqs: np.ndarray, index: dict, score_arr: np.ndarray, max_len: int, unk_score: float, pref: frozenset, automaton=None
+    words: list, freqs: np.ndarray, index: dict, score_arr: np.ndarray, max_len: int, unk_score: float, pref: frozenset
 ):
     """Forward-backward for a batch of words at once: (log-likelihood, expected count per
     piece index). ``index`` maps piece -> position in ``score_arr``.
@@ -278,17 +277,6 @@ def batch_expected_counts(
     aw, ab, ae, ap = wi.append, bb.append, ee.append, pp.append
     for k, word in enumerate(words):
         n = len(word)
-        if automaton is not None:
-            covered = [False] * n
-            for end, (j, size) in automaton.iter(word):
-                if size <= max_len:
-                    aw(k), ab(end - size + 1), ae(end + 1), ap(j)
-                    if size == 1:
-                        covered[end] = True
-            for b in range(n):
-                if not covered[b]:
-                    aw(k), ab(b), ae(b + 1), ap(-1)
-            continue
         for b in range(n):
             single = False
             for e in range(b + 1, min(n, b + max_len) + 1):
@@ -342,12 +330,11 @@ def _em_partitions(scores_bc, max_len: int, unk_score: float):
         index = {p: i for i, p in enumerate(pieces)}
         score_arr = np.array([scores[p] for p in pieces], dtype="float64")
         pref = prefixes(scores)
-        automaton = piece_automaton(index)
         acc = np.zeros(len(pieces))
         ll = 0.0
         for pdf in batches:
             lw, c = batch_expected_counts(
-                pdf["word"].tolist(), pdf["n"].to_numpy(dtype="float64"), index, score_arr, max_len, unk_score, pref, automaton
+                pdf["word"].tolist(), pdf["n"].to_numpy(dtype="float64"), index, score_arr, max_len, unk_score, pref
             )
             ll += lw
             acc += c
@@ -412,11 +399,21 @@ def prune(scores: dict, counts: dict, keep_chars: set, target: int, shrink: floa
     return {p: scores[p] for p in kept}
 
 
-def m_step_df(counts: DataFrame, min_count: float = 1e-3) -> DataFrame:
-    """A7 (M step) on Spark: ``piece, score, n`` with score = log(n / total) over the
-    pieces kept (expected count at least ``min_count``, or a single character).
-    The total is a scalar subquery; the count table is bounded by the current vocabulary."""
-    kept = counts.where(F.col("piece").isNotNull() & ((F.col("n") >= min_count) | (F.length("piece") == 1)))
+COUNT_FLOOR = 1e-3
+
+
+def m_step_df(counts: DataFrame, min_count: float = COUNT_FLOOR, pieces: DataFrame | None = None) -> DataFrame:
+    """A7 (M step) on Spark: ``piece, score, n`` with score = log(n / total).
+
+    Without ``pieces``, over the pieces with an expected count of at least ``min_count`` and all single
+    characters. With ``pieces`` every piece stays, counts below ``min_count`` raised to it: only pruning
+    makes the vocabulary smaller, so its size never falls short. The total is a scalar subquery; the
+    count table is bounded by the current vocabulary."""
+    if pieces is None:
+        kept = counts.where(F.col("piece").isNotNull() & ((F.col("n") >= min_count) | (F.length("piece") == 1)))
+    else:
+        kept = pieces.select("piece").join(counts.where(F.col("piece").isNotNull()), "piece", "left")
+        kept = kept.select("piece", F.greatest(F.coalesce("n", F.lit(0.0)), F.lit(min_count)).alias("n"))
     total = kept.agg(F.sum("n")).scalar()
     return kept.select("piece", F.log(F.greatest(F.col("n"), F.lit(1e-12)) / total).alias("score"), "n")
 
@@ -464,6 +461,7 @@ def _score_dict(scores: DataFrame) -> dict:
 # split are ``aggregate`` folds over each word's (piece's) edge array.
 
 BROADCAST_SCORES_LIMIT = 1_000_000
+PRUNE_MARGIN = 1.1  # pieces left by pruning, as a multiple of the vocabulary
 _NEG_INF = float("-inf")
 
 
@@ -549,10 +547,16 @@ def train_vocab(
     shrink: float = 0.75,
     max_len: int = MAX_PIECE_LEN,
     min_freq: int = 2,
-    max_prune_rounds: int = 40,
     broadcast_limit: int = BROADCAST_SCORES_LIMIT,
+    coverage: float = 1.0,
+    history: list[float] | None = None,
 ) -> DataFrame:
-    """A4-A8 + L2: unigram vocabulary trained by EM with pruning.
+    """A4-A8 + L2: unigram vocabulary of exactly ``vocab_size`` rows trained by EM with pruning
+    (fewer rows only if the corpus has fewer candidate pieces).
+
+    Seeds are the best ``seed_size`` substrings and every character within ``coverage``. Rounds of EM and
+    pruning go on until a tenth more pieces than wanted are left; a last EM then scores those, and all
+    characters plus the best pieces make up the vocabulary.
 
     The distinct-word table is hash-partitioned and checkpointed once into the
     shared checkpoint folder. Every round broadcasts the score table (bounded
@@ -563,48 +567,26 @@ def train_vocab(
     rounds and the E step runs once per round. Only the
     bounded score dictionary passes through the driver, to be broadcast.
     With more than ``broadcast_limit`` seeds (checked by a bounded count) the
-    scores stay a table and every round runs the native forms instead."""
-    spark = wc.sparkSession
-    words_df = cut_lineage(wc.repartition(task_count(spark), "word"))
-    seeds = cut_lineage(top_pieces(seed_pieces(words_df, max_len, min_freq), seed_size))
-    if seeds.limit(broadcast_limit + 1).count() > broadcast_limit:
-        return _train_vocab_native(words_df, seeds, vocab_size, em_rounds, shrink, max_len, max_prune_rounds)
-    scores = _score_dict(initial_scores(seeds))
-    target = vocab_size - len(RESERVED)
-    history: list[float] = []
-    for _ in range(max_prune_rounds):
-        scored = None
-        for _ in range(em_rounds):
-            counts = cut_lineage(em_step(words_df, scores, max_len))
-            scored = m_step_df(counts)  # a projection of the checkpointed counts
-            # one job brings back the new scores and the log-likelihood row (null piece)
-            likelihood = counts.where(F.col("piece").isNull()).select("piece", F.col("n").alias("score"))
-            scores = _score_dict(scored.select("piece", "score").unionByName(likelihood))
-            history.append(float(scores.pop(None)))
-        if len(scores) <= target:
-            break
-        scores = _score_dict(prune_df(scored, scores, target, shrink, max_len))
-    train_vocab.history = history
-    table = spark.createDataFrame(list(scores.items()), "piece string, score double")
-    return rank_vocab(table, vocab_size)
-
-
-def _train_vocab_native(words_df, seeds, vocab_size, em_rounds, shrink, max_len, max_prune_rounds) -> DataFrame:
-    """``train_vocab`` with the score table kept distributed: native E step, M step and
-    pruning, each round's tables checkpointed; nothing passes through the driver but
-    counts and the log-likelihood."""
-    target = vocab_size - len(RESERVED)
+    scores stay a table and every round runs the native forms instead.
+    The log-likelihood of each E step is appended to ``history``."""
+    words_df = cut_lineage(wc.repartition(task_count(wc.sparkSession), "word"))
+    seeds = cut_lineage(top_pieces(covered(seed_pieces(words_df, max_len, min_freq), words_df, coverage), seed_size))
+    native = seeds.limit(broadcast_limit + 1).count() > broadcast_limit
+    wanted = math.ceil((vocab_size - len(RESERVED)) * PRUNE_MARGIN)
+    seen = [] if history is None else history
     pieces = cut_lineage(initial_scores(seeds))
-    history: list[float] = []
-    for _ in range(max_prune_rounds):
-        scored = None
+    while True:
         for _ in range(em_rounds):
-            counts = cut_lineage(em_step_native(words_df, pieces, max_len))
-            history.append(float(counts.where(F.col("piece").isNull()).first()["n"]))
-            scored = cut_lineage(m_step_df(counts))
+            if native:
+                counts = cut_lineage(em_step_native(words_df, pieces, max_len))
+            else:
+                counts = cut_lineage(em_step(words_df, _score_dict(pieces), max_len))
+            seen.append(float(counts.where(F.col("piece").isNull()).first()["n"]))
+            scored = cut_lineage(m_step_df(counts, pieces=pieces))
             pieces = scored.select("piece", "score")
-        if scored.count() <= target:
-            break
-        pieces = cut_lineage(prune_native(scored, target, shrink, max_len))
-    train_vocab.history = history
-    return rank_vocab(pieces, vocab_size)
+        if scored.count() <= wanted:
+            return rank_vocab(pieces, vocab_size)
+        if native:
+            pieces = cut_lineage(prune_native(scored, wanted, shrink, max_len))
+        else:
+            pieces = cut_lineage(prune_df(scored, _score_dict(pieces), wanted, shrink, max_len))

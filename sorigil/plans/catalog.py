@@ -35,7 +35,7 @@ def jamo_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---- data sets, order and batching (P1-P4, U1, W1-W3, L1) -----------------
-from sorigil.functions.jamo import jamo  # noqa: E402
+from sorigil.functions.jamo import hangul_to_jamo, jamo  # noqa: E402
 from sorigil.operators import listing, order  # noqa: E402
 
 BATCH_SIZE = 8
@@ -327,7 +327,7 @@ def mel_features_q(spark, sf_dir):
 from sorigil.operators import encode  # noqa: E402
 
 VOCAB_SIZE = 8000
-SEED_TOP = 8000
+SEED_TOP = 32_000
 
 
 def _doc_words(spark, sf_dir):
@@ -409,22 +409,21 @@ def decode_ids_q(spark, sf_dir):
 @register("token_stats")
 def token_stats_q(spark, sf_dir):
     """Tokens per transcript and unknown rate per data set."""
-    t = _transcripts(spark, sf_dir).select("doc_id", "source", jamo("text").alias("jamo"))
+    t = _transcripts(spark, sf_dir).select("doc_id", "source", "text")
     w = _words_once(spark, sf_dir)
     v = _seed_vocab(spark, sf_dir, w)
-    counts = encode.text_token_counts(t, "doc_id", encode.segment_words(w, v))
+    counts = encode.text_token_counts(t, "doc_id", encode.segment_words(w, v), "text", hangul_to_jamo)
     # texts without words count zero tokens
     per_text = t.select("doc_id", "source").join(counts, "doc_id", "left").na.fill(0, ["n", "u"])
     s = encode.token_stats(per_text, "source", ids_col=None)
     return s.select("source", "n_texts", F.round("avg_tokens", 6).alias("avg_tokens"), "max_tokens", "median_tokens", F.round("unk_rate", 6).alias("unk_rate"))
 
 
-TRAIN_VOCAB_SIZE = 1000
-TRAIN_SEED_SIZE = 4000
+TRAIN_SEED_SIZE = 100_000
 
 
 @register("train_vocab")
 def train_vocab_q(spark, sf_dir):
     """A4-A8 + L2: unigram vocabulary trained by EM with pruning on the corpus words
     (iterative; checked by invariants and row count, no SQL twin)."""
-    return vocab.train_vocab(_doc_words(spark, sf_dir), TRAIN_VOCAB_SIZE, TRAIN_SEED_SIZE, em_rounds=1, shrink=0.5)
+    return vocab.train_vocab(_doc_words(spark, sf_dir), VOCAB_SIZE, TRAIN_SEED_SIZE)

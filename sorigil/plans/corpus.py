@@ -26,25 +26,24 @@ from sorigil.sources import metadata as M
 
 
 def prepare_corpus(spark: SparkSession, sources: Sequence[tuple[str, str, str]], out_dir: str, selected: Sequence[str] | None = None) -> DataFrame:
-    """Write ``<out_dir>/metadata_jamo/source=<name>`` and ``<out_dir>/all_jamo``; return the jamo metadata."""
+    """Write ``<out_dir>/metadata_jamo/source=<name>``, ``<out_dir>/all_jamo`` and the lines that do not fit to
+    ``<out_dir>/rejects``; return the jamo metadata (filename, text, jamo, source)."""
     meta = M.select_sources(M.load_sources(spark, sources, with_jamo=False), selected)
     with_jamo = meta.where(F.col("_bad").isNull()).withColumn("jamo", jamo("text"))
-    (
-        with_jamo.select("source", "filename", "text", "jamo")
-        .write.mode("overwrite")
-        .partitionBy("source")
-        .option("sep", "|")
-        .option("header", True)
-        .csv(f"{out_dir}/metadata_jamo")
-    )
+    cols = ["filename", "text", "jamo"]
+    # one read and one jamo pass; the corpus lines are made from the written rows
+    lines = with_jamo.select("source", M.metadata_line(cols).alias("|".join(cols)))
+    lines.write.mode("overwrite").partitionBy("source").option("header", True).option("quote", "").option("sep", "\u0001").option("emptyValue", "").csv(f"{out_dir}/metadata_jamo")
+    M.rejected(meta).write.mode("overwrite").parquet(f"{out_dir}/rejects")
+    with_jamo = M.read_metadata(spark, f"{out_dir}/metadata_jamo", with_jamo=True)
     M.write_corpus(with_jamo, f"{out_dir}/all_jamo")
     return with_jamo
 
 
 def file_number(filename="filename"):
     """Order key inside a data set: the last number in the file name (the reference names
-    clips by their enumeration index, ``zeroth_%06d.wav``)."""
-    return F.regexp_extract(F.col(filename), "([0-9]+)[^0-9]*$", 1).cast("long")
+    clips by their enumeration index). Null when there is no number, or one beyond 64 bits."""
+    return F.regexp_extract(F.col(filename), "([0-9]+)[^0-9]*$", 1).try_cast("long")
 
 
 def trainset_positions(meta: DataFrame, width: int = order.DEFAULT_BUCKET_WIDTH) -> DataFrame:

@@ -295,16 +295,17 @@ ORACLE["mel_features"] = _spectrum_sql(True)
 
 # ---- vocabulary -----------------------------------------------------------------
 VOCAB_SIZE = 8000
-SEED_TOP = 8000
+SEED_TOP = 32_000
 JAMO_WORDS = f"""SELECT '▁' || {jamo_sql(hangulize_sql('w'))} AS word, count(*) AS n
 FROM (SELECT unnest({words_sql('text')}) AS w FROM documents) x GROUP BY 1"""
 
 SEEDS = f"""
 jw AS ({JAMO_WORDS}),
 st AS (SELECT word, n, unnest(range(length(word))) AS b FROM jw),
-sk AS (SELECT word, n, b, unnest(range(1, least(16, length(word) - b) + 1)) AS k FROM st),
-agg AS (SELECT substr(word, b + 1, k) AS piece, sum(n)::BIGINT AS n FROM sk
-        WHERE b = 0 OR strpos(substr(word, b + 1, k), '▁') = 0 GROUP BY 1),
+win AS (SELECT substr(word, b + 1, 16) AS w, b = 0 AS first, sum(n) AS n FROM st GROUP BY ALL),
+sk AS (SELECT w, first, n, unnest(range(1, length(w) + 1)) AS k FROM win),
+agg AS (SELECT substr(w, 1, k) AS piece, sum(n)::BIGINT AS n FROM sk
+        WHERE first OR strpos(substr(w, 1, k), '▁') = 0 GROUP BY 1),
 seeds AS (SELECT piece, n, length(piece)::INTEGER AS len FROM agg WHERE n >= 2 OR length(piece) = 1),
 top AS ((SELECT * FROM seeds WHERE len > 1 ORDER BY n * len DESC, piece LIMIT {SEED_TOP})
         UNION ALL (SELECT * FROM seeds WHERE len = 1))"""
@@ -313,8 +314,8 @@ VOCAB = f"""
 {SEEDS},
 tot AS (SELECT sum(n) AS t FROM top),
 sc AS (SELECT piece, round(ln(n) - ln(t), 6) AS score FROM top, tot),
-ranked AS (SELECT (row_number() OVER (ORDER BY score DESC, piece) + 3)::INTEGER AS id, piece, score
-           FROM sc ORDER BY score DESC, piece LIMIT {VOCAB_SIZE - 4}),
+best AS (SELECT piece, score FROM sc ORDER BY length(piece) = 1 DESC, score DESC, piece LIMIT {VOCAB_SIZE - 4}),
+ranked AS (SELECT (row_number() OVER (ORDER BY score DESC, piece) + 3)::INTEGER AS id, piece, score FROM best),
 vocab AS (SELECT * FROM ranked UNION ALL
           SELECT * FROM (VALUES (0, '<pad>', 0.0::DOUBLE), (1, '<unk>', 0.0::DOUBLE), (2, '<s>', 0.0::DOUBLE), (3, '</s>', 0.0::DOUBLE)) v(id, piece, score))"""
 

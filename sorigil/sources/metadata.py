@@ -45,21 +45,45 @@ VOCAB_SCHEMA = T.StructType(
 )
 
 
+def parse_metadata(lines: DataFrame, with_jamo: bool = False) -> DataFrame:
+    """``value`` lines (header included or not) as metadata rows: shared by the batch and the stream reader.
+
+    A line is ``filename|text[|jamo]``, fields apart by ``|``. A quote is an ordinary character, unless a field both
+    begins and ends with one, as ``write_metadata`` writes fields that hold ``|``, a quote, a backslash or a line break
+    (``\\n`` and ``\\r`` stand for line breaks, a doubled backslash for one). A line that does not fit is kept whole
+    in ``_bad``, with a null file name; empty lines and header lines are left out."""
+    names = ["filename", "text"] + (["jamo"] if with_jamo else [])
+    header = "|".join(names)
+    line = F.regexp_replace("value", "\r$", "")
+    # fields: quoted ones (inner quotes doubled) or anything without the separator
+    fields = F.regexp_extract_all(F.concat(line, F.lit("|")), F.lit('("(?:[^"]|"")*"|[^|]*)[|]'), F.lit(1))
+    fits = F.size("_f") == len(names)
+
+    def field(i: int) -> Column:
+        raw = F.get("_f", i)
+        inner = F.expr(f"replace(substring(_f[{i}], 2, length(_f[{i}]) - 2), '\"\"', '\"')")
+        # undo the escapes in one pass each, a doubled backslash first made a mark no text holds
+        mark = F.lit("\ue000")
+        text = F.replace(inner, F.lit("\\\\"), mark)
+        text = F.replace(F.replace(text, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+        return F.when((F.length(raw) >= 2) & raw.startswith('"') & raw.endswith('"'), F.replace(text, mark, F.lit("\\"))).otherwise(F.nullif(raw, F.lit("")))
+
+    rows = lines.where((F.length("value") > 0) & (line != header)).withColumn("_f", fields)
+    good = [F.when(fits, field(i)).alias(n) for i, n in enumerate(names)]
+    rest = [c for c in lines.columns if c != "value"]
+    return rows.select(*good, F.when(~fits, line).alias("_bad"), *rest)
+
+
 def read_metadata(spark: SparkSession, paths: str | Sequence[str], with_jamo: bool = False) -> DataFrame:
-    """Pipe CSV with header; a row with an extra field is kept whole in ``_bad``.
-
-    Quoted fields may hold ``|`` and line breaks (as written by ``write_metadata``)."""
-    schema = JAMO_META_SCHEMA if with_jamo else META_SCHEMA
-    schema = T.StructType(schema.fields + [T.StructField("_bad", T.StringType())])
-    return (
-        spark.read.option("sep", "|")
-        .option("header", True)
-        .option("multiLine", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_bad")
-        .schema(schema)
-        .csv(list(paths) if not isinstance(paths, str) else paths)
-    )
+    """Pipe-separated lines with a header; a line that does not fit is kept whole in ``_bad``.
+
+    Files are read line by line, so a large file is split over tasks and an unclosed quote harms nothing."""
+    return parse_metadata(spark.read.option("lineSep", "\n").text(list(paths) if not isinstance(paths, str) else paths), with_jamo)
+
+
+def rejected(meta: DataFrame) -> DataFrame:
+    """The lines set aside, with the data set they come from where it is known."""
+    return meta.where(F.col("_bad").isNotNull()).select(F.col("_bad").alias("line"), *[c for c in ("source", "data_dir") if c in meta.columns])
 
 
 def add_source(df: DataFrame, data_dir: str, source: str, source_ord: int) -> DataFrame:
@@ -69,7 +93,7 @@ def add_source(df: DataFrame, data_dir: str, source: str, source_ord: int) -> Da
 
 def with_full_path(df: DataFrame) -> DataFrame:
     """``full_path = data_dir/wavs/filename``."""
-    return df.withColumn("full_path", resolve_path("data_dir", "filename"))
+    return df.withColumn("full_path", plain_path(resolve_path("data_dir", "filename")))
 
 
 def select_sources(df: DataFrame, sources: Sequence[str] | None, source_col: str = "source") -> DataFrame:
@@ -96,20 +120,23 @@ def load_sources(spark: SparkSession, sources: Sequence[tuple[str, str, str]], w
     """Read each data set's metadata file (``name, data_dir, metadata_path``), skip missing files,
     tag each with its name and order, and concatenate (S1 + P1 + P2 + U1)."""
     frames = []
-    jvm_fs = spark.sparkContext._jvm.org.apache.hadoop.fs
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for i, (name, data_dir, path) in enumerate(sources):
-        p = jvm_fs.Path(path)
-        if not p.getFileSystem(conf).exists(p):
-            continue
-        frames.append(with_full_path(add_source(read_metadata(spark, path, with_jamo), data_dir, name, i)))
+        if path_exists(spark, path):
+            frames.append(with_full_path(add_source(read_metadata(spark, path, with_jamo), data_dir, name, i)))
     return concat_sources(frames)
 
 
-def list_audio(spark: SparkSession, root: str, glob: str = "*.wav") -> DataFrame:
-    """``full_path, length`` of the audio files under ``root`` (content not read)."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(root)
-    return files.select(F.regexp_replace("path", "^file:", "").alias("full_path"), "length")
+def plain_path(path: Column) -> Column:
+    """A path without the ``file:`` scheme, slashes doubled by accident or a slash at its end; other schemes stay."""
+    local = F.regexp_replace(path, "^file:/*", "/")
+    return F.regexp_replace(F.regexp_replace(local, "(?<!:)/{2,}", "/"), "(?<=.)/$", "")
+
+
+def list_audio(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
+    """``full_path, length`` of the files under ``root``, of any type unless ``glob`` names one (content not read)."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    files = (reader.option("pathGlobFilter", glob) if glob else reader).load(root)
+    return files.select(plain_path(F.col("path")).alias("full_path"), "length")
 
 
 def read_speech_table(spark: SparkSession, path: str) -> DataFrame:
@@ -117,10 +144,22 @@ def read_speech_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SPEECH_SCHEMA).parquet(path)
 
 
+def metadata_line(cols: Sequence[str]) -> Column:
+    """One metadata line: fields that hold ``|``, a quote, a backslash or a line break are quoted and escaped; an empty field is quoted, null is not."""
+
+    def field(name: str) -> Column:
+        c = F.col(name).cast("string")
+        escaped = F.replace(F.replace(F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r")), F.lit('"'), F.lit('""'))
+        quoted = F.when((c == "") | c.rlike('[|"\\\\\n\r]'), F.concat(F.lit('"'), escaped, F.lit('"'))).otherwise(c)
+        return F.coalesce(quoted, F.lit(""))
+
+    return F.concat_ws("|", *(field(c) for c in cols))
+
+
 def write_metadata(df: DataFrame, path: str, with_jamo: bool = False, mode: str = "overwrite") -> None:
-    """``filename|text[|jamo]`` with a header line; fields holding ``|`` are quoted."""
+    """``filename|text[|jamo]``, one line per row, each file with a header line; an empty text is told from null."""
     cols = ["filename", "text"] + (["jamo"] if with_jamo else [])
-    df.select(*cols).write.mode(mode).option("sep", "|").option("header", True).csv(path)
+    df.select(metadata_line(cols).alias("|".join(cols))).write.mode(mode).option("header", True).option("quote", "").option("sep", "\u0001").option("emptyValue", "").csv(path)
 
 
 def write_corpus(df: DataFrame, path: str, col: str = "jamo", mode: str = "overwrite") -> None:
@@ -137,11 +176,17 @@ def load_processed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PROCESSED_SCHEMA).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether Spark's file layer finds ``path``."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def processed_or_build(spark: SparkSession, path: str, build) -> DataFrame:
-    """S6 reuse: load the processed table if it exists, otherwise build, save and load it."""
-    jvm_fs = spark.sparkContext._jvm.org.apache.hadoop.fs
-    p = jvm_fs.Path(path)
-    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+    """S6 reuse: load the processed table if a finished one exists, otherwise build, save and load it.
+
+    A folder without the ``_SUCCESS`` file is what a failed write left; it is overwritten."""
+    if not path_exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
         save_processed(build(), path)
     return load_processed(spark, path)
 

@@ -3,36 +3,26 @@
 The same operators as the batch corpus step (read pipe-separated metadata,
 decompose Hangul into jamo, write ``filename|text|jamo`` rows), run over
 metadata files as they arrive in a folder. Progress and exactly-once output
-come from the query's checkpoint location, which must be on shared storage
-(by default a sub-folder of ``spark.checkpoint.dir``).
+come from the query's checkpoint location, which the caller names and which must be on shared storage.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sorigil.functions.jamo import jamo
-from sorigil.sources.metadata import META_SCHEMA
-from sorigil.session import scratch_path
+from sorigil.sources.metadata import parse_metadata
 
 
 def metadata_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """S1 as a stream: new ``filename|text`` files under ``folder`` (header line consumed);
     a row that does not fit the schema is kept in ``_bad``."""
-    schema = T.StructType(META_SCHEMA.fields + [T.StructField("_bad", T.StringType())])
-    reader = (
-        spark.readStream.schema(schema)
-        .option("sep", "|")
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_bad")
-    )
+    reader = spark.readStream.option("lineSep", "\n")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.csv(folder).withColumn("source_file", F.col("_metadata.file_path"))
+    return parse_metadata(reader.text(folder).select("value", F.col("_metadata.file_path").alias("source_file")))
 
 
 def jamo_metadata_stream(stream: DataFrame) -> DataFrame:
@@ -44,12 +34,14 @@ def start_jamo_ingest(
     spark: SparkSession,
     in_folder: str,
     out_path: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Run the incremental corpus step into a Parquet table (append mode)."""
-    ckpt = checkpoint or scratch_path(spark, "jamo-ingest")
+    """Run the incremental corpus step into a Parquet table (append mode).
+
+    ``checkpoint`` is a folder on shared storage that belongs to this stream: a restart with the same folder
+    goes on where the last run ended, so each file is written once."""
     out = jamo_metadata_stream(metadata_stream(spark, in_folder)).writeStream.format("parquet").option("path", out_path)
-    out = out.option("checkpointLocation", ckpt).outputMode("append")
+    out = out.option("checkpointLocation", checkpoint).outputMode("append")
     out = out.trigger(availableNow=True) if available_now else out.trigger(processingTime="30 seconds")
     return out.start()

@@ -1,6 +1,8 @@
 import itertools
 import math
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from sorigil.operators import encode, vocab
@@ -78,19 +80,34 @@ def test_native_substrings_match_python(spark):
 def test_train_vocab_invariants(spark):
     docs = fx.table(spark, SMALL, "documents").select("text")
     wc = vocab.word_counts(docs, "text", True, fx.hangulize)
-    v = vocab.train_vocab(wc, vocab_size=300, seed_size=1200, em_rounds=2, shrink=0.6).orderBy("id").collect()
+    hist = []
+    v = vocab.train_vocab(wc, vocab_size=300, seed_size=1200, em_rounds=2, shrink=0.6, history=hist).orderBy("id").collect()
     assert [(r["id"], r["piece"]) for r in v[:4]] == [(0, "<pad>"), (1, "<unk>"), (2, "<s>"), (3, "</s>")]
     pieces = [r["piece"] for r in v[4:]]
     scores = [r["score"] for r in v[4:]]
-    assert len(pieces) == len(set(pieces)) and len(v) <= 300
+    assert len(pieces) == len(set(pieces)) and len(v) == 300
     assert all(a >= b for a, b in zip(scores, scores[1:]))
     assert all(len(p) <= 16 for p in pieces)
     chars = {c for r in wc.collect() for c in r["word"]}
     assert chars <= set(pieces)
-    hist = vocab.train_vocab.history
     assert hist[1] >= hist[0] - 1e-6 * abs(hist[0])  # EM does not lower the likelihood
 
 
+def test_rank_keeps_rare_characters_and_refuses_a_size_below_the_alphabet(spark):
+    scores = spark.createDataFrame([("ab", -1.0), ("bc", -1.5), ("a", -2.0), ("b", -9.0), ("c", -8.0)], "piece string, score double")
+    got = [(r["id"], r["piece"]) for r in vocab.rank_vocab(scores, 8).orderBy("id").collect()]
+    assert got[4:] == [(4, "ab"), (5, "a"), (6, "c"), (7, "b")]
+    with pytest.raises(ValueError, match="alphabet of 3"):
+        vocab.rank_vocab(scores, 6)
+
+
+def test_coverage_leaves_rare_characters_out_of_training(spark):
+    wc = spark.createDataFrame([("▁ab", 90), ("▁ba", 9), ("▁q", 1)], "word string, n long")
+    every = {r["piece"] for r in vocab.train_vocab(wc, 12, 50, em_rounds=1, min_freq=1).collect()}
+    most = {r["piece"] for r in vocab.train_vocab(wc, 12, 50, em_rounds=1, min_freq=1, coverage=0.99).collect()}
+    assert "q" in every and not any("q" in p for p in most) and {"a", "b", "▁"} <= most
+
+
 def test_encode_decode_round_trip(spark):
     docs = fx.table(spark, SMALL, "documents").select("doc_id", "text")
     wc = vocab.word_counts(docs, "text", True, fx.hangulize)
@@ -177,8 +194,6 @@ def test_batch_forward_backward_equals_per_word():
         index = {p: i for i, p in enumerate(names)}
         arr = np.array([scores[p] for p in names])
         ll, counts = vocab.batch_expected_counts(words, freqs, index, arr, 16, -30.0, vocab.prefixes(scores))
-        ll_a, counts_a = vocab.batch_expected_counts(words, freqs, index, arr, 16, -30.0, vocab.prefixes(scores), vocab.piece_automaton(index))
-        assert math.isclose(ll, ll_a, rel_tol=1e-12) and np.allclose(counts, counts_a, rtol=1e-12, atol=0)
         want_ll, want = 0.0, {}
         for w, f in zip(words, freqs):
             l1, c1 = vocab.expected_counts(w, f, scores, 16, -30.0)

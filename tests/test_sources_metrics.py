@@ -38,7 +38,7 @@ def test_sources_listing_and_concat(spark, tmp):
     srcs = [(n, os.path.join(tmp, n), os.path.join(tmp, n, "metadata.csv")) for n in ("kss", "absent", "zeroth")]
     meta = M.load_sources(spark, srcs)
     listing_df = M.list_audio(spark, tmp)
-    assert listing_df.count() == 3
+    assert listing_df.where(F.col("full_path").endswith(".wav")).count() == 3
     kept = listing.with_audio(meta, listing_df)
     assert kept.count() == 3
     counts = {r["source"]: (r["n_before"], r["n_after"]) for r in listing.source_counts(meta, listing_df).collect()}
@@ -108,3 +108,49 @@ def test_speech_table_round_trip(spark, tmp):
     got = sorted((r["text"], list(r["audio"]["array"]), r["audio"]["sampling_rate"]) for r in back.collect())
     assert got == [("", [], 44100), ("가", [0.0, 0.25, -1.0], 16000)]
     assert back.where(M.needs_resample("audio", 16000)).count() == 1
+
+
+def test_reader_keeps_rows_around_odd_lines(spark, tmp):
+    """An unclosed quote, a carriage return, a wrong number of fields, an empty and a missing text."""
+    path = os.path.join(tmp, "metadata.csv")
+    with open(path, "w", encoding="utf-8", newline="") as f:
+        f.write('filename|text\r\n1.wav|"open quote\n2.wav|say "hi"\n3.wav|a|b\nno separator\n4.wav|\n\n5.wav|""\n6.wav|"x|y"\n7.wav|C:\\new\n')
+    meta = M.read_metadata(spark, path)
+    got = {r["filename"]: r["text"] for r in meta.where("_bad is null").collect()}
+    assert got == {"1.wav": '"open quote', "2.wav": 'say "hi"', "4.wav": None, "5.wav": "", "6.wav": "x|y", "7.wav": "C:\\new"}
+    assert sorted(r["line"] for r in M.rejected(meta).collect()) == ["3.wav|a|b", "no separator"]
+
+
+def test_written_metadata_reads_back_in_batch_and_stream(spark, tmp):
+    from sorigil.streaming.ingest import metadata_stream
+
+    rows = [("a|b.wav", 'q"uo"te'), ("b.wav", "line\nbreak\r\n"), ("c.wav", ""), ("d.wav", None), ("e.wav", "back\\nslash \\\\"), ("f.wav", '"'), ("g.wav", " \\ "), ("h.wav", '"whole"')]
+    path = os.path.join(tmp, "meta")
+    M.write_metadata(spark.createDataFrame(rows, "filename string, text string"), path)
+    assert sorted((r["filename"], r["text"]) for r in M.read_metadata(spark, path).collect()) == sorted(rows, key=lambda r: r[0])
+    query = metadata_stream(spark, path).writeStream.format("memory").queryName("odd_lines").trigger(availableNow=True).start()
+    query.awaitTermination(120)
+    assert sorted((r["filename"], r["text"]) for r in spark.table("odd_lines").collect()) == sorted(rows, key=lambda r: r[0])
+
+
+def test_listing_takes_any_file_type_and_spelling_of_the_path(spark, tmp):
+    wavs = os.path.join(tmp, "set", "wavs")
+    os.makedirs(wavs)
+    for name in ("1.wav", "2.WAV", "3.flac"):
+        open(os.path.join(wavs, name), "wb").write(b"x")
+    meta = spark.createDataFrame([(n, "t") for n in ("1.wav", "2.WAV", "3.flac", "4.wav")], "filename string, text string")
+    from sorigil.operators import listing
+
+    for spelling in (f"{tmp}/set", f"file:{tmp}/set/", f"file://{tmp}//set"):
+        rows = M.with_full_path(M.add_source(meta, spelling, "set", 0))
+        assert sorted(r["filename"] for r in listing.with_audio(rows, M.list_audio(spark, tmp)).collect()) == ["1.wav", "2.WAV", "3.flac"]
+    assert M.list_audio(spark, tmp, "*.wav").count() == 1
+
+
+def test_an_unfinished_table_is_built_again(spark, tmp):
+    path = os.path.join(tmp, "processed")
+    os.makedirs(path)
+    open(os.path.join(path, "part-0.parquet.tmp"), "wb").write(b"half")
+    made = spark.createDataFrame([([1], [[1]], 0)], M.PROCESSED_SCHEMA)
+    assert M.processed_or_build(spark, path, lambda: made).count() == 1
+    assert M.processed_or_build(spark, path, lambda: 1 / 0).count() == 1
