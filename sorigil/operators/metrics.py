@@ -49,10 +49,9 @@ def channel_loss(pairs: DataFrame, pad: int, batch_col: str = "batch_id", channe
 
 
 def step_index(run_log: DataFrame, epoch: str = "epoch", ts_us: str = "ts_us", tiebreak: str = "event_id") -> DataFrame:
-    """0-based micro-step inside each epoch by (time, tiebreak), bucketed by the second of
-    the time stamp (microseconds) so no task holds a whole epoch."""
-    sec = F.floor(F.col(ts_us) / F.lit(1_000_000))
-    return order.ordered_index(run_log, [ts_us, tiebreak], [sec], [epoch], "step")
+    """0-based micro-step inside each epoch by (time, tiebreak), range-partitioned: a burst of
+    events within one second is spread like any other rows."""
+    return order.range_index(run_log, [ts_us, tiebreak], [epoch], "step")
 
 
 def epoch_metrics(run_log: DataFrame, accum: int = ACCUMULATION, epoch: str = "epoch", ts_us: str = "ts_us", loss: str = "loss") -> DataFrame:

@@ -4,12 +4,12 @@ The reference numbers rows by enumeration order: inside a data set (W1), after
 concatenating data sets (W2), in batches of B (W3), with running progress
 counts (W4), as a prefix (L1) and in a shuffled order per epoch (L3).
 
-``ordered_index`` gives every row its 0-based position without a window over
-the whole table (which would pull every row into one task): rows are grouped
-into key ranges ("buckets") that are monotone in the ordering, bucket sizes
-become offsets over the small bucket table, and ``row_number`` runs inside each
-bucket. With a unique integer key and ``key div width`` as the bucket, no
-bucket holds more than ``width`` rows, however skewed the data set sizes are.
+``range_index`` gives every row its 0-based position for any key (dense, sparse, hashed, a string, null) without
+a window over the whole table: rows are range-partitioned on the order, sorted within their partitions and written
+once; a partition's rows are counted, and offsets over that small table (one row per task and group) turn places
+within a partition into positions. Spark's sampled ranges keep the partitions even, so no task depends on how the
+keys are spread or how large a data set is. ``bucketed_index`` does the same in one lazy plan where buckets of the
+order are bounded by construction (the md5 keys of the shuffle).
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sorigil.session import cut_lineage, task_count
+
 DEFAULT_BUCKET_WIDTH = 4096
 SHUFFLE_BUCKET_HEX = 5  # 16**5 buckets by the first hex digits of the shuffle key
 
@@ -27,7 +29,7 @@ def _cols(cols) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
-def ordered_index(
+def bucketed_index(
     df: DataFrame,
     order_cols: Sequence,
     bucket_cols: Sequence,
@@ -53,52 +55,58 @@ def ordered_index(
     return out.drop("_off", *bucket_names)
 
 
-def source_index(df: DataFrame, key: str, source_col: str = "source", width: int = DEFAULT_BUCKET_WIDTH, name: str = "row_idx") -> DataFrame:
-    """0-based position by ``key`` (unique integer) inside each data set."""
-    return ordered_index(df, [key], [F.floor(F.col(key) / width)], [source_col], name)
+_TASK_BITS = 33  # monotonically_increasing_id: the task above, the row within it below
+
+
+def placed(df: DataFrame, order_cols: Sequence) -> DataFrame:
+    """``df`` range-partitioned and sorted on ``order_cols``, written once, with ``_task`` and ``_row`` (its place in the task)."""
+    order = _cols(order_cols)
+    sorted_df = df.repartitionByRange(task_count(df.sparkSession), *order).sortWithinPartitions(*order)
+    kept = cut_lineage(sorted_df.withColumn("_at", F.monotonically_increasing_id()))
+    return kept.withColumns({"_task": F.shiftright("_at", _TASK_BITS), "_row": F.col("_at").bitwiseAND(F.lit((1 << _TASK_BITS) - 1))}).drop("_at")
+
+
+def join_null_safe(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with the other columns of ``small``, whose rows are unique on ``keys``; null keys meet."""
+    renamed = small.withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(keys)})
+    on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    return df.join(renamed, on).drop(*(f"_k{i}" for i in range(len(keys))))
+
+
+def range_index(df: DataFrame, order_cols: Sequence, partition_cols: Sequence[str] = (), name: str = "idx") -> DataFrame:
+    """0-based position of each row ordered by ``order_cols`` inside ``partition_cols``, for any keys.
 
+    Nulls come first and are a group of their own. Rows that are equal on the whole order come in any order, so
+    the order should end with a key that tells them apart."""
+    rows = placed(df, [*partition_cols, *order_cols])
+    keys = [*partition_cols, "_task"]
+    blocks = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+    before = Window.partitionBy(*partition_cols).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select(*keys, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_off"))
+    out = join_null_safe(rows, offsets, keys)
+    return out.withColumn(name, (F.col("_row") + F.col("_off")).cast("bigint")).drop("_task", "_row", "_off")
 
-def global_pos(df: DataFrame, key: str, source_ord: str = "source_ord", width: int = DEFAULT_BUCKET_WIDTH, name: str = "pos") -> DataFrame:
+
+def source_index(df: DataFrame, key: str, source_col: str = "source", name: str = "row_idx") -> DataFrame:
+    """0-based position by ``key`` inside each data set."""
+    return range_index(df, [key], [source_col], name)
+
+
+def global_pos(df: DataFrame, key: str, source_ord: str = "source_ord", name: str = "pos") -> DataFrame:
     """Position after concatenating data sets in ``source_ord`` order, each in ``key`` order."""
-    return ordered_index(df, [source_ord, key], [F.col(source_ord), F.floor(F.col(key) / width)], (), name)
+    return range_index(df, [source_ord, key], (), name)
 
 
-def concat_positions(
-    df: DataFrame,
-    key: str,
-    source_col: str = "source",
-    source_ord: str = "source_ord",
-    width: int = DEFAULT_BUCKET_WIDTH,
-    order_cols: Sequence | None = None,
-    bucket: Column | None = None,
-) -> DataFrame:
+def concat_positions(df: DataFrame, key: str, source_col: str = "source", source_ord: str = "source_ord", order_cols: Sequence | None = None) -> DataFrame:
     """W1 + W2 together: ``row_idx`` inside the data set and global ``pos``.
 
-    Rows are ordered by ``order_cols`` (default: ``key``) inside a data set;
-    ``bucket`` (default: ``key div width``) must be non-decreasing along that
-    order. Two passes over ``df``: one aggregate of bucket sizes per data set,
-    and one join plus a ``row_number`` inside each bucket. Both offsets come from
-    the bucket-size table: the rows of earlier buckets of the same data set, and
-    the rows of earlier data sets in ``(source_ord, source)`` order (a table with
-    one row per data set, broadcast)."""
-    order_by = _cols(order_cols) if order_cols is not None else [F.col(key)]
-    with_b = df.withColumn("_b", bucket if bucket is not None else F.floor(F.col(key) / width))
-    # rows with a null key never meet their offsets in the inner join; dropping them
-    # up front gives both uses of the size table one plan, so its exchange is reused
-    with_b = with_b.where(F.col(source_ord).isNotNull() & F.col(source_col).isNotNull() & F.col("_b").isNotNull())
-    sizes = with_b.groupBy(source_ord, source_col, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    in_source = Window.partitionBy(source_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    per_source = sizes.groupBy(source_ord, source_col).agg(F.sum("_n").alias("_t"))
-    earlier = Window.orderBy(source_ord, source_col).rowsBetween(Window.unboundedPreceding, -1)
-    source_off = per_source.select(source_ord, source_col, F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias("_src_off"))
-    offsets = sizes.select(source_ord, source_col, "_b", F.coalesce(F.sum("_n").over(in_source), F.lit(0)).alias("_off")).join(
-        F.broadcast(source_off), [source_ord, source_col]
-    )
-    inside = Window.partitionBy(source_col, "_b").orderBy(*order_by)
-    out = with_b.join(offsets, [source_ord, source_col, "_b"]).withColumn(
-        "row_idx", (F.row_number().over(inside) - 1 + F.col("_off")).cast("bigint")
-    )
-    return out.withColumn("pos", (F.col("row_idx") + F.col("_src_off")).cast("bigint")).drop("_b", "_off", "_src_off")
+    Rows are ordered by ``order_cols`` (default: ``key``) inside a data set and data sets by
+    ``(source_ord, source)``; null data sets and keys come first. The global position needs one
+    range partitioning; a data set's first position, from an aggregate with one row per data set, gives the rest."""
+    order_by = list(order_cols) if order_cols is not None else [key]
+    out = range_index(df, [source_ord, source_col, *order_by], (), "pos")
+    first = out.groupBy(source_ord, source_col).agg(F.min("pos").alias("_start"))
+    return join_null_safe(out, first, [source_ord, source_col]).withColumn("row_idx", F.col("pos") - F.col("_start")).drop("_start")
 
 
 def batch_id(pos="pos", batch_size: int = 8) -> Column:
@@ -123,12 +131,14 @@ def shuffled_positions(df: DataFrame, epochs: Sequence[int] | int, seed: int = 0
     """L3: for each epoch, every row's position in that epoch's random order.
 
     The order key is an md5 hash, so its first hex digits spread rows evenly
-    over 16**5 buckets; positions come from ``ordered_index`` inside each epoch."""
+    over 16**5 buckets; positions come from ``bucketed_index`` inside each epoch."""
     ep = list(range(epochs)) if isinstance(epochs, int) else list(epochs)
-    with_epoch = df.select("*", F.explode(F.array(*[F.lit(e) for e in ep])).alias("epoch"))
+    # only positions are copied per epoch and shuffled; the rows join them once
+    with_epoch = df.select(pos, F.explode(F.array(*[F.lit(e) for e in ep])).alias("epoch"))
     keyed = with_epoch.withColumn("_key", shuffle_key("epoch", pos, seed))
     bucket = F.conv(F.substring("_key", 1, SHUFFLE_BUCKET_HEX), 16, 10).cast("int")
-    return ordered_index(keyed, ["_key"], [bucket], ["epoch"], name).drop("_key")
+    numbered = bucketed_index(keyed, ["_key"], [bucket], ["epoch"], name).drop("_key")
+    return numbered if df.columns == [pos] else df.join(numbered, pos).select(*df.columns, "epoch", name)
 
 
 def running_total(df: DataFrame, order_col: str, value_col: str, name: str, width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:

@@ -212,7 +212,7 @@ def clip_names_q(spark, sf_dir):
     from sorigil.functions.text import clip_filename
 
     c = fx.embeddings_as_clips(spark, sf_dir).select("clip_id")
-    idx = order.ordered_index(c, ["clip_id"], [F.floor(F.col("clip_id") / order.DEFAULT_BUCKET_WIDTH)], (), "idx")
+    idx = order.range_index(c, ["clip_id"], (), "idx")
     return idx.select("clip_id", "idx", clip_filename("idx").alias("filename"))
 
 

@@ -46,13 +46,11 @@ def file_number(filename="filename"):
     return F.regexp_extract(F.col(filename), "([0-9]+)[^0-9]*$", 1).try_cast("long")
 
 
-def trainset_positions(meta: DataFrame, width: int = order.DEFAULT_BUCKET_WIDTH) -> DataFrame:
-    """W1 + W2 without a whole-data-set window: rows ordered by (file number, file name)
-    inside each data set, buckets of ``width`` file numbers, then data sets in order
-    (``order.concat_positions``: two passes over the metadata)."""
-    keyed = meta.withColumn("_num", F.coalesce(file_number(), F.lit(0)))
-    bucket = F.floor(F.col("_num") / width)
-    return order.concat_positions(keyed, "_num", order_cols=["_num", "filename"], bucket=bucket).drop("_num")
+def trainset_positions(meta: DataFrame) -> DataFrame:
+    """W1 + W2: rows ordered by (file number, file name) inside each data set, data sets in order.
+
+    Files without a number come first, by name; they are spread over tasks like all others."""
+    return order.concat_positions(meta.withColumn("_num", file_number()), "_num", order_cols=["_num", "filename"]).drop("_num")
 
 
 def build_trainset(

@@ -19,7 +19,7 @@ def _skewed(spark):
 
 def test_concat_positions_match_brute_force(spark):
     df, rows = _skewed(spark)
-    got = {r["k"]: (r["row_idx"], r["pos"]) for r in order.concat_positions(df, "k", width=64).collect()}
+    got = {r["k"]: (r["row_idx"], r["pos"]) for r in order.concat_positions(df, "k").collect()}
     by_src = {}
     for k, s, o in rows:
         by_src.setdefault((o, s), []).append(k)
@@ -35,9 +35,9 @@ def test_positions_independent_of_partitions(spark):
     old = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         spark.conf.set("spark.sql.shuffle.partitions", "3")
-        a = sorted(tuple(r) for r in order.concat_positions(df, "k", width=16).collect())
+        a = sorted(tuple(r) for r in order.concat_positions(df, "k").collect())
         spark.conf.set("spark.sql.shuffle.partitions", "11")
-        b = sorted(tuple(r) for r in order.concat_positions(df.repartition(5), "k", width=16).collect())
+        b = sorted(tuple(r) for r in order.concat_positions(df.repartition(5), "k").collect())
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert a == b
@@ -64,3 +64,26 @@ def test_running_total_and_prefix(spark):
     p = spark.range(100).withColumnRenamed("id", "pos")
     assert order.max_samples(p, 10).count() == 10
     assert order.max_samples(p, None).count() == 100
+
+
+def test_positions_for_any_key(spark):
+    """Hashed, string, sparse, equal-second and missing keys; null data sets keep their rows."""
+    rng = random.Random(11)
+    rows = [(rng.getrandbits(62), f"file{rng.random()}.wav", "s" if i % 3 else None, 0 if i % 3 else None, 5 if i % 2 else None) for i in range(2000)]
+    df = spark.createDataFrame(rows, "h long, name string, source string, source_ord int, num long")
+    got = order.concat_positions(df, "h").collect()
+    want = sorted(rows, key=lambda r: (r[3] is not None, r[3] or 0, r[2] or "", r[0]))
+    assert [r["h"] for r in sorted(got, key=lambda r: r["pos"])] == [r[0] for r in want]
+    for src in ("s", None):
+        assert sorted(r["row_idx"] for r in got if r["source"] == src) == list(range(sum(r[2] == src for r in rows)))
+    by_name = order.range_index(df, ["num", "name"], ["source"], "i").collect()
+    for src in ("s", None):
+        mine = sorted((r for r in rows if r[2] == src), key=lambda r: (r[4] is not None, r[1]))
+        assert [r["name"] for r in sorted((r for r in by_name if r["source"] == src), key=lambda r: r["i"])] == [r[1] for r in mine]
+
+
+def test_no_task_holds_a_data_set_or_a_second(spark):
+    """Sparse keys of one data set spread evenly over the tasks."""
+    df = spark.range(20_000).select((F.col("id") * 1_000_003).alias("k"), F.lit("one").alias("source"), F.lit(0).alias("source_ord"))
+    sizes = [r["count"] for r in order.placed(df, ["source_ord", "source", "k"]).groupBy("_task").count().collect()]
+    assert sum(sizes) == 20_000 and max(sizes) < 20_000 / len(sizes) * 2 and len(sizes) >= 8

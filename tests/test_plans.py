@@ -67,7 +67,7 @@ def test_trainset_positions_brute_force(spark):
             rows.append((src, o, f"{rng.randint(1, 4)}/{rng.randint(1, 4)}_{num:04d}.wav"))
     rows = list({r[2] + r[0]: r for r in rows}.values())
     df = spark.createDataFrame(rows, "source string, source_ord int, filename string")
-    got = {(r["source"], r["filename"]): (r["row_idx"], r["pos"]) for r in trainset_positions(df, width=512).collect()}
+    got = {(r["source"], r["filename"]): (r["row_idx"], r["pos"]) for r in trainset_positions(df).collect()}
     pos = 0
     for src in ("kss", "zeroth", "x"):
         mine = sorted((int(f.split("_")[1][:4]), f) for s, _, f in rows if s == src)
@@ -75,3 +75,12 @@ def test_trainset_positions_brute_force(spark):
             assert got[(src, f)] == (i, pos)
             pos += 1
     assert len(got) == pos
+
+
+def test_files_without_a_number(spark):
+    from sorigil.plans.corpus import trainset_positions
+
+    names = ["intro.wav", "99999999999999999999999.wav", "b_2.wav", "a_10.wav", "outro.wav"]
+    df = spark.createDataFrame([("s", 0, n) for n in names], "source string, source_ord int, filename string")
+    got = {r["filename"]: r["pos"] for r in trainset_positions(df).collect()}
+    assert got == {"99999999999999999999999.wav": 0, "intro.wav": 1, "outro.wav": 2, "b_2.wav": 3, "a_10.wav": 4}
