@@ -413,3 +413,38 @@ SELECT source, count(*) AS n_texts, round(avg(n), 6) AS avg_tokens, max(n)::INTE
   list_sort(list(n))[ceil(count(*) / 2)::BIGINT]::INTEGER AS median_tokens, round(sum(u) / sum(n), 6) AS unk_rate
 FROM per_text GROUP BY source
 """
+
+# ---- through files ----------------------------------------------------------------
+ORACLE["file_concat"] = f"""
+SELECT filename, {hangulize_sql('raw_text')} AS text, '/data/' || source || '/' AS data_dir, source,
+  (dense_rank() OVER (ORDER BY source_ord) - 1)::INTEGER AS source_ord, full_path FROM ({META}) m
+"""
+ORACLE["file_chosen"] = f"SELECT source, filename FROM ({META}) m WHERE source IN ('src1', 'src3', 'src11')"
+_RAW = "regexp_replace(text, '[\\r\\n\"]+', ' ', 'g')"
+ORACLE["file_rejects"] = f"""
+SELECT CASE WHEN {_RAW} LIKE '%|%' THEN NULL ELSE printf('doc_%06d.wav', doc_id) END AS filename,
+  CASE WHEN {_RAW} LIKE '%|%' THEN printf('doc_%06d.wav', doc_id) || '|' || {_RAW} ELSE nullif({_RAW}, '') END AS text, {_RAW} LIKE '%|%' AS rejected
+FROM documents
+"""
+ORACLE["file_corpus"] = f"SELECT regexp_replace({jamo_sql(hangulize_sql('text'))}, '[\\r\\n]+', ' ', 'g') AS line FROM documents"
+ORACLE["file_listing"] = "SELECT DISTINCT source FROM documents"
+ORACLE["file_processed"] = """
+SELECT d.doc_id,
+  CASE WHEN l.doc_id IS NULL THEN '' ELSE array_to_string(list_transform(string_split(printf('doc_%06d.wav', d.doc_id), ''), lambda c: unicode(c)), ',') END AS tokens,
+  CASE WHEN l.doc_id IS NULL THEN '' ELSE l.quality || ',' || l.toxic END AS codes,
+  CASE WHEN l.doc_id IS NULL THEN 'audio_tokens failed' ELSE '' END AS reason
+FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
+"""
+ORACLE["file_speech"] = """
+SELECT vec_id AS clip_id, vec_id % 2 = 1 AS resample, (i - 1)::INTEGER AS i, embedding[i]::DOUBLE AS v
+FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings) e
+"""
+ORACLE["file_vocab"] = f"WITH {VOCAB} SELECT f AS format, id, piece, round(score, 6) AS score FROM vocab, (VALUES ('parquet'), ('tsv')) x(f)"
+ORACLE["lattice_edges"] = f"""
+WITH {VOCAB},
+bw AS (SELECT DISTINCT '▁' || w AS word FROM ({BENCH_WORDS}) q),
+bb AS (SELECT word, unnest(range(length(word))) AS b FROM bw),
+be AS (SELECT word, b, unnest(range(b + 1, least(b + 16, length(word)) + 1)) AS e FROM bb)
+SELECT word, b::INTEGER AS b, e::INTEGER AS e, piece, id, round(score, 6) AS score
+FROM be JOIN vocab ON piece = substr(word, b + 1, e - b) WHERE id >= 4 AND (b = 0 OR strpos(piece, '▁') = 0)
+"""

@@ -45,27 +45,32 @@ VOCAB_SCHEMA = T.StructType(
 )
 
 
+# What stands for line breaks and quotes in a quoted field.
+LINE_ESCAPES = {"\\n": "\n", "\\r": "\r", "\\q": '"'}
+
+
 def parse_metadata(lines: DataFrame, with_jamo: bool = False) -> DataFrame:
     """``value`` lines (header included or not) as metadata rows: shared by the batch and the stream reader.
 
     A line is ``filename|text[|jamo]``, fields apart by ``|``. A quote is an ordinary character, unless a field both
     begins and ends with one, as ``write_metadata`` writes fields that hold ``|``, a quote, a backslash or a line break
-    (``\\n`` and ``\\r`` stand for line breaks, a doubled backslash for one). A line that does not fit is kept whole
+    (``\\n`` and ``\\r`` stand for line breaks, ``\\q`` for a quote, a doubled backslash for one). A line that does not fit is kept whole
     in ``_bad``, with a null file name; empty lines and header lines are left out."""
     names = ["filename", "text"] + (["jamo"] if with_jamo else [])
     header = "|".join(names)
     line = F.regexp_replace("value", "\r$", "")
-    # fields: quoted ones (inner quotes doubled) or anything without the separator
-    fields = F.regexp_extract_all(F.concat(line, F.lit("|")), F.lit('("(?:[^"]|"")*"|[^|]*)[|]'), F.lit(1))
+    # fields: quoted ones (without a quote inside) or anything without the separator
+    fields = F.regexp_extract_all(F.concat(line, F.lit("|")), F.lit('("[^"]*"(?=[|])|[^|]*)[|]'), F.lit(1))
     fits = F.size("_f") == len(names)
 
     def field(i: int) -> Column:
         raw = F.get("_f", i)
-        inner = F.expr(f"replace(substring(_f[{i}], 2, length(_f[{i}]) - 2), '\"\"', '\"')")
+        inner = F.expr(f"substring(_f[{i}], 2, length(_f[{i}]) - 2)")
         # undo the escapes in one pass each, a doubled backslash first made a mark no text holds
         mark = F.lit("\ue000")
         text = F.replace(inner, F.lit("\\\\"), mark)
-        text = F.replace(F.replace(text, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+        for code, char in LINE_ESCAPES.items():
+            text = F.replace(text, F.lit(code), F.lit(char))
         return F.when((F.length(raw) >= 2) & raw.startswith('"') & raw.endswith('"'), F.replace(text, mark, F.lit("\\"))).otherwise(F.nullif(raw, F.lit("")))
 
     rows = lines.where((F.length("value") > 0) & (line != header)).withColumn("_f", fields)
@@ -149,7 +154,9 @@ def metadata_line(cols: Sequence[str]) -> Column:
 
     def field(name: str) -> Column:
         c = F.col(name).cast("string")
-        escaped = F.replace(F.replace(F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r")), F.lit('"'), F.lit('""'))
+        escaped = F.replace(c, F.lit("\\"), F.lit("\\\\"))
+        for code, char in LINE_ESCAPES.items():
+            escaped = F.replace(escaped, F.lit(char), F.lit(code))
         quoted = F.when((c == "") | c.rlike('[|"\\\\\n\r]'), F.concat(F.lit('"'), escaped, F.lit('"'))).otherwise(c)
         return F.coalesce(quoted, F.lit(""))
 
