@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -24,9 +25,27 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: cuts lineage, so that a lost
     executor costs at most the running stage, and later branches read the file instead of
     recomputing it."""
-    path = work_folder(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = work_folder(spark, name)
+    with batches_of(spark, BATCH_ROWS):
+        df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+BATCH_ROWS = 1000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Plans made inside hand Python at most ``rows`` rows at once: with whole texts the usual 10,000 make
+    buffers of up to a gigabyte outside the heap."""
+    before = spark.conf.get(_BATCH_CONF)
+    spark.conf.set(_BATCH_CONF, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_CONF, before)
 
 
 def by_batch(fn: Callable[[pa.RecordBatch], pa.RecordBatch], rows: int = 1000, size: int = 8 << 20) -> Callable:

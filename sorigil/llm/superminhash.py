@@ -47,7 +47,7 @@ REGISTERS = ROWS * BANDS
 SHINGLE = 2  # contract: words in a shingle
 LEAST_PERCENT = 80  # contract: 100 * intersection >= 80 * union
 VOLUME = 200_000  # shingles of one side of a block
-ELEMENTS_AT_ONCE = 200_000
+ELEMENTS_AT_ONCE = 100_000
 
 _STEP = np.uint64(0xD1342543DE82EF95)
 _HALF = np.uint64(32)
@@ -125,7 +125,7 @@ def _chunks(counts_at: np.ndarray) -> Iterator[tuple[int, int]]:
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch, 2000, 4 << 20):
+        for part in slices(batch, 1000, 2 << 20):
             values, at = shingle_sets(part.column(1))
             keys = np.empty((part.num_rows, BANDS), np.uint64)
             for lo, hi in _chunks(at):
@@ -140,7 +140,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch, 2000, 4 << 20):
+        for part in slices(batch, 1000, 2 << 20):
             values, at = shingle_sets(part.column(1))
             yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values.view(np.int64)))], names=["id", "shingles"])
 
