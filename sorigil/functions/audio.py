@@ -78,13 +78,39 @@ def change_speed(x, factor) -> Column:
     return F.when((f_raw == 1.0) | (m == n) | (m <= 0) | (n == 0), a).otherwise(_interp(a, n, m))
 
 
-def resample(x, from_rate, to_rate) -> Column:
-    """Linear resampling to ``ceil(n * to / from)`` points (not a band-limited kernel)."""
+RESAMPLE_ZEROS = 16  # zero crossings of the kernel on each side
+
+
+def resample(x, from_rate, to_rate, zeros: int = RESAMPLE_ZEROS) -> Column:
+    """Band-limited resampling to ``ceil(n * to / from)`` samples.
+
+    Sample j of the result lies at time j / to, that is at ``t = j * from / to`` of the clip. It is the sum of the
+    clip's samples near t under a sinc kernel, cut off at the lower of the two Nyquist rates and tapered by a
+    Hann window of ``zeros`` zero crossings on each side; samples beyond the ends count as zero."""
+    fr, to = _lit_or_col(from_rate).cast("double"), _lit_or_col(to_rate).cast("double")
+
+    def body(s):
+        def sample(j):
+            t = j * s["step"]
+
+            def add(acc, k):
+                d = t - k
+                u = F.lit(math.pi) * s["cut"] * d
+                sinc = F.when(F.abs(d) < 1e-12, F.lit(1.0)).otherwise(F.sin(u) / u)
+                taper = 0.5 + 0.5 * F.cos(F.lit(math.pi) * d / s["half"])
+                return acc + F.get(s["a"], k) * s["cut"] * sinc * taper
+
+            first = F.greatest(F.ceil(t - s["half"]).cast("int"), F.lit(0))
+            last = F.least(F.floor(t + s["half"]).cast("int"), s["n"] - 1)
+            return F.aggregate(F.sequence(first, last), F.lit(0.0), add)
+
+        return F.transform(F.sequence(F.lit(0), s["m"] - 1), sample)
+
     a = _col(x)
-    n = F.size(a)
-    fr, to = _lit_or_col(from_rate), _lit_or_col(to_rate)
-    m = F.ceil(n * to.cast("double") / fr.cast("double")).cast("int")
-    return F.when((fr == to) | (n == 0) | (m == n), a).otherwise(_interp(a, n, m))
+    cut = F.least(F.lit(1.0), to / fr)
+    m = F.ceil(F.size(a) * to / fr).cast("int")
+    made = let(body, a=a, n=F.size(a), m=m, cut=cut, half=F.lit(float(zeros)) / cut, step=fr / to)
+    return F.when((fr == to) | (F.size(a) == 0), a).otherwise(made)
 
 
 def clip_amplitude(x, lo: float = -1.0, hi: float = 1.0) -> Column:

@@ -28,6 +28,7 @@ N_FFT = 1024
 N_MELS = 80
 ZSCORE_EPS = 1e-5
 FRAME_BLOCK = 4096  # frames of one clip hashed together
+SAMPLE_BLOCK = 1024  # frames made from one stretch of samples
 
 # Fixed values of the Slaney mel scale (linear below 1 kHz, logarithmic above).
 MEL_F_SP = 200.0 / 3
@@ -35,31 +36,30 @@ MEL_MIN_LOG_HZ = 1000.0
 MEL_LOGSTEP = math.log(6.4) / 27.0
 
 
-def hz_to_mel(f):
-    f = np.asanyarray(f, dtype=np.float64)
-    lin = f / MEL_F_SP
-    min_log_mel = MEL_MIN_LOG_HZ / MEL_F_SP
-    return np.where(f >= MEL_MIN_LOG_HZ, min_log_mel + np.log(np.maximum(f, 1e-300) / MEL_MIN_LOG_HZ) / MEL_LOGSTEP, lin)
+def hz_to_mel(hz):
+    """Mel of a frequency: proportional up to 1 kHz, a constant ratio per mel above."""
+    hz = np.asarray(hz, dtype=np.float64)
+    knee = MEL_MIN_LOG_HZ / MEL_F_SP
+    above = knee + np.log(np.maximum(hz, MEL_MIN_LOG_HZ) / MEL_MIN_LOG_HZ) / MEL_LOGSTEP
+    return np.where(hz < MEL_MIN_LOG_HZ, hz / MEL_F_SP, above)
 
 
-def mel_to_hz(m):
-    m = np.asanyarray(m, dtype=np.float64)
-    min_log_mel = MEL_MIN_LOG_HZ / MEL_F_SP
-    return np.where(m >= min_log_mel, MEL_MIN_LOG_HZ * np.exp(MEL_LOGSTEP * (m - min_log_mel)), MEL_F_SP * m)
+def mel_to_hz(mel):
+    """Inverse of ``hz_to_mel``."""
+    mel = np.asarray(mel, dtype=np.float64)
+    knee = MEL_MIN_LOG_HZ / MEL_F_SP
+    above = MEL_MIN_LOG_HZ * np.exp(MEL_LOGSTEP * (np.maximum(mel, knee) - knee))
+    return np.where(mel < knee, mel * MEL_F_SP, above)
 
 
 def mel_filters(sr: float, n_fft: int, n_mels: int, fmin: float = 0.0, fmax: float | None = None) -> np.ndarray:
     """Triangular mel filters with area normalisation, ``(n_mels, 1 + n_fft // 2)``."""
-    fmax = sr / 2.0 if fmax is None else fmax
-    fft_f = np.linspace(0, sr / 2.0, 1 + n_fft // 2)
-    mel_f = mel_to_hz(np.linspace(hz_to_mel(fmin), hz_to_mel(fmax), n_mels + 2))
-    fdiff = np.diff(mel_f)
-    ramps = mel_f[:, None] - fft_f[None, :]
-    lower = -ramps[:-2] / fdiff[:-1, None]
-    upper = ramps[2:] / fdiff[1:, None]
-    w = np.maximum(0.0, np.minimum(lower, upper))
-    enorm = 2.0 / (mel_f[2 : n_mels + 2] - mel_f[:n_mels])
-    return w * enorm[:, None]
+    top = sr / 2.0 if fmax is None else fmax
+    edges = mel_to_hz(np.linspace(hz_to_mel(fmin), hz_to_mel(top), n_mels + 2))
+    left, peak, right = edges[:-2, None], edges[1:-1, None], edges[2:, None]
+    hz = np.arange(1 + n_fft // 2)[None, :] * (sr / n_fft)
+    rising, falling = (hz - left) / (peak - left), (right - hz) / (right - peak)
+    return np.clip(np.minimum(rising, falling), 0.0, None) * 2.0 / (right - left)
 
 
 def hann(n: int) -> np.ndarray:
@@ -122,11 +122,26 @@ def power_spectrum_fn(n_fft: int, n_mels: int | None):
     return spectrum
 
 
-def frame_rows(clips: DataFrame, n_fft: int = N_FFT, hop: int | None = None, array_col: str = "audio.array", rate_col: str = "audio.sampling_rate") -> DataFrame:
-    """``clip_id, rate, frame_idx, frame`` — one row per frame."""
-    return clips.select(
-        "clip_id", F.col(rate_col).alias("rate"), F.posexplode(frames(array_col, n_fft, hop)).alias("frame_idx", "frame")
-    )
+def frame_rows(clips: DataFrame, n_fft: int = N_FFT, hop: int | None = None, array_col: str = "audio.array", rate_col: str = "audio.sampling_rate", block: int = SAMPLE_BLOCK) -> DataFrame:
+    """``clip_id, rate, frame_idx, frame`` — one row per frame.
+
+    A clip is first cut into stretches of samples that hold ``block`` frames each (neighbours overlap by the
+    rest of a frame), and every stretch is a row before its frames are made: a long clip's
+    overlapping frames, four times its samples, never stand in one row."""
+    hop = hop or n_fft // 4
+    zeros = F.array_repeat(F.lit(0.0), n_fft // 2)
+
+    def stretches(s):
+        n = F.floor((F.size(s["p"]) - n_fft) / hop).cast("int") + 1
+        cut = F.transform(
+            F.sequence(F.lit(0), F.floor((n - 1) / block).cast("int")),
+            lambda b: F.struct((b * block).alias("first"), F.slice(s["p"], b * (block * hop) + 1, F.lit((block - 1) * hop + n_fft)).alias("samples")),
+        )
+        return F.when(n > 0, cut)
+
+    cut = clips.select("clip_id", F.col(rate_col).alias("rate"), F.explode(let(stretches, p=F.concat(zeros, F.col(array_col), zeros))).alias("s"))
+    rows = cut.select("clip_id", "rate", F.col("s.first").alias("first"), F.posexplode(frames("s.samples", n_fft, hop, center=False)).alias("i", "frame"))
+    return rows.select("clip_id", "rate", (F.col("first") + F.col("i")).alias("frame_idx"), "frame")
 
 
 def clip_stats(rows: DataFrame, col: str) -> DataFrame:

@@ -263,6 +263,23 @@ def _segment_lse(vals: np.ndarray, seg: np.ndarray) -> tuple[np.ndarray, np.ndar
     return seg[starts], m + np.log(np.add.reduceat(np.exp(vals - np.repeat(m, sizes)), starts))
 
 
+LATTICE_CELLS = 1 << 20  # words of one matrix times its longest word
+
+
+def by_length(words: list, cells: int = LATTICE_CELLS) -> Iterator[np.ndarray]:
+    """Word numbers in groups of like length whose dense matrices have at most ``cells`` cells (a longer
+    word is a group of its own), so one long word does not widen the rows of all others."""
+    lengths = np.fromiter((len(w) for w in words), dtype=np.int64, count=len(words))
+    order = np.argsort(lengths, kind="stable")
+    lo = 0
+    while lo < len(order):
+        hi = lo + 1
+        while hi < len(order) and (hi + 1 - lo) * (lengths[order[hi]] + 1) <= cells:
+            hi += 1
+        yield order[lo:hi]
+        lo = hi
+
+
 def batch_expected_counts(
     words: list, freqs: np.ndarray, index: dict, score_arr: np.ndarray, max_len: int, unk_score: float, pref: frozenset
 ):
@@ -333,11 +350,11 @@ def _em_partitions(scores_bc, max_len: int, unk_score: float):
         acc = np.zeros(len(pieces))
         ll = 0.0
         for pdf in batches:
-            lw, c = batch_expected_counts(
-                pdf["word"].tolist(), pdf["n"].to_numpy(dtype="float64"), index, score_arr, max_len, unk_score, pref
-            )
-            ll += lw
-            acc += c
+            words, freqs = pdf["word"].tolist(), pdf["n"].to_numpy(dtype="float64")
+            for part in by_length(words):
+                lw, c = batch_expected_counts([words[i] for i in part], freqs[part], index, score_arr, max_len, unk_score, pref)
+                ll += lw
+                acc += c
         hit = np.flatnonzero(acc > 0)
         yield pd.DataFrame({"piece": [pieces[i] for i in hit] + [None], "n": np.r_[acc[hit], ll].astype("float64")})
 

@@ -263,7 +263,7 @@ def change_speed_q(spark, sf_dir):
 
 @register("resample")
 def resample_q(spark, sf_dir):
-    """P8 + R10: clips whose rate differs from the target are resampled linearly; others pass."""
+    """P8 + R10: clips whose rate differs from the target are resampled (band-limited); others pass."""
     from sorigil.sources.metadata import needs_resample
 
     c = fx.embeddings_as_clips(spark, sf_dir)
@@ -282,9 +282,10 @@ def to_db_q(spark, sf_dir):
 
 @register("to_mono")
 def to_mono_q(spark, sf_dir):
-    """R17 (+R16): two 32-sample channels per clip averaged into one."""
+    """The two halves of each clip taken as channels and averaged into one."""
     c = fx.embeddings_as_clips(spark, sf_dir)
-    ch = F.array(F.slice("audio.array", 1, 32), F.slice("audio.array", 33, 32))
+    half = F.floor(F.size("audio.array") / 2).cast("int")
+    ch = F.array(F.slice("audio.array", F.lit(1), half), F.slice("audio.array", half + 1, half))
     return _samples_long(c.select("clip_id", arrays.to_mono(ch).alias("x")), "x")
 
 

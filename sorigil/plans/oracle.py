@@ -233,11 +233,19 @@ FROM (SELECT *, floor(n / f)::INTEGER AS m
             FROM (SELECT *, 0.5::DOUBLE + 0.25::DOUBLE * label AS f_raw FROM ({CLIPS}) c) c1) c2) c3
 """)
 
-ORACLE["resample"] = long_form(f"""
-SELECT clip_id, CASE WHEN rate = {RESAMPLE_TO} OR n = 0 OR m = n THEN x ELSE {interp_sql('x', 'n', 'm')} END AS y
-FROM (SELECT *, ceil(n * {RESAMPLE_TO}::DOUBLE / rate::DOUBLE)::INTEGER AS m
-      FROM (SELECT *, len(x) AS n FROM ({CLIPS}) c) c1) c2
-""")
+_HALF = f"(16.0 / least(1.0, {RESAMPLE_TO}::DOUBLE / rate))"
+_T = f"(j * rate::DOUBLE / {RESAMPLE_TO})"
+_KERNEL = f"""least(1.0, {RESAMPLE_TO}::DOUBLE / rate) * CASE WHEN abs({_T} - k) < 1e-12 THEN 1.0
+  ELSE sin(pi() * least(1.0, {RESAMPLE_TO}::DOUBLE / rate) * ({_T} - k)) / (pi() * least(1.0, {RESAMPLE_TO}::DOUBLE / rate) * ({_T} - k)) END
+  * (0.5 + 0.5 * cos(pi() * ({_T} - k) / {_HALF}))"""
+ORACLE["resample"] = f"""
+SELECT clip_id, i::INTEGER AS i, round(y, 6) + 0.0 AS v FROM (
+  SELECT clip_id, j AS i, list_sum(list_transform(range(greatest(ceil({_T} - {_HALF}), 0)::BIGINT, least(floor({_T} + {_HALF}), n - 1)::BIGINT + 1), lambda k: x[k + 1] * {_KERNEL})) AS y
+  FROM (SELECT clip_id, rate, x, len(x) AS n, unnest(range(ceil(len(x) * {RESAMPLE_TO}::DOUBLE / rate)::BIGINT)) AS j FROM ({CLIPS}) c WHERE rate <> {RESAMPLE_TO}) q
+  UNION ALL
+  SELECT clip_id, i, x[i + 1] FROM (SELECT clip_id, x, unnest(range(len(x))) AS i FROM ({CLIPS}) c WHERE rate = {RESAMPLE_TO}) q
+) u
+"""
 
 AMIN_SQ = repr(1e-5 * 1e-5)
 ORACLE["to_db"] = long_form(f"""
@@ -247,7 +255,7 @@ FROM (SELECT clip_id, list_transform(sq, lambda v: 10.0 * log10(greatest({AMIN_S
 """)
 
 ORACLE["to_mono"] = long_form(f"""
-SELECT clip_id, list_transform(range(32), lambda i: (x[i + 1] + x[i + 33]) / 2) AS y FROM ({CLIPS}) c
+SELECT clip_id, list_transform(range(len(x) // 2), lambda i: (x[i + 1] + x[i + 1 + len(x) // 2]) / 2) AS y FROM ({CLIPS}) c
 """)
 
 ORACLE["clip_duration"] = f"""
@@ -269,15 +277,16 @@ FROM (SELECT clip_id, rate, f, xp[f * {hop} + 1 : f * {hop} + {n}] AS fx, unnest
       FROM (SELECT clip_id, rate, xp, unnest(range(1 + (len(xp) - {n}) // {hop})) AS f
             FROM (SELECT clip_id, rate, list_concat({zeros}, x, {zeros}) AS xp FROM ({CLIPS}) c) c1) c2) c3"""
     if with_mel:
-        from sorigil.operators.spectral import mel_filters
-
-        rows = []
-        for sr in (16, 32):
-            w = mel_filters(float(sr), n, FEAT_N_MELS)
-            for m in range(w.shape[0]):
-                for b in range(w.shape[1]):
-                    rows.append(f"({sr}, {m}, {b}, {float(w[m, b])!r}::DOUBLE)")
-        fb = "(VALUES " + ", ".join(rows) + ") AS fb(rate, mel, bin, w)"
+        # edges of the triangles, evenly spaced in mel (linear below 1 kHz, logarithmic above)
+        knee, step = "(1000.0 / (200.0 / 3))", "(ln(6.4) / 27.0)"
+        to_mel = f"CASE WHEN h < 1000 THEN h / (200.0 / 3) ELSE {knee} + ln(h / 1000.0) / {step} END"
+        to_hz = f"CASE WHEN m < {knee} THEN m * (200.0 / 3) ELSE 1000.0 * exp({step} * (m - {knee})) END"
+        fb = f"""(SELECT rate, mel, bin, greatest(0.0, least((f - e0) / (e1 - e0), (e2 - f) / (e2 - e1))) * 2.0 / (e2 - e0) AS w
+FROM (SELECT rate, i AS mel, hz AS e0, lead(hz, 1) OVER (PARTITION BY rate ORDER BY i) AS e1, lead(hz, 2) OVER (PARTITION BY rate ORDER BY i) AS e2
+      FROM (SELECT rate, i, {to_hz} AS hz FROM (SELECT rate, i, i * ({to_mel}) / {FEAT_N_MELS + 1} AS m
+            FROM (SELECT rate, rate / 2.0::DOUBLE AS h, unnest(range({FEAT_N_MELS + 2})) AS i FROM (VALUES (16), (32)) r(rate)) a) b) c) d,
+     (SELECT rate AS r2, j AS bin, j * rate / {n}::DOUBLE AS f FROM (VALUES (16), (32)) r(rate), (SELECT unnest(range({half} + 1)) AS j) q) g
+WHERE r2 = rate AND e2 IS NOT NULL) fb"""
         power = f"""SELECT s.clip_id, s.frame, fb.mel AS bin, sum(s.p * fb.w) AS p
 FROM ({power}) s JOIN {fb} ON s.rate = fb.rate AND s.bin = fb.bin GROUP BY 1, 2, 3"""
     return f"""

@@ -60,10 +60,33 @@ def test_change_speed_matches_numpy(spark):
         assert np.allclose(_speed_np(np.array(x), f), g, atol=1e-12)
 
 
-def test_resample_and_clip(spark):
-    x = [0.0, 1.0, 2.0, 3.0]
-    got = _one(spark, audio.resample("x", 4, 8), [(x,)], "x array<double>")[0]
-    assert len(got) == 8 and np.allclose(got, np.interp(np.linspace(0, 3, 8), np.arange(4), x))
+def _resample_np(x, fr, to, zeros=16):
+    cut = min(1.0, to / fr)
+    half = zeros / cut
+    k = np.arange(len(x))
+    out = []
+    for j in range(int(np.ceil(len(x) * to / fr))):
+        d = j * fr / to - k
+        out.append((x * cut * np.sinc(cut * d) * (0.5 + 0.5 * np.cos(np.pi * d / half)) * (np.abs(d) <= half)).sum())
+    return np.array(out)
+
+
+def test_resample_keeps_low_tones_and_removes_those_above_the_new_limit(spark):
+    t = np.arange(400) / 400
+    low, high = np.sin(2 * np.pi * 20 * t), np.sin(2 * np.pi * 170 * t)
+    rows = [(low.tolist(),), (high.tolist(),), ([],), ([1.0],)]
+    down = _one(spark, audio.resample("x", 400, 200), rows, "x array<double>")
+    for x, g in zip((low, high), down):
+        assert np.allclose(g, _resample_np(x, 400, 200), atol=1e-9)
+    inner = slice(40, 160)
+    assert np.abs(np.array(down[0])[inner] - np.sin(2 * np.pi * 20 * np.arange(200) / 200)[inner]).max() < 0.01
+    assert np.abs(np.array(down[1])[inner]).max() < 0.01  # 170 Hz is above the new limit of 100 Hz
+    assert down[2] == [] and len(down[3]) == 1
+    up = _one(spark, audio.resample("x", 400, 600), rows[:1], "x array<double>")[0]
+    assert len(up) == 600 and np.abs(np.array(up)[60:500] - np.sin(2 * np.pi * 20 * np.arange(600) / 600)[60:500]).max() < 0.01
+
+
+def test_clip_amplitude(spark):
     assert _one(spark, audio.clip_amplitude("x"), [([-3.0, 0.2, 1.5],)], "x array<double>") == [[-1.0, 0.2, 1.0]]
 
 
@@ -137,3 +160,19 @@ def test_log_features_match_numpy_with_a_long_clip(spark):
             want = _log_features_np(np.array(x), sr, 16, 4, n_mels)
             have = np.array([got[i][f] for f in range(len(want))])
             assert len(got[i]) == len(want) and np.allclose(have, want, atol=1e-9)
+
+
+def test_frames_of_long_clips_are_made_from_stretches(spark):
+    from sorigil.operators import spectral
+
+    rng = np.random.default_rng(4)
+    clips = [(1, rng.normal(size=5000).tolist()), (2, [0.5]), (3, []), (4, rng.normal(size=64).tolist())]
+    df = spark.createDataFrame([(i, (x, 16)) for i, x in clips], "clip_id long, audio struct<array:array<double>,sampling_rate:int>")
+    got = {}
+    for r in spectral.frame_rows(df, 16, 4, block=10).collect():
+        got[(r["clip_id"], r["frame_idx"])] = r["frame"]
+    want = {}
+    for i, x in clips:
+        p = [0.0] * 8 + x + [0.0] * 8
+        want |= {(i, f): p[f * 4 : f * 4 + 16] for f in range((len(p) - 16) // 4 + 1)}
+    assert got == want

@@ -280,3 +280,27 @@ def test_train_vocab_native_path_matches(spark):
     b = {r["piece"]: r["score"] for r in vocab.train_vocab(wc, 120, 400, em_rounds=1, shrink=0.6, broadcast_limit=10).collect()}
     assert a.keys() == b.keys()
     assert all(math.isclose(a[p], b[p], abs_tol=2e-6) for p in a)
+
+
+def test_a_long_word_does_not_widen_the_others():
+    import tracemalloc
+
+    import numpy as np
+
+    words = ["▁ab" * 2] * 1000 + ["▁" + "ab" * 100_000]
+    groups = list(vocab.by_length(words))
+    assert sorted(i for g in groups for i in g) == list(range(1001)) and groups[-1].tolist() == [1000]
+    scores = {"▁": -1.0, "a": -2.0, "b": -2.0, "ab": -2.5}
+    index = {p: i for i, p in enumerate(scores)}
+    arr = np.array(list(scores.values()))
+    tracemalloc.start()
+    total = np.zeros(len(arr))
+    for g in groups:
+        total += vocab.batch_expected_counts([words[i] for i in g], np.ones(len(g)), index, arr, 16, -30.0, vocab.prefixes(scores))[1]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300e6 and total[0] > 0
+    per = vocab.expected_counts(words[0], 1.0, scores, 16, -30.0)[1]
+    long = vocab.expected_counts(words[-1][:2001], 1.0, scores, 16, -30.0)[1]
+    short = vocab.batch_expected_counts([words[-1][:2001]], np.ones(1), index, arr, 16, -30.0, vocab.prefixes(scores))[1]
+    assert math.isclose(short[index["ab"]], long["ab"], rel_tol=1e-9) and math.isclose(per["▁"], 2.0)
