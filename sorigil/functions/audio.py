@@ -149,8 +149,3 @@ def db_to_power(x) -> Column:
 def duration(x, rate) -> Column:
     """Samples / rate in seconds."""
     return F.size(_col(x)) / _lit_or_col(rate).cast("double")
-
-
-def hann(n: int) -> list[float]:
-    """Periodic Hann window (the usual STFT window)."""
-    return [0.5 - 0.5 * math.cos(2.0 * math.pi * k / n) for k in range(n)]

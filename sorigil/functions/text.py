@@ -18,11 +18,6 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def words(col) -> Column:
-    """Whitespace-separated words of a text, empty pieces dropped (``ARRAY<STRING>``)."""
-    return F.filter(F.split(_col(col), WHITESPACE_RE), lambda w: F.length(w) > 0)
-
-
 def mark_word(col) -> Column:
     """Prefix a word with the word-start marker."""
     return F.concat(F.lit(WORD_START), _col(col))

@@ -54,11 +54,6 @@ def hangulize(col) -> Column:
     return F.translate(c, "".join(chr(p) for p in letters), "".join(hangul_of(p) for p in letters))
 
 
-def hangulize_py(text: str) -> str:
-    table = {p: hangul_of(p) for p in _letters()}
-    return text.translate(table)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sorigil.operators import encode, vocab
 from sorigil.sources import fixtures as fx
+from tests import vocab_reference
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -46,7 +47,7 @@ def test_probed_split_and_unknown():
 
 def test_forward_total_equals_sum_over_paths():
     for w in ["▁ㄱㅏㄱㅏ", "ㄱㅏㄴ", "▁ㄱㅏㄴ"]:
-        ll, counts = vocab.expected_counts(w, 1.0, VOC, 16, -100.0)
+        ll, counts = vocab_reference.expected_counts(w, 1.0, VOC, 16, -100.0)
         paths = _paths(w, VOC)
         z = math.log(sum(math.exp(sum(VOC[p] for p in path)) for path in paths))
         assert math.isclose(ll, z, rel_tol=1e-12)
@@ -132,13 +133,13 @@ def test_spark_m_step_and_prune_match_python(spark):
     rows = list(counts.items()) + [(None, -42.0)]
     cdf = spark.createDataFrame(rows, "piece string, n double")
     chars = {p for p in counts if len(p) == 1}
-    py = vocab.m_step(pd.DataFrame(list(counts.items()), columns=["piece", "n"]), chars)
+    py = vocab_reference.m_step(pd.DataFrame(list(counts.items()), columns=["piece", "n"]), chars)
     scored = vocab.m_step_df(cdf)
     sp = {r["piece"]: r["score"] for r in scored.collect()}
     assert sp.keys() == py.keys()
     assert all(math.isclose(sp[p], py[p], rel_tol=1e-12) for p in py)
     for target, shrink in [(4, 0.5), (6, 0.9), (100, 0.75)]:
-        want = vocab.prune(py, counts, chars, target, shrink)
+        want = vocab_reference.prune(py, counts, chars, target, shrink)
         got = {r["piece"]: r["score"] for r in vocab.prune_df(scored, py, target, shrink).collect()}
         assert got.keys() == want.keys()
 
@@ -155,8 +156,8 @@ def test_prefix_cut_changes_nothing():
         pref = vocab.prefixes(scores)
         w = "".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 12)))
         assert encode.viterbi(w, ids, 16, -20.0, pref) == encode.viterbi(w, ids, 16, -20.0)
-        ll1, c1 = vocab.expected_counts(w, 1.0, scores, 16, -20.0, pref)
-        ll2, c2 = vocab.expected_counts(w, 1.0, scores, 16, -20.0)
+        ll1, c1 = vocab_reference.expected_counts(w, 1.0, scores, 16, -20.0, pref)
+        ll2, c2 = vocab_reference.expected_counts(w, 1.0, scores, 16, -20.0)
         assert math.isclose(ll1, ll2, rel_tol=1e-12, abs_tol=1e-12) and c1.keys() == c2.keys()
 
 
@@ -196,7 +197,7 @@ def test_batch_forward_backward_equals_per_word():
         ll, counts = vocab.batch_expected_counts(words, freqs, index, arr, 16, -30.0, vocab.prefixes(scores))
         want_ll, want = 0.0, {}
         for w, f in zip(words, freqs):
-            l1, c1 = vocab.expected_counts(w, f, scores, 16, -30.0)
+            l1, c1 = vocab_reference.expected_counts(w, f, scores, 16, -30.0)
             want_ll += l1
             for p, c in c1.items():
                 want[p] = want.get(p, 0.0) + c
@@ -300,7 +301,7 @@ def test_a_long_word_does_not_widen_the_others():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 300e6 and total[0] > 0
-    per = vocab.expected_counts(words[0], 1.0, scores, 16, -30.0)[1]
-    long = vocab.expected_counts(words[-1][:2001], 1.0, scores, 16, -30.0)[1]
+    per = vocab_reference.expected_counts(words[0], 1.0, scores, 16, -30.0)[1]
+    long = vocab_reference.expected_counts(words[-1][:2001], 1.0, scores, 16, -30.0)[1]
     short = vocab.batch_expected_counts([words[-1][:2001]], np.ones(1), index, arr, 16, -30.0, vocab.prefixes(scores))[1]
     assert math.isclose(short[index["ab"]], long["ab"], rel_tol=1e-9) and math.isclose(per["▁"], 2.0)

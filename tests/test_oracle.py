@@ -36,5 +36,12 @@ def test_entry_smoke(spark):
     assert df.count() > 0 and df.columns == ["word", "n"]
 
 
-def test_every_query_has_rows_or_oracle(spark):
+#: Queries that SQL cannot express: iterative training here, and of the training-data operators those that
+#: tokenise, sign, index, score or parse (tests/llm holds them against brute force).
+WITHOUT_SQL = {"train_vocab", "pipeline"} | {f"op{n}_" for n in (2, 3, 5, 6, 7, 8, 10)}
+
+
+def test_every_query_has_a_twin():
+    missing = set(entry.queries()) - set(entry.oracle_sql())
+    assert {n if n in WITHOUT_SQL else n.split("_")[0] + "_" for n in missing} <= WITHOUT_SQL
     assert set(entry.oracle_sql()) <= set(entry.queries())
