@@ -11,6 +11,7 @@ one row with a large count after map-side partial aggregation).
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -286,13 +287,23 @@ def batch_expected_counts(
     return float(np.dot(freqs, z)), counts
 
 
+_PREPARED: dict = {}
+
+
+def _prepared(version: str, scores: dict) -> tuple[list, dict, np.ndarray, frozenset]:
+    """Pieces, their numbers, scores and prefixes: made once in a worker for all its tasks of a round."""
+    if version not in _PREPARED:
+        _PREPARED.clear()
+        pieces = list(scores)
+        _PREPARED[version] = (pieces, {p: i for i, p in enumerate(pieces)}, np.array([scores[p] for p in pieces], dtype="float64"), prefixes(scores))
+    return _PREPARED[version]
+
+
 def _em_partitions(scores_bc, max_len: int, unk_score: float):
+    version = uuid.uuid4().hex
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scores = scores_bc.value
-        pieces = list(scores)
-        index = {p: i for i, p in enumerate(pieces)}
-        score_arr = np.array([scores[p] for p in pieces], dtype="float64")
-        pref = prefixes(scores)
+        pieces, index, score_arr, pref = _prepared(version, scores_bc.value)
         acc = np.zeros(len(pieces))
         ll = 0.0
         for pdf in batches:

@@ -421,10 +421,11 @@ def token_stats_q(spark, sf_dir):
 
 
 TRAIN_SEED_SIZE = 100_000
+TRAIN_SHRINK = 0.5
 
 
 @register("train_vocab")
 def train_vocab_q(spark, sf_dir):
     """A4-A8 + L2: unigram vocabulary trained by EM with pruning on the corpus words
     (iterative; checked by invariants and row count, no SQL twin)."""
-    return vocab.train_vocab(_doc_words(spark, sf_dir), VOCAB_SIZE, TRAIN_SEED_SIZE)
+    return vocab.train_vocab(_doc_words(spark, sf_dir), VOCAB_SIZE, TRAIN_SEED_SIZE, em_rounds=2, shrink=TRAIN_SHRINK)
