@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -213,10 +214,9 @@ def _segment_lse(vals: np.ndarray, seg: np.ndarray) -> tuple[np.ndarray, np.ndar
 LATTICE_CELLS = 1 << 20  # words of one matrix times its longest word
 
 
-def by_length(words: list, cells: int = LATTICE_CELLS) -> Iterator[np.ndarray]:
+def by_length(lengths: np.ndarray, cells: int = LATTICE_CELLS) -> Iterator[np.ndarray]:
     """Word numbers in groups of like length whose dense matrices have at most ``cells`` cells (a longer
     word is a group of its own), so one long word does not widen the rows of all others."""
-    lengths = np.fromiter((len(w) for w in words), dtype=np.int64, count=len(words))
     order = np.argsort(lengths, kind="stable")
     lo = 0
     while lo < len(order):
@@ -227,16 +227,9 @@ def by_length(words: list, cells: int = LATTICE_CELLS) -> Iterator[np.ndarray]:
         lo = hi
 
 
-def batch_expected_counts(
-    words: list, freqs: np.ndarray, index: dict, score_arr: np.ndarray, max_len: int, unk_score: float, pref: frozenset
-):
-    """Forward-backward for a batch of words at once: (log-likelihood, expected count per
-    piece index). ``index`` maps piece -> position in ``score_arr``.
-
-    The lattices of all words form one flat edge table (word, begin, end, piece); alpha
-    is then one segmented log-sum-exp per end position over the edges ending there, across
-    all words of the batch, and beta the same per begin position. Every position has an
-    edge of length one (a piece or the unknown edge), so no word has an empty position."""
+def lattice_edges_of(words: list, index: dict, max_len: int, pref: frozenset) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Flat edges (word number, begin, end, piece number) of all words. A position whose character is no
+    piece has an edge of length one with piece number -1, so no position is without edges."""
     wi, bb, ee, pp = [], [], [], []
     aw, ab, ae, ap = wi.append, bb.append, ee.append, pp.append
     for k, word in enumerate(words):
@@ -253,40 +246,111 @@ def batch_expected_counts(
                     single = single or e == b + 1
             if not single:
                 aw(k), ab(b), ae(b + 1), ap(-1)
+    return tuple(np.array(x, dtype=np.int64) for x in (wi, bb, ee, pp))
+
+
+def forward_backward(
+    W: np.ndarray, B: np.ndarray, E: np.ndarray, P: np.ndarray, lengths: np.ndarray, freqs: np.ndarray, score_arr: np.ndarray, unk_score: float
+) -> tuple[float, np.ndarray]:
+    """(Log-likelihood, expected count per piece number) of a batch of word lattices.
+
+    Alpha is one segmented log-sum-exp per end position over the edges ending there, across
+    all words of the batch, and beta the same per begin position. Edges of pieces without a score (nan:
+    pruned) are left out."""
     counts = np.zeros(len(score_arr))
-    if not wi:
+    if not len(W):
         return 0.0, counts
-    W, B, E, P = (np.array(x, dtype=np.int64) for x in (wi, bb, ee, pp))
     S = np.where(P >= 0, score_arr[np.maximum(P, 0)], unk_score)
-    lengths = np.fromiter((len(w) for w in words), dtype=np.int64, count=len(words))
-    width = int(lengths.max()) + 1
-    alpha = np.full((len(words), width), -np.inf)
+    if np.isnan(S).any():
+        live = ~np.isnan(S)
+        W, B, E, P, S = W[live], B[live], E[live], P[live], S[live]
+    width, n = int(lengths.max()) + 1, len(lengths)
+    alpha = np.full((n, width), -np.inf)
     alpha[:, 0] = 0.0
     by_end = np.lexsort((W, E))
-    e_sorted = E[by_end]
-    bounds = np.searchsorted(e_sorted, np.arange(width + 1))
+    bounds = np.searchsorted(E[by_end], np.arange(width + 1))
     for e in range(1, width):
         sel = by_end[bounds[e] : bounds[e + 1]]
         if len(sel):
             keys, v = _segment_lse(alpha[W[sel], B[sel]] + S[sel], W[sel])
             alpha[keys, e] = v
-    beta = np.full((len(words), width), -np.inf)
-    beta[np.arange(len(words)), lengths] = 0.0
+    beta = np.full((n, width), -np.inf)
+    beta[np.arange(n), lengths] = 0.0
     by_begin = np.lexsort((W, B))
-    b_sorted = B[by_begin]
-    bounds = np.searchsorted(b_sorted, np.arange(width + 1))
+    bounds = np.searchsorted(B[by_begin], np.arange(width + 1))
     for b in range(width - 2, -1, -1):
         sel = by_begin[bounds[b] : bounds[b + 1]]
         if len(sel):
             keys, v = _segment_lse(beta[W[sel], E[sel]] + S[sel], W[sel])
             beta[keys, b] = v
-    z = alpha[np.arange(len(words)), lengths]
+    z = alpha[np.arange(n), lengths]
     known = P >= 0
     post = np.exp(alpha[W, B] + S + beta[W, E] - z[W])
     counts = np.bincount(P[known], weights=(freqs[W] * post)[known], minlength=len(score_arr))
     return float(np.dot(freqs, z)), counts
 
 
+def batch_expected_counts(words: list, freqs: np.ndarray, index: dict, score_arr: np.ndarray, max_len: int, unk_score: float, pref: frozenset) -> tuple[float, np.ndarray]:
+    """Forward-backward for a batch of words at once: (log-likelihood, expected count per
+    piece index). ``index`` maps piece -> position in ``score_arr``."""
+    lengths = np.fromiter((len(w) for w in words), dtype=np.int64, count=len(words))
+    return forward_backward(*lattice_edges_of(words, index, max_len, pref), lengths, freqs, score_arr, unk_score)
+
+
+LATTICE_SCHEMA = "n double, length int, b array<int>, e array<int>, p array<int>"
+
+
+def _lattice_partitions(pieces_bc, max_len: int):
+    version = uuid.uuid4().hex
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, index, _, pref = _prepared(version, pieces_bc.value)
+        for batch in batches:
+            words = batch.column(0).to_pylist()
+            W, B, E, P = lattice_edges_of(words, index, max_len, pref)
+            at = pa.array(np.searchsorted(W, np.arange(len(words) + 1)), pa.int32())
+            lists = [pa.ListArray.from_arrays(at, pa.array(x, pa.int32())) for x in (B, E, P)]
+            size = pa.array([len(w) for w in words], pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(1).cast(pa.float64()), size, *lists], names=["n", "length", "b", "e", "p"])
+
+    return run
+
+
+def word_lattices(wc: DataFrame, pieces: list[str], max_len: int = MAX_PIECE_LEN) -> DataFrame:
+    """The lattice of every distinct word over ``pieces`` as arrays of edges, for all rounds of EM: pruning
+    takes scores away, never adds a piece, so the edges are found once."""
+    bc = wc.sparkSession.sparkContext.broadcast({p: 0.0 for p in pieces})
+    return wc.select("word", "n").mapInArrow(_lattice_partitions(bc, max_len), LATTICE_SCHEMA)
+
+
+def _em_lattice_partitions(model_bc, unk_score: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces, scores = model_bc.value
+        acc, ll = np.zeros(len(pieces)), 0.0
+        for batch in batches:
+            freqs, lengths = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64)
+            sizes = batch.column(2).value_lengths().to_numpy().astype(np.int64)
+            B, E, P = (batch.column(i).flatten().to_numpy().astype(np.int64) for i in (2, 3, 4))
+            starts = np.cumsum(sizes) - sizes
+            for part in by_length(lengths):
+                W = np.repeat(np.arange(len(part)), sizes[part])
+                edge = np.repeat(starts[part] - (np.cumsum(sizes[part]) - sizes[part]), sizes[part]) + np.arange(len(W))
+                lw, c = forward_backward(W, B[edge], E[edge], P[edge], lengths[part], freqs[part], scores, unk_score)
+                ll += lw
+                acc += c
+        hit = np.flatnonzero(acc > 0)
+        yield pa.RecordBatch.from_arrays([pa.array([*(pieces[i] for i in hit), None], pa.string()), pa.array(np.r_[acc[hit], ll])], names=["piece", "n"])
+
+    return run
+
+
+def em_step_lattice(lattices: DataFrame, pieces: list[str], scores: dict) -> DataFrame:
+    """A7 (E step) over the stored lattices: ``piece, n`` and the null-piece log-likelihood row, as ``em_step``."""
+    unk = min(scores.values()) - UNKNOWN_PENALTY if scores else -UNKNOWN_PENALTY
+    bc = lattices.sparkSession.sparkContext.broadcast((pieces, np.array([scores.get(p, np.nan) for p in pieces])))
+    return lattices.mapInArrow(_em_lattice_partitions(bc, unk), "piece string, n double").groupBy("piece").agg(F.sum("n").alias("n"))
+
+
 _PREPARED: dict = {}
 
 
@@ -308,7 +372,7 @@ def _em_partitions(scores_bc, max_len: int, unk_score: float):
         ll = 0.0
         for pdf in batches:
             words, freqs = pdf["word"].tolist(), pdf["n"].to_numpy(dtype="float64")
-            for part in by_length(words):
+            for part in by_length(np.fromiter((len(w) for w in words), dtype=np.int64, count=len(words))):
                 lw, c = batch_expected_counts([words[i] for i in part], freqs[part], index, score_arr, max_len, unk_score, pref)
                 ll += lw
                 acc += c
@@ -506,8 +570,8 @@ def train_vocab(
     characters plus the best pieces make up the vocabulary.
 
     The distinct-word table is hash-partitioned and checkpointed once into the
-    shared checkpoint folder. Every round broadcasts the score table (bounded
-    by ``seed_size``), runs the E step over the words in Arrow batches,
+    shared checkpoint folder, and so are the words' lattices over the seeds. Every round broadcasts the score table
+    (bounded by ``seed_size``), runs the E step over the lattices in Arrow batches,
     aggregates expected counts on ``piece``, normalises them (M step) and
     computes pruning losses over the pieces, all as Spark jobs; each round's
     expected-count table is checkpointed so lineage does not grow with the
@@ -522,12 +586,11 @@ def train_vocab(
     wanted = math.ceil((vocab_size - len(RESERVED)) * PRUNE_MARGIN)
     seen = [] if history is None else history
     pieces = cut_lineage(initial_scores(seeds))
+    names = [] if native else [r["piece"] for r in pieces.select("piece").collect()]
+    lattices = None if native else cut_lineage(word_lattices(words_df, names, max_len))
     while True:
         for _ in range(em_rounds):
-            if native:
-                counts = cut_lineage(em_step_native(words_df, pieces, max_len))
-            else:
-                counts = cut_lineage(em_step(words_df, _score_dict(pieces), max_len))
+            counts = cut_lineage(em_step_native(words_df, pieces, max_len) if native else em_step_lattice(lattices, names, _score_dict(pieces)))
             seen.append(float(counts.where(F.col("piece").isNull()).first()["n"]))
             scored = cut_lineage(m_step_df(counts, pieces=pieces))
             pieces = scored.select("piece", "score")

@@ -261,6 +261,9 @@ def test_native_em_and_prune_match_broadcast_forms(spark):
     wc = spark.createDataFrame([(w, rnd.randint(1, 5)) for w in sorted(words)], "word string, n long")
     sdf = spark.createDataFrame(list(scores.items()), "piece string, score double")
     a = {r["piece"]: r["n"] for r in vocab.em_step(wc, scores).collect()}
+    names = [*scores, "ㅋㅋ", "ㄱㅎㄱ"]  # pieces that were pruned: in the lattices, without a score
+    c = {r["piece"]: r["n"] for r in vocab.em_step_lattice(vocab.word_lattices(wc, names), names, scores).collect()}
+    assert a.keys() == c.keys() and all(math.isclose(a[p], c[p], rel_tol=1e-9, abs_tol=1e-12) for p in a)
     b = {r["piece"]: r["n"] for r in vocab.em_step_native(wc, sdf).collect()}
     assert a.keys() == b.keys()
     assert all(math.isclose(a[p], b[p], rel_tol=1e-9, abs_tol=1e-12) for p in a)
@@ -289,7 +292,7 @@ def test_a_long_word_does_not_widen_the_others():
     import numpy as np
 
     words = ["▁ab" * 2] * 1000 + ["▁" + "ab" * 100_000]
-    groups = list(vocab.by_length(words))
+    groups = list(vocab.by_length(np.array([len(w) for w in words])))
     assert sorted(i for g in groups for i in g) == list(range(1001)) and groups[-1].tolist() == [1000]
     scores = {"▁": -1.0, "a": -2.0, "b": -2.0, "ab": -2.5}
     index = {p: i for i, p in enumerate(scores)}
