@@ -96,3 +96,40 @@ FROM r{len(licence.RULES)}"""
 
 
 ORACLE["op1_sentence_rules"] = _licences()
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+ORACLE["op3_fm_decontamination"] = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents
+), b AS (
+  SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM benchmark
+), bw AS (
+  SELECT DISTINCT item, size, ws[i : i + size - 1] AS win FROM (SELECT item, ws, least(13, len(ws)) AS size, unnest(range(1, len(ws) - least(13, len(ws)) + 2)) AS i FROM b WHERE len(ws) > 0)
+), dw AS (
+  SELECT r, i, size, ws[i : i + size - 1] AS win FROM (SELECT r, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM d, (SELECT DISTINCT size FROM bw) WHERE len(ws) >= size)
+), hit AS (SELECT r, i, size, item FROM dw JOIN bw USING (size, win)),
+n AS (SELECT r, count(DISTINCT w) AS n_hit FROM (SELECT r, unnest(range(i, i + size)) AS w FROM hit) GROUP BY r),
+t AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM hit) GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN n USING (r) LEFT JOIN t USING (r)"""
+
+ORACLE["op7_superminhash"] = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents
+), s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, sh FROM (
+    SELECT doc_id, unnest(CASE WHEN len(ws) > 1 THEN list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) ELSE ws END) AS sh FROM d)
+), n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+f AS (SELECT sh, count(*) AS df FROM s GROUP BY sh HAVING count(*) > 1),
+p AS (SELECT doc_id, sh, row_number() OVER (PARTITION BY doc_id ORDER BY df, sh) AS place, n FROM s JOIN f USING (sh) JOIN n USING (doc_id)),
+-- two sets that are similar enough share one of their rarest shingles: all but four fifths of each
+rare AS MATERIALIZED (SELECT doc_id, sh, n FROM p WHERE place <= n - ceil(0.8 * n) + 1),
+cand AS (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb FROM rare a JOIN rare b ON a.sh = b.sh AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
+link AS MATERIALIZED (SELECT a, b FROM (SELECT a, b, na, nb, count(*) AS c FROM cand JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b AND y.sh = x.sh GROUP BY ALL) WHERE 100 * c >= 80 * (na + nb - c)),
+edges AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT DISTINCT a AS node, a AS root FROM edges UNION SELECT edges.b, reach.root FROM reach JOIN edges ON edges.a = reach.node WHERE reach.root < edges.b),
+comp AS (SELECT node, min(root) AS root FROM reach GROUP BY node)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(root, doc_id) AS component_id, doc_id = coalesce(root, doc_id) AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN comp ON node = doc_id"""
