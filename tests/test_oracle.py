@@ -38,7 +38,7 @@ def test_entry_smoke(spark):
 
 #: Queries that SQL cannot express: iterative training here, and of the training-data operators those that
 #: tokenise, sign, index, score or parse (tests/llm holds them against brute force).
-WITHOUT_SQL = {"train_vocab", "pipeline"} | {f"op{n}_" for n in (2, 3, 5, 6, 7, 8, 10)}
+WITHOUT_SQL = {"train_vocab", "pipeline"} | {f"op{n}_" for n in (2, 5, 6, 8, 10)}
 
 
 def test_every_query_has_a_twin():
