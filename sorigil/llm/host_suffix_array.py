@@ -13,7 +13,8 @@ more words that two distinct pages have. What such substrings cover is boilerpla
 Pages are partitioned by host. Hosts of more than ``HOST_PAGES`` pages (more in tables beyond 200 million pages, so that
 there are at most 100,000 such hosts and their list can be broadcast) are dealt by page id over as many shares as
 they fill, each with suffix arrays of its own. A task reads its pages in order and never holds more than about
-``STREAM`` words; a longer share is worked in stretches. The html crosses the network once.
+``STREAM`` words; a longer share is worked in stretches. Pages are read into blocks where they are scanned, so that
+work is even over the tasks; only the blocks, compressed, cross the network, once.
 
 Results: null and empty html give an empty text. A null address is the host "". Rows that repeat an id are
 pages of their own, but a page is never evidence against its own copy by id. Other columns are not read.
@@ -90,9 +91,8 @@ class Stretch:
         self.words = 0
         self.number: dict[tuple, int] = {}
 
-    def add(self, page_id, url: str | None, host: tuple, html: str | None) -> int:
-        """Adds a page; returns about how many words it has."""
-        found = blocks(html)
+    def add(self, page_id, url: str | None, host: tuple, found: list[tuple[int, str]]) -> int:
+        """Adds a page's blocks; returns about how many words it has."""
         self.rows.append((page_id, url, self.number.setdefault((host, page_id), len(self.number)), found))
         self.hosts.append(zlib.crc32(repr(host).encode()))
         words = sum(len(t) for _, t in found) // 6
@@ -121,8 +121,27 @@ class Stretch:
         return out
 
 
+def packed(found: list[tuple[int, str]]) -> tuple[int, bytes]:
+    """Size and compressed form of blocks (no block has a line end in it)."""
+    raw = "\n".join(f"{kind}{text}" for kind, text in found).encode()
+    return len(raw), pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpacked(size: int, data: bytes) -> list[tuple[int, str]]:
+    raw = pa.decompress(data, decompressed_size=size, codec="zstd", asbytes=True).decode() if size else ""
+    return [(int(line[0]), line[1:]) for line in raw.split("\n")] if raw else []
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, id, url, html) in; the blocks packed out."""
+    for batch in batches:
+        for part in slices(batch, 1000, 4 << 20):
+            sizes, data = zip(*(packed(blocks(html)) for html in part.column(3).to_pylist()))
+            yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(sizes, pa.int64()), pa.array(data, pa.binary())], names=["host", "id", "url", "size", "blocks"])
+
+
 def _extract(id_type: pa.DataType, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted pages (host, share, id, url, html) in; texts out."""
+    """Sorted pages (host, share, id, url, size, blocks) in; texts out."""
 
     def done(stretch: Stretch) -> pa.RecordBatch:
         cols = list(zip(*stretch.texts()))
@@ -132,14 +151,14 @@ def _extract(id_type: pa.DataType, batches: Iterator[pa.RecordBatch]) -> Iterato
     stretch, last, of_host = Stretch(), None, 0
     for batch in batches:
         for part in slices(batch, 1000, 4 << 20):
-            for name, share, page_id, url, html in zip(*(c.to_pylist() for c in part.columns)):
+            for name, share, page_id, url, size, data in zip(*(c.to_pylist() for c in part.columns)):
                 host = (name, share)
                 of_host = of_host if host == last else 0
                 if stretch.rows and (of_host >= STREAM or (host != last and stretch.words >= STREAM // 2)):
                     yield done(stretch)
                     stretch, of_host = Stretch(), 0
                 last = host
-                of_host += stretch.add(page_id, url, host, html)
+                of_host += stretch.add(page_id, url, host, unpacked(size, data))
     if stretch.rows:
         yield done(stretch)
 
@@ -151,8 +170,10 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     hosted = pages.select(host_of(F.col(url_col)).alias("host"), F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     most = max(HOST_PAGES, -(-pages.count() // HOT_HOSTS))
     hot = hosted.groupBy("host").count().where(F.col("count") > most).select("host", F.ceil(F.col("count") / most).alias("shares"))
-    dealt = hosted.join(F.broadcast(hot), "host", "left").withColumn("share", F.coalesce(F.pmod(F.xxhash64("id"), "shares"), F.lit(0).cast("long")))
-    ordered = dealt.select("host", "share", "id", "url", "html").repartition(tasks, "host", "share").sortWithinPartitions("host", "share", "id")
     kind = pages.schema[id_col].dataType
+    one = T.StructType([T.StructField("host", T.StringType()), T.StructField("id", kind), *T._parse_datatype_string("url string, size long, blocks binary")])
+    read = hosted.mapInArrow(_read, one)
+    dealt = read.join(F.broadcast(hot), "host", "left").withColumn("share", F.coalesce(F.pmod(F.xxhash64("id"), "shares"), F.lit(0).cast("long")))
+    ordered = dealt.select("host", "share", "id", "url", "size", "blocks").repartition(tasks, "host", "share").sortWithinPartitions("host", "share", "id")
     schema = T.StructType([T.StructField("id", kind), *T._parse_datatype_string("url string, text string, n_chars long, n_repeated long")])
     return ordered.mapInArrow(partial(_extract, to_arrow_type(kind)), schema).withColumnsRenamed({"id": id_col, "url": url_col})
