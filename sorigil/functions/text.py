@@ -40,7 +40,11 @@ def resolve_path(data_dir, filename) -> Column:
     return F.concat_ws("/", _col(data_dir), F.lit("wavs"), _col(filename))
 
 
-def clip_filename(idx, prefix: str = "zeroth") -> Column:
+# Fixed value: the usual prefix of clip names.
+CLIP_PREFIX = "zeroth"
+
+
+def clip_filename(idx, prefix: str = CLIP_PREFIX) -> Column:
     """``<prefix>_%06d.wav`` of a 0-based index."""
     return F.format_string(f"{prefix}_%06d.wav", _col(idx))
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from sorigil.functions import arrays
 from sorigil.operators import order
 
-# Defaults of the dialogue model's data configuration (text and audio limits,
+# Defaults of the dialogue model's data configuration (text and audio limits,
 # pad values, channel count), exposed as parameters.
 TEXT_LENGTH = 1024
 AUDIO_LENGTH = 3072

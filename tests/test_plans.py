@@ -7,7 +7,7 @@ from sorigil.plans.corpus import build_trainset, prepare_corpus, training_batche
 
 def _sources(tmp):
     srcs = []
-    for name, n in (("kss", 3), ("zeroth", 2)):
+    for name, n in (("first", 3), ("second", 2)):
         d = os.path.join(tmp, name)
         os.makedirs(os.path.join(d, "wavs"))
         with open(os.path.join(d, "metadata.csv"), "w", encoding="utf-8") as f:
@@ -37,13 +37,13 @@ def test_corpus_and_trainset(spark, tmp):
                 f.write(f"{r['filename']}|{r['text']}|{r['jamo']}\n")
         jamo_srcs.append((name, d, p))
     codes = spark.createDataFrame(
-        [(os.path.join(tmp, "kss", "wavs", "kss_000000.wav"), [[1, 2], [3, 4]]), (os.path.join(tmp, "zeroth", "wavs", "zeroth_000000.wav"), [[5, 6]])],
+        [(os.path.join(tmp, "first", "wavs", "first_000000.wav"), [[1, 2], [3, 4]]), (os.path.join(tmp, "second", "wavs", "second_000000.wav"), [[5, 6]])],
         "full_path string, audio_tokens array<array<int>>",
     )
     processed, rejects, progress = build_trainset(spark, jamo_srcs, tmp, codes, os.path.join(tmp, "processed"), batch_size=2)
     assert processed.columns == ["text_tokens", "audio_tokens", "original_indices"]  # P5: raw columns dropped
     got = sorted((r["original_indices"], len(r["text_tokens"])) for r in processed.collect())
-    # kept rows in order: kss_0, kss_2, zeroth_0 -> positions 0, 1, 2; kss_2 has no codes
+    # kept rows in order: first_0, first_2, second_0 -> positions 0, 1, 2; first_2 has no codes
     assert [g[0] for g in got] == [0, 2]
     assert [r["reason"] for r in rejects.collect()] == ["audio_tokens failed"]
     prog = sorted((r["batch_id"], r["batch_end"], r["valid_so_far"]) for r in progress.collect())
@@ -61,7 +61,7 @@ def test_trainset_positions_brute_force(spark):
 
     rng = random.Random(5)
     rows = []
-    for src, o, n in (("kss", 0, 300), ("zeroth", 1, 40), ("empty", 2, 0), ("x", 3, 7)):
+    for src, o, n in (("first", 0, 300), ("second", 1, 40), ("empty", 2, 0), ("x", 3, 7)):
         for i in range(n):
             num = rng.randint(0, 9000)
             rows.append((src, o, f"{rng.randint(1, 4)}/{rng.randint(1, 4)}_{num:04d}.wav"))
@@ -69,7 +69,7 @@ def test_trainset_positions_brute_force(spark):
     df = spark.createDataFrame(rows, "source string, source_ord int, filename string")
     got = {(r["source"], r["filename"]): (r["row_idx"], r["pos"]) for r in trainset_positions(df).collect()}
     pos = 0
-    for src in ("kss", "zeroth", "x"):
+    for src in ("first", "second", "x"):
         mine = sorted((int(f.split("_")[1][:4]), f) for s, _, f in rows if s == src)
         for i, (_, f) in enumerate(mine):
             assert got[(src, f)] == (i, pos)

@@ -27,7 +27,7 @@ def test_malformed_row_set_aside(spark, tmp):
 
 
 def test_sources_listing_and_concat(spark, tmp):
-    for name, files in (("kss", ["1.wav", "2.wav"]), ("zeroth", ["zeroth_000000.wav"])):
+    for name, files in (("first", ["1.wav", "2.wav"]), ("second", ["second_000000.wav"])):
         os.makedirs(os.path.join(tmp, name, "wavs"))
         for fn in files:
             open(os.path.join(tmp, name, "wavs", fn), "wb").write(b"RIFF")
@@ -35,14 +35,14 @@ def test_sources_listing_and_concat(spark, tmp):
             f.write("filename|text|jamo\n")
             for fn in files + ["missing.wav"]:
                 f.write(f"{fn}|가|ㄱㅏ\n")
-    srcs = [(n, os.path.join(tmp, n), os.path.join(tmp, n, "metadata.csv")) for n in ("kss", "absent", "zeroth")]
+    srcs = [(n, os.path.join(tmp, n), os.path.join(tmp, n, "metadata.csv")) for n in ("first", "absent", "second")]
     meta = M.load_sources(spark, srcs)
     listing_df = M.list_audio(spark, tmp)
     assert listing_df.where(F.col("full_path").endswith(".wav")).count() == 3
     kept = listing.with_audio(meta, listing_df)
     assert kept.count() == 3
     counts = {r["source"]: (r["n_before"], r["n_after"]) for r in listing.source_counts(meta, listing_df).collect()}
-    assert counts == {"kss": (3, 2), "zeroth": (2, 1), None: (5, 3)}
+    assert counts == {"first": (3, 2), "second": (2, 1), None: (5, 3)}
     assert {r["source_ord"] for r in meta.collect()} == {0, 2}
     with pytest.raises(ValueError):
         M.load_sources(spark, [("x", tmp, os.path.join(tmp, "nope.csv"))])
