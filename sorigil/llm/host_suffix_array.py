@@ -10,11 +10,13 @@ more words that two distinct pages have. What such substrings cover is boilerpla
   when ``COVERED`` or more of its words are covered; blocks with more unique runs than that stay whole. A page that would
   lose every block is a copy of another page and keeps them.
 
-Pages are partitioned by host. Hosts of more than ``HOST_PAGES`` pages (more in tables beyond 200 million pages, so that
-there are at most 100,000 such hosts and their list can be broadcast) are dealt by page id over as many shares as
-they fill, each with suffix arrays of its own. A task reads its pages in order and never holds more than about
-``STREAM`` words; a longer share is worked in stretches. Pages are read into blocks where they are scanned, so that
-work is even over the tasks; only the blocks, compressed, cross the network, once.
+Pages are partitioned by host. Hosts of more than ``HOST_PAGES`` pages or ``STREAM`` words are dealt by page id over as
+many shares as they fill. A task reads its pages in order and never holds more than about ``STREAM`` words (twice that
+where one id comes again and again); a longer share is worked in stretches, each with a suffix array of its own. What
+two stretches of a host have in common is found by an exchange: each stretch sends the 64-bit hashes of its distinct
+windows of ``LEAST`` words, dealt by host and hash, and every share gets back those of its windows that another
+stretch has too. So the words found do not depend on how a host is cut. Pages are read into blocks where they are
+scanned, so that work is even over the tasks; only the blocks, compressed, cross the network, twice for long hosts.
 
 Results: null and empty html give an empty text. A null address is the host "". Rows that repeat an id are
 pages of their own, but a page is never evidence against its own copy by id. Other columns are not read.
@@ -22,7 +24,7 @@ pages of their own, but a page is never evidence against its own copy by id. Oth
 
 from __future__ import annotations
 
-import zlib
+import hashlib
 from collections.abc import Iterator
 from functools import partial
 
@@ -33,15 +35,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from sorigil.llm.common import slices
+from sorigil.llm.common import slices, stored
 from sorigil.llm.fm_index import suffix_ranks
 from sorigil.llm.html_blocks import blocks
 from sorigil.llm.words import NOT_SPACE, find_words, mix
+from sorigil.session import broadcast_if_bounded
 
 LEAST = 12  # words of a repeated substring
 COVERED = 0.8
 STREAM = 1 << 20  # words in one suffix array
-HOST_PAGES, HOT_HOSTS = 2000, 100_000
+HOST_PAGES, HOT_HOSTS = 2000, 100_000  # pages of a share; long hosts whose list is broadcast
+LEAST_BUCKETS = 64  # a long host's windows are dealt over so many parts or more
 ARTICLE, MAIN, OTHER, CHROME = range(4)
 
 
@@ -82,31 +86,92 @@ def repeated(words: np.ndarray, page: np.ndarray, least: int = LEAST) -> np.ndar
     return (np.cumsum(change)[:-1] > 0)[place]
 
 
+def windows(words: np.ndarray, row: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
+    """Places where ``least`` words of one row begin, and the hashes of these words."""
+    n = max(len(words) - least + 1, 0)
+    run = np.zeros(n, np.uint64)
+    for k in range(least):
+        run = mix(run * np.uint64(0xD1342543DE82EF95) + words[k : k + n])
+    at = np.flatnonzero(row[:n] == row[least - 1 : least - 1 + n])
+    return at, run[at]
+
+
+def covered_by(at: np.ndarray, n: int, least: int = LEAST) -> np.ndarray:
+    """Which of ``n`` words lie in one of the windows that begin at ``at``."""
+    change = np.zeros(n + 1, np.int64)
+    change[at] += 1
+    np.add.at(change, at + least, -1)
+    return np.cumsum(change)[:-1] > 0
+
+
 class Stretch:
     """Pages of one or more whole hosts, or a part of a long one, until their words fill a stream."""
 
-    def __init__(self) -> None:
+    def __init__(self, tag: int = 0) -> None:
         self.rows: list[tuple] = []  # id, url, number of the page, blocks
-        self.hosts: list[int] = []
+        self.hosts: list[int] = []  # number of the host of each row
+        self.keys: list[tuple] = []  # host and share of each row
         self.words = 0
         self.number: dict[tuple, int] = {}
+        self.tag = tag
+        self.tags: dict[int, int] = {}  # tags of pages that go on in another stretch: copies by id are no evidence
+        self.parts: set[tuple] = set()  # hosts and shares of which other stretches have pages
+        self.shared: list[np.ndarray] = []  # windows that other stretches have too
 
     def add(self, page_id, url: str | None, host: tuple, found: list[tuple[int, str]]) -> int:
         """Adds a page's blocks; returns about how many words it has."""
         self.rows.append((page_id, url, self.number.setdefault((host, page_id), len(self.number)), found))
-        self.hosts.append(zlib.crc32(repr(host).encode()))
+        self.hosts.append(int.from_bytes(hashlib.blake2b(host[0].encode(), digest_size=8).digest(), "little"))
+        self.keys.append(host)
         words = sum(len(t) for _, t in found) // 6
         self.words += words
         return words
 
-    def texts(self) -> list[tuple]:
+    def read(self) -> tuple:
+        """Blocks of each row, words, words of each block, row of each word and its hash (words of two hosts never agree)."""
         size = [len(r[3]) for r in self.rows]
         words = find_words(pa.array([t for r in self.rows for _, t in r[3]], pa.string()), NOT_SPACE)
         per_block = np.diff(words.at)
         row = np.repeat(np.repeat(np.arange(len(self.rows)), size), per_block)
-        hashes = mix(words.hashes() ^ mix(np.array(self.hosts, np.uint64))[row])  # words of two hosts never agree
-        number = np.array([r[2] for r in self.rows], np.int64)[row]
-        cover = repeated(hashes, number)
+        return size, words, per_block, row, mix(words.hashes() ^ mix(np.array(self.hosts, np.uint64))[row])
+
+    def numbers(self, row: np.ndarray) -> np.ndarray:
+        return np.array([r[2] for r in self.rows], np.int64)[row]
+
+    def distinct(self, shares: dict[tuple, int]) -> Iterator[tuple]:
+        """(host, bucket, share, tag, windows) of the hosts that are in more than this stretch."""
+        _, _, _, row, hashes = self.read()
+        at, window = windows(hashes, row)
+        row = row[at]
+        order = np.argsort(window, kind="stable")
+        window, row = window[order], row[order]
+        first = np.flatnonzero(np.r_[True, window[1:] != window[:-1]]) if len(window) else np.zeros(0, np.int64)
+        page = self.numbers(row)
+        low, high = (f.reduceat(page, first) if len(first) else page for f in (np.minimum, np.maximum))
+        tag = np.full(len(first), self.tag)
+        for number, own in self.tags.items():
+            tag[(low == number) & (high == number)] = own
+        window, row = window[first], row[first]
+        keys = list(dict.fromkeys(self.keys))
+        key = np.array([keys.index(k) if len(keys) > 1 else 0 for k in self.keys], np.int64)[row]
+        for i, (host, share) in enumerate(keys):
+            if shares[host, share] < 2 and (host, share) not in self.parts:
+                continue
+            buckets = max(LEAST_BUCKETS, shares[host, share])
+            mine = np.flatnonzero(key == i)
+            bucket = (window[mine] % np.uint64(buckets)).astype(np.int64)
+            order = np.lexsort((window[mine], tag[mine], bucket))
+            mine, bucket = mine[order], bucket[order]
+            cut = np.flatnonzero(np.r_[True, (bucket[1:] != bucket[:-1]) | (tag[mine][1:] != tag[mine][:-1])]) if len(mine) else []
+            for some in np.split(mine, cut[1:]) if len(mine) else []:
+                yield host, int(window[some[0]] % np.uint64(buckets)), share, int(tag[some[0]]), window[some]
+
+    def texts(self) -> list[tuple]:
+        size, words, per_block, row, hashes = self.read()
+        cover = repeated(hashes, self.numbers(row))
+        if self.shared:
+            at, window = windows(hashes, row)
+            cover |= covered_by(at[np.isin(window, np.concatenate(self.shared))], len(hashes))
         total = np.r_[0, np.cumsum(cover)]
         share = (total[words.at[1:]] - total[words.at[:-1]]) / np.maximum(per_block, 1)
         out, at = [], 0
@@ -140,40 +205,122 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(sizes, pa.int64()), pa.array(data, pa.binary())], names=["host", "id", "url", "size", "blocks"])
 
 
-def _extract(id_type: pa.DataType, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted pages (host, share, id, url, size, blocks) in; texts out."""
-
-    def done(stretch: Stretch) -> pa.RecordBatch:
-        cols = list(zip(*stretch.texts()))
-        kinds = [id_type, pa.string(), pa.string(), pa.int64(), pa.int64()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["id", "url", "text", "n_chars", "n_repeated"])
-
-    stretch, last, of_host = Stretch(), None, 0
+def _stretches(stream: int, batches: Iterator[pa.RecordBatch], shares: dict[tuple, int] | None = None) -> Iterator[Stretch]:
+    """Sorted pages (host, share, id, url, size, blocks, shares) as stretches. Rows with a negative size come ahead of the
+    pages of their share and hold windows that other stretches have. ``shares`` is told the shares of a host."""
+    stretch, last, last_id, of_host, tag, known = Stretch(), None, None, 0, 0, []
     for batch in batches:
         for part in slices(batch, 1000, 4 << 20):
-            for name, share, page_id, url, size, data in zip(*(c.to_pylist() for c in part.columns)):
+            for name, share, page_id, url, size, data, n in zip(*(c.to_pylist() for c in part.columns)):
                 host = (name, share)
-                of_host = of_host if host == last else 0
-                if stretch.rows and (of_host >= STREAM or (host != last and stretch.words >= STREAM // 2)):
-                    yield done(stretch)
-                    stretch, of_host = Stretch(), 0
+                same = host == last
+                if not same:
+                    of_host, known = 0, []
+                if stretch.rows and (of_host >= stream if same else stretch.words >= stream // 2):
+                    tag += 2
+                    after = Stretch(tag)
+                    if same:
+                        stretch.parts.add(host)
+                        after.parts.add(host)
+                        after.shared += known
+                        if page_id == last_id:  # the same page goes on
+                            number = stretch.rows[-1][2]
+                            after.tags[0] = stretch.tags.setdefault(number, stretch.tag + 1)
+                    yield stretch
+                    stretch, of_host = after, 0
                 last = host
+                if size < 0:
+                    known.append(np.frombuffer(data, np.uint64))
+                    stretch.shared.append(known[-1])
+                    continue
+                last_id = page_id
+                if shares is not None:
+                    shares[host] = n
                 of_host += stretch.add(page_id, url, host, unpacked(size, data))
     if stretch.rows:
-        yield done(stretch)
+        yield stretch
 
 
-def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def _windows(stream: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted pages of long hosts in; (host, bucket, share, tag, size, windows) out, windows sorted, as differences by byte."""
+    shares: dict[tuple, int] = {}
+    for stretch in _stretches(stream, batches, shares):
+        rows = []
+        for *key, window in stretch.distinct(shares):
+            planes = np.diff(window, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+            rows.append((*key, len(window), pa.compress(planes, codec="zstd", asbytes=True)))
+        shares.clear()  # every page tells them again
+        if rows:
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["host", "bucket", "share", "tag", "size", "windows"])
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of ``_windows`` sorted by host and bucket in; (host, share, windows) that two tags have out."""
+
+    def found(host: str, owners: dict[tuple, list[np.ndarray]]) -> pa.RecordBatch:
+        every = [np.unique(np.concatenate(v)) if len(v) > 1 else v[0] for v in owners.values()]
+        window, n = np.unique(np.concatenate(every), return_counts=True)
+        window = window[n > 1]
+        by: dict[int, list[np.ndarray]] = {}
+        for (share, _), own in zip(owners, every):
+            some = own[np.isin(own, window, assume_unique=True)]
+            if len(some):
+                by.setdefault(share, []).append(some)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([host] * len(by), pa.string()), pa.array(list(by), pa.int64()), pa.array([np.unique(np.concatenate(v)).tobytes() for v in by.values()], pa.binary())],
+            names=["host", "share", "blocks"],
+        )
+
+    last, owners = None, {}
+    for batch in batches:
+        for host, bucket, share, tag, size, data in (tuple(c[i].as_py() for c in batch.columns) for i in range(batch.num_rows)):
+            if owners and (host, bucket) != last:
+                yield found(last[0], owners)
+                owners = {}
+            last = (host, bucket)
+            planes = np.frombuffer(pa.decompress(data, decompressed_size=8 * size, codec="zstd", asbytes=True), np.uint8)
+            owners.setdefault((share, tag), []).append(np.cumsum(np.ascontiguousarray(planes.reshape(8, -1).T).view(np.uint64).ravel()))
+    if owners:
+        yield found(last[0], owners)
+
+
+def _extract(id_type: pa.DataType, stream: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted pages and shared windows in; texts out."""
+    for stretch in _stretches(stream, batches):
+        cols = list(zip(*stretch.texts()))
+        kinds = [id_type, pa.string(), pa.string(), pa.int64(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["id", "url", "text", "n_chars", "n_repeated"])
+
+
+def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", host_pages: int = HOST_PAGES, stream: int = STREAM) -> DataFrame:
     """One row per row of ``pages``: id, url, text, n_chars and the words that other pages of the host repeat."""
     spark = pages.sparkSession
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     hosted = pages.select(host_of(F.col(url_col)).alias("host"), F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    most = max(HOST_PAGES, -(-pages.count() // HOT_HOSTS))
-    hot = hosted.groupBy("host").count().where(F.col("count") > most).select("host", F.ceil(F.col("count") / most).alias("shares"))
+    # a page has no more words, by the count of six characters a word, than its bytes over six
+    size = F.greatest(F.ceil(F.col("n") / host_pages), F.ceil(F.col("bytes") / (6 * stream)))
+    hosts = hosted.groupBy("host").agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("html")), F.lit(0)).alias("bytes"))
+    long_hosts = stored(hosts.select("host", size.alias("shares")).where(F.col("shares") > 1), "hosts")
+    hot = broadcast_if_bounded(long_hosts, HOT_HOSTS)
     kind = pages.schema[id_col].dataType
     one = T.StructType([T.StructField("host", T.StringType()), T.StructField("id", kind), *T._parse_datatype_string("url string, size long, blocks binary")])
-    read = hosted.mapInArrow(_read, one)
-    dealt = read.join(F.broadcast(hot), "host", "left").withColumn("share", F.coalesce(F.pmod(F.xxhash64("id"), "shares"), F.lit(0).cast("long")))
-    ordered = dealt.select("host", "share", "id", "url", "size", "blocks").repartition(tasks, "host", "share").sortWithinPartitions("host", "share", "id")
+    row = ["host", "share", "id", "url", "size", "blocks", "shares"]
+
+    def dealt(rows: DataFrame, how: str) -> DataFrame:
+        joined = rows.mapInArrow(_read, one).join(hot, "host", how).withColumn("shares", F.coalesce("shares", F.lit(1)).cast("long"))
+        return joined.withColumn("share", F.pmod(F.xxhash64("id"), "shares")).select(*row)
+
+    def in_order(rows: DataFrame) -> DataFrame:
+        # the same order each time, so that stretches end at the same pages
+        return rows.repartition(tasks, "host", "share").sortWithinPartitions("host", "share", F.col("size") >= 0, "id", F.xxhash64("blocks"))
+
+    every = dealt(hosted, "left")
+    if not long_hosts.isEmpty():
+        own = in_order(dealt(hosted.join(hot.select("host"), "host", "left_semi"), "inner"))
+        sent = own.mapInArrow(partial(_windows, stream), "host string, bucket long, share long, tag long, size long, windows binary")
+        shared = sent.repartition(tasks, "host", "bucket").sortWithinPartitions("host", "bucket").mapInArrow(_shared, "host string, share long, blocks binary")
+        none = {"id": F.lit(None).cast(kind), "url": F.lit(None).cast("string"), "size": F.lit(-1).cast("long"), "shares": F.lit(1).cast("long")}
+        every = every.unionByName(shared.withColumns(none).select(*row))
     schema = T.StructType([T.StructField("id", kind), *T._parse_datatype_string("url string, text string, n_chars long, n_repeated long")])
-    return ordered.mapInArrow(partial(_extract, to_arrow_type(kind)), schema).withColumnsRenamed({"id": id_col, "url": url_col})
+    return in_order(every).mapInArrow(partial(_extract, to_arrow_type(kind), stream), schema).withColumnsRenamed({"id": id_col, "url": url_col})

@@ -92,6 +92,32 @@ def test_a_long_host_is_worked_in_stretches(spark, monkeypatch):
     assert want == {k: text_of(v) for k, v in html.items()}  # every page there has an article
 
 
+@pytest.mark.parametrize("host_pages, stream", [(5, 1 << 20), (1000, 60), (7, 90)])
+def test_repeats_are_found_over_the_whole_host(spark, host_pages, stream):
+    rng = np.random.default_rng(3)
+    words = [[f"w{x}" for x in rng.integers(0, 10**6, 40)] for _ in range(60)]
+    for a, b in ((0, 59), (3, 31), (17, 18)):  # passages that just two pages have
+        words[b][10:25] = words[a][5:20]
+    ids = [*range(50), *[None] * 4, *[77] * 6]
+    for k in range(54, 59):
+        words[k] = words[59][:]  # copies by id are no evidence
+    rows = [(i, f"https://{h}/{k}", f"<body><p>{' '.join(w)}</p></body>") for h in ("a", "b") for k, (i, w) in enumerate(zip(ids, words)) if h == "a" or k < 2]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.url: r.n_repeated for r in hsa.main_texts(df, host_pages=host_pages, stream=stream).collect()}
+    seen = {}
+    for i, w in zip(ids, words):
+        for k in range(len(w) - 11):
+            seen.setdefault(tuple(w[k : k + 12]), set()).add(i)
+    want = {}
+    for k, w in enumerate(words):
+        cover = set()
+        for j in range(len(w) - 11):
+            if len(seen[tuple(w[j : j + 12])]) > 1:
+                cover.update(range(j, j + 12))
+        want[f"https://a/{k}"] = len(cover)
+    assert got == want | {"https://b/0": 0, "https://b/1": 0}
+
+
 def test_archive_round_trip(spark):
     big, small = "é" * 60, "x" * 99
     rows = [(5, "http://a/\r\nX: y", big), (3, None, big), (9, "http://b", big), (1, "u", small), (2, "u", small), (4, "u", None), (6, "u", ""), (None, "n", big), (7, "u", "p" * 100), (None, "m", "q" * 200), (9, "http://b", big)]
