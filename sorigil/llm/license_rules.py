@@ -1,7 +1,8 @@
 """Licence scan by sentence rules, with DataFrame functions only.
 
-A text is cut into sentences at line ends and behind ``.``, ``!``, ``?`` and ``;`` before white space. Sentences that hold a
-licence word are normalised (lower case, everything but letters, digits and dots a single space, dots at the end
+A text is cut into sentences at line ends and behind ``.``, ``!``, ``?`` and ``;`` before white space. Lines that are no known
+sentence are joined with their neighbours (up to the end of the sentence, a blank line or the start of another known
+sentence; comment marks fall away), since notices are often wrapped. Sentences that hold a licence word are normalised (lower case, everything but letters, digits and dots a single space, dots at the end
 gone) and mapped to the identifier of the first known licence sentence they match; a sentence's version becomes
 part of its identifier. The identifiers of a document, in order of the text, are then matched against the ordered
 rules: the first rule that fits takes its identifiers out of the sequence, as often as it fits, then the next one
@@ -9,7 +10,8 @@ is tried. What no rule takes is reported as left over.
 
 All work is per row, without a shuffle; texts without any licence word cost one pattern search.
 
-Results: one row per row of the table. Null, empty and licence-free texts have empty lists. Repeated rows
+``n_sentences`` counts sentences as cut at line ends. The SQL twin does not join lines and knows ``LICENCE_WORDS`` only, so it holds
+for notices on one line that have one of these. Results: one row per row of the table. Null, empty and licence-free texts have empty lists. Repeated rows
 each get their row. Only the id and the text are read.
 """
 
@@ -18,8 +20,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Words one of which every known licence sentence has.
+# Words of licence sentences; with KNOWN_WORDS, every known sentence has one of them, also when it is wrapped.
 LICENCE_WORDS = "(?i)licen[cs]e|permission|redistribut|warrant|public domain|liab|spdx|copyright notice|provided .?as is"
+_GAP = "[^a-z0-9]+"
+_ALONE = "(?<![a-z0-9])"
+KNOWN_WORDS = LICENCE_WORDS + f"|{_ALONE}[al]?gpl|{_ALONE}cc0(?![a-z0-9])|{_ALONE}cc{_GAP}by|creative{_GAP}commons|public{_GAP}domain|software{_GAP}is{_GAP}provided|endorse"
+# Where joined lines end: behind a sentence, at a blank line (comment marks aside), before the start of a known sentence.
+_MARKS = "[\\x20\\x09\\x0D*#/%;-]*"
+_STARTS = "permission (?:is hereby|to use)|redistribution and use|neither the name of|in no event shall|the above copyright notice and|th(?:e|is) software is provided"
+JOINED_END = f"(?<=[.!?])\\n|\\n{_MARKS}\\n|\\n(?={_MARKS}(?i:{_STARTS}))"
 
 # Identifier and pattern (on normalised sentences) of known licence sentences, most special first.
 # A group in a pattern is the version and is added to the identifier.
@@ -74,10 +83,36 @@ RULES = [
 ]
 
 
-def sentences(text: Column) -> Column:
-    cut = F.regexp_replace(text, "([.!?;])[\\x20\\x09\\x0D]+", "$1\n")
-    some = F.filter(F.split(cut, "\n"), lambda s: s.rlike(LICENCE_WORDS))
-    return F.transform(some, lambda s: F.regexp_replace(F.regexp_replace(F.lower(s), "[^a-z0-9.]+", " "), "^[ .]+|[ .]+$", ""))
+def normal(s: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(F.lower(s), "[^a-z0-9.]+", " "), "^[ .]+|[ .]+$", "")
+
+
+def cut_text(text: Column) -> Column:
+    """The text with a line end behind every sentence; the marks of ``identifiers`` are not in it."""
+    return F.regexp_replace(F.translate(text, "\x01\x02", "  "), "([.!?;])[\\x20\\x09\\x0D]+", "$1\n")
+
+
+def sentences(cut: Column) -> Column:
+    return F.filter(F.split(cut, "\n"), lambda s: s.rlike(KNOWN_WORDS))
+
+
+def identifiers(cut: Column) -> Column:
+    """The known sentences of a cut text in order: those of single lines, and those of what lies between these, joined."""
+    units = F.filter(F.split(cut, JOINED_END), lambda u: u.rlike(KNOWN_WORDS))
+
+    def marked(line: Column) -> Column:
+        found = F.when(line.rlike(KNOWN_WORDS), identifier(normal(line)))  # as in SQL
+        return F.coalesce(F.concat(F.lit("\x01\x02"), found, F.lit("\x01")), line)
+
+    def joined(lines: Column) -> Column:
+        """The identifier of joined lines; a digest with cc0 in it on one of them is no licence."""
+        zero = lines.rlike("\\bcc0\\b|creative commons zero|dedicated to the public domain")
+        found = identifier(lines)
+        return F.when((found != "CCZero") | zero, found)
+
+    parts = F.flatten(F.transform(units, lambda u: F.split(F.array_join(F.transform(F.split(u, "\n"), marked), "\n"), "\x01")))
+    named = F.transform(parts, lambda p: F.when(p.startswith("\x02"), F.replace(p, F.lit("\x02"))).otherwise(F.when(p.rlike(KNOWN_WORDS), joined(normal(p)))))
+    return F.filter(named, lambda i: i.isNotNull())
 
 
 def identifier(sentence: Column) -> Column:
@@ -93,8 +128,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """id, n_sentences, identifiers, licences and left_over (comma-joined, in order of the text or of the rules)."""
     one = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     none = F.array().cast("array<string>")
-    cut = one.select(id_col, F.when(F.col("t").rlike(LICENCE_WORDS), sentences(F.col("t"))).otherwise(none).alias("sentences"))
-    known = cut.select(id_col, F.size("sentences").cast("long").alias("n_sentences"), F.filter(F.transform("sentences", identifier), lambda i: i.isNotNull()).alias("ids"))
+    cut = one.select(id_col, F.when(F.col("t").rlike(KNOWN_WORDS), cut_text(F.col("t"))).alias("cut"))
+    known = cut.select(
+        id_col,
+        F.when(F.col("cut").isNull(), F.lit(0)).otherwise(F.size(sentences(F.col("cut")))).cast("long").alias("n_sentences"),
+        F.when(F.col("cut").isNull(), none).otherwise(identifiers(F.col("cut"))).alias("ids"),
+    )
     out = known.withColumns({"left": F.array_join(F.transform("ids", lambda i: F.concat(F.lit("<"), i, F.lit(">"))), ""), "found": none})
     for licence, pattern in RULES:
         before, version, after = licence.partition("\\1")

@@ -81,3 +81,55 @@ def test_licence_rules(spark):
     got = {(r.doc_id, r.licences, r.left_over) for r in license_rules.scan(df).collect()}
     assert got == {(1, "MIT", ""), (2, "SPDX-gpl-2.0,CC-by-nc-4.0", ""), (3, "", ""), (4, "", ""), (None, "", "AsIs")}
     assert license_rules.scan(df.limit(0)).collect() == []
+
+
+GPL3 = """/* tool.c
+ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ *
+ * This program is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY.
+ */"""
+LGPL21 = GPL3.replace("GNU General", "GNU Lesser General").replace("software: you", "software; you").replace("Foundation, either version 3", "Foundation; either\r\n * version 2.1")
+BSD3 = """Copyright (c) 2020, the authors
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright
+   notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright
+   notice in the documentation.
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS
+"AS IS" AND ANY EXPRESS OR IMPLIED TERMS ARE DISCLAIMED. IN NO EVENT SHALL
+THE COPYRIGHT HOLDER BE LIABLE FOR ANY DAMAGES."""
+
+
+def test_wrapped_notices_and_short_references(spark):
+    rows = [
+        (GPL3, "GPL-3-or-later"), (GPL3.replace("General", "Affero General"), "AGPL-3-or-later"), (LGPL21, "LGPL-2.1-or-later"), (BSD3, "BSD-3-Clause"), (BSD3.replace("\n   ", " "), "BSD-3-Clause"),
+        ("Released under the GPL v3", "GPL-3"), ("It is distributed under LGPL 2.1", "LGPL-2.1"), ("available under AGPL 3.0", "AGPL-3.0"), ("Released under CC BY 4.0", "CC-by-4.0"), ("Released under CC0", "CC0-1.0"),
+        ("Released under the MIT License\nThis is free software: see the GNU General Public\nLicense, version 2", "GPL-2-or-later,MIT"), ("Free words on warranty\n\nand the \x01\x02GPLfree:3\x01 licence\n\n<license", ""), ("id 4f9cc0ab12\na licence\nof 77cc0d", ""),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: (r.licences, r.left_over) for r in license_rules.scan(df).collect()}
+    assert got == {i: (want, "") for i, (_, want) in enumerate(rows)}
+
+
+def test_every_known_sentence_has_a_known_word():
+    samples = {
+        "SPDX": "SPDX-License-Identifier: MIT", "AGPLfree": "free software gnu affero general public license version 3", "LGPLfree": "free software gnu library general public license version 2",
+        "GPLfree": "free software gnu general public license version 3", "AGPLref": "available agpl 3", "LGPLref": "available lgpl 3", "GPLref": "available gpl 3",
+        "ApacheUse": "you may not use this file except in compliance with the license", "ApacheBasis": "distributed under the license is distributed on an as is basis", "ApacheRef": "available apache license 2.0",
+        "MozillaRef": "under the terms of the mozilla public license 2.0", "CCRef": "available cc by 4.0", "CCZero": "cc0", "MITRef": "available x mit license", "BSDRef": "available bsd license",
+        "MITGrant": "permission is hereby granted free of charge to any person obtaining a copy", "MITNotice": "the above copyright notice and this permission notice shall be included",
+        "AsIs": "this software is provided by x as is", "Liability": "in no event shall x be liable", "BSDGrant": "redistribution and use in source and binary forms",
+        "BSDSource": "redistributions of source code must retain", "BSDBinary": "redistributions in binary form must reproduce", "BSDNames": "neither the name of x may be used to endorse",
+        "ISCGrant": "permission to use copy modify and or distribute this software for any purpose", "NoWarranty": "without warrant",
+    }
+    more = ["creative commons zero", "dedicated to the\npublic domain", "available creative\n * commons by 4.0", "without even the implied warranty"]
+    assert [name for name, _ in license_rules.SENTENCES if not re.search(license_rules.KNOWN_WORDS, samples[name])] == []
+    assert all(re.search(license_rules.KNOWN_WORDS, s) for s in more)
