@@ -2,17 +2,21 @@
 
 Every document has two histograms: its characters over the seven ``CLASSES`` and its words over
 ``COMMON`` (function words of the known languages, everything else in one bin). The references are the
-same histograms summed over all documents of a language. A document fails when the Jensen-Shannon
+same histograms summed over all documents of a language, by the first part of its tag in lower case (``en-US`` is ``en``).
+Documents of a language without function words here are kept apart by script as well. Where such a language has
+fewer than ``LEAST_DOCS`` documents of ``LEAST_CHARS`` characters in a script, and where no language is given, the reference is
+that of the script over all these languages; several languages are mixed in it, so it has no words and only the
+characters are compared. Where the script has too few documents too, the distances decide nothing. A document fails when the Jensen-Shannon
 distance (base 2, 0 to 1) of either histogram from its language's reference is above the limit, provided
 the text is long enough for the histogram to mean something (``LEAST_CHARS``, ``LEAST_WORDS``); shorter texts
 pass that test. The base rules of the contract (few words, repeated word windows) come on top.
 
 Two scans of the texts and no shuffle of them: the first sums the references (partial sums per task, a
-few hundred rows exchanged), the second computes and compares. The reference table has one row for each
-language of ``FUNCTION_WORDS`` and one for all others, so its broadcast is bounded.
+few hundred rows a task and language exchanged), the second computes and compares. The references, a row for each language
+and script, are stored and broadcast if they are at most ``BROADCAST_REFERENCES``.
 
-Results: null and empty texts have no words, so they fail the base rule. A null or unknown language is
-compared with the documents of all null and unknown languages together. Repeated rows each get their row.
+Results: null and empty texts have no words, so they fail the base rule. The SQL twin pools all
+languages but those of ``FUNCTION_WORDS``; it holds for tables that have only these. Repeated rows each get their row.
 Other columns are not read; clashing names do no harm, since only the id, text and language are selected.
 Windows are found by a 64-bit hash and confirmed on their words.
 """
@@ -23,6 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sorigil.functions.bind import let
+from sorigil.llm.common import stored
+from sorigil.session import broadcast_if_bounded
 
 SPACE = "[\\x20\\x09-\\x0D]+"
 # Character classes, taken away from the text one after the other; the rest is the last class.
@@ -38,10 +44,26 @@ COMMON = sorted({w for words in FUNCTION_WORDS.values() for w in words.split()},
 LEAST_WORDS_BASE, WINDOW, MOST_REPEATED = 10, 5, 20  # contract: words, window, percent of words in repeated windows
 LEAST_CHARS, MOST_CLASS = 300, 0.31
 LEAST_WORDS, MOST_WORD = 120, 0.29
+LEAST_DOCS = 30  # of a reference of a language without function words, or of a script
+BROADCAST_REFERENCES = 20_000
+NO_LANGUAGE = ("und", "mul", "mis", "zxx", "unknown", "other", "none", "null")
+# Scripts that are told apart, letters of any other are one more.
+SCRIPTS = {"latin": "\\p{IsLatin}", "cyrillic": "\\p{IsCyrillic}", "greek": "\\p{IsGreek}", "arabic": "\\p{IsArabic}", "hebrew": "\\p{IsHebrew}", "devanagari": "\\p{IsDevanagari}", "thai": "\\p{IsThai}",
+           "hangul": "\\p{IsHangul}", "east_asian": "\\p{IsHan}\\p{IsHiragana}\\p{IsKatakana}"}
 
 
-def language(lang: Column) -> Column:
-    return F.when(lang.isin(*FUNCTION_WORDS), lang).otherwise(F.lit("other"))
+def script(text: Column) -> Column:
+    """The script most letters of a text are of, Latin if it has no letters."""
+    patterns = {**{k: f"[^{p}]+" for k, p in SCRIPTS.items()}, "rest": f"[\\P{{L}}{''.join(SCRIPTS.values())}]+"}
+    most = F.array_max(F.array(*(F.struct(F.length(F.regexp_replace(text, p, "")).alias("n"), F.lit(k).alias("script")) for k, p in patterns.items())))
+    return let(lambda m: F.when(m["most"]["n"] > 0, m["most"]["script"]).otherwise("latin"), most=most)
+
+
+def language(lang: Column, text: Column) -> Column:
+    """The language's tag; behind other languages than those of ``FUNCTION_WORDS``, and behind none, a bar and the script."""
+    tag = F.coalesce(F.lower(F.regexp_extract(lang, "^\\s*([A-Za-z]{2,8})(?:[-_][A-Za-z0-9_-]*)?\\s*$", 1)), F.lit(""))
+    named = F.when(tag.isin(*NO_LANGUAGE), "").otherwise(tag)
+    return F.when(tag.isin(*FUNCTION_WORDS), tag).otherwise(F.concat(named, F.lit("|"), script(F.coalesce(text, F.lit("")))))
 
 
 def histograms(docs: DataFrame, text_col: str, *keep: Column) -> DataFrame:
@@ -79,12 +101,22 @@ def shares(counts: str) -> Column:
 
 
 def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """One row per known language and ``other``: shares of all its documents' characters and words."""
-    both = histograms(docs, text_col, language(F.col(lang_col)).alias("of")).select("of", F.posexplode(F.concat("classes", "commons")).alias("at", "n"))
-    sums = both.groupBy("of", "at").agg(F.sum("n").alias("n")).groupBy("of").agg(F.array_sort(F.collect_list(F.struct("at", "n"))).alias("bins"))
-    k = len(CLASSES) + 1
-    counts = sums.select("of", F.slice("bins.n", 1, k).alias("c"), F.slice("bins.n", k + 1, len(COMMON) + 1).alias("w"))
-    return counts.select("of", shares("c").alias("ref_classes"), shares("w").alias("ref_commons"))
+    """One row per language (and script, see ``language``): shares of characters and words, null where there are too few."""
+    k, m = len(CLASSES) + 1, len(COMMON) + 1
+    long_enough = F.array((F.col("n_chars") >= LEAST_CHARS).cast("long"))
+    both = histograms(docs, text_col, language(F.col(lang_col), F.col(text_col)).alias("of")).select("of", F.posexplode(F.concat("classes", "commons", long_enough)).alias("at", "n"))
+    sums = stored(both.groupBy("of", "at").agg(F.sum("n").alias("n")), "references")
+
+    def bins(rows: DataFrame, name: str) -> DataFrame:
+        sorted_bins = rows.groupBy(name).agg(F.array_sort(F.collect_list(F.struct("at", "n"))).alias("bins"))
+        return sorted_bins.select(name, F.slice("bins.n", 1, k).alias("c"), F.slice("bins.n", k + 1, m).alias("w"), F.element_at("bins.n", k + m + 1).alias("docs"))
+
+    behind = F.regexp_extract("of", "\\|(.*)$", 1).alias("script")
+    own = bins(sums, "of").select("of", behind, shares("c").alias("c"), shares("w").alias("w"), "docs")
+    pooled = bins(sums.where(F.col("of").contains("|")).select(behind, "at", "n").groupBy("script", "at").agg(F.sum("n").alias("n")), "script")
+    pool = pooled.where(F.col("docs") >= LEAST_DOCS).select("script", shares("c").alias("pool"))
+    alone = ~F.col("of").contains("|") | ((F.col("docs") >= LEAST_DOCS) & ~F.col("of").startswith("|"))
+    return own.join(pool, "script", "left").select("of", F.when(alone, F.col("c")).otherwise(F.col("pool")).alias("ref_classes"), F.when(alone, F.col("w")).alias("ref_commons"))
 
 
 def distance(p: str, q: str) -> Column:
@@ -119,7 +151,7 @@ def repeats(df: DataFrame) -> DataFrame:
 
 def judged(docs: DataFrame, *keep: str, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One row per row of ``docs``: the ``keep`` columns, the base counts, both distances and the verdict."""
-    bins = histograms(docs, text_col, F.struct(*(F.col(c) for c in keep)).alias("kept_row"), language(F.col(lang_col)).alias("of"))
+    bins = histograms(docs, text_col, F.struct(*(F.col(c) for c in keep)).alias("kept_row"), language(F.col(lang_col), F.col(text_col)).alias("of"))
     lines = F.filter(F.split("t", "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
     counted = (
         repeats(bins.withColumn("lines", lines))
@@ -129,7 +161,8 @@ def judged(docs: DataFrame, *keep: str, text_col: str = "text", lang_col: str =
         .drop("t", "words", "lines")
         .withColumns({"classes": shares("classes"), "commons": shares("commons")})
     )
-    far = counted.join(F.broadcast(references(docs, text_col, lang_col)), "of", "left").select(
+    refs = broadcast_if_bounded(stored(references(docs, text_col, lang_col), "references"), BROADCAST_REFERENCES)
+    far = counted.join(refs, "of", "left").select(
         "kept_row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_chars",
         distance("classes", "ref_classes").alias("class_distance"), distance("commons", "ref_commons").alias("word_distance"),
     )

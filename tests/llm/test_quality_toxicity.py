@@ -1,6 +1,7 @@
 """Quality verdicts against plain counts, toxicity by held-out rows; edge rows."""
 
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -72,6 +73,22 @@ def test_plan_has_no_python_and_no_shuffle_of_texts(spark):
     assert "Python" not in plan and "Arrow" not in plan and "SortMergeJoin" not in plan
 
 
+def test_languages_and_scripts_are_not_judged_by_each_other(spark):
+    rng = random.Random(5)
+
+    def prose(letters, words=150):
+        return " ".join("".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(words))
+
+    latin, cyrillic, han = "abcdefghilmnoprstuz", "абвгдежзиклмнопрсту", "的一是不了人我在有他这中大来上国"
+    groups = [("pl", latin, 90), ("ru", cyrillic, 60), (None, latin, 40), (None, cyrillic, 60), ("und", latin, 5), ("sr-Latn", latin, 5), ("sr", cyrillic, 5), ("ka", "აბგდევზთი", 3)]
+    rows = [(lang, prose(letters)) for lang, letters, n in groups for _ in range(n)] + [(None, prose(han).replace(" ", "") + " a" * 3 + " b c d e f g") for _ in range(100)]
+    english = [("en", prose(latin)) for _ in range(40)] + [("en-US", prose(latin)), ("EN_gb", prose(latin))]
+    strange = [("en-US", prose(cyrillic)), ("pl", "#$% &*| " * 3 + " ".join("".join(rng.choices("#$%&*|", k=9)) for _ in range(60)))]
+    rows = [(i, t, lang) for i, (lang, t) in enumerate([*rows, *english, *strange])]
+    got = {r.doc_id: r.kept for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert [i for i, k in got.items() if not k] == [len(rows) - 2, len(rows) - 1]
+
+
 def toxic_rows(n=900):
     """A pair of terms is toxic where both come, each is harmless alone."""
     rows, labels = [], []
