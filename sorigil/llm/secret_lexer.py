@@ -2,7 +2,8 @@
 
 Three plain patterns give the base spans (``assign``, ``access``, ``hex``). Beside them a small
 lexer reads source and configuration syntax: ``name = "literal"``, ``"name": "literal"``,
-``name: literal``, ``NAME=literal``, ``const name = 'a' + 'b'`` and ``<name>literal</name>``. Pairs of
+``name: literal``, ``NAME=literal``, ``const name = 'a' + 'b'``, ``name: type = "literal"``, ``var name string = "literal"``,
+``table["name"] = "literal"`` and ``<name>literal</name>``; literals may have escapes, triple quotes or backticks. Pairs of
 name and value are kept in order of the text; a value that is the name of an earlier pair takes that
 pair's literal (constants are propagated, so ``k = "x"; api_token = k`` marks the literal at ``k``).
 Every literal is scored by the parts of the names it reaches (``db_password`` -> ``db``, ``password``)
@@ -43,13 +44,23 @@ PLACEHOLDER = re.compile(r"(?:x+|\*+|\.+|-+|<.*>|\$\{.*\}|%.*%|true|false|null|n
 SCORE = 1.0
 LEAST_LITERAL = 6
 
+# Runs are possessive and have no length limit: each is read once, so that work stays in proportion to the text.
+_DQ, _SQ = r'''"(?P<dq>(?:[^"\\\n]|\\.)*+)"''', r"""'(?P<sq>(?:[^'\\\n]|\\.)*+)'"""
 _LEX = re.compile(
-    r"""(?P<tag><(?P<tname>[A-Za-z_][\w.-]{0,63})>(?P<tval>[^<>\s]{1,4096})</)"""
-    r"""|(?P<q>["']?)(?<![\w.-])(?P<name>[A-Za-z_][\w.-]{0,63})(?P=q)[\x20\t]{0,8}(?::=|=>|=(?![=>])|:(?![:/]))[\x20\t]{0,8}"""
-    r"""(?:"(?P<dq>[^"\\\n]{0,4096})"|'(?P<sq>[^'\\\n]{0,4096})'|(?P<bare>[^\s"'`,;(){}\[\]<>|]{1,4096}))""",
+    r"""(?P<tag><(?P<tname>[A-Za-z_][\w.-]*+)>(?P<tval>[^<>\s]++)</)"""
+    r"""|(?P<q>["']?)(?<![\w.-])(?P<name>[A-Za-z_][\w.-]*+)(?P=q)(?:(?<=["'])\])?+"""
+    # a type: name: str = "literal"
+    r"""(?:[\x20\t]*+:[\x20\t]*+(?:&(?:'\w++[\x20\t]++)?)?[A-Za-z_][\w.\[\]<>|?*]*+(?=[\x20\t]*+=[\x20\t]*+["'`]))?"""
+    r"""[\x20\t]*+(?::=|=>|=(?![=>])|:(?![:/]))[\x20\t]*+"""
+    r'''(?:"""(?P<d3>(?:[^"\\]|\\(?s:.)|"(?!""))*+)"""'''
+    r"""|'''(?P<s3>(?:[^'\\]|\\(?s:.)|'(?!''))*+)'''"""
+    rf"""|{_DQ}|{_SQ}|`(?P<bt>(?:[^`\\]|\\(?s:.))*+)`"""
+    r"""|(?P<bare>[^\s"'`,;(){}\[\]<>|]++))""",
     re.A,
 )
-_PLUS = re.compile(r"""[\x20\t]{0,8}\+[\x20\t]{0,8}(?:"([^"\\\n]{0,4096})"|'([^'\\\n]{0,4096})')""")
+_VALUES = ("tval", "d3", "s3", "dq", "sq", "bt", "bare")
+_PLUS = re.compile(rf"[\x20\t]*+\+[\x20\t]*+(?:{_DQ}|{_SQ})")
+TYPES_BEHIND = frozenset(("string",))  # Go: var name string = "literal"
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 
@@ -70,15 +81,28 @@ def name_weight(name: str) -> float:
 
 
 def literal_weight(value: str) -> float:
-    """From -1 (prose, a placeholder, too short) to 1 (long, mixed, dense): evidence in the literal itself."""
-    if len(value) < LEAST_LITERAL or " " in value or PLACEHOLDER.match(value):
+    """From -1 (a placeholder, too short) to 1 (long, mixed, dense): evidence in the literal itself."""
+    if len(value) < LEAST_LITERAL or PLACEHOLDER.match(value):
         return -1.0
+    if " " in value:  # a passphrase or prose: the name alone decides
+        return 0.0
     counts = Counter(value)
     bits = -sum(c / len(value) * math.log2(c / len(value)) for c in counts.values())
     mixed = any(c.isdigit() for c in value) + any(c.isupper() for c in value) + any(c.islower() for c in value)
     return min(1.0, max(0.0, (bits - 2.0) / 2.0)) * (0.4 + 0.2 * mixed)
 
 
+def word_before(text: str, at: int) -> str | None:
+    """The word ahead of a place on the same line, with blanks between."""
+    end = at
+    while end and text[end - 1] in " \t":
+        end -= 1
+    start = end
+    while start and (text[start - 1].isalnum() or text[start - 1] == "_"):
+        start -= 1
+    return text[start:end] if start < end < at else None
+
+
 def literal_spans(text: str) -> list[tuple[int, int]]:
     """Spans of literals whose name, or a name they are handed on to, is sensitive."""
     if "=" not in text and ":" not in text and "</" not in text:
@@ -86,10 +110,9 @@ def literal_spans(text: str) -> list[tuple[int, int]]:
     literals: list[tuple[int, int, float, str]] = []  # start, end, weight of the names reached, value
     value_of: dict[str, int] = {}  # name -> literal
     for m in _LEX.finditer(text):
-        if m["tag"]:
-            name, kind = m["tname"], "tval"
-        else:
-            name, kind = m["name"], "dq" if m["dq"] is not None else "sq" if m["sq"] is not None else "bare"
+        name, kind = m["tname"] or m["name"], next(k for k in _VALUES if m[k] is not None)
+        if name in TYPES_BEHIND and kind != "bare":
+            name = word_before(text, m.start("name")) or name
         weight, value = name_weight(name), m[kind]
         if kind == "bare" and value in value_of:  # a constant named before: its literal gets this name as well
             at = value_of[name] = value_of[value]
@@ -99,8 +122,8 @@ def literal_spans(text: str) -> list[tuple[int, int]]:
         start, end = m.span(kind)
         more = kind in ("dq", "sq") and _PLUS.match(text, m.end())
         while more:  # "a" + "b": one value, marked to its end
-            end = more.end(1) if more[1] is not None else more.end(2)
-            value += more[1] or more[2] or ""
+            end = more.end("dq") if more["dq"] is not None else more.end("sq")
+            value += more["dq"] or more["sq"] or ""
             more = _PLUS.match(text, more.end())
         value_of[name] = len(literals)
         literals.append((start, end, weight, value))

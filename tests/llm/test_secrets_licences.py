@@ -60,6 +60,22 @@ def test_lexer_pairs_names_with_literals_and_propagates_constants():
     assert literals("passphrase: ${PASS} see http://example.com/private=1") == []
 
 
+def test_lexer_reads_long_and_other_forms():
+    key, long = "Zx81Qpl0aa7", "Zx81Qpl0aa" * 1000
+    forms = [
+        "db_pwd = '{}'", "db_pwd: {}", "<accessKey>{}</accessKey>", "x" * 100 + "_pwd = '{}'", "db_pwd" + " " * 20 + "=" + " " * 20 + "'{}'", 'secret_key: str = "{}"', 'const authCredential: string = "{}"',
+        'var secretKey string = "{}"', 'config["secret_key"] = "{}"', "config['private_key']='{}'", 'db_pwd = """{}"""', "db_pwd = '''{}'''", "const dbPwd = `{}`",
+    ]
+    for form in forms:
+        assert literals(form.format(key)) == [key], form
+        assert literals(form.format(long)) == [long], form
+        assert long[-500:] not in secret_lexer.redact(form.format(long))
+    assert literals(r'"private_key": "Zx81\/Qpl0\naa7\"end1"') == [r'Zx81\/Qpl0\naa7\"end1']
+    assert literals('passphrase = "correct horse battery staple"') == ["correct horse battery staple"]
+    assert literals('colour = "correct horse battery staple"') == []
+    assert literals("privatekey: abcDEF12=ghi9") == ["abcDEF12=ghi9"]
+
+
 def test_redaction_takes_every_span():
     text = "a token = 'abcdef123' b"
     assert secret_lexer.redact(text) == "a <secret>' b"
