@@ -133,3 +133,56 @@ reach AS (SELECT DISTINCT a AS node, a AS root FROM edges UNION SELECT edges.b,
 comp AS (SELECT node, min(root) AS root FROM reach GROUP BY node)
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(root, doc_id) AS component_id, doc_id = coalesce(root, doc_id) AS kept
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN comp ON node = doc_id"""
+
+
+_TERMS = "'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'"
+
+ORACLE["op11_pair_maxscore"] = f"""
+WITH t AS (
+  SELECT r, doc_id, unnest(ws) AS term, len(ws) AS n FROM (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), {_TERMS}) AS ws FROM documents)
+), p AS MATERIALIZED (SELECT r, doc_id, term, n, count(*) AS tf FROM t GROUP BY ALL),
+total AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM (SELECT DISTINCT r, n FROM p)),
+b AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), {_TERMS})) AS term FROM benchmark),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM (SELECT term, count(*) AS df FROM p GROUP BY term), total),
+s AS (
+  SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM b JOIN w USING (term) JOIN p USING (term), total GROUP BY item_id, r, doc_id
+)
+SELECT item_id, place::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM s WHERE score > 0) WHERE place <= 10"""
+
+ORACLE["op12_relational_chat"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+), e AS (
+  SELECT *, length(replace(replace(text, '\', '\\'), '<|', '<\|')) AS text_chars,
+    length(replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '\n')) AS role_chars,
+    coalesce(lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) = role, false) AS goes_on FROM t
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(text_chars + CASE WHEN goes_on THEN length('<|im_part|>') ELSE length('<|im_start|>') + role_chars + 1 + length('<|im_end|>') + 1 END)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id"""
+
+ORACLE["op13_debruijn_collocations"] = f"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+), w AS MATERIALIZED (SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS ws FROM p),
+f AS MATERIALIZED (
+  SELECT lang, size, ws[i : i + size - 1] AS g, count(*) AS f FROM (SELECT lang, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM w, range(1, 4) s(size) WHERE len(ws) >= size) GROUP BY ALL
+), cut AS (
+  SELECT c.lang, c.size, c.g, c.f AS a, k, x.f AS l, y.f AS r, ((1000000::HUGEINT * c.f * c.f) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM f WHERE size > 1 AND f >= 10) c
+  JOIN f x ON x.lang = c.lang AND x.g = c.g[1 : k] JOIN f y ON y.lang = c.lang AND y.g = c.g[k + 1 : c.size]
+), best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, k) AS o FROM cut) WHERE o = 1),
+longer AS (
+  SELECT lang, g, max(f) AS m FROM (SELECT lang, g[1 : 2] AS g, f FROM f WHERE size = 3 AND f >= 10 UNION ALL SELECT lang, g[2 : 3], f FROM f WHERE size = 3 AND f >= 10) GROUP BY ALL
+), kept AS (
+  SELECT b.lang, array_to_string(b.g, ' ') AS phrase, b.a, b.l, b.r, b.score FROM best b LEFT JOIN longer o ON o.lang = b.lang AND o.g = b.g WHERE b.size = 3 OR o.m IS NULL OR 100 * o.m < 50 * b.a
+), n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang)
+SELECT lang, place::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS place FROM kept) JOIN n USING (lang) WHERE place <= 2000"""

@@ -94,3 +94,27 @@ def op5_bayesian_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sorigil.llm.language_fusion import identify
 
     return identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
+@register
+def op11_pair_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    from sorigil.llm.pair_maxscore import search
+
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register
+def op12_relational_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted with its loss mask, and read back."""
+    from sorigil.llm.relational_chat import format_conversations, read_back, with_probe
+
+    return read_back(format_conversations(with_probe(spark, table(spark, sf_dir, "conversations"))))
+
+
+@register
+def op13_debruijn_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best collocations of every language."""
+    from sorigil.llm.debruijn_collocations import collocations
+
+    return collocations(table(spark, sf_dir, "documents"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,13 @@ _P = np.uint64(0x9E3779B97F4A7C15)
 _P_INVERSE = np.uint64(pow(int(_P), -1, 1 << 64))
 #: Bytes hashed at once.
 STRETCH = 1 << 19
-_BYTE = np.random.default_rng(20240117).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
+SEED = 20240117
+
+
+@lru_cache(4)
+def _bytes_of(seed: int) -> np.ndarray:
+    """An odd factor for each byte value."""
+    return np.random.default_rng(seed).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -58,14 +65,14 @@ class Words:
     ends: np.ndarray
     at: np.ndarray
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash for each word: a polynomial over its bytes, mixed with its length."""
-        out = np.empty(len(self.starts), np.uint64)
+    def hashes(self, seed: int = SEED) -> np.ndarray:
+        """A 64-bit hash for each word: a polynomial over its bytes (factors by ``seed``), mixed with its length."""
+        out, factors = np.empty(len(self.starts), np.uint64), _bytes_of(seed)
         for lo, hi in stretches(self.starts, self.ends):
             a, b = int(self.starts[lo]), int(self.ends[hi - 1])
             power, inverse = _powers(b - a)
             weighted = np.zeros(b - a + 1, np.uint64)
-            np.multiply(_BYTE[self.data[a:b]], power, out=weighted[:-1])
+            np.multiply(factors[self.data[a:b]], power, out=weighted[:-1])
             edges = np.empty(2 * (hi - lo), np.int64)
             edges[0::2], edges[1::2] = self.starts[lo:hi] - a, self.ends[lo:hi] - a
             out[lo:hi] = np.add.reduceat(weighted, edges)[0::2] * inverse[edges[0::2]]
