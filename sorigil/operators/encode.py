@@ -9,17 +9,19 @@ word, with AQE splitting a hot word's partition.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sorigil.functions.text import WHITESPACE_RE, WORD_START, mark_word
+from sorigil.operators.lattice import best_paths
+from sorigil.operators.trie import Shared, Trie, code_points, opened, share
+from sorigil.operators.vocab import MAX_PIECE_LEN, UNK_ID, UNKNOWN_PENALTY, substrings
 from sorigil.session import broadcast_if_bounded, task_count
-from sorigil.operators.vocab import MAX_PIECE_LEN, UNK_ID, UNKNOWN_PENALTY, prefixes, substrings
 
 SEGMENT_SCHEMA = T.StructType(
     [
@@ -31,78 +33,42 @@ SEGMENT_SCHEMA = T.StructType(
 )
 
 
-def viterbi(word: str, vocab: dict, max_len: int, unk_score: float, pref: frozenset | None = None):
-    """Best split of one word: (pieces, ids, score). ``vocab`` maps piece -> (id, score).
-
-    Edges are relaxed forward from each start position b in increasing order
-    (every edge into b starts before b, so ``best[b]`` is final), and replace
-    the best at their end only when strictly better: for each end, ties keep
-    the edge with the smallest begin. A start whose single character is no
-    piece gets an unknown edge (id 1). With ``pref`` (the prefixes of all
-    pieces) the scan from b stops at the first substring no piece begins with."""
-    n = len(word)
-    best = [-math.inf] * (n + 1)
-    back: list = [None] * (n + 1)
-    best[0] = 0.0
-    for b in range(n):
-        base = best[b]
-        single = False
-        for e in range(b + 1, min(n, b + max_len) + 1):
-            p = word[b:e]
-            if pref is not None and p not in pref:
-                break
-            hit = vocab.get(p)
-            if hit is None:
-                continue
-            single = single or e == b + 1
-            cand = base + hit[1]
-            if cand > best[e]:
-                best[e], back[e] = cand, (b, hit[0], p)
-        if not single:
-            cand = base + unk_score
-            if cand > best[b + 1]:
-                best[b + 1], back[b + 1] = cand, (b, UNK_ID, word[b])
-    pieces, ids = [], []
-    e = n
-    while e > 0:
-        b, i, p = back[e]
-        pieces.append(p)
-        ids.append(i)
-        e = b
-    return pieces[::-1], ids[::-1], best[n] if n else 0.0
-
-
-def _segment_fn(vocab_bc, max_len: int, unk_score: float):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocab = vocab_bc.value
-        pref = prefixes(vocab)
-        for pdf in batches:
-            out = [viterbi(w, vocab, max_len, unk_score, pref) for w in pdf["word"].tolist()]
-            yield pd.DataFrame(
-                {
-                    "word": pdf["word"],
-                    "pieces": [o[0] for o in out],
-                    "ids": [o[1] for o in out],
-                    "score": [o[2] for o in out],
-                }
-            )
+def split_batch(words: list[str], pieces: Trie, names: np.ndarray, ids: np.ndarray, scores: np.ndarray, max_len: int, unk_score: float) -> pa.RecordBatch:
+    """Best splits of a batch of words (``SEGMENT_SCHEMA``): the lattice by the trie, the best path by a Viterbi over words of
+    like length at once. For each end, ties keep the edge with the smallest begin; a character that is no
+    piece is an unknown edge (id 1)."""
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    W, B, E, P = pieces.lattice(words, max_len)
+    known = P >= 0
+    score, word, edge = best_paths(W, B, E, np.where(known, scores[P], unk_score), lengths)
+    flat, _ = code_points(words)
+    unknown = flat[(np.cumsum(lengths) - lengths)[word] + B[edge]]
+    text = [names[p] if p >= 0 else chr(c) for p, c in zip(P[edge].tolist(), unknown.tolist())]
+    at = pa.array(np.searchsorted(word, np.arange(len(words) + 1)), pa.int32())
+    lists = [pa.ListArray.from_arrays(at, v) for v in (pa.array(text, pa.string()), pa.array(np.where(P[edge] >= 0, ids[P[edge]], UNK_ID), pa.int32()))]
+    return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), *lists, pa.array(score)], ["word", "pieces", "ids", "score"])
+
+
+def _segment_fn(shared: Shared, scores_bc, max_len: int, unk_score: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces, ids, names = opened(shared)
+        names = np.array(names.to_pylist(), dtype=object)
+        for batch in batches:
+            yield split_batch(batch.column(0).to_pylist(), pieces, names, ids, scores_bc.value, max_len, unk_score)
 
     return run
 
 
-# Largest vocabulary (ordinary pieces) shipped to every task as a dictionary; a
+# Largest vocabulary (ordinary pieces) handed to every executor as a trie file; a
 # larger one is segmented by the all-native plan, which shuffles instead.
 BROADCAST_VOCAB_LIMIT = 1_000_000
 
 
-def vocab_dict(vocab: DataFrame, limit: int | None = None) -> dict | None:
-    """Piece -> (id, score) for the ordinary pieces (ids >= 4), or None when there are
-    more than ``limit`` of them (checked by fetching at most ``limit + 1`` rows)."""
-    sel = vocab.where(F.col("id") >= 4).select("piece", "id", "score")
-    rows = (sel if limit is None else sel.limit(limit + 1)).collect()
-    if limit is not None and len(rows) > limit:
-        return None
-    return {r["piece"]: (int(r["id"]), float(r["score"])) for r in rows}
+def ordinary_pieces(vocab: DataFrame, limit: int) -> pa.Table | None:
+    """``piece, id, score`` of the ordinary pieces (ids >= 4), or None when there are more than ``limit`` of them (checked by
+    fetching at most ``limit + 1`` rows)."""
+    rows = vocab.where(F.col("id") >= 4).select("piece", "id", "score").limit(limit + 1).toArrow()
+    return rows if rows.num_rows <= limit else None
 
 
 def segment_words(
@@ -110,16 +76,18 @@ def segment_words(
 ) -> DataFrame:
     """T3 + T5: ``word, pieces, ids, score`` for every distinct word.
 
-    A vocabulary of at most ``broadcast_limit`` pieces is broadcast and the words
+    A vocabulary of at most ``broadcast_limit`` pieces becomes a trie file that every executor maps, and the words
     are segmented in Arrow batches; a larger one goes to ``segment_words_native``."""
     spark = words_df.sparkSession
-    d = vocab_dict(vocab, broadcast_limit)
-    if d is None:
+    rows = ordinary_pieces(vocab, broadcast_limit)
+    if rows is None:
         return segment_words_native(words_df, vocab, max_len)
-    unk = (min(s for _, s in d.values()) if d else 0.0) - UNKNOWN_PENALTY
-    bc = spark.sparkContext.broadcast(d)
+    scores = rows.column("score").to_numpy()
+    unk = (float(scores.min()) if len(scores) else 0.0) - UNKNOWN_PENALTY
+    shared = share(spark, rows.column("piece").to_pylist(), rows.column("id").to_pylist())
+    bc = spark.sparkContext.broadcast(scores)
     spread_words = words_df.select("word").repartition(task_count(spark))
-    return spread_words.mapInPandas(_segment_fn(bc, max_len, unk), SEGMENT_SCHEMA)
+    return spread_words.mapInArrow(_segment_fn(shared, bc, max_len, unk), SEGMENT_SCHEMA)
 
 
 _DP_TYPE = "struct<best:array<double>,back:array<int>,bid:array<int>>"

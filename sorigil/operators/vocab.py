@@ -11,11 +11,9 @@ one row with a large count after map-side partial aggregation).
 from __future__ import annotations
 
 import math
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,6 +21,8 @@ from pyspark.sql import functions as F
 from sorigil.functions.bind import let
 from sorigil.functions.jamo import hangul_to_jamo
 from sorigil.functions.text import WHITESPACE_RE, WORD_START, mark_word
+from sorigil.operators.lattice import best_paths, by_length, forward_backward
+from sorigil.operators.trie import Shared, Trie, opened, share
 from sorigil.session import cut_lineage, task_count
 
 # Reserved ids and pieces of the vocabulary file.
@@ -196,118 +196,21 @@ def covered(seeds: DataFrame, wc: DataFrame, coverage: float) -> DataFrame:
 UNKNOWN_PENALTY = 10.0
 
 
-def prefixes(pieces) -> frozenset:
-    """Every non-empty prefix of every piece. A substring that is not one starts
-    no piece, so a scan of the lattice from a start position stops there."""
-    return frozenset(p[:k] for p in pieces for k in range(1, len(p) + 1))
-
-
-def _segment_lse(vals: np.ndarray, seg: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log-sum-exp of ``vals`` per run of equal values in ``seg`` (runs are contiguous):
-    (segment keys, results)."""
-    starts = np.flatnonzero(np.r_[True, seg[1:] != seg[:-1]])
-    m = np.maximum.reduceat(vals, starts)
-    sizes = np.diff(np.r_[starts, len(vals)])
-    return seg[starts], m + np.log(np.add.reduceat(np.exp(vals - np.repeat(m, sizes)), starts))
-
-
-LATTICE_CELLS = 1 << 20  # words of one matrix times its longest word
-
-
-def by_length(lengths: np.ndarray, cells: int = LATTICE_CELLS) -> Iterator[np.ndarray]:
-    """Word numbers in groups of like length whose dense matrices have at most ``cells`` cells (a longer
-    word is a group of its own), so one long word does not widen the rows of all others."""
-    order = np.argsort(lengths, kind="stable")
-    lo = 0
-    while lo < len(order):
-        hi = lo + 1
-        while hi < len(order) and (hi + 1 - lo) * (lengths[order[hi]] + 1) <= cells:
-            hi += 1
-        yield order[lo:hi]
-        lo = hi
-
-
-def lattice_edges_of(words: list, index: dict, max_len: int, pref: frozenset) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Flat edges (word number, begin, end, piece number) of all words. A position whose character is no
-    piece has an edge of length one with piece number -1, so no position is without edges."""
-    wi, bb, ee, pp = [], [], [], []
-    aw, ab, ae, ap = wi.append, bb.append, ee.append, pp.append
-    for k, word in enumerate(words):
-        n = len(word)
-        for b in range(n):
-            single = False
-            for e in range(b + 1, min(n, b + max_len) + 1):
-                sub = word[b:e]
-                if sub not in pref:
-                    break
-                j = index.get(sub)
-                if j is not None:
-                    aw(k), ab(b), ae(e), ap(j)
-                    single = single or e == b + 1
-            if not single:
-                aw(k), ab(b), ae(b + 1), ap(-1)
-    return tuple(np.array(x, dtype=np.int64) for x in (wi, bb, ee, pp))
-
-
-def forward_backward(
-    W: np.ndarray, B: np.ndarray, E: np.ndarray, P: np.ndarray, lengths: np.ndarray, freqs: np.ndarray, score_arr: np.ndarray, unk_score: float
-) -> tuple[float, np.ndarray]:
-    """(Log-likelihood, expected count per piece number) of a batch of word lattices.
-
-    Alpha is one segmented log-sum-exp per end position over the edges ending there, across
-    all words of the batch, and beta the same per begin position. Edges of pieces without a score (nan:
-    pruned) are left out."""
-    counts = np.zeros(len(score_arr))
-    if not len(W):
-        return 0.0, counts
-    S = np.where(P >= 0, score_arr[np.maximum(P, 0)], unk_score)
-    if np.isnan(S).any():
-        live = ~np.isnan(S)
-        W, B, E, P, S = W[live], B[live], E[live], P[live], S[live]
-    width, n = int(lengths.max()) + 1, len(lengths)
-    alpha = np.full((n, width), -np.inf)
-    alpha[:, 0] = 0.0
-    by_end = np.lexsort((W, E))
-    bounds = np.searchsorted(E[by_end], np.arange(width + 1))
-    for e in range(1, width):
-        sel = by_end[bounds[e] : bounds[e + 1]]
-        if len(sel):
-            keys, v = _segment_lse(alpha[W[sel], B[sel]] + S[sel], W[sel])
-            alpha[keys, e] = v
-    beta = np.full((n, width), -np.inf)
-    beta[np.arange(n), lengths] = 0.0
-    by_begin = np.lexsort((W, B))
-    bounds = np.searchsorted(B[by_begin], np.arange(width + 1))
-    for b in range(width - 2, -1, -1):
-        sel = by_begin[bounds[b] : bounds[b + 1]]
-        if len(sel):
-            keys, v = _segment_lse(beta[W[sel], E[sel]] + S[sel], W[sel])
-            beta[keys, b] = v
-    z = alpha[np.arange(n), lengths]
-    known = P >= 0
-    post = np.exp(alpha[W, B] + S + beta[W, E] - z[W])
-    counts = np.bincount(P[known], weights=(freqs[W] * post)[known], minlength=len(score_arr))
-    return float(np.dot(freqs, z)), counts
-
-
-def batch_expected_counts(words: list, freqs: np.ndarray, index: dict, score_arr: np.ndarray, max_len: int, unk_score: float, pref: frozenset) -> tuple[float, np.ndarray]:
-    """Forward-backward for a batch of words at once: (log-likelihood, expected count per
-    piece index). ``index`` maps piece -> position in ``score_arr``."""
+def batch_expected_counts(words: list, freqs: np.ndarray, pieces: Trie, score_arr: np.ndarray, max_len: int, unk_score: float) -> tuple[float, np.ndarray]:
+    """Forward-backward for a batch of words at once: (log-likelihood, expected count per piece number)."""
     lengths = np.fromiter((len(w) for w in words), dtype=np.int64, count=len(words))
-    return forward_backward(*lattice_edges_of(words, index, max_len, pref), lengths, freqs, score_arr, unk_score)
+    return forward_backward(*pieces.lattice(words, max_len), lengths, freqs, score_arr, unk_score)
 
 
 LATTICE_SCHEMA = "n double, length int, b array<int>, e array<int>, p array<int>"
 
 
-def _lattice_partitions(pieces_bc, max_len: int):
-    version = uuid.uuid4().hex
-
+def _lattice_partitions(shared: Shared, max_len: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, index, _, pref = _prepared(version, pieces_bc.value)
+        pieces, _, _ = opened(shared)
         for batch in batches:
             words = batch.column(0).to_pylist()
-            W, B, E, P = lattice_edges_of(words, index, max_len, pref)
+            W, B, E, P = pieces.lattice(words, max_len)
             at = pa.array(np.searchsorted(W, np.arange(len(words) + 1)), pa.int32())
             lists = [pa.ListArray.from_arrays(at, pa.array(x, pa.int32())) for x in (B, E, P)]
             size = pa.array([len(w) for w in words], pa.int32())
@@ -316,17 +219,16 @@ def _lattice_partitions(pieces_bc, max_len: int):
     return run
 
 
-def word_lattices(wc: DataFrame, pieces: list[str], max_len: int = MAX_PIECE_LEN) -> DataFrame:
-    """The lattice of every distinct word over ``pieces`` as arrays of edges, for all rounds of EM: pruning
+def word_lattices(wc: DataFrame, shared: Shared, max_len: int = MAX_PIECE_LEN) -> DataFrame:
+    """The lattice of every distinct word over the shared pieces as arrays of edges, for all rounds of EM: pruning
     takes scores away, never adds a piece, so the edges are found once."""
-    bc = wc.sparkSession.sparkContext.broadcast({p: 0.0 for p in pieces})
-    return wc.select("word", "n").mapInArrow(_lattice_partitions(bc, max_len), LATTICE_SCHEMA)
+    return wc.select("word", "n").mapInArrow(_lattice_partitions(shared, max_len), LATTICE_SCHEMA)
 
 
-def _em_lattice_partitions(model_bc, unk_score: float):
+def _em_partitions(scores_bc, unk_score: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, scores = model_bc.value
-        acc, ll = np.zeros(len(pieces)), 0.0
+        scores = scores_bc.value
+        acc, ll = np.zeros(len(scores)), 0.0
         for batch in batches:
             freqs, lengths = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64)
             sizes = batch.column(2).value_lengths().to_numpy().astype(np.int64)
@@ -339,131 +241,87 @@ def _em_lattice_partitions(model_bc, unk_score: float):
                 ll += lw
                 acc += c
         hit = np.flatnonzero(acc > 0)
-        yield pa.RecordBatch.from_arrays([pa.array([*(pieces[i] for i in hit), None], pa.string()), pa.array(np.r_[acc[hit], ll])], names=["piece", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([*hit.tolist(), None], pa.int32()), pa.array(np.r_[acc[hit], ll])], names=["p", "n"])
 
     return run
 
 
-def em_step_lattice(lattices: DataFrame, pieces: list[str], scores: dict) -> DataFrame:
-    """A7 (E step) over the stored lattices: ``piece, n`` and the null-piece log-likelihood row, as ``em_step``."""
-    unk = min(scores.values()) - UNKNOWN_PENALTY if scores else -UNKNOWN_PENALTY
-    bc = lattices.sparkSession.sparkContext.broadcast((pieces, np.array([scores.get(p, np.nan) for p in pieces])))
-    return lattices.mapInArrow(_em_lattice_partitions(bc, unk), "piece string, n double").groupBy("piece").agg(F.sum("n").alias("n"))
-
-
-_PREPARED: dict = {}
-
-
-def _prepared(version: str, scores: dict) -> tuple[list, dict, np.ndarray, frozenset]:
-    """Pieces, their numbers, scores and prefixes: made once in a worker for all its tasks of a round."""
-    if version not in _PREPARED:
-        _PREPARED.clear()
-        pieces = list(scores)
-        _PREPARED[version] = (pieces, {p: i for i, p in enumerate(pieces)}, np.array([scores[p] for p in pieces], dtype="float64"), prefixes(scores))
-    return _PREPARED[version]
-
-
-def _em_partitions(scores_bc, max_len: int, unk_score: float):
-    version = uuid.uuid4().hex
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pieces, index, score_arr, pref = _prepared(version, scores_bc.value)
-        acc = np.zeros(len(pieces))
-        ll = 0.0
-        for pdf in batches:
-            words, freqs = pdf["word"].tolist(), pdf["n"].to_numpy(dtype="float64")
-            for part in by_length(np.fromiter((len(w) for w in words), dtype=np.int64, count=len(words))):
-                lw, c = batch_expected_counts([words[i] for i in part], freqs[part], index, score_arr, max_len, unk_score, pref)
-                ll += lw
-                acc += c
-        hit = np.flatnonzero(acc > 0)
-        yield pd.DataFrame({"piece": [pieces[i] for i in hit] + [None], "n": np.r_[acc[hit], ll].astype("float64")})
-
-    return run
-
-
-def em_step(wc: DataFrame, scores: dict, max_len: int = MAX_PIECE_LEN) -> DataFrame:
-    """A7 (E step): expected piece counts ``piece, n``; the row with a null piece holds the
-    corpus log-likelihood. One pass over the words, one aggregation on ``piece``.
-
-    The score dictionary is broadcast once per round; its size is bounded by
-    the current vocabulary (at most the seed cap)."""
-    spark = wc.sparkSession
-    unk = min(scores.values()) - UNKNOWN_PENALTY if scores else -UNKNOWN_PENALTY
-    bc = spark.sparkContext.broadcast(scores)
-    parts = wc.select("word", "n").mapInPandas(_em_partitions(bc, max_len, unk), "piece string, n double")
-    return parts.groupBy("piece").agg(F.sum("n").alias("n"))
+def _unknown_score(scores: np.ndarray) -> float:
+    live = scores[~np.isnan(scores)]
+    return (float(live.min()) if len(live) else 0.0) - UNKNOWN_PENALTY
 
 
-def _best_split_without(piece: str, scores: dict, max_len: int):
-    """Viterbi score of a piece using only other pieces (for the pruning loss)."""
-    n = len(piece)
-    best = [-math.inf] * (n + 1)
-    best[0] = 0.0
-    for e in range(1, n + 1):
-        for b in range(max(0, e - max_len), e):
-            if b == 0 and e == n:
-                continue
-            s = scores.get(piece[b:e])
-            if s is not None and best[b] + s > best[e]:
-                best[e] = best[b] + s
-    return best[n]
+def em_step(lattices: DataFrame, scores: np.ndarray) -> DataFrame:
+    """A7 (E step) over the stored lattices: expected counts ``p, n`` by piece number; the row with a null number holds the
+    corpus log-likelihood. ``scores`` has a number for every shared piece, nan where a piece was pruned; a task
+    sends one block of numbers and counts."""
+    bc = lattices.sparkSession.sparkContext.broadcast(scores)
+    return lattices.mapInArrow(_em_partitions(bc, _unknown_score(scores)), "p int, n double").groupBy("p").agg(F.sum("n").alias("n"))
 
 
 COUNT_FLOOR = 1e-3
 
 
-def m_step_df(counts: DataFrame, min_count: float = COUNT_FLOOR, pieces: DataFrame | None = None) -> DataFrame:
-    """A7 (M step) on Spark: ``piece, score, n`` with score = log(n / total).
+def m_step_df(counts: DataFrame, min_count: float = COUNT_FLOOR, pieces: DataFrame | None = None, key: str = "piece") -> DataFrame:
+    """A7 (M step) on Spark: the pieces' columns with score = log(n / total) and ``n``.
 
     Without ``pieces``, over the pieces with an expected count of at least ``min_count`` and all single
     characters. With ``pieces`` every piece stays, counts below ``min_count`` raised to it: only pruning
     makes the vocabulary smaller, so its size never falls short. The total is a scalar subquery; the
-    count table is bounded by the current vocabulary."""
+    count table (by ``key``, a piece or its number) is bounded by the current vocabulary."""
     if pieces is None:
         kept = counts.where(F.col("piece").isNotNull() & ((F.col("n") >= min_count) | (F.length("piece") == 1)))
     else:
-        kept = pieces.select("piece").join(counts.where(F.col("piece").isNotNull()), "piece", "left")
-        kept = kept.select("piece", F.greatest(F.coalesce("n", F.lit(0.0)), F.lit(min_count)).alias("n"))
+        kept = pieces.drop("score").join(counts.where(F.col(key).isNotNull()), key, "left")
+        kept = kept.withColumn("n", F.greatest(F.coalesce("n", F.lit(0.0)), F.lit(min_count)))
     total = kept.agg(F.sum("n")).scalar()
-    return kept.select("piece", F.log(F.greatest(F.col("n"), F.lit(1e-12)) / total).alias("score"), "n")
+    return kept.select(*(c for c in kept.columns if c != "n"), F.log(F.greatest(F.col("n"), F.lit(1e-12)) / total).alias("score"), "n")
 
 
-def _prune_loss_fn(scores_bc, max_len: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scores = scores_bc.value
-        for pdf in batches:
-            alt = np.array([_best_split_without(p, scores, max_len) for p in pdf["piece"].tolist()], dtype="float64")
-            n = pdf["n"].to_numpy(dtype="float64")
-            s = pdf["score"].to_numpy(dtype="float64")
+def split_scores(words: list[str], pieces: Trie, scores: np.ndarray, max_len: int = MAX_PIECE_LEN) -> np.ndarray:
+    """The score of every piece's best split into other pieces that have a score; -inf where there is none."""
+    lengths = np.fromiter((len(w) for w in words), np.int64, len(words))
+    W, B, E, P = pieces.lattice(words, max_len, unknown=False)
+    S = scores[P]
+    other = ~np.isnan(S) & ~((B == 0) & (E == lengths[W]))
+    return best_paths(W[other], B[other], E[other], S[other], lengths)[0]
+
+
+def _prune_loss_fn(shared: Shared, scores_bc, max_len: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces, _, _ = opened(shared)
+        for batch in batches:
+            score, n = (batch.column(c).to_numpy() for c in ("score", "n"))
+            alt = split_scores(batch.column("piece").to_pylist(), pieces, scores_bc.value, max_len)
             with np.errstate(invalid="ignore"):
-                loss = np.where(np.isneginf(alt), np.inf, n * (s - alt))
-            yield pd.DataFrame({"piece": pdf["piece"], "score": s, "loss": loss})
+                loss = np.where(np.isneginf(alt), np.inf, n * (score - alt))
+            yield pa.RecordBatch.from_arrays([batch.column("p"), batch.column("piece"), batch.column("score"), pa.array(loss)], names=["p", "piece", "score", "loss"])
 
     return run
 
 
-def prune_df(scored: DataFrame, scores: dict, target: int, shrink: float = 0.75, max_len: int = MAX_PIECE_LEN) -> DataFrame:
-    """A8 on Spark: ``piece, score`` after dropping the pieces whose removal costs least
+def prune_df(scored: DataFrame, shared: Shared, scores: np.ndarray, target: int, shrink: float = 0.75, max_len: int = MAX_PIECE_LEN) -> DataFrame:
+    """A8 on Spark: ``p, piece, score`` after dropping the pieces whose removal costs least
     likelihood; single characters are always kept.
 
-    The loss of each piece (expected count x (score - best split into other
-    pieces)) is computed in Arrow batches over the piece table with the score
-    dictionary broadcast (bounded by the current vocabulary); the pieces to
-    keep are a top-k by loss (ties by piece)."""
+    The loss of each piece (expected count x (score - best split into other pieces)) is computed in Arrow batches over
+    the piece table, from the shared trie and the scores by piece number; the pieces to keep are a top-k by loss (ties by piece)."""
     spark = scored.sparkSession
-    n_singles = sum(1 for p in scores if len(p) == 1)
-    room = max(max(target, int(len(scores) * shrink)) - n_singles, 0)
+    total, n_singles = scored.agg(F.count(F.lit(1)), F.count_if(F.length("piece") == 1)).first()
+    room = max(max(target, int(total * shrink)) - n_singles, 0)
     bc = spark.sparkContext.broadcast(scores)
-    multi = scored.where(F.length("piece") > 1).select("piece", "score", "n").repartition(task_count(spark))
-    losses = multi.mapInPandas(_prune_loss_fn(bc, max_len), "piece string, score double, loss double")
-    kept = losses.orderBy(F.col("loss").desc(), F.col("piece")).limit(room).select("piece", "score")
-    return kept.unionByName(scored.where(F.length("piece") == 1).select("piece", "score"))
+    multi = scored.where(F.length("piece") > 1).select("p", "piece", "score", "n").repartition(task_count(spark))
+    losses = multi.mapInArrow(_prune_loss_fn(shared, bc, max_len), "p int, piece string, score double, loss double")
+    kept = losses.orderBy(F.col("loss").desc(), F.col("piece")).limit(room).select("p", "piece", "score")
+    return kept.unionByName(scored.where(F.length("piece") == 1).select("p", "piece", "score"))
 
 
-def _score_dict(scores: DataFrame) -> dict:
-    """The score table as a dictionary for the next broadcast (bounded by the seed size)."""
-    return {r["piece"]: r["score"] for r in scores.select("piece", "score").collect()}
+def score_array(scores: DataFrame, size: int) -> np.ndarray:
+    """Scores by piece number (8 bytes a seed), nan for the numbers that the table no longer has."""
+    rows = scores.select("p", "score").toArrow()
+    out = np.full(size, np.nan)
+    out[rows.column("p").to_numpy()] = rows.column("score").to_numpy()
+    return out
 
 
 # --------------------------------------------------------------------------
@@ -570,33 +428,47 @@ def train_vocab(
     characters plus the best pieces make up the vocabulary.
 
     The distinct-word table is hash-partitioned and checkpointed once into the
-    shared checkpoint folder, and so are the words' lattices over the seeds. Every round broadcasts the score table
-    (bounded by ``seed_size``), runs the E step over the lattices in Arrow batches,
-    aggregates expected counts on ``piece``, normalises them (M step) and
-    computes pruning losses over the pieces, all as Spark jobs; each round's
+    shared checkpoint folder. The seeds become a trie in one file that every executor maps (``trie.share``); the words' lattices
+    over it are found once and stored as arrays of piece numbers. Every round sends the scores as one array (8 bytes a
+    seed), runs the E step over the lattices in Arrow batches, sums the tasks' blocks of (number, expected count), normalises
+    them (M step) and computes pruning losses over the pieces, all as Spark jobs; each round's
     expected-count table is checkpointed so lineage does not grow with the
-    rounds and the E step runs once per round. Only the
-    bounded score dictionary passes through the driver, to be broadcast.
+    rounds and the E step runs once per round.
     With more than ``broadcast_limit`` seeds (checked by a bounded count) the
     scores stay a table and every round runs the native forms instead.
     The log-likelihood of each E step is appended to ``history``."""
     words_df = cut_lineage(wc.repartition(task_count(wc.sparkSession), "word"))
     seeds = cut_lineage(top_pieces(covered(seed_pieces(words_df, max_len, min_freq), words_df, coverage), seed_size))
-    native = seeds.limit(broadcast_limit + 1).count() > broadcast_limit
     wanted = math.ceil((vocab_size - len(RESERVED)) * PRUNE_MARGIN)
     seen = [] if history is None else history
     pieces = cut_lineage(initial_scores(seeds))
-    names = [] if native else [r["piece"] for r in pieces.select("piece").collect()]
-    lattices = None if native else cut_lineage(word_lattices(words_df, names, max_len))
+    if seeds.limit(broadcast_limit + 1).count() > broadcast_limit:
+        return _train_native(words_df, pieces, vocab_size, wanted, em_rounds, shrink, max_len, seen)
+    spark = wc.sparkSession
+    names = pieces.select("piece").orderBy("piece").toArrow().column("piece").to_pylist()
+    shared = share(spark, names)
+    numbered = spark.createDataFrame(pa.table({"p": pa.array(range(len(names)), pa.int32()), "piece": pa.array(names, pa.string())}))
+    pieces = cut_lineage(numbered.join(pieces, "piece").select("p", "piece", "score"))
+    lattices = cut_lineage(word_lattices(words_df, shared, max_len))
+    while True:
+        for _ in range(em_rounds):
+            counts = cut_lineage(em_step(lattices, score_array(pieces, shared.size)))
+            seen.append(float(counts.where(F.col("p").isNull()).first()["n"]))
+            scored = cut_lineage(m_step_df(counts, pieces=pieces, key="p"))
+            pieces = scored.select("p", "piece", "score")
+        if scored.count() <= wanted:
+            return rank_vocab(pieces, vocab_size)
+        pieces = cut_lineage(prune_df(scored, shared, score_array(pieces, shared.size), wanted, shrink, max_len))
+
+
+def _train_native(words_df: DataFrame, pieces: DataFrame, vocab_size: int, wanted: int, em_rounds: int, shrink: float, max_len: int, seen: list[float]) -> DataFrame:
+    """The rounds of ``train_vocab`` with the scores as a table throughout."""
     while True:
         for _ in range(em_rounds):
-            counts = cut_lineage(em_step_native(words_df, pieces, max_len) if native else em_step_lattice(lattices, names, _score_dict(pieces)))
+            counts = cut_lineage(em_step_native(words_df, pieces, max_len))
             seen.append(float(counts.where(F.col("piece").isNull()).first()["n"]))
             scored = cut_lineage(m_step_df(counts, pieces=pieces))
             pieces = scored.select("piece", "score")
         if scored.count() <= wanted:
             return rank_vocab(pieces, vocab_size)
-        if native:
-            pieces = cut_lineage(prune_native(scored, wanted, shrink, max_len))
-        else:
-            pieces = cut_lineage(prune_df(scored, _score_dict(pieces), wanted, shrink, max_len))
+        pieces = cut_lineage(prune_native(scored, wanted, shrink, max_len))

@@ -1,11 +1,13 @@
 import itertools
 import math
+import random
 
 import pytest
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from sorigil.operators import encode, vocab
+from sorigil.operators import encode, lattice, trie, vocab
 from sorigil.sources import fixtures as fx
 from tests import vocab_reference
 
@@ -30,7 +32,7 @@ VOC = {"▁": -2.0, "ㄱ": -3.0, "ㅏ": -3.5, "ㄱㅏ": -2.5, "▁ㄱ": -2.2, "
 def test_viterbi_is_best_enumerated_path():
     vocab_ids = {p: (i + 4, s) for i, (p, s) in enumerate(sorted(VOC.items()))}
     for w in ["▁ㄱㅏㄱㅏ", "▁ㄱㅏㄴ", "ㄱㅏㄴㄱ", "▁", "ㄴㅏㄱㅏㄴ"]:
-        pieces, ids, score = encode.viterbi(w, vocab_ids, 16, -100.0)
+        pieces, ids, score = vocab_reference.viterbi(w, vocab_ids, 16, -100.0)
         best = max(sum(VOC[p] for p in path) for path in _paths(w, VOC))
         assert math.isclose(score, best)
         assert "".join(pieces) == w
@@ -39,9 +41,9 @@ def test_viterbi_is_best_enumerated_path():
 
 def test_probed_split_and_unknown():
     vocab_ids = {p: (i + 4, s) for i, (p, s) in enumerate(sorted(VOC.items()))}
-    pieces, ids, _ = encode.viterbi("▁ㄱㅏㄱㅏ", vocab_ids, 16, -100.0)
+    pieces, ids, _ = vocab_reference.viterbi("▁ㄱㅏㄱㅏ", vocab_ids, 16, -100.0)
     assert pieces == ["▁ㄱ", "ㅏ", "ㄱㅏ"] or sum(VOC[p] for p in pieces) >= -7.7
-    pieces, ids, _ = encode.viterbi("ㄱㅎㅏ", vocab_ids, 16, -100.0)
+    pieces, ids, _ = vocab_reference.viterbi("ㄱㅎㅏ", vocab_ids, 16, -100.0)
     assert pieces == ["ㄱ", "ㅎ", "ㅏ"] and ids[1] == vocab.UNK_ID
 
 
@@ -126,6 +128,15 @@ def test_encode_decode_round_trip(spark):
     assert stats["n_texts"] == texts.count() and stats["unk_rate"] == 0.0
 
 
+def pruned(spark, scored, scores, target, shrink):
+    """The pieces that ``prune_df`` keeps of a score table without numbers."""
+    names = sorted(scores)
+    arr = np.array([scores[p] for p in names])
+    numbers = spark.createDataFrame([(i, p) for i, p in enumerate(names)], "p int, piece string")
+    kept = vocab.prune_df(scored.join(numbers, "piece"), trie.share(spark, names), arr, target, shrink)
+    return {r["piece"] for r in kept.collect()}
+
+
 def test_spark_m_step_and_prune_match_python(spark):
     import pandas as pd
 
@@ -140,8 +151,7 @@ def test_spark_m_step_and_prune_match_python(spark):
     assert all(math.isclose(sp[p], py[p], rel_tol=1e-12) for p in py)
     for target, shrink in [(4, 0.5), (6, 0.9), (100, 0.75)]:
         want = vocab_reference.prune(py, counts, chars, target, shrink)
-        got = {r["piece"]: r["score"] for r in vocab.prune_df(scored, py, target, shrink).collect()}
-        assert got.keys() == want.keys()
+        assert pruned(spark, scored, py, target, shrink) == want.keys()
 
 
 def test_prefix_cut_changes_nothing():
@@ -153,9 +163,9 @@ def test_prefix_cut_changes_nothing():
         pieces = {"".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 4))) for _ in range(12)}
         scores = {p: -float(rnd.randint(1, 8)) for p in pieces}  # integer scores: many exact ties
         ids = {p: (i + 4, s) for i, (p, s) in enumerate(sorted(scores.items()))}
-        pref = vocab.prefixes(scores)
+        pref = vocab_reference.prefixes(scores)
         w = "".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 12)))
-        assert encode.viterbi(w, ids, 16, -20.0, pref) == encode.viterbi(w, ids, 16, -20.0)
+        assert vocab_reference.viterbi(w, ids, 16, -20.0, pref) == vocab_reference.viterbi(w, ids, 16, -20.0)
         ll1, c1 = vocab_reference.expected_counts(w, 1.0, scores, 16, -20.0, pref)
         ll2, c2 = vocab_reference.expected_counts(w, 1.0, scores, 16, -20.0)
         assert math.isclose(ll1, ll2, rel_tol=1e-12, abs_tol=1e-12) and c1.keys() == c2.keys()
@@ -182,8 +192,6 @@ def test_native_segmentation_equals_arrow(spark):
 def test_batch_forward_backward_equals_per_word():
     import random
 
-    import numpy as np
-
     rnd = random.Random(3)
     alphabet = "▁ㄱㅏㄴㅎ"
     for _ in range(20):
@@ -194,7 +202,7 @@ def test_batch_forward_backward_equals_per_word():
         names = list(scores)
         index = {p: i for i, p in enumerate(names)}
         arr = np.array([scores[p] for p in names])
-        ll, counts = vocab.batch_expected_counts(words, freqs, index, arr, 16, -30.0, vocab.prefixes(scores))
+        ll, counts = vocab.batch_expected_counts(words, freqs, trie.build(names), arr, 16, -30.0)
         want_ll, want = 0.0, {}
         for w, f in zip(words, freqs):
             l1, c1 = vocab_reference.expected_counts(w, f, scores, 16, -30.0)
@@ -238,7 +246,7 @@ def test_token_counts_with_a_hot_word(spark):
     vocab_ids = {p: (i, s) for i, p, s in voc}
     want = {}
     for k, t in texts:
-        ids = [i for w in t.split() for i in encode.viterbi("▁" + w, vocab_ids, 16, min(VOC.values()) - vocab.UNKNOWN_PENALTY)[1]]
+        ids = [i for w in t.split() for i in vocab_reference.viterbi("▁" + w, vocab_ids, 16, min(VOC.values()) - vocab.UNKNOWN_PENALTY)[1]]
         want[k] = (len(ids), sum(1 for i in ids if i == vocab.UNK_ID))
     old = spark.conf.get("spark.sql.shuffle.partitions")
     try:
@@ -260,10 +268,16 @@ def test_native_em_and_prune_match_broadcast_forms(spark):
     words = {"▁" + "".join(rnd.choice(alphabet + "ㅋ") for _ in range(rnd.randint(0, 12))) for _ in range(80)}
     wc = spark.createDataFrame([(w, rnd.randint(1, 5)) for w in sorted(words)], "word string, n long")
     sdf = spark.createDataFrame(list(scores.items()), "piece string, score double")
-    a = {r["piece"]: r["n"] for r in vocab.em_step(wc, scores).collect()}
     names = [*scores, "ㅋㅋ", "ㄱㅎㄱ"]  # pieces that were pruned: in the lattices, without a score
-    c = {r["piece"]: r["n"] for r in vocab.em_step_lattice(vocab.word_lattices(wc, names), names, scores).collect()}
-    assert a.keys() == c.keys() and all(math.isclose(a[p], c[p], rel_tol=1e-9, abs_tol=1e-12) for p in a)
+    arr = np.array([scores.get(p, np.nan) for p in names])
+    rows = vocab.em_step(vocab.word_lattices(wc, trie.share(spark, names)), arr).collect()
+    a = {None if r["p"] is None else names[r["p"]]: r["n"] for r in rows}
+    want = {}
+    for r in wc.collect():
+        ll, counts = vocab_reference.expected_counts(r["word"], r["n"], scores, 16, min(scores.values()) - vocab.UNKNOWN_PENALTY)
+        for p, n in [(None, ll), *counts.items()]:
+            want[p] = want.get(p, 0.0) + n
+    assert all(math.isclose(a.get(p, 0.0), n, rel_tol=1e-9, abs_tol=1e-12) for p, n in want.items()) and a.keys() <= want.keys()
     b = {r["piece"]: r["n"] for r in vocab.em_step_native(wc, sdf).collect()}
     assert a.keys() == b.keys()
     assert all(math.isclose(a[p], b[p], rel_tol=1e-9, abs_tol=1e-12) for p in a)
@@ -271,7 +285,7 @@ def test_native_em_and_prune_match_broadcast_forms(spark):
     scored = vocab.m_step_df(counts)
     sc = {r["piece"]: r["score"] for r in scored.collect()}
     for target, shrink in [(5, 0.5), (12, 0.8)]:
-        want = {r["piece"] for r in vocab.prune_df(scored, sc, target, shrink).collect()}
+        want = pruned(spark, scored, sc, target, shrink)
         got = {r["piece"] for r in vocab.prune_native(scored, target, shrink).collect()}
         assert got == want
 
@@ -289,22 +303,52 @@ def test_train_vocab_native_path_matches(spark):
 def test_a_long_word_does_not_widen_the_others():
     import tracemalloc
 
-    import numpy as np
-
     words = ["▁ab" * 2] * 1000 + ["▁" + "ab" * 100_000]
     groups = list(vocab.by_length(np.array([len(w) for w in words])))
     assert sorted(i for g in groups for i in g) == list(range(1001)) and groups[-1].tolist() == [1000]
     scores = {"▁": -1.0, "a": -2.0, "b": -2.0, "ab": -2.5}
-    index = {p: i for i, p in enumerate(scores)}
+    index, pieces = {p: i for i, p in enumerate(scores)}, trie.build(list(scores))
     arr = np.array(list(scores.values()))
     tracemalloc.start()
     total = np.zeros(len(arr))
     for g in groups:
-        total += vocab.batch_expected_counts([words[i] for i in g], np.ones(len(g)), index, arr, 16, -30.0, vocab.prefixes(scores))[1]
+        total += vocab.batch_expected_counts([words[i] for i in g], np.ones(len(g)), pieces, arr, 16, -30.0)[1]
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 300e6 and total[0] > 0
     per = vocab_reference.expected_counts(words[0], 1.0, scores, 16, -30.0)[1]
     long = vocab_reference.expected_counts(words[-1][:2001], 1.0, scores, 16, -30.0)[1]
-    short = vocab.batch_expected_counts([words[-1][:2001]], np.ones(1), index, arr, 16, -30.0, vocab.prefixes(scores))[1]
+    short = vocab.batch_expected_counts([words[-1][:2001]], np.ones(1), pieces, arr, 16, -30.0)[1]
     assert math.isclose(short[index["ab"]], long["ab"], rel_tol=1e-9) and math.isclose(per["▁"], 2.0)
+
+
+def test_trie_lattice_and_batched_paths_match_the_plain_forms():
+    """Integer scores make many exact ties; characters outside the alphabet, long words and empty words included."""
+    rnd = random.Random(4)
+    letters = "▁ㄱㄴㅏㅓ😀"
+    for _ in range(40):
+        names = sorted({"".join(rnd.choices(letters, k=rnd.randint(1, 6))) for _ in range(60)})
+        rnd.shuffle(names)
+        scores = np.array([-float(rnd.randint(1, 6)) for _ in names])
+        words = ["", *("".join(rnd.choices(letters + "z", k=rnd.randint(0, 25))) for _ in range(40)), "ㄱㄴ" * 200]
+        built = trie.build(names)
+        for max_len in (16, 3):
+            want = vocab_reference.lattice_edges_of(words, {p: i for i, p in enumerate(names)}, max_len, vocab_reference.prefixes(names))
+            got = built.lattice(words, max_len)
+            assert list(zip(*(x.tolist() for x in got))) == sorted(zip(*(x.tolist() for x in want)))
+            batch = encode.split_batch(words, built, np.array(names, dtype=object), np.arange(4, len(names) + 4), scores, max_len, -20.0)
+            ids = {p: (i + 4, s) for i, (p, s) in enumerate(zip(names, scores.tolist()))}
+            for row in batch.to_pylist():
+                assert (row["pieces"], row["ids"], row["score"]) == vocab_reference.viterbi(row["word"], ids, max_len, -20.0)
+        alt = vocab.split_scores(names, built, scores)
+        plain = dict(zip(names, scores.tolist()))
+        assert all(a == vocab_reference._best_split_without(p, plain, 16) for a, p in zip(alt.tolist(), names))
+
+
+def test_trie_refuses_what_it_cannot_hold_and_an_empty_one_works():
+    for bad in (["a", "a"], ["a", ""]):
+        with pytest.raises(ValueError):
+            trie.build(bad)
+    empty = trie.build([])
+    assert [x.tolist() for x in empty.lattice(["ab"], 16)] == [[0, 0], [0, 1], [1, 2], [-1, -1]]
+    assert lattice.best_paths(*(np.zeros(0, np.int64) for _ in range(3)), np.zeros(0), np.array([0, 2]))[0].tolist() == [0.0, -np.inf]

@@ -2,9 +2,10 @@
 
 import math
 
+import numpy as np
 import pandas as pd
 
-from sorigil.operators.vocab import MAX_PIECE_LEN, _best_split_without
+from sorigil.operators.vocab import MAX_PIECE_LEN, UNK_ID
 
 
 def _lattice(word: str, scores: dict, max_len: int, pref: frozenset | None = None):
@@ -86,3 +87,87 @@ def prune(scores: dict, counts: dict, keep_chars: set, target: int, shrink: floa
     losses.sort(key=lambda x: (-x[0], x[1]))
     kept = {p for _, p in losses[:room]} | set(singles)
     return {p: scores[p] for p in kept}
+
+
+def prefixes(pieces) -> frozenset:
+    """Every non-empty prefix of every piece. A substring that is not one starts
+    no piece, so a scan of the lattice from a start position stops there."""
+    return frozenset(p[:k] for p in pieces for k in range(1, len(p) + 1))
+
+
+def lattice_edges_of(words: list, index: dict, max_len: int, pref: frozenset) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Flat edges (word number, begin, end, piece number) of all words. A position whose character is no
+    piece has an edge of length one with piece number -1, so no position is without edges."""
+    wi, bb, ee, pp = [], [], [], []
+    aw, ab, ae, ap = wi.append, bb.append, ee.append, pp.append
+    for k, word in enumerate(words):
+        n = len(word)
+        for b in range(n):
+            single = False
+            for e in range(b + 1, min(n, b + max_len) + 1):
+                sub = word[b:e]
+                if sub not in pref:
+                    break
+                j = index.get(sub)
+                if j is not None:
+                    aw(k), ab(b), ae(e), ap(j)
+                    single = single or e == b + 1
+            if not single:
+                aw(k), ab(b), ae(b + 1), ap(-1)
+    return tuple(np.array(x, dtype=np.int64) for x in (wi, bb, ee, pp))
+
+
+def _best_split_without(piece: str, scores: dict, max_len: int):
+    """Viterbi score of a piece using only other pieces (for the pruning loss)."""
+    n = len(piece)
+    best = [-math.inf] * (n + 1)
+    best[0] = 0.0
+    for e in range(1, n + 1):
+        for b in range(max(0, e - max_len), e):
+            if b == 0 and e == n:
+                continue
+            s = scores.get(piece[b:e])
+            if s is not None and best[b] + s > best[e]:
+                best[e] = best[b] + s
+    return best[n]
+
+
+def viterbi(word: str, vocab: dict, max_len: int, unk_score: float, pref: frozenset | None = None):
+    """Best split of one word: (pieces, ids, score). ``vocab`` maps piece -> (id, score).
+
+    Edges are relaxed forward from each start position b in increasing order
+    (every edge into b starts before b, so ``best[b]`` is final), and replace
+    the best at their end only when strictly better: for each end, ties keep
+    the edge with the smallest begin. A start whose single character is no
+    piece gets an unknown edge (id 1). With ``pref`` (the prefixes of all
+    pieces) the scan from b stops at the first substring no piece begins with."""
+    n = len(word)
+    best = [-math.inf] * (n + 1)
+    back: list = [None] * (n + 1)
+    best[0] = 0.0
+    for b in range(n):
+        base = best[b]
+        single = False
+        for e in range(b + 1, min(n, b + max_len) + 1):
+            p = word[b:e]
+            if pref is not None and p not in pref:
+                break
+            hit = vocab.get(p)
+            if hit is None:
+                continue
+            single = single or e == b + 1
+            cand = base + hit[1]
+            if cand > best[e]:
+                best[e], back[e] = cand, (b, hit[0], p)
+        if not single:
+            cand = base + unk_score
+            if cand > best[b + 1]:
+                best[b + 1], back[b + 1] = cand, (b, UNK_ID, word[b])
+    pieces, ids = [], []
+    e = n
+    while e > 0:
+        b, i, p = back[e]
+        pieces.append(p)
+        ids.append(i)
+        e = b
+    return pieces[::-1], ids[::-1], best[n] if n else 0.0
