@@ -34,6 +34,11 @@ def by_length(lengths: np.ndarray, cells: int = LATTICE_CELLS) -> Iterator[np.nd
         lo = hi
 
 
+def _by_place(at: np.ndarray, width: int) -> np.ndarray:
+    """Edge numbers by place, in their order (word, begin) within one: a stable sort, by counting for places of 16 bits."""
+    return np.argsort(at.astype(np.uint16) if width < 1 << 16 else at, kind="stable")
+
+
 def forward_backward(
     W: np.ndarray, B: np.ndarray, E: np.ndarray, P: np.ndarray, lengths: np.ndarray, freqs: np.ndarray, score_arr: np.ndarray, unk_score: float
 ) -> tuple[float, np.ndarray]:
@@ -52,7 +57,7 @@ def forward_backward(
     width, n = int(lengths.max()) + 1, len(lengths)
     alpha = np.full((n, width), -np.inf)
     alpha[:, 0] = 0.0
-    by_end = np.lexsort((W, E))
+    by_end = _by_place(E, width)
     bounds = np.searchsorted(E[by_end], np.arange(width + 1))
     for e in range(1, width):
         sel = by_end[bounds[e] : bounds[e + 1]]
@@ -61,7 +66,7 @@ def forward_backward(
             alpha[keys, e] = v
     beta = np.full((n, width), -np.inf)
     beta[np.arange(n), lengths] = 0.0
-    by_begin = np.lexsort((W, B))
+    by_begin = _by_place(B, width)
     bounds = np.searchsorted(B[by_begin], np.arange(width + 1))
     for b in range(width - 2, -1, -1):
         sel = by_begin[bounds[b] : bounds[b + 1]]
@@ -97,7 +102,7 @@ def _best_of(W: np.ndarray, B: np.ndarray, E: np.ndarray, S: np.ndarray, lengths
     n, width = len(lengths), int(lengths.max()) + 1
     best, back = np.full((n, width), -np.inf), np.full((n, width), -1, np.int64)
     best[:, 0] = 0.0
-    by_end = np.lexsort((B, W, E))
+    by_end = _by_place(E, width)
     bounds = np.searchsorted(E[by_end], np.arange(width + 1))
     for e in range(1, width):
         sel = by_end[bounds[e] : bounds[e + 1]]
