@@ -120,8 +120,23 @@ FROM (SELECT conv_id, turn, {jamo_sql("CASE WHEN turn % 2 = 1 THEN '[S2] ' || "
       FROM conversations) c
 """
 
-SHUFFLED = f"""SELECT *, row_number() OVER (PARTITION BY epoch ORDER BY md5('0:' || epoch || ':' || pos)) - 1 AS shuffled_pos
-FROM (SELECT e.*, x.epoch FROM ({{src}}) e, (SELECT unnest(range({{epochs}}))::INTEGER AS epoch) x) ee"""
+def _feistel_sql(src: str) -> str:
+    """``pos, epoch, n, x``: x of ``src`` passed once through six keyed rounds on x = l * b + r, a near-square of at least n places."""
+    out = f"SELECT pos, epoch, n, a, b, x // b AS l, x % b AS r FROM (SELECT *, (n + a - 1) // a AS b FROM (SELECT pos, epoch, n, x, ceil(sqrt(n::DOUBLE))::BIGINT AS a FROM ({src}) q0) q1) q2"
+    for i in range(6):
+        key = f"(('0x' || substr(md5('0:' || epoch || ':{i}'), 1, 8))::BIGINT % 2147483647)"
+        other, mine, side = ("r", "l", "a") if i % 2 == 0 else ("l", "r", "b")
+        y = f"(({other} + {key}) % 2147483647)"
+        cube = f"({y} * {y} % 2147483647 * {y} % 2147483647)"
+        out = f"SELECT pos, epoch, n, a, b, {other}, ({mine} + {cube} % {side}) % {side} AS {mine} FROM ({out}) r{i}"
+    return f"SELECT pos, epoch, n, l * b + r AS x FROM ({out}) done"
+
+
+SHUFFLED = f"""SELECT e.*, p.epoch, p.x AS shuffled_pos FROM ({{src}}) e JOIN (
+  WITH RECURSIVE walk AS (
+    {_feistel_sql("SELECT i.pos, ep.epoch, i.n, i.x FROM (SELECT pos, row_number() OVER (ORDER BY pos) - 1 AS x, count(*) OVER () AS n FROM ({{src}}) s) i, (SELECT unnest(range({{epochs}}))::INTEGER AS epoch) ep").replace("{{", "{").replace("}}", "}")}
+    UNION ALL {_feistel_sql("SELECT pos, epoch, n, x FROM walk WHERE x >= n")}
+  ) SELECT pos, epoch, x FROM walk WHERE x < n) p USING (pos)"""
 
 ORACLE["shuffle_epoch"] = f"""
 SELECT epoch, pos, shuffled_pos, shuffled_pos // {BATCH_SIZE} AS batch_id

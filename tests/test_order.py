@@ -87,3 +87,38 @@ def test_no_task_holds_a_data_set_or_a_second(spark):
     df = spark.range(20_000).select((F.col("id") * 1_000_003).alias("k"), F.lit("one").alias("source"), F.lit(0).alias("source_ord"))
     sizes = [r["count"] for r in order.placed(df, ["source_ord", "source", "k"]).groupBy("_task").count().collect()]
     assert sum(sizes) == 20_000 and max(sizes) < 20_000 / len(sizes) * 2 and len(sizes) >= 8
+
+
+def test_permutation_has_an_inverse_and_no_exchange(spark):
+    for n in (1, 2, 3, 5, 17, 64, 1000, 4097):
+        df = spark.range(n).withColumnRenamed("id", "pos")
+        there = df.select("pos", order.permuted("pos", n, 1, 5).alias("at"))
+        rows = there.select("pos", "at", order.permuted("at", n, 1, 5, forward=False).alias("back")).collect()
+        assert sorted(r["at"] for r in rows) == list(range(n)) and all(r["back"] == r["pos"] for r in rows)
+    plan = order.shuffled_positions(df, 2)._jdf.queryExecution().toString()
+    assert "Exchange" not in plan
+    big = 3 * 10**12 + 7  # places far beyond 32 bits
+    far = spark.range(big - 500, big).select(F.col("id").alias("pos"), order.permuted("id", big, 0).alias("at"))
+    got = far.select("pos", "at", order.permuted("at", big, 0, forward=False).alias("back")).collect()
+    assert all(0 <= r["at"] < big and r["back"] == r["pos"] for r in got) and len({r["at"] for r in got}) == 500
+
+
+def test_shuffle_of_positions_with_gaps_and_of_none(spark):
+    df = spark.range(0, 900, 3).select(F.col("id").alias("pos"), F.lit("x").alias("t"))
+    rows = order.shuffled_positions(df, [4, 9], 1).collect()
+    for e in (4, 9):
+        assert sorted(r["shuffled_pos"] for r in rows if r["epoch"] == e) == list(range(300))
+        assert sorted(r["pos"] for r in rows if r["epoch"] == e) == list(range(0, 900, 3))
+    assert order.shuffled_positions(df.limit(0), 2).collect() == []
+
+
+def test_texts_are_not_in_the_order_table_and_equal_keys_stay(spark):
+    rows = [(i % 7, i % 3, f"text {i}", None if i % 5 else "s") for i in range(60)] + [(1, 1, "text", "s")] * 2
+    df = spark.createDataFrame(rows, "k long, source_ord int, text string, source string")
+    plan = order.range_index(df, ["k"], ["source_ord"], "i").select("k", "i")._jdf.queryExecution().optimizedPlan().toString()
+    assert "text#" not in plan.split("RDD")[-1]
+    out = order.range_index(df, ["k"], ["source_ord"], "i").collect()
+    assert sorted((r["k"], r["source_ord"], r["text"], r["source"]) for r in out if r["source"]) == sorted(r for r in rows if r[3])
+    for o in range(3):
+        mine = sorted((r["i"], r["k"]) for r in out if r["source_ord"] == o)
+        assert [i for i, _ in mine] == list(range(len(mine))) and [k for _, k in mine] == sorted(k for _, k in mine)
