@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from sorigil.functions import arrays, audio
+from sorigil.operators.blocks import change_speed_blocks, resample_blocks, split_clips, trim_tail_blocks
 
 
 def _one(spark, expr, rows, schema):
@@ -176,3 +177,56 @@ def test_frames_of_long_clips_are_made_from_stretches(spark):
         p = [0.0] * 8 + x + [0.0] * 8
         want |= {(i, f): p[f * 4 : f * 4 + 16] for f in range((len(p) - 16) // 4 + 1)}
     assert got == want
+
+
+def _clips(spark, rows):
+    return spark.createDataFrame([(i, x, r) for i, (x, r) in enumerate(rows)], "clip_id long, x array<double>, r int").select("clip_id", F.struct(F.col("x").alias("array"), F.col("r").alias("sampling_rate")).alias("audio"))
+
+
+def _joined(df):
+    out = {}
+    for r in sorted(df.collect(), key=lambda r: r["block"]):
+        out.setdefault(r["clip_id"], []).extend(r["samples"])
+    return out
+
+
+def test_blocks_of_long_clips_equal_the_one_row_forms(spark):
+    rng = np.random.default_rng(3)
+    rates = [44100, 16000, 22050, 48000, 11025]
+    rows = [(rng.uniform(-1, 1, n).tolist(), rates[i % 5]) for i, n in enumerate([0, 1, 2, 99, 100, 101, 1000, 2503, 4096])]
+    rows += [([0.9] * 50 + [0.0] * 3000, 16000), ([0.0] * 700, 48000), (None, 16000)]
+    clips = _clips(spark, rows)
+    for size in (100, 4096):
+        blocks = split_clips(clips, size)
+        assert blocks.where(F.size("samples") > size).isEmpty()
+        for got, col in (
+            (change_speed_blocks(blocks, 0.7, size), audio.change_speed("audio.array", 0.7)),
+            (change_speed_blocks(blocks, 3.3, size), audio.change_speed("audio.array", 3.3)),
+            (trim_tail_blocks(blocks, 0.5, 0.01, None), audio.trim_tail("audio.array", 0.5, F.col("audio.sampling_rate"), 0.01)),
+            (resample_blocks(blocks, 22050, size=size), audio.resample("audio.array", F.col("audio.sampling_rate"), 22050)),
+        ):
+            want = {r["clip_id"]: r["y"] for r in clips.select("clip_id", col.alias("y")).collect() if r["y"] is not None}
+            got = _joined(got)
+            assert got.keys() == want.keys() and all(np.allclose(got[i], want[i], rtol=0, atol=1e-12) and len(got[i]) == len(want[i]) for i in want)
+    wide = split_clips(clips, 20)  # a halo that reaches over several blocks
+    want = {r["clip_id"]: r["y"] for r in clips.select("clip_id", audio.resample("audio.array", F.col("audio.sampling_rate"), 8000).alias("y")).collect()}
+    got = _joined(resample_blocks(wide, 8000, size=20))
+    assert all(np.allclose(got[i], want[i], rtol=0, atol=1e-12) for i in got) and len(got) == 11
+
+
+def test_an_hour_runs_in_many_tasks(spark):
+    """A clip that is written by block: no row holds more than a block, and its blocks are spread over the tasks."""
+    size, n = 1 << 14, 3600 * 2000
+    blocks = spark.range(0, -(-n // size)).select(
+        F.lit(1).cast("long").alias("clip_id"), F.lit(2000).alias("rate"), F.lit(n).cast("long").alias("n"), F.col("id").cast("int").alias("block"), (F.col("id") * size).alias("first"),
+        F.transform(F.sequence(F.col("id") * size, F.least((F.col("id") + 1) * size, F.lit(n)) - 1), lambda i: F.sin(i * 0.05)).alias("samples"),
+    )
+    out = resample_blocks(blocks, 1000, size=size).select("block", F.size("samples").alias("k"), F.spark_partition_id().alias("task")).collect()
+    assert sum(r["k"] for r in out) == n // 2 and len({r["task"] for r in out}) > 4
+    assert max(r["k"] for r in out) <= size
+
+
+def test_resample_of_null_clips_and_odd_ratios(spark):
+    rows = [(None, 16000), ([1.0, 2.0, 3.0], None), ([0.5] * 40, 44101)]
+    got = [r["y"] for r in _clips(spark, rows).select(audio.resample("audio.array", F.col("audio.sampling_rate"), 16000).alias("y")).collect()]
+    assert got[0] is None and got[1] is None and np.allclose(got[2], _resample_np(np.array([0.5] * 40), 44101, 16000), atol=1e-9)
