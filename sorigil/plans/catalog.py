@@ -429,3 +429,28 @@ def train_vocab_q(spark, sf_dir):
     """A4-A8 + L2: unigram vocabulary trained by EM with pruning on the corpus words
     (iterative; checked by invariants and row count, no SQL twin)."""
     return vocab.train_vocab(_doc_words(spark, sf_dir), VOCAB_SIZE, TRAIN_SEED_SIZE, em_rounds=2, shrink=TRAIN_SHRINK)
+
+
+FEATURE_BLOCK = 8
+
+
+def _clip_texts(spark, sf_dir):
+    """``clip_id, jamo``: clip i reads the benchmark item whose rank by id is i modulo the number of items."""
+    items = order.range_index(_benchmark_jamo(spark, sf_dir), ["item_id"], (), "rank")
+    n = items.count()
+    clips = fx.embeddings_as_clips(spark, sf_dir).select("clip_id")
+    return clips.withColumn("rank", F.pmod("clip_id", F.lit(n))).join(items, "rank").select("clip_id", "jamo")
+
+
+@register("feature_table")
+def feature_table_q(spark, sf_dir):
+    """The training examples: log-mel in blocks of frames, token ids and attention mask."""
+    from sorigil.plans.features import feature_table
+
+    vocabulary = _seed_vocab(spark, sf_dir, _words_once(spark, sf_dir))
+    t = feature_table(fx.embeddings_as_clips(spark, sf_dir), _clip_texts(spark, sf_dir), vocabulary, FEAT_N_FFT, FEAT_HOP, FEAT_N_MELS, FEATURE_BLOCK)
+    cells = F.transform(F.flatten("features"), lambda v: F.round(v * 10_000).cast("bigint"))
+    return t.select(
+        "clip_id", "block", "n_blocks", "n_frames", F.size("features").alias("frames"), F.array_join(cells, ",").alias("features"),
+        arrays.join_ints("input_ids").alias("input_ids"), F.size("attention_mask").alias("n_attention"),
+    )

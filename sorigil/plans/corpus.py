@@ -33,7 +33,7 @@ def prepare_corpus(spark: SparkSession, sources: Sequence[tuple[str, str, str]],
     cols = ["filename", "text", "jamo"]
     # one read and one jamo pass; the corpus lines are made from the written rows
     lines = with_jamo.select("source", M.metadata_line(cols).alias("|".join(cols)))
-    lines.write.mode("overwrite").partitionBy("source").option("header", True).option("quote", "").option("sep", "\u0001").option("emptyValue", "").csv(f"{out_dir}/metadata_jamo")
+    lines.write.mode("overwrite").partitionBy("source").options(**M.LINES).csv(f"{out_dir}/metadata_jamo")
     M.rejected(meta).write.mode("overwrite").parquet(f"{out_dir}/rejects")
     with_jamo = M.read_metadata(spark, f"{out_dir}/metadata_jamo", with_jamo=True)
     M.write_corpus(with_jamo, f"{out_dir}/all_jamo")
@@ -74,8 +74,9 @@ def build_trainset(
     ok, rejects = listing.keep_valid(encoded)
     valid = (F.col("text_tokens").isNotNull() & F.col("audio_tokens").isNotNull()).alias("valid")
     progress = listing.progress(encoded.select("pos", valid), batch_size)
+    made_from = M.fingerprint(meta, audio_codes, max_samples=max_samples)
     processed = M.processed_or_build(
-        spark, out_path, lambda: ok.select("text_tokens", "audio_tokens", F.col("pos").alias("original_indices"))
+        spark, out_path, lambda: ok.select("text_tokens", "audio_tokens", F.col("pos").alias("original_indices")), made_from
     )
     return processed, rejects, progress
 

@@ -31,7 +31,7 @@ def _written_sources(spark: SparkSession, sf_dir: str, folder: str) -> list[tupl
     """Each data set's metadata folder (``filename|text`` with header); the data sets are a short declared list."""
     meta = fx.documents_as_transcripts(spark, sf_dir)
     line = M.metadata_line(["filename", "text"]).alias("filename|text")
-    meta.select("source", line).write.partitionBy("source").option("header", True).option("quote", "").option("sep", "\u0001").option("emptyValue", "").csv(folder)
+    meta.select("source", line).write.partitionBy("source").options(**M.LINES).csv(folder)
     names = [r["source"] for r in meta.select("source", "source_ord").distinct().orderBy("source_ord").collect()]
     return [(n, f"{fx.DATA_ROOT}/{n}/", f"{folder}/source={n}") for n in names]
 
@@ -52,9 +52,11 @@ def file_chosen(spark, sf_dir):
 
 @catalog.register("file_rejects")
 def file_rejects(spark, sf_dir):
-    """Lines with a field too many are set aside whole, the others are read."""
+    """Lines with a field too many are set aside whole, the others are read. Quotes stay as they are in the texts, and every fifth text is quoted whole."""
     folder = fresh_folder(spark, "raw")
-    raw = spread(fx.table(spark, sf_dir, "documents")).select(F.concat_ws("|", F.format_string("doc_%06d.wav", "doc_id"), F.regexp_replace("text", "[\\r\\n\"]+", " ")).alias("value"))
+    one_line = F.regexp_replace("text", "[\\r\\n]+", " ")
+    text = F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit('"'), one_line, F.lit('"'))).otherwise(one_line)
+    raw = spread(fx.table(spark, sf_dir, "documents")).select(F.concat_ws("|", F.format_string("doc_%06d.wav", "doc_id"), text).alias("value"))
     raw.write.text(folder)
     meta = M.read_metadata(spark, folder)
     return meta.where("_bad is null").select("filename", "text", F.lit(False).alias("rejected")).unionAll(
@@ -72,24 +74,26 @@ def file_corpus(spark, sf_dir):
 
 @catalog.register("file_listing")
 def file_listing(spark, sf_dir):
-    """The folders in which the file listing finds files that are not empty."""
-    folder = fresh_folder(spark, "metadata")
-    _written_sources(spark, sf_dir, folder)
-    files = M.list_audio(spark, folder).where("length > 0").select(F.regexp_extract("full_path", "/source=([^/]+)/[^/]+$", 1).alias("source"))
-    return files.where("source <> ''").distinct()
+    """The files of a folder tree by their paths and lengths: bytes per data set of the one-text-per-line files."""
+    folder = fresh_folder(spark, "texts")
+    docs = spread(fx.table(spark, sf_dir, "documents"))
+    docs.select("source", F.regexp_replace("text", "[\\r\\n]+", " ").alias("value")).write.partitionBy("source").text(folder)
+    files = M.list_audio(spark, folder).withColumn("source", F.regexp_extract("full_path", "/source=([^/]+)/[^/]+$", 1))
+    return files.where("source <> ''").groupBy("source").agg(F.sum("length").alias("bytes"))
 
 
 @catalog.register("file_processed")
 def file_processed(spark, sf_dir):
-    """Rows whose encoding succeeded, saved as the three-column table, reused, and the rejects with a reason.
+    """Jamo texts as bytes where the encoding succeeded, saved as the three-column table, reused, and the rejects with a reason.
 
     A transcript's audio codes exist when its document is labelled."""
-    t = fx.documents_as_transcripts(spark, sf_dir).select("doc_id", utf8_tokens(F.col("filename")).alias("text_tokens"))
+    t = fx.documents_as_transcripts(spark, sf_dir).select("doc_id", utf8_tokens(jamo("text")).alias("text_tokens"))
     codes = fx.table(spark, sf_dir, "labels").select("doc_id", F.array(F.array(F.col("quality").cast("int"), F.col("toxic").cast("int"))).alias("audio_tokens")).dropDuplicates(["doc_id"])
     ok, rejects = listing.keep_valid(t.join(codes, "doc_id", "left"))
     path = fresh_folder(spark, "processed")
+    made_from = M.fingerprint(fx.table(spark, sf_dir, "documents").select("doc_id", "text"), codes)
     for _ in range(2):  # the second call finds the finished table
-        saved = M.processed_or_build(spark, path, lambda: ok.select("text_tokens", "audio_tokens", F.col("doc_id").alias("original_indices")))
+        saved = M.processed_or_build(spark, path, lambda: ok.select("text_tokens", "audio_tokens", F.col("doc_id").alias("original_indices")), made_from)
     kept = saved.select(F.col("original_indices").alias("doc_id"), arrays.join_ints("text_tokens").alias("tokens"), arrays.join_ints(F.flatten("audio_tokens")).alias("codes"), F.lit("").alias("reason"))
     return kept.unionAll(rejects.select("doc_id", F.lit("").alias("tokens"), F.lit("").alias("codes"), "reason"))
 

@@ -281,7 +281,7 @@ SELECT label, count(*) AS n_clips, round(sum(len(x) / rate::DOUBLE), 6) AS total
 FEAT_N_FFT, FEAT_HOP, FEAT_N_MELS = 16, 4, 4
 
 
-def _spectrum_sql(with_mel: bool) -> str:
+def _spectrum_sql(with_mel: bool, scaled: int | None = None) -> str:
     n, hop, half = FEAT_N_FFT, FEAT_HOP, FEAT_N_FFT // 2
     win = f"(0.5 - 0.5 * cos(2 * pi() * k / {n}))"
     re = f"list_sum(list_transform(range({n}), lambda k: fx[k + 1] * {win} * cos(2 * pi() * j * k / {n})))"
@@ -304,13 +304,15 @@ FROM (SELECT rate, i AS mel, hz AS e0, lead(hz, 1) OVER (PARTITION BY rate ORDER
 WHERE r2 = rate AND e2 IS NOT NULL) fb"""
         power = f"""SELECT s.clip_id, s.frame, fb.mel AS bin, sum(s.p * fb.w) AS p
 FROM ({power}) s JOIN {fb} ON s.rate = fb.rate AND s.bin = fb.bin GROUP BY 1, 2, 3"""
+    z = "(d - mu) / (sd + 1e-5)"
+    value = f"round({z} * {scaled})::BIGINT" if scaled else f"round({z}, 6) + 0.0"
     return f"""
 WITH sp AS ({power}),
 r AS (SELECT clip_id, max(p) AS ref FROM sp GROUP BY 1),
 db AS (SELECT sp.clip_id, frame, bin, greatest(10 * log10(greatest(1e-10, p)) - 10 * log10(greatest(1e-10, ref)), -80.0) AS d
        FROM sp JOIN r USING (clip_id)),
 st AS (SELECT clip_id, avg(d) AS mu, stddev_pop(d) AS sd FROM db GROUP BY 1)
-SELECT clip_id, frame::INTEGER AS frame, bin::INTEGER AS bin, round((d - mu) / (sd + 1e-5), 6) + 0.0 AS v FROM db JOIN st USING (clip_id)
+SELECT clip_id, frame::INTEGER AS frame, bin::INTEGER AS bin, {value} AS v FROM db JOIN st USING (clip_id)
 """
 
 
@@ -444,17 +446,23 @@ SELECT filename, {hangulize_sql('raw_text')} AS text, '/data/' || source || '/'
   (dense_rank() OVER (ORDER BY source_ord) - 1)::INTEGER AS source_ord, full_path FROM ({META}) m
 """
 ORACLE["file_chosen"] = f"SELECT source, filename FROM ({META}) m WHERE source IN ('src1', 'src3', 'src11')"
-_RAW = "regexp_replace(text, '[\\r\\n\"]+', ' ', 'g')"
+_LINE = "regexp_replace(text, '[\\r\\n]+', ' ', 'g')"
+_QUOTED = "(length(raw) >= 2 AND raw[1] = chr(34) AND raw[-1] = chr(34))"
+_UNDONE = "replace(replace(replace(replace(replace(p, '\\n', chr(10)), '\\r', chr(13)), '\\q', chr(34)), '\\0', chr(0)), '\\1', chr(1))"
+_FITS = "(raw NOT LIKE '%|%' OR regexp_full_match(raw, '\"[^\"]*\"'))"
 ORACLE["file_rejects"] = f"""
-SELECT CASE WHEN {_RAW} LIKE '%|%' THEN NULL ELSE printf('doc_%06d.wav', doc_id) END AS filename,
-  CASE WHEN {_RAW} LIKE '%|%' THEN printf('doc_%06d.wav', doc_id) || '|' || {_RAW} ELSE nullif({_RAW}, '') END AS text, {_RAW} LIKE '%|%' AS rejected
-FROM documents
+WITH r AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN '"' || {_LINE} || '"' ELSE {_LINE} END AS raw FROM documents)
+SELECT CASE WHEN {_FITS} THEN printf('doc_%06d.wav', doc_id) END AS filename,
+  CASE WHEN NOT {_FITS} THEN printf('doc_%06d.wav', doc_id) || '|' || raw
+    WHEN {_QUOTED} THEN array_to_string(list_transform(string_split(raw[2:-2], '\\\\'), lambda p: {_UNDONE}), '\\')
+    ELSE nullif(raw, '') END AS text, NOT {_FITS} AS rejected
+FROM r
 """
 ORACLE["file_corpus"] = f"SELECT regexp_replace({jamo_sql(hangulize_sql('text'))}, '[\\r\\n]+', ' ', 'g') AS line FROM documents"
-ORACLE["file_listing"] = "SELECT DISTINCT source FROM documents"
-ORACLE["file_processed"] = """
+ORACLE["file_listing"] = f"SELECT source, sum(strlen({_LINE}) + 1)::BIGINT AS bytes FROM documents GROUP BY source"
+ORACLE["file_processed"] = f"""
 SELECT d.doc_id,
-  CASE WHEN l.doc_id IS NULL THEN '' ELSE array_to_string(list_transform(string_split(printf('doc_%06d.wav', d.doc_id), ''), lambda c: unicode(c)), ',') END AS tokens,
+  CASE WHEN l.doc_id IS NULL THEN '' ELSE array_to_string({utf8_bytes_sql(jamo_sql(hangulize_sql('d.text')))}, ',') END AS tokens,
   CASE WHEN l.doc_id IS NULL THEN '' ELSE l.quality || ',' || l.toxic END AS codes,
   CASE WHEN l.doc_id IS NULL THEN 'audio_tokens failed' ELSE '' END AS reason
 FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
@@ -472,3 +480,21 @@ be AS (SELECT word, b, unnest(range(b + 1, least(b + 16, length(word)) + 1)) AS
 SELECT word, b::INTEGER AS b, e::INTEGER AS e, piece, id, round(score, 6) AS score
 FROM be JOIN vocab ON piece = substr(word, b + 1, e - b) WHERE id >= 4 AND (b = 0 OR strpos(piece, '▁') = 0)
 """
+
+# ---- training examples: mel rows of the spectrum query regrouped into blocks, next to the encoded texts ----
+FEATURE_BLOCK = 8
+ORACLE["feature_table"] = f"""
+WITH {VOCAB},
+bw AS (SELECT item_id, wpos, '▁' || w AS word FROM ({BENCH_WORDS}) q),
+bwd AS (SELECT DISTINCT word FROM bw),{segment_sql('bwd')},
+enc AS (SELECT item_id, flatten(list(s.ids ORDER BY wpos)) AS ids FROM bw JOIN seg s USING (word) GROUP BY item_id),
+items AS (SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS rank, count(*) OVER () AS n FROM benchmark),
+mel AS ({_spectrum_sql(True, 10000)}),
+fr AS (SELECT clip_id, frame, list(v ORDER BY bin) AS vs FROM mel GROUP BY ALL),
+bl AS (SELECT clip_id, frame // {FEATURE_BLOCK} AS block, count(*) AS frames, flatten(list(vs ORDER BY frame)) AS vs FROM fr GROUP BY ALL),
+cl AS (SELECT vec_id AS clip_id, len(embedding) // {FEAT_HOP} + 1 AS n_frames FROM embeddings)
+SELECT cl.clip_id, bl.block::INTEGER AS block, ((n_frames + {FEATURE_BLOCK - 1}) // {FEATURE_BLOCK})::INTEGER AS n_blocks, n_frames::INTEGER AS n_frames, bl.frames::INTEGER AS frames,
+  array_to_string(bl.vs, ',') AS features,
+  CASE WHEN bl.block = 0 THEN coalesce(array_to_string(enc.ids, ','), '') END AS input_ids, CASE WHEN bl.block = 0 THEN coalesce(len(enc.ids), 0)::INTEGER END AS n_attention
+FROM cl JOIN bl USING (clip_id) JOIN items i ON i.rank = cl.clip_id % i.n LEFT JOIN enc USING (item_id)
+"""

@@ -14,6 +14,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,13 +41,15 @@ PROCESSED_SCHEMA = T.StructType(
         T.StructField("original_indices", T.LongType()),
     ]
 )
+#: The file that tells a finished processed table and what it was made from (Spark's readers skip names with an underscore).
+MANIFEST = "_manifest"
 VOCAB_SCHEMA = T.StructType(
     [T.StructField("id", T.IntegerType()), T.StructField("piece", T.StringType()), T.StructField("score", T.DoubleType())]
 )
 
 
-# What stands for line breaks and quotes in a quoted field.
-LINE_ESCAPES = {"\\n": "\n", "\\r": "\r", "\\q": '"'}
+# What stands for line breaks, quotes and the line writer's own marks in a quoted field.
+LINE_ESCAPES = {"\\n": "\n", "\\r": "\r", "\\q": '"', "\\0": "\0", "\\1": "\u0001"}
 
 
 def parse_metadata(lines: DataFrame, with_jamo: bool = False) -> DataFrame:
@@ -54,8 +57,9 @@ def parse_metadata(lines: DataFrame, with_jamo: bool = False) -> DataFrame:
 
     A line is ``filename|text[|jamo]``, fields apart by ``|``. A quote is an ordinary character, unless a field both
     begins and ends with one, as ``write_metadata`` writes fields that hold ``|``, a quote, a backslash or a line break
-    (``\\n`` and ``\\r`` stand for line breaks, ``\\q`` for a quote, a doubled backslash for one). A line that does not fit is kept whole
-    in ``_bad``, with a null file name; empty lines and header lines are left out."""
+    (``\\n`` and ``\\r`` stand for line breaks, ``\\q`` for a quote, ``\\0`` and ``\\1`` for the first two control characters, a doubled
+    backslash for one). A line that does not fit is kept whole in ``_bad``, with a null file name; empty lines and header lines are left
+    out (``write_metadata`` quotes a row that reads like the header, so its rows all come back)."""
     names = ["filename", "text"] + (["jamo"] if with_jamo else [])
     header = "|".join(names)
     line = F.regexp_replace("value", "\r$", "")
@@ -66,12 +70,15 @@ def parse_metadata(lines: DataFrame, with_jamo: bool = False) -> DataFrame:
     def field(i: int) -> Column:
         raw = F.get("_f", i)
         inner = F.expr(f"substring(_f[{i}], 2, length(_f[{i}]) - 2)")
-        # undo the escapes in one pass each, a doubled backslash first made a mark no text holds
-        mark = F.lit("\ue000")
-        text = F.replace(inner, F.lit("\\\\"), mark)
-        for code, char in LINE_ESCAPES.items():
-            text = F.replace(text, F.lit(code), F.lit(char))
-        return F.when((F.length(raw) >= 2) & raw.startswith('"') & raw.endswith('"'), F.replace(text, mark, F.lit("\\"))).otherwise(F.nullif(raw, F.lit("")))
+
+        # doubled backslashes are cut out first: a backslash that is left begins an escape
+        def undone(part: Column) -> Column:
+            for code, char in LINE_ESCAPES.items():
+                part = F.replace(part, F.lit(code), F.lit(char))
+            return part
+
+        text = F.array_join(F.transform(F.split(inner, r"\\\\", -1), undone), "\\")
+        return F.when((F.length(raw) >= 2) & raw.startswith('"') & raw.endswith('"'), text).otherwise(F.nullif(raw, F.lit("")))
 
     rows = lines.where((F.length("value") > 0) & (line != header)).withColumn("_f", fields)
     good = [F.when(fits, field(i)).alias(n) for i, n in enumerate(names)]
@@ -149,15 +156,20 @@ def read_speech_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SPEECH_SCHEMA).parquet(path)
 
 
+#: Options of the CSV writer under which a one-column table is written as plain lines behind a header line.
+LINES = {"header": True, "quote": "", "sep": "\u0001", "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def metadata_line(cols: Sequence[str]) -> Column:
-    """One metadata line: fields that hold ``|``, a quote, a backslash or a line break are quoted and escaped; an empty field is quoted, null is not."""
+    """One metadata line: fields that hold ``|``, a quote, a backslash, a line break or one of the writer's marks are quoted and escaped; an empty
+    field is quoted, null is not; so is a first field that equals its column's name, which the header has."""
 
     def field(name: str) -> Column:
         c = F.col(name).cast("string")
         escaped = F.replace(c, F.lit("\\"), F.lit("\\\\"))
         for code, char in LINE_ESCAPES.items():
             escaped = F.replace(escaped, F.lit(char), F.lit(code))
-        quoted = F.when((c == "") | c.rlike('[|"\\\\\n\r]'), F.concat(F.lit('"'), escaped, F.lit('"'))).otherwise(c)
+        quoted = F.when((c == "") | (c == name) | c.rlike('[|"\\\\\n\r\x00\x01]'), F.concat(F.lit('"'), escaped, F.lit('"'))).otherwise(c)
         return F.coalesce(quoted, F.lit(""))
 
     return F.concat_ws("|", *(field(c) for c in cols))
@@ -166,7 +178,7 @@ def metadata_line(cols: Sequence[str]) -> Column:
 def write_metadata(df: DataFrame, path: str, with_jamo: bool = False, mode: str = "overwrite") -> None:
     """``filename|text[|jamo]``, one line per row, each file with a header line; an empty text is told from null."""
     cols = ["filename", "text"] + (["jamo"] if with_jamo else [])
-    df.select(metadata_line(cols).alias("|".join(cols))).write.mode(mode).option("header", True).option("quote", "").option("sep", "\u0001").option("emptyValue", "").csv(path)
+    df.select(metadata_line(cols).alias("|".join(cols))).write.mode(mode).options(**LINES).csv(path)
 
 
 def write_corpus(df: DataFrame, path: str, col: str = "jamo", mode: str = "overwrite") -> None:
@@ -189,23 +201,71 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def processed_or_build(spark: SparkSession, path: str, build) -> DataFrame:
-    """S6 reuse: load the processed table if a finished one exists, otherwise build, save and load it.
+def fingerprint(*inputs: DataFrame, **params) -> str:
+    """A digest of the inputs' rows (in any order) and of the parameters: columns, number of rows and two sums of row hashes, which a
+    changed, added or lost row alters. One scan of each input, nothing collected but the sums."""
+    parts = [repr(sorted(params.items()))]
+    for df in inputs:
+        row = F.xxhash64(*(F.col(f"`{c}`") for c in df.columns))
+        wide = lambda c: F.sum(c.cast("decimal(20,0)"))
+        sums = df.select(row.alias("h"), F.xxhash64(row, F.lit(1)).alias("g")).agg(F.count(F.lit(1)), wide(F.col("h")), wide(F.col("g"))).first()
+        parts.append(f"{df.schema.simpleString()} {tuple(map(str, sums))}")
+    return hashlib.sha256("\n".join(parts).encode()).hexdigest()
+
 
-    A folder without the ``_SUCCESS`` file is what a failed write left; it is overwritten."""
-    if not path_exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
+def _file(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def read_manifest(spark: SparkSession, path: str) -> str | None:
+    """The fingerprint of a finished table, None where there is none."""
+    fs, name = _file(spark, f"{path.rstrip('/')}/{MANIFEST}")
+    if not fs.exists(name):
+        return None
+    stream = fs.open(name)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_manifest(spark: SparkSession, path: str, value: str) -> None:
+    """Committed last, under its final name only when whole."""
+    fs, part = _file(spark, f"{path.rstrip('/')}/{MANIFEST}.part")
+    out = fs.create(part, True)
+    try:
+        out.write(bytearray(value.encode()))
+    finally:
+        out.close()
+    if not fs.rename(part, _file(spark, f"{path.rstrip('/')}/{MANIFEST}")[1]):
+        raise OSError(f"the manifest of {path} could not be committed")
+
+
+def processed_or_build(spark: SparkSession, path: str, build, of: str | None = None) -> DataFrame:
+    """S6 reuse: load the processed table if a finished one made from the same inputs exists, otherwise build, save and load it.
+
+    ``of`` is the inputs' ``fingerprint``; a manifest with it is written when the table is whole, and taken away before the table is
+    written again, so that a changed input builds anew and a half-written table is never read. Without ``of`` any finished
+    table is taken."""
+    found = read_manifest(spark, path)
+    if found is None or (of is not None and found != of):
+        fs, manifest = _file(spark, f"{path.rstrip('/')}/{MANIFEST}")
+        if found is not None:
+            fs.delete(manifest, False)
         save_processed(build(), path)
+        write_manifest(spark, path, of or "")
     return load_processed(spark, path)
 
 
 def read_vocab(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """``id, piece, score``. The TSV form carries no id column; ids are the line
-    order, recovered from the file's own row numbering (one small file)."""
+    """``id, piece, score``. The TSV form carries no id column: its one file is small (a vocabulary) and in id order, so
+    a line's place in it is the id."""
     if fmt == "parquet":
         return spark.read.schema(VOCAB_SCHEMA).parquet(path)
-    raw = spark.read.option("sep", "\t").option("quote", "").schema("piece string, score double").csv(path)
-    indexed = raw.rdd.zipWithIndex().map(lambda r: (int(r[1]), r[0][0], r[0][1]))
-    return spark.createDataFrame(indexed, VOCAB_SCHEMA)
+    whole = spark.read.text(path, wholetext=True).where(F.length("value") > 0)
+    lines = whole.select(F.posexplode(F.split("value", "\n")).alias("id", "line")).where(F.length("line") > 0)
+    return lines.select("id", F.split_part("line", F.lit("\t"), F.lit(1)).alias("piece"), F.split_part("line", F.lit("\t"), F.lit(2)).cast("double").alias("score"))
 
 
 def write_vocab(vocab: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
@@ -214,8 +274,8 @@ def write_vocab(vocab: DataFrame, path: str, fmt: str = "parquet", mode: str = "
     if fmt == "parquet":
         vocab.select("id", "piece", "score").write.mode(mode).parquet(path)
         return
-    out = vocab.orderBy("id").select("piece", F.round("score", 6).cast("string").alias("score")).coalesce(1)
-    out.write.mode(mode).option("sep", "\t").option("quote", "").csv(path)
+    out = vocab.orderBy("id").select(F.concat_ws("\t", "piece", F.round("score", 6).cast("string")).alias("value")).coalesce(1)
+    out.write.mode(mode).text(path)
 
 
 def needs_resample(audio: Column | str = "audio", target: int = 22050) -> Column:

@@ -84,3 +84,29 @@ def test_files_without_a_number(spark):
     df = spark.createDataFrame([("s", 0, n) for n in names], "source string, source_ord int, filename string")
     got = {r["filename"]: r["pos"] for r in trainset_positions(df).collect()}
     assert got == {"99999999999999999999999.wav": 0, "intro.wav": 1, "outro.wav": 2, "b_2.wav": 3, "a_10.wav": 4}
+
+
+def test_feature_table_rows_are_blocks_of_frames(spark):
+    """A long clip comes in blocks, in order; short, empty and text-less clips have a defined row."""
+    import math
+
+    from pyspark.sql import functions as F
+
+    from sorigil.operators import spectral
+    from sorigil.plans.features import feature_table
+
+    rows = [(1, [math.sin(i * 0.3) for i in range(4000)], 16), (2, [0.5] * 20, 16), (3, None, 16), (4, [0.1] * 30, 32), (5, [], 16)]
+    clips = spark.createDataFrame(rows, "clip_id long, x array<double>, r int").select("clip_id", F.struct(F.col("x").alias("array"), F.col("r").alias("sampling_rate")).alias("audio"))
+    texts = spark.createDataFrame([(1, "ㄱㅏ ㄱ"), (2, None), (4, ""), (9, "ㄱ")], "clip_id long, jamo string")
+    vocab = spark.createDataFrame([(4, "▁", -1.0), (5, "ㄱ", -2.0), (6, "ㅏ", -2.0), (7, "▁ㄱㅏ", -1.5)], "id int, piece string, score double")
+    got = {(r["clip_id"], r["block"]): r for r in feature_table(clips, texts, vocab, 16, 4, 4, block_frames=100).collect()}
+    frames = {}
+    for r in sorted(spectral.log_features(clips, 16, 4, 4).collect(), key=lambda r: r["frame_idx"]):
+        frames.setdefault(r["clip_id"], []).append(r["features"])
+    assert sorted(got) == [*((1, b) for b in range(11)), (2, 0), (3, 0), (4, 0), (5, 0)]
+    for i, want in frames.items():
+        mine = [got[i, b] for b in range(got[i, 0]["n_blocks"])]
+        assert [f for r in mine for f in r["features"]] == want and all(len(r["features"]) <= 100 and r["n_frames"] == len(want) for r in mine)
+    assert got[1, 0]["input_ids"] == [7, 4, 5] and got[1, 0]["attention_mask"] == [1, 1, 1] and got[1, 1]["input_ids"] is None
+    assert got[2, 0]["input_ids"] == got[4, 0]["input_ids"] == [] and got[3, 0]["input_ids"] is None
+    assert got[3, 0]["features"] is None and got[3, 0]["n_frames"] == 0

@@ -147,10 +147,34 @@ def test_listing_takes_any_file_type_and_spelling_of_the_path(spark, tmp):
     assert M.list_audio(spark, tmp, "*.wav").count() == 1
 
 
-def test_an_unfinished_table_is_built_again(spark, tmp):
+def test_a_table_is_built_again_when_unfinished_or_when_its_input_changed(spark, tmp):
     path = os.path.join(tmp, "processed")
     os.makedirs(path)
     open(os.path.join(path, "part-0.parquet.tmp"), "wb").write(b"half")
     made = spark.createDataFrame([([1], [[1]], 0)], M.PROCESSED_SCHEMA)
-    assert M.processed_or_build(spark, path, lambda: made).count() == 1
+    two = made.union(made)
+    first, second = M.fingerprint(made, limit=3), M.fingerprint(two, limit=3)
+    assert first == M.fingerprint(made.repartition(3), limit=3) and len({first, second, M.fingerprint(made, limit=4), M.fingerprint(made.limit(0), limit=3)}) == 4
+    assert M.processed_or_build(spark, path, lambda: made, first).count() == 1
+    assert M.processed_or_build(spark, path, lambda: 1 / 0, first).count() == 1
     assert M.processed_or_build(spark, path, lambda: 1 / 0).count() == 1
+    assert M.processed_or_build(spark, path, lambda: two, second).count() == 2
+    with pytest.raises(ZeroDivisionError):  # a build that fails leaves no table that would be read
+        M.processed_or_build(spark, path, lambda: 1 / 0, first)
+    assert M.read_manifest(spark, path) is None
+    assert M.processed_or_build(spark, path, lambda: made, first).count() == 1
+
+
+def test_every_string_comes_back_from_metadata_files(spark, tmp):
+    import random
+
+    rng = random.Random(9)
+    parts = [" ", "\t", "|", '"', "\\", "\n", "\r", "\0", "\u0001", "\ue000", "\u2028", "n", "q", "0", "1", "가", "😀", "filename", "text", ""]
+    rows = [(f"{i:04d}" + "".join(rng.choices(parts, k=rng.randint(0, 3))), "".join(rng.choices(parts, k=rng.randint(0, 6)))) for i in range(600)]
+    rows += [("filename", "text"), ("x ", " y\t"), (None, None), ("filename", None), (None, "text"), ('"', '""'), ("a\u0001b", "\0c\u0001")]
+    path = os.path.join(tmp, "odd")
+    M.write_metadata(spark.createDataFrame(rows, "filename string, text string"), path)
+    back = M.read_metadata(spark, path)
+    assert sorted(((r["filename"], r["text"]) for r in back.where("_bad is null").collect()), key=str) == sorted(rows, key=str)
+    assert M.rejected(back).count() == 0
+
