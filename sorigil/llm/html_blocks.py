@@ -5,7 +5,7 @@ from __future__ import annotations
 import html as entities
 import re
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+|[^>]*)>|<[!?][^>]*>", re.S)
+TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+|[^>]*)>|<[!?][^>]*>", re.S)
 ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 WORD = re.compile(r"[a-z0-9]+")
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
@@ -62,6 +62,8 @@ def blocks(page: str | None) -> list[tuple[int, str]]:
     parts: list[str] = []
     at, n = 0, len(page)
     articles = mains = 0
+    last = page.rfind(">")  # behind it there is no tag, so none is looked for
+    endless: set[str] = set()  # names without an end tag from some place on
     skip, depth = "", 0  # the chrome element that is open and how often its name is open within it; 0: it has no end
 
     def kind() -> int:
@@ -75,10 +77,16 @@ def blocks(page: str | None) -> list[tuple[int, str]]:
             if text:
                 out.append((kind(), text))
 
+    def has_end(name: str, at: int) -> bool:
+        if name not in endless and end_of(page, name, at) < 0:
+            endless.add(name)
+        return name not in endless
+
     while at < n:
-        tag = TAG.search(page, at)
+        tag = TAG.search(page, at) if at <= last else None
         if tag is None:
-            parts.append(page[at:])
+            open_comment = page.find("<!--", at)
+            parts.append(page[at:] if open_comment < 0 else page[at:open_comment])
             break
         if tag.start() > at:
             parts.append(page[at : tag.start()])
@@ -123,7 +131,7 @@ def blocks(page: str | None) -> list[tuple[int, str]]:
         elif is_chrome(name, tag[3], articles + mains > 0):
             if not tag[3].endswith("/"):
                 close()
-                skip, depth = name, int(end_of(page, name, at) >= 0)
+                skip, depth = name, int(has_end(name, at))
         elif name in (ARTICLE, MAIN):
             skip = ""
             articles += name == ARTICLE

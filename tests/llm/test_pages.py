@@ -157,3 +157,16 @@ def test_language_fusion(spark):
     assert all(0 < r.probability <= 1 for r in got)
     assert language_fusion.identify(df.limit(0), docs).collect() == []
     assert {r.lang for r in language_fusion.identify(df, docs.limit(0)).collect()} == {None}
+
+
+def test_hostile_pages_take_time_in_proportion_to_their_length():
+    import time
+
+    from sorigil.llm.html_blocks import blocks
+
+    began = time.perf_counter()
+    for page in ("<a" * 500_000, "<" + "a" * 1_000_000, "<a " * 300_000, "<nav><main>" * 60_000, "<p>x" * 200_000, "<!--" * 200_000, "<a href='" * 100_000, "< " * 400_000, "&" * 500_000):
+        blocks(page)
+    assert time.perf_counter() - began < 9
+    assert blocks("<p>one</p> tail <!-- open comment") == [(2, "one"), (2, "tail")]
+    assert [t for _, t in blocks("<p>a</p><a")] == ["a", "<a"]

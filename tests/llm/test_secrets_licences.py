@@ -149,3 +149,17 @@ def test_every_known_sentence_has_a_known_word():
     more = ["creative commons zero", "dedicated to the\npublic domain", "available creative\n * commons by 4.0", "without even the implied warranty"]
     assert [name for name, _ in license_rules.SENTENCES if not re.search(license_rules.KNOWN_WORDS, samples[name])] == []
     assert all(re.search(license_rules.KNOWN_WORDS, s) for s in more)
+
+
+def test_long_lines_of_licence_words_take_time_in_proportion(spark):
+    import time
+
+    from sorigil.llm import license_rules
+
+    texts = ["licensed " * 110_000, "free software " * 70_000, "released under the gpl " * 45_000, "License " + "." * 1_000_000 + " x", "licensed " * 50_000 + "under the GPL v3", "free software gnu general public license " * 20_000 + "version 2", "SPDX-License-Identifier: MIT\n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    license_rules.scan(df.limit(1)).collect()
+    began = time.perf_counter()
+    got = {r["doc_id"]: r["licences"] for r in license_rules.scan(df).collect()}
+    assert time.perf_counter() - began < 60
+    assert got == {0: "", 1: "", 2: "", 3: "", 4: "GPL-3", 5: "GPL-2-or-later", 6: "SPDX-mit"}
