@@ -3,6 +3,8 @@ metrics per epoch and per optimizer step (A11, W6)."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,14 +42,52 @@ def channel_loss(pairs: DataFrame, pad: int, batch_col: str = "batch_id", channe
     One pass and one partial aggregate: the cross-entropy is null where the target
     is pad, so ``avg`` and ``count`` skip those rows and an all-pad channel keeps its
     row with a null loss and zero tokens."""
-    ce = F.when(F.col("target") != pad, cross_entropy())
-    per_ch = pairs.groupBy(batch_col, channel).agg(F.avg(ce).alias("loss"), F.count(ce).alias("n_tokens"))
+    return _per_channel(pairs.withColumn("ce", F.when(F.col("target") != pad, cross_entropy())), batch_col, channel)
+
+
+def _per_channel(losses: DataFrame, batch_col: str, channel: str) -> tuple[DataFrame, DataFrame]:
+    per_ch = losses.groupBy(batch_col, channel).agg(F.avg("ce").alias("loss"), F.count("ce").alias("n_tokens"))
     per_batch = per_ch.groupBy(batch_col).agg(
         F.avg("loss").alias("loss"), F.count("loss").alias("n_channels"), F.sum("n_tokens").alias("n_tokens")
     )
     return per_ch, per_batch
 
 
+def score_blocks(pairs: DataFrame, size: int) -> DataFrame:
+    """Score vectors cut over the vocabulary: ``first`` (the block's first class) and ``scores`` of at most ``size`` classes, one row per block."""
+    n = F.size("logits")
+    cuts = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / size).cast("int")), lambda b: F.struct((b * size).alias("first"), F.slice("logits", b * size + 1, F.lit(size)).alias("scores")))
+    rows = pairs.where(n > 0).select(*(c for c in pairs.columns if c != "logits"), F.explode(cuts).alias("_b"))
+    return rows.select(*(c for c in pairs.columns if c != "logits"), "_b.first", "_b.scores")
+
+
+def step_losses(blocks: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``keys, target, ce``: the cross-entropy of every step from its blocks, wherever they are.
+
+    A block leaves its maximum, its sum of exponentials scaled by that maximum, and the target's score if the block has it; two of
+    these merge into one (the smaller maximum's sum is scaled down), so no task needs a whole score vector. What is gathered per step is one
+    pair of numbers a block. A target that no block has gives a null loss."""
+    at = F.col("target") - F.col("first")
+    scaled = let(lambda s: F.aggregate(s["v"], F.lit(0.0), lambda a, x: a + F.exp(x - s["m"])), v=F.col("scores"), m=F.array_max("scores"))
+    part = F.struct(F.array_max("scores").alias("m"), scaled.alias("s")).alias("part")
+    own = F.when((at >= 0) & (at < F.size("scores")), F.get("scores", at.cast("int"))).alias("own")
+    parts = blocks.where(F.size("scores") > 0).select(*keys, "target", part, own)
+    met = parts.groupBy(*keys).agg(F.max("target").alias("target"), F.collect_list("part").alias("parts"), F.max("own").alias("own"))
+
+    def merge(a, b):
+        m = F.greatest(a["m"], b["m"])
+        return F.struct(m.alias("m"), (a["s"] * F.exp(a["m"] - m) + b["s"] * F.exp(b["m"] - m)).alias("s"))
+
+    whole = F.aggregate(F.slice("parts", 2, F.size("parts")), F.get("parts", F.lit(0)), merge, lambda a: a["m"] + F.log(a["s"]))
+    return met.select(*keys, "target", (whole - F.col("own")).alias("ce"))
+
+
+def channel_loss_of_blocks(blocks: DataFrame, pad: int, step: Sequence[str] = ("seq_id", "t"), batch_col: str = "batch_id", channel: str = "channel") -> tuple[DataFrame, DataFrame]:
+    """A10 on score vectors split over vocabulary blocks: the tables of ``channel_loss``."""
+    losses = step_losses(blocks, [batch_col, channel, *step])
+    return _per_channel(losses.withColumn("ce", F.when(F.col("target") != pad, F.col("ce"))), batch_col, channel)
+
+
 def step_index(run_log: DataFrame, epoch: str = "epoch", ts_us: str = "ts_us", tiebreak: str = "event_id") -> DataFrame:
     """0-based micro-step inside each epoch by (time, tiebreak), range-partitioned: a burst of
     events within one second is spread like any other rows."""
@@ -88,7 +128,7 @@ def step_counters(stepped: DataFrame, accum: int = ACCUMULATION, log_every: int
     )
     logged = stepped.where((F.col("step") + 1) % log_every == 0)
     in_epoch = F.floor((F.col("step") + 1) / accum)
-    return logged.join(F.broadcast(before), epoch).select(
+    return logged.join(before, epoch).select(
         epoch,
         "step",
         "loss",

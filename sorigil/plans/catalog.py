@@ -195,6 +195,17 @@ def channel_loss_q(spark, sf_dir):
     return per_batch.select("batch_id", F.round("loss", 6).alias("loss"), "n_channels", "n_tokens")
 
 
+LOSS_BLOCK = 5
+
+
+@register("channel_loss_blocks")
+def channel_loss_blocks_q(spark, sf_dir):
+    """A10 with every score vector split over blocks of the vocabulary."""
+    pairs = metrics.next_token_pairs(fx.embeddings_as_logits(spark, sf_dir)).withColumn("batch_id", (F.col("seq_id") / LOSS_BATCH).cast("bigint"))
+    _, per_batch = metrics.channel_loss_of_blocks(metrics.score_blocks(pairs, LOSS_BLOCK), fx.LOGIT_PAD)
+    return per_batch.select("batch_id", F.round("loss", 6).alias("loss"), "n_channels", "n_tokens")
+
+
 @register("paired_rows")
 def paired_rows_q(spark, sf_dir):
     """Each encoding batch doubled with adjacent copies (conditional and unconditional

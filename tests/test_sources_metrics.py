@@ -89,6 +89,23 @@ def test_channel_loss_all_pad_channel(spark):
     assert math.isclose(b["loss"], lse - 1.0) and b["n_channels"] == 1
 
 
+def test_losses_of_split_score_vectors_equal_the_whole_ones(spark):
+    import random
+
+    rng = random.Random(2)
+    rows = [(0, s, t, c, [rng.choice([-700.0, 0.0, 3.5, 800.0]) + rng.random() for _ in range(11)], rng.randrange(11)) for s in range(4) for t in range(5) for c in range(2)]
+    pairs = spark.createDataFrame(rows, "batch_id long, seq_id long, t int, channel int, logits array<double>, target int")
+    want = [metrics.channel_loss(pairs, 3)[k].collect() for k in (0, 1)]
+    for size in (1, 4, 11, 50):
+        blocks = metrics.score_blocks(pairs, size).repartition(7)  # blocks of a step in different tasks
+        got = [d.collect() for d in metrics.channel_loss_of_blocks(blocks, 3)]
+        for a, b, key in zip(got, want, ("channel", "batch_id")):
+            a, b = ({r[key]: (r["loss"], r["n_tokens"]) for r in x} for x in (a, b))
+            assert a.keys() == b.keys() and all(a[k][1] == b[k][1] and a[k][0] == pytest.approx(b[k][0], rel=1e-12) for k in a)
+    lost = metrics.step_losses(metrics.score_blocks(pairs, 4).where("first <> 8"), ["seq_id", "t", "channel"])
+    assert all((r["ce"] is None) == (r["target"] >= 8) for r in lost.collect())
+
+
 def test_step_counters(spark):
     rows = [(i, i * 1_000_000, 0 if i < 23 else 1, float(i)) for i in range(30)]
     log = spark.createDataFrame(rows, "event_id long, ts_us long, epoch int, loss double")
