@@ -465,3 +465,26 @@ def feature_table_q(spark, sf_dir):
         "clip_id", "block", "n_blocks", "n_frames", F.size("features").alias("frames"), F.array_join(cells, ",").alias("features"),
         arrays.join_ints("input_ids").alias("input_ids"), F.size("attention_mask").alias("n_attention"),
     )
+
+
+TURN_VOCAB = 2000
+TURN_COVERAGE = 0.9995
+
+
+def trained_on(texts: DataFrame, key: str, text_col: str = "jamo", vocab_size: int = TURN_VOCAB, coverage: float = TURN_COVERAGE) -> tuple[DataFrame, DataFrame]:
+    """E2 as one chain: a vocabulary trained on the texts' own words (the characters within ``coverage``), and every text's token counts with it."""
+    words = cut_lineage(vocab.word_counts(texts, text_col, to_jamo=False))
+    trained = cut_lineage(vocab.train_vocab(words, vocab_size, coverage=coverage))
+    return trained, encode.text_token_counts(texts, key, encode.segment_words(words, trained), text_col)
+
+
+@register("trained_token_stats")
+def trained_token_stats_q(spark, sf_dir):
+    """Turns encoded with a vocabulary trained on them (rare characters left out), tokens per turn by role
+    (trained, so no SQL twin; a test holds it against the plain Viterbi)."""
+    c = fx.conversations_tagged(spark, sf_dir).select(F.concat_ws(":", "conv_id", "turn").alias("turn_id"), "role", jamo("text").alias("jamo"))
+    turns = cut_lineage(c)
+    _, counts = trained_on(turns, "turn_id")
+    per_turn = turns.select("turn_id", "role").join(counts, "turn_id", "left").na.fill(0, ["n", "u"])
+    s = encode.token_stats(per_turn, "role", ids_col=None)
+    return s.select("role", "n_texts", F.round("avg_tokens", 6).alias("avg_tokens"), "max_tokens", "median_tokens", F.round("unk_rate", 6).alias("unk_rate"))

@@ -352,3 +352,20 @@ def test_trie_refuses_what_it_cannot_hold_and_an_empty_one_works():
     empty = trie.build([])
     assert [x.tolist() for x in empty.lattice(["ab"], 16)] == [[0, 0], [0, 1], [1, 2], [-1, -1]]
     assert lattice.best_paths(*(np.zeros(0, np.int64) for _ in range(3)), np.zeros(0), np.array([0, 2]))[0].tolist() == [0.0, -np.inf]
+
+
+def test_turns_are_counted_with_the_vocabulary_trained_on_them(spark):
+    from sorigil.plans.catalog import trained_on
+
+    rng = random.Random(8)
+    rows = [(str(i), " ".join("".join(rng.choices("ㄱㄴㄷㅏㅓ", k=rng.randint(1, 5))) for _ in range(rng.randint(0, 12))) + (" ㅋ" if i == 7 else "")) for i in range(120)]
+    texts = spark.createDataFrame([*rows, ("null", None)], "k string, jamo string")
+    trained, counts = trained_on(texts, "k", "jamo", 40, coverage=0.9985)
+    pieces = {r["piece"]: (r["id"], r["score"]) for r in trained.collect() if r["id"] >= 4}
+    assert "ㅋ" not in pieces and len(pieces) == 36
+    unk = min(s for _, s in pieces.values()) - vocab.UNKNOWN_PENALTY
+    got = {r["k"]: (r["n"], r["u"]) for r in counts.collect()}
+    for k, text in rows:
+        ids = [i for w in text.split() for i in vocab_reference.viterbi("▁" + w, pieces, 16, unk)[1]]
+        assert got.get(k, (0, 0)) == (len(ids), ids.count(vocab.UNK_ID))
+    assert got["7"][1] == 1

@@ -40,7 +40,10 @@ def test_entry_smoke(spark):
 
 
 #: Queries that SQL cannot express, and the tests that hold them against plain Python.
-WITHOUT_SQL = {"train_vocab": ("test_encode_vocab", ["test_train_vocab_invariants", "test_native_em_and_prune_match_broadcast_forms", "test_spark_m_step_and_prune_match_python"])}
+WITHOUT_SQL = {
+    "train_vocab": ("test_encode_vocab", ["test_train_vocab_invariants", "test_native_em_and_prune_match_broadcast_forms", "test_spark_m_step_and_prune_match_python"]),
+    "trained_token_stats": ("test_encode_vocab", ["test_turns_are_counted_with_the_vocabulary_trained_on_them"]),
+}
 
 
 def test_every_query_has_a_twin_or_a_plain_test():
