@@ -262,20 +262,19 @@ def em_step(lattices: DataFrame, scores: np.ndarray) -> DataFrame:
 COUNT_FLOOR = 1e-3
 
 
-def m_step_df(counts: DataFrame, min_count: float = COUNT_FLOOR, pieces: DataFrame | None = None, key: str = "piece") -> DataFrame:
-    """A7 (M step) on Spark: the pieces' columns with score = log(n / total) and ``n``.
+def m_step_df(counts: DataFrame, min_count: float = COUNT_FLOOR, pieces: DataFrame | None = None) -> DataFrame:
+    """A7 (M step) on Spark, for score tables beyond the limit: ``piece, score, n`` with score = log(n / total).
 
     Without ``pieces``, over the pieces with an expected count of at least ``min_count`` and all single
     characters. With ``pieces`` every piece stays, counts below ``min_count`` raised to it: only pruning
-    makes the vocabulary smaller, so its size never falls short. The total is a scalar subquery; the
-    count table (by ``key``, a piece or its number) is bounded by the current vocabulary."""
+    makes the vocabulary smaller, so its size never falls short. The total is a scalar subquery."""
     if pieces is None:
         kept = counts.where(F.col("piece").isNotNull() & ((F.col("n") >= min_count) | (F.length("piece") == 1)))
     else:
-        kept = pieces.drop("score").join(counts.where(F.col(key).isNotNull()), key, "left")
-        kept = kept.withColumn("n", F.greatest(F.coalesce("n", F.lit(0.0)), F.lit(min_count)))
+        kept = pieces.select("piece").join(counts.where(F.col("piece").isNotNull()), "piece", "left")
+        kept = kept.select("piece", F.greatest(F.coalesce("n", F.lit(0.0)), F.lit(min_count)).alias("n"))
     total = kept.agg(F.sum("n")).scalar()
-    return kept.select(*(c for c in kept.columns if c != "n"), F.log(F.greatest(F.col("n"), F.lit(1e-12)) / total).alias("score"), "n")
+    return kept.select("piece", F.log(F.greatest(F.col("n"), F.lit(1e-12)) / total).alias("score"), "n")
 
 
 def split_scores(words: list[str], pieces: Trie, scores: np.ndarray, max_len: int = MAX_PIECE_LEN) -> np.ndarray:
@@ -287,41 +286,51 @@ def split_scores(words: list[str], pieces: Trie, scores: np.ndarray, max_len: in
     return best_paths(W[other], B[other], E[other], S[other], lengths)[0]
 
 
-def _prune_loss_fn(shared: Shared, scores_bc, max_len: int):
+def expected_counts(lattices: DataFrame, scores: np.ndarray) -> tuple[float, np.ndarray]:
+    """One E step: the log-likelihood and the expected counts by piece number (8 bytes a seed)."""
+    rows = em_step(lattices, scores).toArrow()
+    p, n = rows.column("p").to_pylist(), rows.column("n").to_numpy()
+    known = np.array([i is not None for i in p], bool)
+    counts = np.zeros(len(scores))
+    counts[[i for i in p if i is not None]] = n[known]
+    return float(n[~known].sum()), counts
+
+
+def m_step(scores: np.ndarray, counts: np.ndarray, min_count: float = COUNT_FLOOR) -> tuple[np.ndarray, np.ndarray]:
+    """A7 (M step): log(n / total) of the pieces that have a score, counts below ``min_count`` raised to it; and these counts."""
+    n = np.where(np.isnan(scores), np.nan, np.maximum(counts, min_count))
+    return np.log(np.maximum(n, 1e-12) / np.nansum(n)), n
+
+
+def _prune_loss_fn(shared: Shared, model_bc, max_len: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, _, _ = opened(shared)
+        pieces, _, names = opened(shared)
+        scores, n = model_bc.value
         for batch in batches:
-            score, n = (batch.column(c).to_numpy() for c in ("score", "n"))
-            alt = split_scores(batch.column("piece").to_pylist(), pieces, scores_bc.value, max_len)
+            p = batch.column(0).to_numpy()
+            words = names.take(pa.array(p)).to_pylist()
+            multi = ~np.isnan(scores[p]) & np.fromiter((len(w) > 1 for w in words), bool, len(words))
+            p = p[multi]
+            alt = split_scores([w for w, m in zip(words, multi) if m], pieces, scores, max_len)
             with np.errstate(invalid="ignore"):
-                loss = np.where(np.isneginf(alt), np.inf, n * (score - alt))
-            yield pa.RecordBatch.from_arrays([batch.column("p"), batch.column("piece"), batch.column("score"), pa.array(loss)], names=["p", "piece", "score", "loss"])
+                loss = np.where(np.isneginf(alt), np.inf, n[p] * (scores[p] - alt))
+            yield pa.RecordBatch.from_arrays([pa.array(p), pa.array(loss)], names=["p", "loss"])
 
     return run
 
 
-def prune_df(scored: DataFrame, shared: Shared, scores: np.ndarray, target: int, shrink: float = 0.75, max_len: int = MAX_PIECE_LEN) -> DataFrame:
-    """A8 on Spark: ``p, piece, score`` after dropping the pieces whose removal costs least
-    likelihood; single characters are always kept.
+def prune(spark, shared: Shared, scores: np.ndarray, n: np.ndarray, singles: np.ndarray, target: int, shrink: float = 0.75, max_len: int = MAX_PIECE_LEN) -> np.ndarray:
+    """The scores, nan where a piece was dropped: those go whose removal costs least likelihood, single characters never.
 
-    The loss of each piece (expected count x (score - best split into other pieces)) is computed in Arrow batches over
-    the piece table, from the shared trie and the scores by piece number; the pieces to keep are a top-k by loss (ties by piece)."""
-    spark = scored.sparkSession
-    total, n_singles = scored.agg(F.count(F.lit(1)), F.count_if(F.length("piece") == 1)).first()
-    room = max(max(target, int(total * shrink)) - n_singles, 0)
-    bc = spark.sparkContext.broadcast(scores)
-    multi = scored.where(F.length("piece") > 1).select("p", "piece", "score", "n").repartition(task_count(spark))
-    losses = multi.mapInArrow(_prune_loss_fn(shared, bc, max_len), "p int, piece string, score double, loss double")
-    kept = losses.orderBy(F.col("loss").desc(), F.col("piece")).limit(room).select("p", "piece", "score")
-    return kept.unionByName(scored.where(F.length("piece") == 1).select("p", "piece", "score"))
-
-
-def score_array(scores: DataFrame, size: int) -> np.ndarray:
-    """Scores by piece number (8 bytes a seed), nan for the numbers that the table no longer has."""
-    rows = scores.select("p", "score").toArrow()
-    out = np.full(size, np.nan)
-    out[rows.column("p").to_numpy()] = rows.column("score").to_numpy()
-    return out
+    The loss of each piece (expected count x (score - best split into other pieces)) is computed by Spark in Arrow batches over the
+    piece numbers, from the shared trie; the pieces to keep are a top-k by loss (ties by number, the pieces' order)."""
+    live = int((~np.isnan(scores)).sum())
+    room = max(max(target, int(live * shrink)) - int((singles & ~np.isnan(scores)).sum()), 0)
+    bc = spark.sparkContext.broadcast((scores, n))
+    losses = spark.range(0, shared.size, 1, task_count(spark)).mapInArrow(_prune_loss_fn(shared, bc, max_len), "p long, loss double")
+    kept = singles.copy()
+    kept[losses.orderBy(F.col("loss").desc(), F.col("p")).limit(room).select("p").toArrow().column("p").to_numpy()] = True
+    return np.where(kept, scores, np.nan)
 
 
 # --------------------------------------------------------------------------
@@ -429,11 +438,9 @@ def train_vocab(
 
     The distinct-word table is hash-partitioned and checkpointed once into the
     shared checkpoint folder. The seeds become a trie in one file that every executor maps (``trie.share``); the words' lattices
-    over it are found once and stored as arrays of piece numbers. Every round sends the scores as one array (8 bytes a
-    seed), runs the E step over the lattices in Arrow batches, sums the tasks' blocks of (number, expected count), normalises
-    them (M step) and computes pruning losses over the pieces, all as Spark jobs; each round's
-    expected-count table is checkpointed so lineage does not grow with the
-    rounds and the E step runs once per round.
+    over it are found once, stored as arrays of piece numbers and read in every round. A round sends the scores as one array (8 bytes a
+    seed), runs the E step over the lattices in Arrow batches and sums the tasks' blocks of (number, expected count), which come
+    back as one array to be normalised (M step); pruning losses are a job over the pieces.
     With more than ``broadcast_limit`` seeds (checked by a bounded count) the
     scores stay a table and every round runs the native forms instead.
     The log-likelihood of each E step is appended to ``history``."""
@@ -445,20 +452,20 @@ def train_vocab(
     if seeds.limit(broadcast_limit + 1).count() > broadcast_limit:
         return _train_native(words_df, pieces, vocab_size, wanted, em_rounds, shrink, max_len, seen)
     spark = wc.sparkSession
-    names = pieces.select("piece").orderBy("piece").toArrow().column("piece").to_pylist()
+    rows = pieces.orderBy("piece").toArrow()
+    names, scores = rows.column("piece").to_pylist(), rows.column("score").to_numpy()
     shared = share(spark, names)
-    numbered = spark.createDataFrame(pa.table({"p": pa.array(range(len(names)), pa.int32()), "piece": pa.array(names, pa.string())}))
-    pieces = cut_lineage(numbered.join(pieces, "piece").select("p", "piece", "score"))
+    singles = np.fromiter((len(p) == 1 for p in names), bool, len(names))
     lattices = cut_lineage(word_lattices(words_df, shared, max_len))
     while True:
         for _ in range(em_rounds):
-            counts = cut_lineage(em_step(lattices, score_array(pieces, shared.size)))
-            seen.append(float(counts.where(F.col("p").isNull()).first()["n"]))
-            scored = cut_lineage(m_step_df(counts, pieces=pieces, key="p"))
-            pieces = scored.select("p", "piece", "score")
-        if scored.count() <= wanted:
-            return rank_vocab(pieces, vocab_size)
-        pieces = cut_lineage(prune_df(scored, shared, score_array(pieces, shared.size), wanted, shrink, max_len))
+            likelihood, counts = expected_counts(lattices, scores)
+            seen.append(likelihood)
+            scores, n = m_step(scores, counts)
+        live = np.flatnonzero(~np.isnan(scores))
+        if len(live) <= wanted:
+            return rank_vocab(spark.createDataFrame(pa.table({"piece": pa.array([names[i] for i in live], pa.string()), "score": scores[live]})), vocab_size)
+        scores = prune(spark, shared, scores, n, singles, wanted, shrink, max_len)
 
 
 def _train_native(words_df: DataFrame, pieces: DataFrame, vocab_size: int, wanted: int, em_rounds: int, shrink: float, max_len: int, seen: list[float]) -> DataFrame:

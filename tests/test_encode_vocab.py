@@ -129,12 +129,13 @@ def test_encode_decode_round_trip(spark):
 
 
 def pruned(spark, scored, scores, target, shrink):
-    """The pieces that ``prune_df`` keeps of a score table without numbers."""
+    """The pieces that ``prune`` keeps of a score table."""
     names = sorted(scores)
-    arr = np.array([scores[p] for p in names])
-    numbers = spark.createDataFrame([(i, p) for i, p in enumerate(names)], "p int, piece string")
-    kept = vocab.prune_df(scored.join(numbers, "piece"), trie.share(spark, names), arr, target, shrink)
-    return {r["piece"] for r in kept.collect()}
+    n = {r["piece"]: r["n"] for r in scored.collect()}
+    arr, counts = (np.array([x[p] for p in names]) for x in (scores, n))
+    kept = vocab.prune(spark, trie.share(spark, names), arr, counts, np.array([len(p) == 1 for p in names]), target, shrink)
+    assert all(np.isnan(k) or k == a for k, a in zip(kept, arr))
+    return {p for p, k in zip(names, kept) if not np.isnan(k)}
 
 
 def test_spark_m_step_and_prune_match_python(spark):
@@ -145,6 +146,10 @@ def test_spark_m_step_and_prune_match_python(spark):
     cdf = spark.createDataFrame(rows, "piece string, n double")
     chars = {p for p in counts if len(p) == 1}
     py = vocab_reference.m_step(pd.DataFrame(list(counts.items()), columns=["piece", "n"]), chars)
+    arr = np.array([-1.0] * len(counts) + [np.nan])
+    got, n = vocab.m_step(arr, np.array([*counts.values(), 9.0]))
+    total = sum(max(c, vocab.COUNT_FLOOR) for c in counts.values())
+    assert np.isnan(got[-1]) and all(math.isclose(g, math.log(max(c, vocab.COUNT_FLOOR) / total)) for g, c in zip(got, counts.values()))
     scored = vocab.m_step_df(cdf)
     sp = {r["piece"]: r["score"] for r in scored.collect()}
     assert sp.keys() == py.keys()
