@@ -7,13 +7,16 @@ pair of inputs, the inner product of their factors: an insult can weigh more bes
 less in a very long text, which a sum of single weights cannot say.
 
 Fitting uses at most about ``SAMPLE`` labelled documents, chosen by a hash of their id, none of them held out
-(crc32 of the id modulo 3 is 1). Their term counts per class are aggregated by Spark; the ``INPUTS`` buckets that
-differ most between the classes stay, so what reaches the driver is bounded by both numbers. Adaptive
-gradient steps over mini-batches fit the machine there. Every document is then scored in one scan; only the model
-(a few hundred kilobytes) is sent along. Labels, language, source and id are never inputs.
+(crc32 of the id modulo 3 is 1). Every term is an input: the ``OWN`` buckets that differ most between the classes one
+by one have a cell each, all others share ``SHARED`` cells by their hash, so what reaches the driver is bounded by the
+sample and by these widths. Adaptive gradient steps over mini-batches fit the machine there in two stages: first the
+terms that tell alone, then all terms together on what is left to explain. The second stage finds pairs of terms that
+are even between the classes alone; with little left to explain its steps are small, so it does not learn the sample by
+heart. Every document is then scored in one scan; only the model (five megabytes) is sent along. Labels, language,
+source and id are never inputs.
 
 Results: null and empty texts score like any text without known terms. A label that comes several times for an
-id counts once, as toxic if any row says so; null labels are no labels. Without labels of both classes
+id counts once, as toxic if any row says so; null labels are no labels. An id with several texts is learnt from the least. Without labels of both classes
 every score is the share of toxic ones (0 without any). Rows that repeat an id are scored each; a null id is not held out.
 """
 
@@ -35,17 +38,17 @@ from sorigil.llm.words import ALNUM, Words, find_words, mix
 BUCKETS = 1 << 20
 PREFIXES = (5, 7)
 SAMPLE = 20_000
-INPUTS = 2048
-LEAST_DOCS, LEAST_Z = 3, 3.0  # a kept bucket: documents it is in, and standard errors between the classes
-FACTORS, EPOCHS, RATE, DECAY, BATCH = 8, 30, 0.25, 1e-6, 256
+OWN, SHARED = 2048, 1 << 16
+LEAST_DOCS, LEAST_Z = 3, 3.0  # a bucket with a cell of its own: documents it is in, and standard errors between the classes
+FACTORS = 8
 LENGTHS = 24  # length classes: powers of two of the number of words
 THRESHOLD = 0.7  # contract
 HELD_OUT = 1  # contract: crc32 of the id modulo 3
 
 
-def term_counts(column: pa.Array, place: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, bucket, count) of all distinct terms, and the words of each row. With ``place`` (an input number for
-    each bucket, -1 for none) only the terms that are inputs, as their numbers."""
+def term_counts(column: pa.Array, cells: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, bucket, count) of all distinct terms, and the words of each row. With ``cells`` (a cell for each
+    bucket) the terms are counted by their cells."""
     words = find_words(column, ALNUM)
     row = np.repeat(np.arange(len(column)), np.diff(words.at))
     rows, hashes = [row], [words.hashes()]
@@ -55,9 +58,8 @@ def term_counts(column: pa.Array, place: np.ndarray | None = None) -> tuple[np.n
         hashes.append(mix(Words(words.data, starts, starts + k, words.at).hashes() + np.uint64(k)))
         rows.append(row[longer])
     row, bucket = np.concatenate(rows), (np.concatenate(hashes) & np.uint64(BUCKETS - 1)).astype(np.int64)
-    if place is not None:
-        bucket = place[bucket]
-        row, bucket = row[bucket >= 0], bucket[bucket >= 0]
+    if cells is not None:
+        bucket = cells[bucket]
     pair, n = np.unique(row * BUCKETS + bucket, return_counts=True)
     return pair // BUCKETS, pair % BUCKETS, n, np.diff(words.at)
 
@@ -68,62 +70,80 @@ def length_class(n_words: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Machine:
-    """Buckets of the inputs, then bias, weights and factors (inputs first, length classes behind)."""
+    """Buckets with cells of their own, then bias, weights and factors by cell: own cells, length classes, shared cells."""
 
     buckets: np.ndarray
     bias: float
     weights: np.ndarray
     factors: np.ndarray
 
-    def place(self) -> np.ndarray:
-        out = np.full(BUCKETS, -1, np.int64)
+    def cells(self) -> np.ndarray:
+        """The cell of every bucket."""
+        out = len(self.buckets) + LENGTHS + (np.arange(BUCKETS) & (SHARED - 1))
         out[self.buckets] = np.arange(len(self.buckets))
         return out
 
-    def parts(self, row: np.ndarray, cell: np.ndarray, x: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Probability, summed factors and each entry's own share of them."""
-        own = x[:, None] * self.factors[cell]
-        total = np.stack([np.bincount(row, own[:, k], n) for k in range(own.shape[1])], axis=1)
-        pairs = 0.5 * ((total**2).sum(1) - np.bincount(row, (own**2).sum(1), n))
-        raw = self.bias + np.bincount(row, x * self.weights[cell], n) + pairs
-        return 1 / (1 + np.exp(-np.clip(raw, -35, 35))), total, own
-
-    def entries(self, row: np.ndarray, place: np.ndarray, count: np.ndarray, n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def entries(self, row: np.ndarray, cell: np.ndarray, count: np.ndarray, n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, cell, value) of the terms and of the length class of every row."""
         every = np.arange(len(n_words))
-        return np.r_[row, every], np.r_[place, len(self.buckets) + length_class(n_words)], np.r_[np.log1p(count), np.ones(len(n_words))]
+        return np.r_[row, every], np.r_[cell, len(self.buckets) + length_class(n_words)], np.r_[np.log1p(count), np.ones(len(n_words))]
+
+    def probability(self, row: np.ndarray, cell: np.ndarray, x: np.ndarray, n: int) -> np.ndarray:
+        raw = self.bias + np.bincount(row, x * self.weights[cell], n)
+        for factor in self.factors.T:  # all pairs: half of the squared sum less the sum of squares
+            own = x * factor[cell]
+            raw += 0.5 * (np.bincount(row, own, n) ** 2 - np.bincount(row, own**2, n))
+        return 1 / (1 + np.exp(-np.clip(raw, -35, 35)))
+
+
+@dataclass(frozen=True)
+class Stage:
+    """Gradient steps: rounds over the sample, rate, first sum of squares, decay of weights and factors, documents a step."""
 
+    epochs: int
+    rate: float
+    floor: float
+    decay: float
+    factor_decay: float
+    batch: int
 
-def fit(machine: Machine, rows: list[tuple[np.ndarray, np.ndarray, int]], labels: np.ndarray, epochs: int = EPOCHS) -> Machine:
-    """Adaptive gradient steps over shuffled mini-batches; rows: (places, counts, words) of each document."""
+
+ALONE = Stage(epochs=30, rate=0.25, floor=1e-2, decay=1e-6, factor_decay=1e-6, batch=256)
+TOGETHER = Stage(epochs=20, rate=0.05, floor=1e-2, decay=1e-5, factor_decay=1e-4, batch=128)
+Document = tuple[np.ndarray, np.ndarray, int]  # cells, counts, words
+
+
+def fit(m: Machine, rows: list[Document], labels: np.ndarray, stage: Stage) -> None:
+    """Adaptive gradient steps over shuffled mini-batches. A batch is a dense matrix over the cells it has, never
+    wider than the machine."""
     rng = np.random.default_rng(7)
-    m = machine
-    sums = [1e-2, np.full(m.weights.shape, 1e-2), np.full(m.factors.shape, 1e-2)]
+    sum_b, sum_w, sum_v = stage.floor, np.full(m.weights.shape, stage.floor), np.full(m.factors.shape, stage.floor)
     order = np.arange(len(rows))
-    for _ in range(epochs):
+    for _ in range(stage.epochs):
         rng.shuffle(order)
-        for at in range(0, len(order), BATCH):
-            some = order[at : at + BATCH]
-            size = [len(rows[i][0]) for i in some]
+        for at in range(0, len(order), stage.batch):
+            some = order[at : at + stage.batch]
             row, cell, x = m.entries(
-                np.repeat(np.arange(len(some)), size),
-                np.concatenate([rows[i][0] for i in some]).astype(np.int64),
+                np.repeat(np.arange(len(some)), [len(rows[i][0]) for i in some]),
+                np.concatenate([rows[i][0] for i in some]),
                 np.concatenate([rows[i][1] for i in some]),
                 np.array([rows[i][2] for i in some]),
             )
-            p, total, own = m.parts(row, cell, x, len(some))
-            slope = (p - labels[some]) / len(some)
             used, to = np.unique(cell, return_inverse=True)
-            per = slope[row] * x
-            g_w = np.bincount(to, per) + DECAY * m.weights[used]
-            g_v = np.stack([np.bincount(to, per * (total[row, k] - own[:, k])) for k in range(m.factors.shape[1])], axis=1) + DECAY * m.factors[used]
-            g_b = slope.sum()
-            sums[0] += g_b**2
-            sums[1][used] += g_w**2
-            sums[2][used] += g_v**2
-            m.bias -= RATE * g_b / np.sqrt(sums[0])
-            m.weights[used] -= RATE * g_w / np.sqrt(sums[1][used])
-            m.factors[used] -= RATE * g_v / np.sqrt(sums[2][used])
-    return m
+            values = np.zeros((len(some), len(used)), np.float32)
+            values[row, to] = x
+            w, v = m.weights[used].astype(np.float32), m.factors[used].astype(np.float32)
+            total, squares = values @ v, values * values
+            raw = m.bias + values @ w + 0.5 * ((total**2).sum(1) - squares @ (v * v).sum(1))
+            slope = ((1 / (1 + np.exp(-np.clip(raw, -35, 35))) - labels[some]) / len(some)).astype(np.float32)
+            g_b, g_w = float(slope.sum()), values.T @ slope + stage.decay * w
+            g_v = values.T @ (slope[:, None] * total) - v * (squares.T @ slope)[:, None] + stage.factor_decay * v
+            sum_b += g_b**2
+            sum_w[used] += g_w**2
+            sum_v[used] += g_v**2
+            m.bias -= stage.rate * g_b / np.sqrt(sum_b)
+            m.weights[used] -= stage.rate * g_w / np.sqrt(sum_w[used])
+            m.factors[used] -= stage.rate * g_v / np.sqrt(sum_v[used])
 
 
 def held_out(id_col: str) -> Column:
@@ -145,47 +165,51 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = known.groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("toxic"))
     share = sample / max(known.count(), 1)
     chosen = known if share >= 1 else known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000))
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).join(F.broadcast(chosen), "id").select("id", "toxic", "t")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).join(F.broadcast(chosen), "id").groupBy("id", "toxic").agg(F.min("t").alias("t"))
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), *T._parse_datatype_string("toxic int, n_words long, bucket array<int>, n array<int>")])
     terms = stored(texts.mapInArrow(_terms, schema), "terms")
     by = {r["toxic"]: r["n"] for r in terms.groupBy((F.col("toxic") > 0).alias("toxic")).agg(F.count("*").alias("n")).collect()}
     toxic, rest = by.get(True, 0), by.get(False, 0)
     base = toxic / max(toxic + rest, 1)
     if not toxic or not rest:
-        return Machine(np.zeros(0, np.int64), 35.0 if base else -35.0, np.zeros(LENGTHS), np.zeros((LENGTHS, FACTORS)))
+        return Machine(np.zeros(0, np.int64), 35.0 if base else -35.0, np.zeros(LENGTHS + SHARED), np.zeros((LENGTHS + SHARED, FACTORS)))
     counts = terms.select((F.col("toxic") > 0).cast("int").alias("y"), F.explode("bucket").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"), F.sum("y").alias("k"))
     z = F.abs(F.col("k") - F.col("n") * base) / F.sqrt(F.col("n") * (base * (1 - base)))
-    best = counts.where(F.col("n") >= LEAST_DOCS).select("bucket", z.alias("z")).where(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "bucket").limit(INPUTS)
+    best = counts.where(F.col("n") >= LEAST_DOCS).select("bucket", z.alias("z")).where(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "bucket").limit(OWN)
     buckets = np.array(sorted(r["bucket"] for r in best.collect()), np.int64)
-    rng = np.random.default_rng(11)
-    size = len(buckets) + LENGTHS
-    machine = Machine(buckets, float(np.log(base / (1 - base))), np.zeros(size), rng.normal(0, 0.01, (size, FACTORS)))
-    place, rows, y = machine.place(), [], []
-    for r in terms.mapInArrow(partial(_inputs, machine), schema).orderBy("id").toLocalIterator():
-        rows.append((place[np.array(r["bucket"], np.int64)], np.array(r["n"], np.float64), r["n_words"]))
+    size = len(buckets) + LENGTHS + SHARED
+    machine = Machine(buckets, float(np.log(base / (1 - base))), np.zeros(size), np.random.default_rng(11).normal(0, 0.01, (size, FACTORS)))
+    rows, y = [], []
+    for r in terms.mapInArrow(partial(_cells, machine), "toxic int, n_words long, cell binary, n binary, id " + docs.schema[id_col].dataType.simpleString()).orderBy("id").toLocalIterator():
+        rows.append((np.frombuffer(r["cell"], np.int32), np.frombuffer(r["n"], np.int32), r["n_words"]))
         y.append(r["toxic"] > 0)
-    return fit(machine, rows, np.array(y, np.float64))
+    labels_of = np.array(y, np.float64)
+    alone = [c < len(buckets) for c, _, _ in rows]
+    fit(machine, [(c[k], n[k], words) for (c, n, words), k in zip(rows, alone)], labels_of, ALONE)
+    fit(machine, rows, labels_of, TOGETHER)
+    return machine
 
 
-def _inputs(machine: Machine, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of terms with the buckets that are inputs."""
-    place = machine.place()
+def _cells(machine: Machine, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of terms as cells and counts, buckets of one cell added up."""
+    cells = machine.cells()
     for batch in batches:
-        lists = batch.column(3)
-        bucket, n = (batch.column(i).flatten().to_numpy(zero_copy_only=False) for i in (3, 4))
-        row = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
-        keep = place[bucket] >= 0
-        at = pa.array(np.searchsorted(row[keep], np.arange(batch.num_rows + 1)), pa.int32())
-        out = [pa.ListArray.from_arrays(at, pa.array(v[keep], pa.int32())) for v in (bucket, n)]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], *out], names=batch.schema.names)
+        for part in slices(batch, 2000, 8 << 20):
+            lists = part.column(3)
+            bucket, n = (part.column(i).flatten().to_numpy(zero_copy_only=False) for i in (3, 4))
+            row = np.repeat(np.arange(part.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+            pair, to = np.unique(row * BUCKETS + cells[bucket], return_inverse=True)
+            cell, count = (pair % BUCKETS).astype(np.int32), np.bincount(to, n, len(pair)).astype(np.int32)
+            at = np.searchsorted(pair // BUCKETS, np.arange(part.num_rows + 1))
+            packed = [pa.array([v[a:b].tobytes() for a, b in zip(at, at[1:])], pa.binary()) for v in (cell, count)]
+            yield pa.RecordBatch.from_arrays([part.column(1), part.column(2), *packed, part.column(0)], names=["toxic", "n_words", "cell", "n", "id"])
 
 
 def _score(machine: Machine, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    place = machine.place()
+    cells = machine.cells()
     for batch in batches:
-        for part in slices(batch, 2000, 4 << 20):
-            row, cell, x = machine.entries(*term_counts(part.column(1), place))
-            p = machine.parts(row, cell, x, part.num_rows)[0]
+        for part in slices(batch, 2000, 2 << 20):
+            p = machine.probability(*machine.entries(*term_counts(part.column(1), cells)), part.num_rows)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(p, pa.float64())], names=[batch.schema.names[0], "score"])
 
 

@@ -6,6 +6,9 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
+
 from sorigil.llm import quality_divergence as quality
 from sorigil.llm import toxicity_fm
 
@@ -130,3 +133,33 @@ def test_a_bounded_sample_and_held_out_labels_do_not_reach_the_fit(spark):
     a, b = (toxicity_fm.train(docs, spark.createDataFrame(x, "doc_id long, toxic int")) for x in (labels, held))
     assert a.bias == b.bias and (a.weights == b.weights).all()
     assert toxicity_fm.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), sample=50).weights is not None
+
+
+def test_an_exclusive_or_of_terms_is_learnt(spark):
+    """Every term is even between the classes alone; only pairs tell."""
+    rng = random.Random(4)
+    rows, labels = [], []
+    for i in range(2000):
+        a, b = rng.randint(0, 1), rng.randint(0, 1)
+        noise = " ".join(f"w{rng.randint(0, 40)}" for _ in range(6))
+        rows.append((i, f"{noise} {('alpha', 'bravo')[a]} {('carol', 'delta')[b]} more{i % 13}"))
+        labels.append((i, int(a != b)))
+    got = toxicity_fm.toxicity(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    held = [r.predicted == labels[r.doc_id][1] for r in got if r.held_out]
+    assert sum(held) / len(held) > 0.95
+
+
+def test_scores_are_the_sum_over_all_pairs():
+    """The machine against its definition: bias, weights and every pair's inner product, one by one."""
+    rng = np.random.default_rng(2)
+    buckets = np.sort(rng.choice(toxicity_fm.BUCKETS, 50, replace=False))
+    size = 50 + toxicity_fm.LENGTHS + toxicity_fm.SHARED
+    machine = toxicity_fm.Machine(buckets, 0.3, rng.normal(0, 0.1, size), rng.normal(0, 0.1, (size, toxicity_fm.FACTORS)))
+    texts = ["one two three two longerword longerworld", "", None, "alpha " * 9 + "beta gamma", "x"]
+    row, cell, x = machine.entries(*toxicity_fm.term_counts(pa.array(texts), machine.cells()))
+    got = machine.probability(row, cell, x, len(texts))
+    for i in range(len(texts)):
+        mine = [(c, v) for r, c, v in zip(row, cell, x) if r == i]
+        raw = 0.3 + sum(machine.weights[c] * v for c, v in mine)
+        raw += sum(machine.factors[c] @ machine.factors[d] * v * u for k, (c, v) in enumerate(mine) for d, u in mine[:k])
+        assert abs(got[i] - 1 / (1 + math.exp(-raw))) < 1e-9
