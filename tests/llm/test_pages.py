@@ -1,6 +1,8 @@
 """Page text, archive and page language: hand cases, brute force, round trip."""
 
 import hashlib
+import random
+import re
 
 import numpy as np
 import pytest
@@ -170,3 +172,73 @@ def test_hostile_pages_take_time_in_proportion_to_their_length():
     assert time.perf_counter() - began < 9
     assert blocks("<p>one</p> tail <!-- open comment") == [(2, "one"), (2, "tail")]
     assert [t for _, t in blocks("<p>a</p><a")] == ["a", "<a"]
+
+
+def test_every_language_of_the_documents_is_an_answer(spark):
+    rng = random.Random(8)
+    names = sorted({"".join(rng.choices("abcdefghijklmnopqrstuvwy", k=3)) for _ in range(90)} - {"mul", "und", "mis"})[:78] + ["fi", "fil"]
+    words = {n: ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(40)] for n in names}
+    docs = [(k, " ".join(rng.choices(words[n], k=30)), n) for k, n in enumerate(names)]
+    docs += [(k, " ".join(rng.choices(words["fi"], k=30)), "fi-FI") for k in range(1000, 1600)] + [(9, "nothing", "und"), (9, "nothing", "no language")]
+    pages = [(k, f"https://h{k % 7}.net/", f"<p>{' '.join(rng.choices(words[n], k=20))}</p>") for k, n in enumerate(names)]
+    pages += [(900, "https://only.net/", "<html lang='fil'></html>"), (901, "https://one.net/", "<html lang=\"fi-FI\"></html>")]
+    df = spark.createDataFrame([(*p, "t", "h", "d", 1) for p in pages], PAGES)
+    table = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    assert language_fusion.learn(table, sample=160)[0] == sorted(names)
+    got = {r.page_id: r for r in language_fusion.identify(df, table).collect()}
+    assert [got[k].lang for k in range(len(names))] == names
+    assert (got[900].declared, got[900].lang, got[901].lang) == ("fil", "fil", "fi")
+
+
+def test_language_fusion_is_bayes_rule(spark):
+    """A plain form over a whole small table: counts, likelihoods and the three smoothed levels one page at a time."""
+    import math
+    from collections import Counter, defaultdict
+
+    from sorigil.llm.html_blocks import blocks
+    from sorigil.llm.queries import QUERIES
+
+    small = "/root/testdata/sf0.001"
+
+    def grams(text):
+        b = bytes(c + 32 if 65 <= c <= 90 else c for c in text.encode())
+        return [((b[i] << 16 | b[i + 1] << 8 | b[i + 2]) * 2654435761 % 2**32) >> 19 for i in range(len(b) - 2)]
+
+    counts = defaultdict(Counter)
+    for r in spark.read.parquet(f"{small}/documents.parquet").collect():
+        if r.lang and r.text is not None:
+            counts[r.lang].update(grams(r.text))
+    names = sorted(counts)
+    size = {n: sum(counts[n].values()) + 0.5 * 8192 for n in names}
+    pages = []
+    for r in spark.read.parquet(f"{small}/pages.parquet").collect():
+        html = r.html or ""
+        seen = grams("\n".join(t for kind, t in blocks(html) if kind < 3))
+        m = re.search(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]+)", html, re.I)
+        like = {n: sum(math.log((counts[n][g] + 0.5) / size[n]) for g in seen) * min(len(seen), 50) / max(len(seen), 1) for n in names}
+        if m and m[1].lower() in names:
+            for n in names:
+                like[n] += math.log(0.9 if n == m[1].lower() else 0.1 / (len(names) - 1))
+        odds = {n: math.exp(like[n] - max(like.values())) for n in names}
+        host = re.match(r"\w+://([^/:?#]*)", r.url or "")
+        host = host[1].lower() if host else ""
+        pages.append((r.page_id, host, re.search(r"[^.]*$", host)[0], like, {n: v / sum(odds.values()) for n, v in odds.items()}))
+    levels = [Counter(), Counter(), Counter()]
+    number = [Counter(), Counter(), Counter()]
+    for _, host, suffix, _, vote in pages:
+        for level, key in enumerate((None, suffix, host)):
+            number[level][key] += 1
+            for n in names:
+                levels[level][key, n] += vote[n]
+    got = {r.page_id: (r.lang, r.probability) for r in QUERIES["op5_bayesian_fusion"](spark, small).collect()}
+    assert len(got) == len(pages)
+    for i, host, suffix, like, vote in pages:
+        post = {}
+        for n in names:
+            prior = 1 / len(names)
+            for level, key in enumerate((None, suffix, host)):
+                prior = (max(levels[level][key, n] - vote[n], 0) + 5 * prior) / (number[level][key] - 1 + 5)
+            post[n] = like[n] + math.log(prior)
+        odds = {n: math.exp(post[n] - max(post.values())) for n in names}
+        best = max(names, key=odds.get)
+        assert got[i][0] == best and abs(got[i][1] - odds[best] / sum(odds.values())) < 1e-4
