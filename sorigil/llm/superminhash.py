@@ -300,7 +300,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that lead their group, one row for each doc_id; rows without an id stay."""
-    kept = near_duplicates(docs, id_col, text_col).where("kept").select(id_col).where(F.col(id_col).isNotNull()).distinct()
-    one = docs.join(kept, id_col, "left_semi").dropDuplicates([id_col]).select(*docs.columns)
+    """The rows of ``docs`` that lead their group, one row for each doc_id; rows without an id stay. Rows that repeat an
+    id are one document (all their texts link it): of those that lead, the one with the least text stays, texts without
+    words behind all others, since they are linked with nothing."""
+    kept = near_duplicates(docs, id_col, text_col).where("kept and n_shingles > 0").select(id_col).where(F.col(id_col).isNotNull()).distinct()
+    worded = F.coalesce(F.col(text_col).rlike("[^ \\t-\\r]"), F.lit(False))
+    led = docs.where(worded).join(kept, id_col, "left_semi").select(*docs.columns).unionAll(docs.where(~worded & F.col(id_col).isNotNull()))
+    one = led.groupBy(F.col(id_col).alias("_id")).agg(F.min_by(F.struct(*docs.columns), F.struct(~worded, text_col)).alias("_row")).select("_row.*")
     return one.unionAll(docs.where(F.col(id_col).isNull()))

@@ -76,7 +76,11 @@ def test_groups_match_all_pairs_on_edge_rows(spark):
     df = check(spark, rows)
     kept = smh.keep_one_of_each_group(df)
     ids = [r.doc_id for r in kept.select("doc_id").collect()]
-    assert len(ids) == len(set(ids)) and None in ids and kept.columns == df.columns
+    assert len(ids) == len(set(ids)) and None in ids and kept.schema == df.schema
+    texts = {r.doc_id: r.text for r in kept.collect()}
+    assert all(t is None or t == min(u for j, u in rows if j == i) for i, t in texts.items() if i is not None)
+    several = spark.createDataFrame([(i, t, "k", 1, "x") for t in ("p q r s", None, "a b c d") for i in (5, 6)] + [(8, "z y x w", "k", 1, "x"), (8, "a b", "k", 1, "x")], df.schema)
+    assert sorted((r.doc_id, r.text or "") for r in smh.keep_one_of_each_group(several).collect()) == [(5, "a b c d"), (6, ""), (8, "a b")]
 
 
 def test_open_members_are_compared_in_blocks(spark, monkeypatch):
