@@ -7,7 +7,8 @@ lexer reads source and configuration syntax: ``name = "literal"``, ``"name": "li
 name and value are kept in order of the text; a value that is the name of an earlier pair takes that
 pair's literal (constants are propagated, so ``k = "x"; api_token = k`` marks the literal at ``k``).
 Every literal is scored by the parts of the names it reaches (``db_password`` -> ``db``, ``password``)
-and by its own form; literals at or above ``SCORE`` become spans of kind ``literal``.
+and by its own form; names about a secret (``token_type``) and bare values that are code (``os.environ["DB"]``, a call, a
+dotted name) hold none. Literals at or above ``SCORE`` become spans of kind ``literal``.
 
 Results: offsets are code points, end exclusive. A literal that lies within a base span is not
 reported again. Null and empty texts have no spans. Repeated rows are scanned each on their own; columns
@@ -40,6 +41,9 @@ SENSITIVE = {
     "credentials": 1.0, "privatekey": 1.0, "accesskey": 1.0, "secretkey": 1.0, "bearer": 0.9, "auth": 0.7, "authorization": 0.7,
     "private": 0.5, "access": 0.4, "key": 0.4, "api": 0.4, "signature": 0.4, "salt": 0.4, "session": 0.3, "client": 0.2,
 }
+#: Last parts of names that speak about a secret and do not hold it.
+ABOUT = frozenset("type name id ids kind count length len size limit url uri endpoint path file policy expiry expires ttl timeout version".split())
+DOTTED = re.compile(r"[A-Za-z_]\w*+(?:(?:\.|->|::)[A-Za-z_]\w*+)++\Z", re.A)
 PLACEHOLDER = re.compile(r"(?:x+|\*+|\.+|-+|<.*>|\$\{.*\}|%.*%|true|false|null|none|nil|undefined|changeme|example|todo|your[-_ ].*)\Z", re.I | re.A)
 SCORE = 1.0
 LEAST_LITERAL = 6
@@ -76,6 +80,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def name_weight(name: str) -> float:
     """How strongly a target name speaks of a secret: its parts, and neighbouring parts joined."""
     parts = [p.lower() for p in _PARTS.findall(name)]
+    if len(parts) > 1 and parts[-1] in ABOUT:
+        return 0.0
     joined = [a + b for a, b in zip(parts, parts[1:])]
     return min(1.0, sum(SENSITIVE.get(p, 0.0) for p in {*parts, *joined}))
 
@@ -92,6 +98,15 @@ def literal_weight(value: str) -> float:
     return min(1.0, max(0.0, (bits - 2.0) / 2.0)) * (0.4 + 0.2 * mixed)
 
 
+def is_expression(text: str, value: str, end: int) -> bool:
+    """Whether a bare value is code: called, indexed, or a dotted name (no part of it long, with both letters and digits)."""
+    if text[end : end + 1] in ("(", "["):
+        return True
+    if not DOTTED.match(value):
+        return False
+    return not any(len(p) >= 12 and any(c.isdigit() for c in p) for p in re.split(r"\W+", value))
+
+
 def word_before(text: str, at: int) -> str | None:
     """The word ahead of a place on the same line, with blanks between."""
     end = at
@@ -120,6 +135,9 @@ def literal_spans(text: str) -> list[tuple[int, int]]:
             literals[at] = (start, end, max(had, weight), value)
             continue
         start, end = m.span(kind)
+        if kind == "bare" and is_expression(text, value, end):  # its value is not in the text
+            value_of.pop(name, None)
+            continue
         more = kind in ("dq", "sq") and _PLUS.match(text, m.end())
         while more:  # "a" + "b": one value, marked to its end
             end = more.end("dq") if more["dq"] is not None else more.end("sq")
