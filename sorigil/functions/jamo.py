@@ -8,13 +8,19 @@
   function (``str.translate``), for long texts where the per-character array
   of the native form dominates.
 * ``utf8_bytes`` (T2): UTF-8 byte values of a string as ``ARRAY<INT>``.
+
+The Arrow forms take a batch in runs of at most ``RUN_BYTES`` of text and hand every run's result out before the next,
+so a worker's memory follows the run (or the longest text), not the rows of a batch times what a text grows to.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,6 +74,20 @@ def hangul_to_jamo(col) -> Column:
     return F.array_join(F.transform(F.split(c, ""), _jamo_of_char), "")
 
 
+RUN_BYTES = 1 << 20  # text that one step of an Arrow form converts
+
+
+def runs(texts: pa.Array, limit: int = RUN_BYTES) -> Iterator[pa.Array]:
+    """``texts`` in order, cut into runs of at most ``limit`` bytes; a longer text is a run of its own."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    lo = 0
+    while lo < len(texts):
+        before = int(ends[lo - 1]) if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        yield texts.slice(lo, hi - lo)
+        lo = hi
+
+
 _TABLE: dict[int, str] | None = None
 
 
@@ -78,11 +98,17 @@ def _translate_table() -> dict[int, str]:
     return _TABLE
 
 
+def jamo_runs(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    table = _translate_table()
+    for batch in batches:
+        for run in runs(batch):
+            yield pa.array([None if t is None else t.translate(table) for t in run.to_pylist()], pa.string())
+
+
 @F.arrow_udf(T.StringType())
-def hangul_to_jamo_arrow(s: pa.Array) -> pa.Array:
+def hangul_to_jamo_arrow(s: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """T1 as an Arrow function: ``str.translate`` with the 11,172-entry table built once per worker."""
-    table = _translate_table()
-    return pa.array([None if t is None else t.translate(table) for t in s.to_pylist()], pa.string())
+    return jamo_runs(s)
 
 
 def jamo(col, native: bool = False) -> Column:
@@ -108,12 +134,7 @@ def utf8_bytes(col) -> Column:
     return F.when(c.isNull(), F.lit(None).cast("array<int>")).when(F.length(c) == 0, F.array().cast("array<int>")).otherwise(codes)
 
 
-@F.arrow_udf(T.ArrayType(T.IntegerType()))
-def utf8_bytes_arrow(s: pa.Array) -> pa.Array:
-    """T2 as an Arrow function: the string column's own UTF-8 buffer becomes the list values
-    and its offsets the list offsets (no per-row Python)."""
-    if isinstance(s, pa.ChunkedArray):
-        s = s.combine_chunks()
+def _byte_lists(s: pa.Array) -> pa.Array:
     b = s.cast(pa.binary())
     n = len(b)
     offsets = np.frombuffer(b.buffers()[1], dtype=np.int32)[b.offset : b.offset + n + 1]
@@ -124,6 +145,19 @@ def utf8_bytes_arrow(s: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(rel), pa.array(values), mask=b.is_null())
 
 
+def byte_runs(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for batch in batches:
+        for run in runs(batch):
+            yield _byte_lists(run)
+
+
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def utf8_bytes_arrow(s: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """T2 as an Arrow function: the string column's own UTF-8 buffer becomes the list values
+    and its offsets the list offsets (no per-row Python)."""
+    return byte_runs(s)
+
+
 def utf8_tokens(col, native: bool = False) -> Column:
     """T2 for whole texts: Arrow by default, native on request."""
     return utf8_bytes(col) if native else utf8_bytes_arrow(_col(col))
