@@ -182,8 +182,11 @@ def write_metadata(df: DataFrame, path: str, with_jamo: bool = False, mode: str
 
 
 def write_corpus(df: DataFrame, path: str, col: str = "jamo", mode: str = "overwrite") -> None:
-    """One text per line; line breaks inside a text become spaces, nulls are skipped."""
-    df.where(F.col(col).isNotNull()).select(single_line(col).alias("value")).write.mode(mode).text(path)
+    """One text per line; line breaks inside a text become spaces, nulls are skipped.
+
+    A filter on a computed column is moved below it, which computes it twice; one on an exploded value stays where it is."""
+    lines = df.select(F.explode(F.array(single_line(col))).alias("value"))
+    lines.where(F.col("value").isNotNull()).write.mode(mode).text(path)
 
 
 def save_processed(df: DataFrame, path: str, mode: str = "overwrite") -> None:
