@@ -9,7 +9,7 @@ grows with the data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sorigil.functions import arrays
@@ -30,26 +30,29 @@ def assign_batches(df: DataFrame, batch_size: int, epochs=1, seed: int = 0, pos:
     return sh.withColumn("batch_id", order.batch_id("shuffled_pos", batch_size))
 
 
-def batch_length(col: str, cap: int):
-    """A2: ``least(max(size(col)) over the batch, cap)``."""
+def batch_length(col: str | Column, cap: int):
+    """A2: ``least(max(size(col)) over the batch, cap)``; a column of sizes is taken as it is."""
     w = Window.partitionBy("epoch", "batch_id")
-    return F.least(F.max(F.size(col)).over(w), F.lit(cap))
+    return F.least(F.max(F.size(col) if isinstance(col, str) else col).over(w), F.lit(cap))
 
 
 def collate_text(df: DataFrame, tokens: str = "text_tokens", max_len: int = TEXT_LENGTH, pad: int = TEXT_PAD) -> DataFrame:
-    """R1, R3-R5 on batched rows: padded tokens, padding mask, attention mask and positions."""
-    n = batch_length(tokens, max_len)
-    out = df.withColumn("_len", n)
-    padded = arrays.truncate_pad(tokens, F.col("_len"), pad)
+    """R1, R3-R5 on batched rows: padded tokens, padding mask, attention mask and positions.
+
+    No row is padded beyond ``max_len``, so each row goes to its batch with its first ``max_len`` tokens and its size: the
+    exchange carries the whole tokens only for a reader that asks for them."""
+    sized = df.withColumns({"_n": F.size(tokens), "_head": F.slice(tokens, 1, max(max_len, 0))})
+    out = sized.withColumn("_len", batch_length(F.col("_n"), max_len))
+    padded = arrays.truncate_pad("_head", F.col("_len"), pad)
     return out.select(
         "*",
         padded.alias("padded"),
     ).select(
         "*",
         arrays.padding_mask("padded", pad).alias("padding_mask"),
-        arrays.attention_mask(tokens).alias("attention_mask"),
+        F.array_repeat(F.lit(1), F.col("_n")).alias("attention_mask"),
         arrays.positions(F.col("_len")).alias("positions"),
-    ).withColumnRenamed("_len", "batch_len")
+    ).drop("_n", "_head").withColumnRenamed("_len", "batch_len")
 
 
 def collate_audio(
