@@ -38,12 +38,12 @@ def source_counts(meta: DataFrame, listing: DataFrame, path_col: str = "full_pat
 
 
 def keep_valid(df: DataFrame, cols=("text_tokens", "audio_tokens")) -> tuple[DataFrame, DataFrame]:
-    """Rows whose encoding succeeded (all ``cols`` non-null) and the rejects with a reason."""
-    ok = F.lit(True)
-    for c in cols:
-        ok = ok & F.col(c).isNotNull()
+    """Rows whose encoding succeeded (all ``cols`` non-null) and the rejects with a reason.
+
+    The reason is exploded from an array of one, so that the filter on it stays above the encoding instead of running it once more."""
     reason = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(f"{c} failed")) for c in cols])
-    return df.where(ok), df.where(~ok).withColumn("reason", reason)
+    told = df.select("*", F.explode(F.array(reason)).alias("reason"))
+    return told.where(F.col("reason") == "").drop("reason"), told.where(F.col("reason") != "")
 
 
 def progress(encoded: DataFrame, batch_size: int = 8, valid_col: str = "valid", pos: str = "pos") -> DataFrame:

@@ -87,9 +87,11 @@ def file_processed(spark, sf_dir):
     """Jamo texts as bytes where the encoding succeeded, saved as the three-column table, reused, and the rejects with a reason.
 
     A transcript's audio codes exist when its document is labelled."""
-    t = fx.documents_as_transcripts(spark, sf_dir).select("doc_id", utf8_tokens(jamo("text")).alias("text_tokens"))
+    t = fx.documents_as_transcripts(spark, sf_dir).select("doc_id", "text")
     codes = fx.table(spark, sf_dir, "labels").select("doc_id", F.array(F.array(F.col("quality").cast("int"), F.col("toxic").cast("int"))).alias("audio_tokens")).dropDuplicates(["doc_id"])
-    ok, rejects = listing.keep_valid(t.join(codes, "doc_id", "left"))
+    # the codes are joined to the texts, not to their bytes, which are many times larger
+    coded = t.join(codes, "doc_id", "left").select("doc_id", utf8_tokens(jamo("text")).alias("text_tokens"), "audio_tokens")
+    ok, rejects = listing.keep_valid(coded)
     path = fresh_folder(spark, "processed")
     made_from = M.fingerprint(fx.table(spark, sf_dir, "documents").select("doc_id", "text"), codes)
     for _ in range(2):  # the second call finds the finished table
