@@ -5,6 +5,7 @@ Words of like length are taken together, and every step runs over one position o
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 
@@ -80,6 +81,76 @@ def forward_backward(
     return float(np.dot(freqs, z)), counts
 
 
+BLOCK_CELLS = 1 << 15  # words of one block times its longest word
+TINY = 1e-200  # a word less likely than this is counted in log space
+
+
+@dataclass
+class Block:
+    """The lattice of words of like length as a table of ``width`` ends, ``reach`` begins and ``n`` words: the edge of piece ``p``
+    (-1: a character that is no piece) that ends at e and is k long has the place ``(e * reach + reach - k) * n + word``."""
+
+    width: int
+    reach: int
+    lengths: np.ndarray
+    freqs: np.ndarray
+    at: np.ndarray
+    p: np.ndarray
+
+
+def blocks(W: np.ndarray, B: np.ndarray, E: np.ndarray, P: np.ndarray, lengths: np.ndarray, freqs: np.ndarray, cells: int = BLOCK_CELLS) -> Iterator[Block]:
+    """The edges of many words (sorted by word) in blocks of like length."""
+    per_word = np.searchsorted(W, np.arange(len(lengths) + 1))
+    for part in by_length(lengths, cells):
+        sizes = np.diff(per_word)[part]
+        edge = np.repeat(per_word[part] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+        word, size = np.repeat(np.arange(len(part)), sizes), E[edge] - B[edge]
+        reach = int(size.max()) if len(size) else 1
+        yield Block(int(lengths[part].max()) + 1, reach, lengths[part], freqs[part], (E[edge] * reach + reach - size) * len(part) + word, P[edge])
+
+
+def block_counts(block: Block, scores: np.ndarray, unk_score: float) -> tuple[float, np.ndarray]:
+    """``forward_backward`` of a block: (log-likelihood, expected count per piece number; nan scores: pruned).
+
+    Alpha and beta are sums of products of probabilities, one position of all words at a time; words whose likelihood is too
+    small for that are counted by ``forward_backward``."""
+    n, reach, width = len(block.lengths), block.reach, block.width
+    prob = np.exp(np.append(scores, unk_score))
+    prob[np.isnan(prob)] = 0.0
+    table = np.zeros((width, reach, n))
+    flat = table.reshape(-1)
+    flat[block.at] = prob[block.p]  # number -1 is the last: the unknown character
+    alpha, words = np.zeros((width, n)), np.arange(n)
+    alpha[0] = 1.0
+    for e in range(1, width):
+        k = min(e, reach)
+        np.einsum("kn,kn->n", alpha[e - k : e], table[e, reach - k :], out=alpha[e])
+    z = alpha[block.lengths, words]
+    plain = (z > TINY) & np.isfinite(z)
+    # beta already holds the word's frequency over its likelihood, so that alpha * edge * beta is an expected count
+    beta = np.zeros((width, n))
+    beta[block.lengths[plain], words[plain]] = block.freqs[plain] / z[plain]
+    for e in range(width - 1, 0, -1):
+        k = min(e, reach)
+        into = table[e, reach - k :]
+        into *= beta[e]
+        beta[e - k : e] += into
+        into *= alpha[e - k : e]
+    counts = np.bincount(block.p + 1, weights=flat[block.at], minlength=len(scores) + 1)[1:]
+    likelihood = float(np.dot(block.freqs[plain], np.log(z[plain])))
+    if not plain.all():
+        word, place = block.at % n, block.at // n
+        rest = np.flatnonzero(~plain[word])
+        number = np.cumsum(~plain) - 1
+        end = place[rest] // reach
+        begin = end - reach + place[rest] % reach
+        order = np.lexsort((end, begin, word[rest]))
+        rest, begin, end = rest[order], begin[order], end[order]
+        ll, more = forward_backward(number[word[rest]], begin, end, block.p[rest], block.lengths[~plain], block.freqs[~plain], scores, unk_score)
+        likelihood, counts = likelihood + ll, counts + more
+    return likelihood, counts
+
+
 def best_paths(W: np.ndarray, B: np.ndarray, E: np.ndarray, S: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The best path of every word: its score (-inf where no path reaches the end), and the edges of all paths in order with
     their words. A better score replaces, so ties at an end keep the edge with the smallest begin."""

@@ -15,13 +15,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sorigil.functions.bind import let
 from sorigil.functions.jamo import hangul_to_jamo
 from sorigil.functions.text import WHITESPACE_RE, WORD_START, mark_word
-from sorigil.operators.lattice import best_paths, by_length, forward_backward
+from sorigil.operators.lattice import Block, best_paths, block_counts, blocks, by_length, forward_backward
 from sorigil.operators.trie import Shared, Trie, opened, share
 from sorigil.session import cut_lineage, task_count
 
@@ -202,50 +203,67 @@ def batch_expected_counts(words: list, freqs: np.ndarray, pieces: Trie, score_ar
     return forward_backward(*pieces.lattice(words, max_len), lengths, freqs, score_arr, unk_score)
 
 
-LATTICE_SCHEMA = "n double, length int, b array<int>, e array<int>, p array<int>"
+LATTICE_SCHEMA = "width int, reach int, lengths binary, freqs binary, at binary, p binary"
+RUN_PLACES = 1 << 16  # characters whose lattice is made at once
 
 
 def _lattice_partitions(shared: Shared, max_len: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, _, _ = opened(shared)
         for batch in batches:
-            words = batch.column(0).to_pylist()
-            W, B, E, P = pieces.lattice(words, max_len)
-            at = pa.array(np.searchsorted(W, np.arange(len(words) + 1)), pa.int32())
-            lists = [pa.ListArray.from_arrays(at, pa.array(x, pa.int32())) for x in (B, E, P)]
-            size = pa.array([len(w) for w in words], pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(1).cast(pa.float64()), size, *lists], names=["n", "length", "b", "e", "p"])
+            lengths = pc.utf8_length(batch.column(0)).to_numpy().astype(np.int64)
+            for part in by_length(lengths, RUN_PLACES):
+                words = batch.column(0).take(pa.array(part)).to_pylist()
+                freqs = batch.column(1).take(pa.array(part)).to_numpy().astype(np.float64)
+                for b in blocks(*pieces.lattice(words, max_len), lengths[part], freqs):
+                    arrays = (b.lengths.astype(np.int32), b.freqs, b.at.astype(np.int32), b.p.astype(np.int32))
+                    columns = [pa.array([b.width], pa.int32()), pa.array([b.reach], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in arrays)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["width", "reach", "lengths", "freqs", "at", "p"])
 
     return run
 
 
 def word_lattices(wc: DataFrame, shared: Shared, max_len: int = MAX_PIECE_LEN) -> DataFrame:
-    """The lattice of every distinct word over the shared pieces as arrays of edges, for all rounds of EM: pruning
-    takes scores away, never adds a piece, so the edges are found once."""
+    """The lattices of all distinct words over the shared pieces, for all rounds of EM: pruning takes scores away, never
+    adds a piece, so the edges are found once. A row is a block of words of like length (``lattice.Block``), its arrays as bytes,
+    which a round reads without touching single values."""
     return wc.select("word", "n").mapInArrow(_lattice_partitions(shared, max_len), LATTICE_SCHEMA)
 
 
+COUNT_BLOCK = 1 << 13  # piece numbers whose counts are one row on their way to the sum
+
+
 def _em_partitions(scores_bc, unk_score: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = scores_bc.value
         acc, ll = np.zeros(len(scores)), 0.0
         for batch in batches:
-            freqs, lengths = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64)
-            sizes = batch.column(2).value_lengths().to_numpy().astype(np.int64)
-            B, E, P = (batch.column(i).flatten().to_numpy().astype(np.int64) for i in (2, 3, 4))
-            starts = np.cumsum(sizes) - sizes
-            for part in by_length(lengths):
-                W = np.repeat(np.arange(len(part)), sizes[part])
-                edge = np.repeat(starts[part] - (np.cumsum(sizes[part]) - sizes[part]), sizes[part]) + np.arange(len(W))
-                lw, c = forward_backward(W, B[edge], E[edge], P[edge], lengths[part], freqs[part], scores, unk_score)
+            for i in range(batch.num_rows):
+                width, reach, *arrays = (batch.column(c)[i] for c in range(batch.num_columns))
+                kinds = (np.int32, np.float64, np.int32, np.int32)
+                block = Block(width.as_py(), reach.as_py(), *(np.frombuffer(x.as_buffer(), t) for x, t in zip(arrays, kinds)))
+                lw, c = block_counts(block, scores, unk_score)
                 ll += lw
                 acc += c
-        hit = np.flatnonzero(acc > 0)
-        yield pa.RecordBatch.from_arrays([pa.array([*hit.tolist(), None], pa.int32()), pa.array(np.r_[acc[hit], ll])], names=["p", "n"])
+        parts = {k: acc[k * COUNT_BLOCK : (k + 1) * COUNT_BLOCK] for k in range(-(-len(acc) // COUNT_BLOCK))}
+        sent = [(-1, np.array([ll])), *((k, v) for k, v in parts.items() if (v > 0).any())]
+        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in sent], pa.int32()), pa.array([v.tobytes() for _, v in sent], pa.binary())], names=["block", "counts"])
 
     return run
 
 
+def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for k, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            counts = np.frombuffer(v, np.float64)
+            total[k] = total[k] + counts if k in total else counts
+    for k, v in total.items():
+        hit = np.flatnonzero(v > 0) if k >= 0 else np.zeros(1, np.int64)
+        p = pa.array(k * COUNT_BLOCK + hit, pa.int32()) if k >= 0 else pa.nulls(1, pa.int32())
+        yield pa.RecordBatch.from_arrays([p, pa.array(v[hit])], names=["p", "n"])
+
+
 def _unknown_score(scores: np.ndarray) -> float:
     live = scores[~np.isnan(scores)]
     return (float(live.min()) if len(live) else 0.0) - UNKNOWN_PENALTY
@@ -254,9 +272,10 @@ def _unknown_score(scores: np.ndarray) -> float:
 def em_step(lattices: DataFrame, scores: np.ndarray) -> DataFrame:
     """A7 (E step) over the stored lattices: expected counts ``p, n`` by piece number; the row with a null number holds the
     corpus log-likelihood. ``scores`` has a number for every shared piece, nan where a piece was pruned; a task
-    sends one block of numbers and counts."""
+    sends its counts as rows of ``COUNT_BLOCK`` numbers, which are summed by block."""
     bc = lattices.sparkSession.sparkContext.broadcast(scores)
-    return lattices.mapInArrow(_em_partitions(bc, _unknown_score(scores)), "p int, n double").groupBy("p").agg(F.sum("n").alias("n"))
+    counted = lattices.mapInArrow(_em_partitions(bc, _unknown_score(scores)), "block int, counts binary")
+    return counted.repartition("block").mapInArrow(_sum_counts, "p int, n double")
 
 
 COUNT_FLOOR = 1e-3
@@ -438,8 +457,8 @@ def train_vocab(
 
     The distinct-word table is hash-partitioned and checkpointed once into the
     shared checkpoint folder. The seeds become a trie in one file that every executor maps (``trie.share``); the words' lattices
-    over it are found once, stored as arrays of piece numbers and read in every round. A round sends the scores as one array (8 bytes a
-    seed), runs the E step over the lattices in Arrow batches and sums the tasks' blocks of (number, expected count), which come
+    over it are found once, stored in blocks of words of like length and read in every round. A round sends the scores as one array (8 bytes a
+    seed), runs the E step block by block and sums the tasks' expected counts, which come
     back as one array to be normalised (M step); pruning losses are a job over the pieces.
     With more than ``broadcast_limit`` seeds (checked by a bounded count) the
     scores stay a table and every round runs the native forms instead.
@@ -456,7 +475,7 @@ def train_vocab(
     names, scores = rows.column("piece").to_pylist(), rows.column("score").to_numpy()
     shared = share(spark, names)
     singles = np.fromiter((len(p) == 1 for p in names), bool, len(names))
-    lattices = cut_lineage(word_lattices(words_df, shared, max_len))
+    lattices = cut_lineage(word_lattices(words_df.coalesce(2 * spark.sparkContext.defaultParallelism), shared, max_len))
     while True:
         for _ in range(em_rounds):
             likelihood, counts = expected_counts(lattices, scores)
