@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sorigil.functions.jamo import runs
 from sorigil.functions.text import WHITESPACE_RE, WORD_START, mark_word
 from sorigil.operators.lattice import best_paths
 from sorigil.operators.trie import Shared, Trie, code_points, opened, share
@@ -49,12 +50,16 @@ def split_batch(words: list[str], pieces: Trie, names: np.ndarray, ids: np.ndarr
     return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), *lists, pa.array(score)], ["word", "pieces", "ids", "score"])
 
 
+RUN_BYTES = 1 << 17  # words whose lattice is made and walked at once, in bytes of UTF-8
+
+
 def _segment_fn(shared: Shared, scores_bc, max_len: int, unk_score: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, ids, names = opened(shared)
         names = np.array(names.to_pylist(), dtype=object)
         for batch in batches:
-            yield split_batch(batch.column(0).to_pylist(), pieces, names, ids, scores_bc.value, max_len, unk_score)
+            for words in runs(batch.column(0), RUN_BYTES):
+                yield split_batch(words.to_pylist(), pieces, names, ids, scores_bc.value, max_len, unk_score)
 
     return run
 
