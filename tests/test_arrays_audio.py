@@ -230,3 +230,24 @@ def test_resample_of_null_clips_and_odd_ratios(spark):
     rows = [(None, 16000), ([1.0, 2.0, 3.0], None), ([0.5] * 40, 44101)]
     got = [r["y"] for r in _clips(spark, rows).select(audio.resample("audio.array", F.col("audio.sampling_rate"), 16000).alias("y")).collect()]
     assert got[0] is None and got[1] is None and np.allclose(got[2], _resample_np(np.array([0.5] * 40), 44101, 16000), atol=1e-9)
+
+
+def test_join_ints_makes_no_string_per_element(spark):
+    df = spark.createDataFrame([([1, -2, 300],), ([],), (None,), ([None],), ([None, 5, None, 7],), ([2**31 - 1],)], "x array<int>")
+    got = df.select(arrays.join_ints("x").alias("a"), arrays.join_ints("x", " | ").alias("b"), arrays.join_ints(F.col("x").cast("array<bigint>")).alias("c"))
+    want = [("1,-2,300", "1 | -2 | 300"), ("", ""), (None, None), ("", ""), ("5,7", "5 | 7"), ("2147483647", "2147483647")]
+    assert [tuple(r) for r in got.collect()] == [(a, b, a) for a, b in want]
+    long = spark.range(1, numPartitions=1).select(F.transform(F.sequence(F.lit(1), F.lit(3_000_000)), lambda i: i % 256).alias("x")).cache()
+    assert long.select(F.length(arrays.join_ints("x")).alias("n")).collect()[0].n == sum(len(str(i % 256)) + 1 for i in range(1, 3_000_001)) - 1
+    jvm = spark._jvm.java.lang
+    threads = jvm.management.ManagementFactory.getPlatformMXBean(jvm.Class.forName("com.sun.management.ThreadMXBean"))
+
+    def heap_bytes(column):
+        before = {i: threads.getThreadAllocatedBytes(i) for i in threads.getAllThreadIds()}
+        long.select(F.length(column)).collect()
+        return sum(max(0, threads.getThreadAllocatedBytes(i) - before.get(i, 0)) for i in threads.getAllThreadIds())
+
+    forms = [F.size("x").cast("string"), arrays.join_ints("x"), F.array_join("x", ",")]
+    least, new, strings = [min(heap_bytes(f) for _ in range(3)) for f in forms]
+    long.unpersist()
+    assert new - least < 0.75 * (strings - least), (least, new, strings)
