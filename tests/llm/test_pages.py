@@ -125,6 +125,57 @@ def test_repeats_are_found_over_the_whole_host(spark, host_pages, stream):
     assert got == want | {"https://b/0": 0, "https://b/1": 0}
 
 
+def test_repeats_between_shares_are_found_whatever_pages_lie_beside_them(spark):
+    """Shares of a host that share a task, ahead of which short hosts change where stretches end."""
+    rng = np.random.default_rng(5)
+    words = [[f"w{x}" for x in rng.integers(0, 10**6, 40)] for _ in range(120)]
+    for a in range(0, 120, 2):
+        words[a + 1][10:25] = words[a][5:20]
+    rows = [(k, f"https://m/{k}", f"<p>{' '.join(w)}</p>") for k, w in enumerate(words)]
+    rows += [(1000 + k, f"https://h{k}/", f"<p>{' '.join(f'v{x}' for x in rng.integers(0, 10**6, 30))}</p>") for k in range(40)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for host_pages, stream in ((5, 1 << 20), (5, 700), (3, 400), (500, 1 << 20)):
+        got = {r.page_id: r.n_repeated for r in hsa.main_texts(df, host_pages=host_pages, stream=stream).collect()}
+        assert got == {k: 15 if k < 120 else 0 for k in got} and len(got) == 160
+
+
+def test_blocks_of_a_long_host_are_dealt_once(spark):
+    rows = [(k, "https://a/", f"<p>{' '.join(f'w{k // 2}_{j}' for j in range(20))}</p>") for k in range(40)]
+    df = hsa.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string"), host_pages=5)
+    assert len(df.collect()) == 40
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("MapInArrow _read(") == 1 and len(re.findall(r"ReusedExchange \[host", plan)) == 2
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_only_windows_with_a_shared_minimizer_are_sent(seed):
+    rng = np.random.default_rng(seed)
+    texts = [[f"w{x}" for x in rng.integers(0, 10**6, 3000)] for _ in range(2)]
+    texts[1][500:540] = texts[0][700:740]
+    stretches = []
+    for share, words in enumerate(texts):
+        stretches.append(hsa.Stretch())
+        stretches[-1].add(share, "u", ("a", share), 2, [(2, " ".join(words))])
+    short = [np.sort(np.concatenate([v * n + b for _, n, b, _, _, v in s.distinct(True)])) for s in stretches]
+    assert all(len(x) < 3000 / 3 for x in short)
+    both = np.intersect1d(*short)
+    for s in stretches:
+        assert list(s.distinct(False)) == []
+        s.shared = [both]
+    sent = [np.concatenate([v * n + b for _, n, b, _, _, v in s.distinct(False)]) for s in stretches]
+    assert len(np.intersect1d(*sent)) == 40 - 11 and all(len(x) < 200 for x in sent)
+
+
+def test_coded_numbers_come_back():
+    rng = np.random.default_rng(1)
+    for top, n in ((1, 1), (2, 2), (50, 50), (1 << 20, 1000), ((1 << 64) - 1, 1), ((1 << 64) - 1, 3000), (1 << 58, 7)):
+        values = np.unique(rng.integers(0, top, n, dtype=np.uint64, endpoint=True))
+        values[-1] = top
+        data = hsa.coded(values)
+        assert hsa.decoded(data).tolist() == values.tolist()
+        assert len(data) * 8 <= 64 + len(values) * (max(np.log2(top / len(values)), 0) + 3)
+
+
 def test_archive_round_trip(spark):
     big, small = "é" * 60, "x" * 99
     rows = [(5, "http://a/\r\nX: y", big), (3, None, big), (9, "http://b", big), (1, "u", small), (2, "u", small), (4, "u", None), (6, "u", ""), (None, "n", big), (7, "u", "p" * 100), (None, "m", "q" * 200), (9, "http://b", big)]
