@@ -74,18 +74,15 @@ def to_mono(channels) -> Column:
     return F.transform(total, lambda v: v / F.size(ch))
 
 
-_ALL = 2**31 - 1  # longer than any string
-
-
 def join_ints(x, sep: str = ",") -> Column:
     """Integer array → ``"1,2,3"`` (engine-neutral form for comparisons and CSV); null elements are left out.
 
-    The numbers are written into one buffer, as JSON; ``array_join`` first makes a string object of every element, some
-    60 bytes for each token of a text. Only arrays with null elements take that way."""
+    The numbers are written into one buffer, as JSON, whose brackets are cut off by bytes; ``array_join`` first makes a string object of
+    every element, some 60 bytes for each token of a text. Only arrays with null elements take that way."""
     c = _col(x)
 
     def body(s):
-        inner = F.substring_index(F.substring(s["listed"], 2, _ALL), "]", 1)
+        inner = F.substring(s["listed"].cast("binary"), F.lit(2), F.octet_length(s["listed"]) - 2).cast("string")
         return F.when(s["listed"].contains("null"), F.array_join(c, sep)).otherwise(inner if sep == "," else F.replace(inner, F.lit(","), F.lit(sep)))
 
     return let(body, listed=F.to_json(c))

@@ -4,10 +4,11 @@
   initial, medial and (if any) final compatibility jamo; every other character
   is kept. Native Column expression, so it stays inside whole-stage codegen and
   has an exact SQL twin.
-* ``hangul_to_jamo_arrow``: the same mapping as an Arrow-batched pandas
-  function (``str.translate``), for long texts where the per-character array
-  of the native form dominates.
+* ``hangul_to_jamo_arrow``: the same mapping as an Arrow function (a table by
+  code point), for long texts where the per-character array of the native form
+  dominates.
 * ``utf8_bytes`` (T2): UTF-8 byte values of a string as ``ARRAY<INT>``.
+* ``jamo_tokens`` (T2 of T1): both in one worker, without the jamo text in between.
 
 The Arrow forms take a batch in runs of at most ``RUN_BYTES`` of text and hand every run's result out before the next,
 so a worker's memory follows the run (or the longest text), not the rows of a batch times what a text grows to.
@@ -18,7 +19,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column
@@ -88,26 +88,52 @@ def runs(texts: pa.Array, limit: int = RUN_BYTES) -> Iterator[pa.Array]:
         lo = hi
 
 
-_TABLE: dict[int, str] | None = None
-
-
-def _translate_table() -> dict[int, str]:
-    global _TABLE
-    if _TABLE is None:
-        _TABLE = {cp: decompose_syllable(chr(cp)) for cp in range(SYLLABLE_FIRST, SYLLABLE_LAST + 1)}
-    return _TABLE
+_NO_CHAR = 0x110000  # fills a row of the table behind its last character
+_STEP = 1 << 16  # characters looked up at once, so that a long text takes no more memory than a run
+_TABLES: tuple[np.ndarray, np.ndarray] | None = None
+
+
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """By code point: the characters that stand for it (up to three, then ``_NO_CHAR``) and their length in UTF-8."""
+    global _TABLES
+    if _TABLES is None:
+        chars = np.full((_NO_CHAR, 3), _NO_CHAR, np.uint32)
+        chars[:, 0] = np.arange(_NO_CHAR)
+        for cp in range(SYLLABLE_FIRST, SYLLABLE_LAST + 1):
+            for i, c in enumerate(decompose_syllable(chr(cp))):
+                chars[cp, i] = ord(c)
+        size = np.searchsorted([0x80, 0x800, 0x10000, _NO_CHAR], chars, side="right").astype(np.uint8) + 1
+        _TABLES = chars, np.where(chars < _NO_CHAR, size, 0).sum(axis=1, dtype=np.uint8)
+    return _TABLES
+
+
+def _jamo_strings(run: pa.Array) -> pa.Array:
+    """T1 of a run: its texts are looked up as one array of code points; where each ends follows from its characters' lengths."""
+    chars, size = _tables()
+    codes = np.frombuffer("".join(t or "" for t in run.to_pylist()).encode("utf-32-le"), np.uint32)
+    out, ends = [], np.zeros(len(codes) + 1, np.int64)
+    for lo in range(0, len(codes), _STEP):
+        step = codes[lo : lo + _STEP]
+        found = np.take(chars, step, axis=0).ravel()
+        out.append(found[found != _NO_CHAR].tobytes().decode("utf-32-le").encode())
+        ends[lo + 1 : lo + 1 + len(step)] = size[step]
+    np.cumsum(ends, out=ends)
+    last = np.cumsum(np.concatenate([[0], pc.fill_null(pc.utf8_length(run), 0).to_numpy(zero_copy_only=False)]), dtype=np.int64)
+    if ends[-1] > 2**31 - 1:
+        raise OverflowError("the jamo of a text take more than 2 GB")
+    valid = pa.array(run.is_valid().to_numpy(zero_copy_only=False)).buffers()[1] if run.null_count else None
+    return pa.StringArray.from_buffers(len(run), pa.py_buffer(ends[last].astype(np.int32)), pa.py_buffer(b"".join(out)), valid)
 
 
 def jamo_runs(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    table = _translate_table()
     for batch in batches:
         for run in runs(batch):
-            yield pa.array([None if t is None else t.translate(table) for t in run.to_pylist()], pa.string())
+            yield _jamo_strings(run)
 
 
 @F.arrow_udf(T.StringType())
 def hangul_to_jamo_arrow(s: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    """T1 as an Arrow function: ``str.translate`` with the 11,172-entry table built once per worker."""
+    """T1 as an Arrow function: a table by code point, built once per worker and read for a run of texts at once."""
     return jamo_runs(s)
 
 
@@ -161,3 +187,27 @@ def utf8_bytes_arrow(s: Iterator[pa.Array]) -> Iterator[pa.Array]:
 def utf8_tokens(col, native: bool = False) -> Column:
     """T2 for whole texts: Arrow by default, native on request."""
     return utf8_bytes(col) if native else utf8_bytes_arrow(_col(col))
+
+
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def jamo_bytes_arrow(s: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """T2 of T1 as one Arrow function: a run's jamo become bytes where they are made; two functions in a row take two
+    workers, and the jamo texts go back to the JVM and out again in batches of their own."""
+    return byte_runs(jamo_runs(s))
+
+
+@F.arrow_udf(T.BooleanType())
+def jamo_bytes_made_arrow(s: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Whether ``jamo_bytes_arrow`` makes a value: every text is encoded, and its bytes, four to an integer, stay in the worker."""
+    for made in byte_runs(jamo_runs(s)):
+        yield made.is_valid()
+
+
+def jamo_tokens(col, native: bool = False) -> Column:
+    """``utf8_tokens(jamo(col))`` for whole texts, in one step: Arrow by default, native on request."""
+    return utf8_bytes(hangul_to_jamo(col)) if native else jamo_bytes_arrow(_col(col))
+
+
+def jamo_tokens_made(col) -> Column:
+    """``jamo_tokens(col).isNotNull()`` where the tokens themselves are not wanted."""
+    return jamo_bytes_made_arrow(_col(col))

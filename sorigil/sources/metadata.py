@@ -189,9 +189,14 @@ def write_corpus(df: DataFrame, path: str, col: str = "jamo", mode: str = "overw
     lines.where(F.col("value").isNotNull()).write.mode(mode).text(path)
 
 
+#: A reader turns the rows of a row group, up to 4096 of them, into arrays of 4 bytes a token and two levels at once, so a row group ends at
+#: 16 MB of those. The writer counts tokens so only while their page is open (a closed page counts compressed), so pages may be longer than that.
+PROCESSED_LAYOUT = {"parquet.block.size": 16 << 20, "parquet.page.size": 32 << 20, "parquet.page.size.row.check.min": 10, "parquet.page.size.row.check.max": 10}
+
+
 def save_processed(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write ``text_tokens, audio_tokens, original_indices``."""
-    df.select(*PROCESSED_SCHEMA.fieldNames()).write.mode(mode).parquet(path)
+    df.select(*PROCESSED_SCHEMA.fieldNames()).write.mode(mode).options(**PROCESSED_LAYOUT).parquet(path)
 
 
 def load_processed(spark: SparkSession, path: str) -> DataFrame:

@@ -7,11 +7,15 @@ from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from sorigil.functions import jamo as J
 from sorigil.operators import batching, encode, lattice, listing, trie, vocab
+from sorigil.plans import file_queries
+from sorigil.sources import fixtures as fx
 from sorigil.sources import metadata as M
+from tools.plan_report import report
 
 
 def test_texts_are_converted_in_runs():
@@ -24,6 +28,44 @@ def test_texts_are_converted_in_runs():
     assert [v for x in lists for v in x.to_pylist()] == [None if t is None else list(t.encode()) for t in texts]
 
 
+def test_jamo_of_a_run_are_those_of_its_characters():
+    edges = [0, 0x7F, 0x80, 0x7FF, 0x800, 0xABFF, 0xAC00, 0xD7A3, 0xD7A4, 0xD7FF, 0xE000, 0xFFFF, 0x10000, 0x10FFFF]
+    texts = ["".join(map(chr, edges)), None, "", "a\n닭\r값😀"] * 3 + [chr(c) for c in edges] + ["닭a" * J._STEP, None]
+    for given in (pa.array(texts, pa.string()), pa.array(texts, pa.string()).slice(3, 9), pa.array([None, None], pa.string()), pa.array([], pa.string())):
+        want = [None if t is None else "".join(map(J.decompose_syllable, t)) for t in given.to_pylist()]
+        assert [t for x in J.jamo_runs(iter([given])) for t in x.to_pylist()] == want
+
+
+def test_tokens_in_one_step_are_the_bytes_of_the_jamo(spark):
+    df = spark.createDataFrame([("닭a값\n",), ("",), (None,)], "text string")
+    got = df.select(J.jamo_tokens("text").alias("a"), J.utf8_tokens(J.jamo("text")).alias("b"), J.jamo_tokens("text", native=True).alias("c"), J.jamo_tokens_made("text").alias("made")).collect()
+    assert all(r["a"] == r["b"] == r["c"] and r["made"] == (r["a"] is not None) for r in got) and [r["made"] for r in got] == [True, True, False]
+
+
+def test_a_reader_takes_few_tokens_of_the_processed_table_at_once(spark, tmp):
+    tokens = F.transform(F.sequence(F.lit(1), F.when(F.col("id") < 50, 3).otherwise(30_000)), lambda i: (i % 100).cast("int"))
+    df = spark.range(0, 400, 1, 1).select(tokens.alias("text_tokens"), F.array(F.array(F.lit(1))).alias("audio_tokens"), F.col("id").alias("original_indices"))
+    M.save_processed(df, os.path.join(tmp, "t"))
+    files = [pq.ParquetFile(os.path.join(tmp, "t", f)).metadata for f in os.listdir(os.path.join(tmp, "t")) if f.endswith(".parquet")]
+    values = [m.row_group(g).column(0).num_values for m in files for g in range(m.num_row_groups)]
+    assert sum(values) == 50 * 3 + 350 * 30_000 and max(values) <= (16 << 20) // 4 + 10 * 30_000
+    assert M.load_processed(spark, os.path.join(tmp, "t")).agg(F.sum(F.size("text_tokens"))).first()[0] == sum(values)
+
+
+def test_rejects_of_processed_texts_take_one_python_stage(spark):
+    assert report(spark, "/root/testdata/sf0.001", "file_processed")["python"] == 1
+
+
+def test_processed_rows_and_rejects_with_nulls_and_repeats(spark, tmp):
+    docs = [(1, "Ab", "s", "s1", 2), (1, "c", "s", "s1", 1), (2, None, "s", "s1", 0), (3, "", "s", "s1", 0), (4, "x", "s", "s1", 1), (None, "y", "s", "s1", 1), (5, None, "s", "s1", 0)]
+    labels = [(1, 1, 0), (1, 1, 0), (2, 0, 1), (3, None, 1), (None, 1, 1)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp}/labels.parquet")
+    bytes_of = lambda t: ",".join(str(b) for c in t for b in "".join(map(J.decompose_syllable, fx.hangul_of(ord(c)))).encode())
+    want = [(1, bytes_of("Ab"), "1,0", ""), (1, bytes_of("c"), "1,0", ""), (3, "", "1", ""), (2, "", "", "text_tokens failed"), (4, "", "", "audio_tokens failed"), (None, "", "", "audio_tokens failed"), (5, "", "", "text_tokens failed,audio_tokens failed")]
+    assert sorted(map(repr, map(tuple, file_queries.file_processed(spark, tmp).collect()))) == sorted(map(repr, want))
+
+
 def _counted(spark):
     seen = spark.sparkContext.accumulator(0)
 
