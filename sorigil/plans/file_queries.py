@@ -68,7 +68,7 @@ def file_corpus(spark, sf_dir):
     """The one-text-per-line jamo corpus, written and read back."""
     folder = fresh_folder(spark, "corpus")
     t = fx.documents_as_transcripts(spark, sf_dir)
-    M.write_corpus(t.select(jamo("text").alias("jamo")), folder)
+    M.write_corpus(t.select(jamo("text").alias("jamo")), folder, compression="gzip")  # plain, it takes a dozen times the tables it is made from
     return spark.read.text(folder).select(F.col("value").alias("line"))
 
 

@@ -181,12 +181,15 @@ def write_metadata(df: DataFrame, path: str, with_jamo: bool = False, mode: str
     df.select(metadata_line(cols).alias("|".join(cols))).write.mode(mode).options(**LINES).csv(path)
 
 
-def write_corpus(df: DataFrame, path: str, col: str = "jamo", mode: str = "overwrite") -> None:
+def write_corpus(df: DataFrame, path: str, col: str = "jamo", mode: str = "overwrite", compression: str = "none") -> None:
     """One text per line; line breaks inside a text become spaces, nulls are skipped.
 
+    ``compression`` names a codec of Spark's text files, such as ``gzip``: a jamo takes three bytes, of which two hardly vary. A file written
+    so is read by one task, as one task wrote it.
+
     A filter on a computed column is moved below it, which computes it twice; one on an exploded value stays where it is."""
     lines = df.select(F.explode(F.array(single_line(col))).alias("value"))
-    lines.where(F.col("value").isNotNull()).write.mode(mode).text(path)
+    lines.where(F.col("value").isNotNull()).write.mode(mode).text(path, compression=compression)
 
 
 #: A reader turns the rows of a row group, up to 4096 of them, into arrays of 4 bytes a token and two levels at once, so a row group ends at

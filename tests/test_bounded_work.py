@@ -3,6 +3,7 @@
 import math
 import os
 import random
+import re
 from types import SimpleNamespace
 
 import numpy as np
@@ -85,6 +86,19 @@ def test_the_corpus_writer_computes_a_text_once(spark, tmp):
     assert seen.value == 3
 
 
+def test_the_corpus_on_disk_follows_what_its_texts_say(spark, tmp, monkeypatch):
+    rnd = random.Random(3)
+    texts = ["".join(rnd.choice("abcdefgh \n") for _ in range(5000)) for _ in range(40)] + ["", None, "a\r\n"]
+    rows = [(i, t, "en", "s1", 0) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp}/documents.parquet")
+    monkeypatch.setattr(file_queries, "fresh_folder", lambda _, name: f"{tmp}/{name}")
+    got = sorted(r["line"] for r in file_queries.file_corpus(spark, tmp).collect())
+    syllables = {c: J.decompose_syllable(fx.hangul_of(ord(c))) for c in "abcdefgh"}
+    assert got == sorted(re.sub("[\r\n]+", " ", "".join(syllables.get(c, c) for c in t)) for t in texts if t is not None)
+    on_disk = sum(os.path.getsize(f"{tmp}/corpus/{f}") for f in os.listdir(f"{tmp}/corpus"))
+    assert on_disk < sum(len(t or "") for t in texts) < sum(len(t.encode()) for t in got) / 5
+
+
 def test_valid_rows_and_rejects_are_encoded_once(spark):
     seen, same = _counted(spark)
     df = spark.createDataFrame([(1, "a", "x"), (2, None, "x"), (3, None, None)], "k int, t string, c string")
