@@ -8,7 +8,6 @@
   code point), for long texts where the per-character array of the native form
   dominates.
 * ``utf8_bytes`` (T2): UTF-8 byte values of a string as ``ARRAY<INT>``.
-* ``jamo_tokens`` (T2 of T1): both in one worker, without the jamo text in between.
 
 The Arrow forms take a batch in runs of at most ``RUN_BYTES`` of text and hand every run's result out before the next,
 so a worker's memory follows the run (or the longest text), not the rows of a batch times what a text grows to.
@@ -189,25 +188,13 @@ def utf8_tokens(col, native: bool = False) -> Column:
     return utf8_bytes(col) if native else utf8_bytes_arrow(_col(col))
 
 
-@F.arrow_udf(T.ArrayType(T.IntegerType()))
-def jamo_bytes_arrow(s: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    """T2 of T1 as one Arrow function: a run's jamo become bytes where they are made; two functions in a row take two
-    workers, and the jamo texts go back to the JVM and out again in batches of their own."""
-    return byte_runs(jamo_runs(s))
-
-
 @F.arrow_udf(T.BooleanType())
-def jamo_bytes_made_arrow(s: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    """Whether ``jamo_bytes_arrow`` makes a value: every text is encoded, and its bytes, four to an integer, stay in the worker."""
-    for made in byte_runs(jamo_runs(s)):
+def utf8_made_arrow(s: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Whether ``utf8_bytes_arrow`` makes a value: every text is encoded, and its bytes, four to an integer, stay in the worker."""
+    for made in byte_runs(s):
         yield made.is_valid()
 
 
-def jamo_tokens(col, native: bool = False) -> Column:
-    """``utf8_tokens(jamo(col))`` for whole texts, in one step: Arrow by default, native on request."""
-    return utf8_bytes(hangul_to_jamo(col)) if native else jamo_bytes_arrow(_col(col))
-
-
-def jamo_tokens_made(col) -> Column:
-    """``jamo_tokens(col).isNotNull()`` where the tokens themselves are not wanted."""
-    return jamo_bytes_made_arrow(_col(col))
+def utf8_made(col) -> Column:
+    """``utf8_tokens(col).isNotNull()`` where the tokens themselves are not wanted."""
+    return utf8_made_arrow(_col(col))

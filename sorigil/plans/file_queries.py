@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sorigil.functions import arrays
-from sorigil.functions.jamo import jamo, jamo_tokens, jamo_tokens_made
+from sorigil.functions.jamo import jamo, utf8_made, utf8_tokens
 from sorigil.operators import encode, listing
 from sorigil.plans import catalog
 from sorigil.session import cut_lineage, scratch_path, spread
@@ -89,12 +89,12 @@ def file_processed(spark, sf_dir):
     A transcript's audio codes exist when its document is labelled."""
     docs = spread(fx.table(spark, sf_dir, "documents")).select("doc_id", "text")
     codes = fx.table(spark, sf_dir, "labels").select("doc_id", F.array(F.array(F.col("quality").cast("int"), F.col("toxic").cast("int"))).alias("audio_tokens")).dropDuplicates(["doc_id"])
-    text = fx.hangulize("text")  # as in documents_as_transcripts
+    text = jamo(fx.hangulize("text"))  # syllables as in documents_as_transcripts
     # only rows with codes can be valid; the join exchanges the texts as they are read (at every size, so that its disk follows the input),
     # not their syllables or bytes, which are many times larger
-    ok, _ = listing.keep_valid(docs.join(codes.hint("merge"), "doc_id").select("doc_id", jamo_tokens(text).alias("text_tokens"), "audio_tokens"))
+    ok, _ = listing.keep_valid(docs.join(codes.hint("merge"), "doc_id").select("doc_id", utf8_tokens(text).alias("text_tokens"), "audio_tokens"))
     # the rejects are told from all rows, by whether the encoding succeeded: no text and no tokens are exchanged for them
-    succeeded = F.when(jamo_tokens_made(text), F.array().cast("array<int>")).alias("text_tokens")
+    succeeded = F.when(utf8_made(text), F.array().cast("array<int>")).alias("text_tokens")
     _, rejects = listing.keep_valid(docs.select("doc_id", succeeded).join(codes, "doc_id", "left"))
     path = fresh_folder(spark, "processed")
     made_from = M.fingerprint(fx.table(spark, sf_dir, "documents").select("doc_id", "text"), codes)
